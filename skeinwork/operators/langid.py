@@ -22,16 +22,12 @@ def normalized(text: Column) -> Column:
 
 
 def trigrams(text: Column) -> Column:
-    """All trigrams of the normalised text, in order of occurrence."""
-    chars = F.split(normalized(text), "")
-    last = F.size(chars) - F.lit(3)
-    return F.when(
-        last >= 0,
-        F.transform(
-            F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
-            lambda i: F.concat(F.get(chars, i), F.get(chars, i + 1), F.get(chars, i + 2)),
-        ),
-    ).otherwise(F.array().cast("array<string>"))
+    """All trigrams of the normalised text, in order of occurrence.
+
+    A look-ahead that captures three characters matches at every position, so
+    the text is walked once.
+    """
+    return F.regexp_extract_all(normalized(text), F.lit("(?s)(?=(...))"), F.lit(1))
 
 
 def build_profiles(df: DataFrame, text: str, lang: str) -> DataFrame:

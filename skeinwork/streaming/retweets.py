@@ -118,20 +118,20 @@ def _first_event(windows: DataFrame, path: str, size: int, slide: int) -> Column
 def report_sink(path: str, size: int = WINDOW, slide: int = SLIDE, lang: str = "lang", text: str = "text"):
     """foreachBatch function: one folder per batch, overwritten when a batch is repeated.
 
+    The closed windows are kept below `closed`, the report rows below `windows`.
     A closed window leaves the aggregation whole, in one batch, so its totals
     are complete here. The rows are in descending order of the total.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            if batch.isEmpty():
-                return
-            rows = report_rows(batch, _first_event(batch, path, size, slide), lang, text)
-            ordered = rows.orderBy("window_start", F.desc("total_retweets"), F.desc("retweets"), "tweet_id")
-            ordered.write.mode("overwrite").parquet(f"{path}/windows/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
+        closed = f"{path}/closed/batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(closed)       # the state is read once
+        windows = batch.sparkSession.read.schema(batch.schema).parquet(closed)
+        if windows.isEmpty():
+            return
+        rows = report_rows(windows, _first_event(windows, path, size, slide), lang, text)
+        ordered = rows.orderBy("window_start", F.desc("total_retweets"), F.desc("retweets"), "tweet_id")
+        ordered.write.mode("overwrite").parquet(f"{path}/windows/batch_id={batch_id}")
 
     return write
 
