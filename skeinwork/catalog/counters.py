@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from skeinwork.catalog.registry import epoch, query, table
 from skeinwork.operators.counters import retweet_delta, retweet_report as report_of
-from skeinwork.session import scratch_path
+from skeinwork.session import materialize, scratch_path
 from skeinwork.sources.stream import read_stream
 from skeinwork.sources.text_records import parse_retweet_log
 from skeinwork.streaming.retweets import retweet_windows as windows_of
@@ -94,7 +94,8 @@ COLUMNS = "window_start, lang, total_retweets, tweet_id, max_count, min_count, r
 @query(f"{WINDOWS} select {COLUMNS} from totals")
 def retweet_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _sightings(table(spark, sf_dir, "events"))
-    out = with_window_totals(windows_of(rows, SIZE, SLIDE, order=["ts", "event_id"]))
+    counted = materialize(windows_of(rows, SIZE, SLIDE, order=["ts", "event_id"]), "windows")
+    out = with_window_totals(counted)
     return out.withColumn("window_start", epoch("SECOND", F.col("window.start"))).select(*COLUMNS.split(", "))
 
 

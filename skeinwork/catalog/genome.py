@@ -58,15 +58,18 @@ def balance_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _summary_of_region(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    first = last = None
-    rows = ordered = 0
+    """Rows, ends and the number of neighbouring rows in order, over all chunks of a region."""
+    before, rows, in_order = None, 0, 0
     for chunk in chunks:
-        keys = list(zip(chunk["ref_index"].replace(-1, 1 << 30), chunk["pos"]))
-        ordered += sum(a <= b for a, b in zip(([last] if last else []) + keys, keys if last else keys[1:]))
-        first, last, rows = first or chunk.iloc[0], keys[-1], rows + len(chunk)
-        if rows == len(chunk):
-            region, start = int(chunk["region"].iloc[0]), int(chunk["pos"].iloc[0])
-    yield pd.DataFrame({"region": [region], "n": [rows], "first_pos": [start], "last_pos": [last[1]], "in_order": [ordered]})
+        if before is None:
+            region, first_pos = int(chunk["region"].iloc[0]), int(chunk["pos"].iloc[0])
+        for key in zip(chunk["ref_index"].replace(-1, 1 << 30), chunk["pos"]):
+            in_order += before is not None and before <= key
+            before = key
+        rows += len(chunk)
+    yield pd.DataFrame(
+        {"region": [region], "n": [rows], "first_pos": [first_pos], "last_pos": [before[1]], "in_order": [in_order]}
+    )
 
 
 @query(f"""

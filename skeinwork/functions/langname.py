@@ -58,4 +58,4 @@ def lang_name(code: Column) -> Column:
     """The same look-up as one expression, for streams and small projections."""
     entries = [F.lit(v) for pair in language_pairs() for v in pair]
     key = F.lower(code)
-    return F.coalesce(F.create_map(*entries).getItem(key), key)
+    return F.coalesce(F.try_element_at(F.create_map(*entries), key), key)
