@@ -76,9 +76,16 @@ def totals_stream(windows: DataFrame, lang: str = "lang") -> DataFrame:
     return windows.groupBy("window", lang).agg(F.sum("retweets").alias("total_retweets"))
 
 
-def joined_stream(windows: DataFrame, lang: str = "lang") -> DataFrame:
-    """Tweets with their language total by a stream-stream join on (window, language), append mode."""
-    return windows.join(totals_stream(windows, lang), ["window", lang])
+def joined_stream(windows: DataFrame, totals: DataFrame, lang: str = "lang") -> DataFrame:
+    """Tweets with their language total by a stream-stream join on (window, language), append mode.
+
+    Build `totals` (see `totals_stream`) from a second `readStream` of the
+    source: a self-join of one stream loses the watermark of its copied side.
+    Totals reach the join one batch after the windows they sum.
+    """
+    right = totals.select(F.col("window").alias("_window"), F.col(lang).alias("_lang"), "total_retweets")
+    same = (F.col("window") == F.col("_window")) & (F.col(lang) == F.col("_lang"))
+    return windows.join(right, same).drop("_window", "_lang")
 
 
 def report_rows(windows: DataFrame, started: Column, lang: str = "lang", text: str = "text") -> DataFrame:

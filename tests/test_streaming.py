@@ -73,10 +73,13 @@ def test_stream_stream_join(spark, rows, tmp_path):
         put(src, f"{i}.json", data)
         os.utime(src / f"{i}.json", (1_700_000_000 + i, 1_700_000_000 + i))
     schema = read_stream(spark, str(src)).schema
-    source = tagged(read_stream(spark, str(src), maxFilesPerTrigger="1"))
-    stream = rt.retweet_windows(source.withWatermark("ts", "10 seconds"))
+
+    def windows():
+        source = tagged(read_stream(spark, str(src), maxFilesPerTrigger="1"))
+        return rt.retweet_windows(source.withWatermark("ts", "10 seconds"))
+
     job = (
-        rt.joined_stream(stream).writeStream.format("memory").queryName("joined_windows").outputMode("append")
+        rt.joined_stream(windows(), rt.totals_stream(windows())).writeStream.format("memory").queryName("joined_windows").outputMode("append")
         .option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
     )
     job.awaitTermination()
