@@ -18,6 +18,7 @@ from skeinwork.operators.regions import balance_regions as balanced
 from skeinwork.operators.regions import chunk_apply as apply_to_chunks
 from skeinwork.operators.regions import coordinate_order
 from skeinwork.operators.regions import region_apply as apply_to_regions
+from skeinwork.operators.skew import spread
 from skeinwork.operators.variants import sorted_variants, vcf_concordance as concordance
 from skeinwork.plans.variants import mark_duplicate_reads, with_fixed_quality
 from skeinwork.session import materialize, scratch_path
@@ -59,16 +60,15 @@ def balance_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _summary_of_region(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows, ends and the number of neighbouring rows in order, over all chunks of a region."""
-    before, rows, in_order = None, 0, 0
+    last, rows, in_order = None, 0, 0
     for chunk in chunks:
-        if before is None:
+        if last is None:
             region, first_pos = int(chunk["region"].iloc[0]), int(chunk["pos"].iloc[0])
-        for key in zip(chunk["ref_index"].replace(-1, 1 << 30), chunk["pos"]):
-            in_order += before is not None and before <= key
-            before = key
-        rows += len(chunk)
+        key = chunk["ref_index"].replace(-1, 1 << 20) * (1 << 32) + chunk["pos"]
+        in_order += int((key.diff() >= 0).sum()) + int(last is not None and last <= key.iloc[0])
+        last, last_pos, rows = key.iloc[-1], int(chunk["pos"].iloc[-1]), rows + len(chunk)
     yield pd.DataFrame(
-        {"region": [region], "n": [rows], "first_pos": [first_pos], "last_pos": [before[1]], "in_order": [in_order]}
+        {"region": [region], "n": [rows], "first_pos": [first_pos], "last_pos": [last_pos], "in_order": [in_order]}
     )
 
 
@@ -256,7 +256,7 @@ def region_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _sam_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = lambda c: F.col(c).cast("string")
     whole = lambda c: F.col(c).cast("bigint").cast("string")
-    return table(spark, sf_dir, "lineitem").select(
+    return spread(table(spark, sf_dir, "lineitem")).select(
         F.concat_ws(
             "\t", s("l_orderkey"), s("l_linenumber"), F.concat(F.lit("chr"), (F.col("l_suppkey") % 26).cast("string")),
             s("l_partkey"), F.lit("60"),
@@ -374,7 +374,7 @@ def _vcf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "\t", chrom, F.col("l_partkey").cast("string"), F.concat_ws(":", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")),
         "l_returnflag", "l_linestatus", F.lit("."),
     )
-    return table(spark, sf_dir, "lineitem").select(line.alias("value"), "l_discount")
+    return spread(table(spark, sf_dir, "lineitem")).select(line.alias("value"), "l_discount")
 
 
 @query(f"with {VCF} select chrom, chrom_no, pos, id, ref, alt, line from lines where chrom <> 'HLA'")
@@ -387,7 +387,7 @@ with {VCF}
 select row_number() over (order by chrom_no, pos, line) as rn, line from lines where chrom_no is not null
 """)
 def variant_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    variants = parse_vcf(_vcf_lines(spark, sf_dir), on_error="drop")
+    variants = parse_vcf(materialize(_vcf_lines(spark, sf_dir), "vcf"), on_error="drop")
     return global_index(variants, ["chrom_no", "pos", "line"]).select((F.col("idx") + 1).alias("rn"), "line")
 
 

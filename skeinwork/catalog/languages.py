@@ -9,6 +9,7 @@ from skeinwork.catalog.registry import query, table
 from skeinwork.functions.langname import with_language_name
 from skeinwork.functions.text import after_first, before_first, clean_tweet, one_line, script_override
 from skeinwork.operators.duplicates import duplicate_metrics, mark_duplicates
+from skeinwork.operators.skew import spread
 from skeinwork.operators.langid import build_profiles, detect_lang
 from skeinwork.operators.totals import by_total, lang_totals as totals_per_language
 from skeinwork.sources.sinks import tuple_lines
@@ -82,7 +83,7 @@ def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     message = F.concat(
         F.lit("RT @"), "source", F.lit(" https://x.example/"), F.col("doc_id").cast("string"), F.lit(" "), "text", F.lit(" RT @end")
     )
-    cleaned = table(spark, sf_dir, "documents").select("doc_id", clean_tweet(message).alias("s"))
+    cleaned = spread(table(spark, sf_dir, "documents")).select("doc_id", clean_tweet(message).alias("s"))
     return cleaned.select(
         "doc_id",
         F.length("s").cast("bigint").alias("chars"),

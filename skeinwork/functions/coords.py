@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 def chrom_number(chrom: Column) -> Column:
     """chr1..chr22 to 1..22, chrX to 23, chrY to 24; NULL for anything else."""
-    name = F.regexp_extract(chrom, r"^chr(.+)$", 1)
-    number = F.expr("int(null)")
-    number = F.when(name.rlike(r"^\d{1,9}$"), name.try_cast("int")).otherwise(number)
-    return F.when(name == "X", F.lit(23)).when(name == "Y", F.lit(24)).otherwise(number)
+    name = F.substring(chrom, 4, 10)
+    number = name.try_cast("int")
+    strict = F.when(number.cast("string") == name, number)      # no blanks, signs or fractions
+    named = F.when(name == "X", F.lit(23)).when(name == "Y", F.lit(24)).otherwise(strict)
+    return F.when(chrom.startswith("chr"), named)
 
 
 def bed_start(start: Column) -> Column:

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skeinwork.operators.skew import hot_keys, salted_join
+from skeinwork.operators.skew import hot_keys, salted_join, spread
 from skeinwork.session import materialize
 
 PROFILE_BROADCAST_ROWS = 1_000_000      # a profile table up to this many trigrams is broadcast
@@ -36,7 +36,8 @@ def build_profiles(df: DataFrame, text: str, lang: str) -> DataFrame:
     Counting combines on the map side; the table is a model and is written once.
     """
     counts = materialize(
-        df.select(F.col(lang).alias("lang"), F.explode(trigrams(F.col(text))).alias("gram"))
+        spread(df.select(lang, text))
+        .select(F.col(lang).alias("lang"), F.explode(trigrams(F.col(text))).alias("gram"))
         .groupBy("lang", "gram")
         .agg(F.count(F.lit(1)).alias("n")),
         "profile_counts",
@@ -67,7 +68,7 @@ def detect_lang(df: DataFrame, id: str, text: str, profiles: DataFrame) -> DataF
         *[F.sum(F.when(F.col("lang") == lang, F.col("weight")).otherwise(0.0)).alias(f"_w{i}") for i, lang in enumerate(langs)]
     )
     wide = materialize(wide, "profile")
-    grams = df.select(F.col(id), F.explode(trigrams(F.col(text))).alias("gram"))
+    grams = spread(df.select(id, text)).select(F.col(id), F.explode(trigrams(F.col(text))).alias("gram"))
     if wide.limit(PROFILE_BROADCAST_ROWS + 1).count() <= PROFILE_BROADCAST_ROWS:
         weighted = grams.withColumn("_n", F.lit(1)).join(F.broadcast(wide), "gram")
     else:

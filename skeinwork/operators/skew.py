@@ -9,6 +9,16 @@ SHARE = 64          # a key is hot when it holds more than 1/SHARE of all rows
 SALTS = 16          # pieces a hot key is cut into
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when the scan has fewer splits than that; else `df` as it is.
+
+    For work that is heavy per row on an input of few splits. A large input has
+    more splits than cores and is left alone, so nothing large is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def hot_keys(df: DataFrame, keys: list[str], share: int = SHARE) -> DataFrame | None:
     """Keys with more than 1/share of the rows of `df`; None when there are none.
 

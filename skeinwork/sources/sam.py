@@ -21,12 +21,11 @@ def parse_sam(lines: DataFrame) -> DataFrame:
 
     Adds `quals` (numbers) and `end_pos` (1-based inclusive).
     """
-    parts = F.split("value", "\t")
-    columns = [F.get(parts, F.lit(i)).try_cast(kind).alias(name) for i, (name, kind) in enumerate(SAM_COLUMNS)]
-    tags = F.slice(parts, 12, F.greatest(F.size(parts) - 11, F.lit(0))).alias("tags")
+    parts = lines.where(~F.col("value").startswith("@")).select(F.split("value", "\t").alias("_parts"))
+    columns = [F.get("_parts", F.lit(i)).try_cast(kind).alias(name) for i, (name, kind) in enumerate(SAM_COLUMNS)]
+    tags = F.slice("_parts", 12, F.greatest(F.size("_parts") - 11, F.lit(0))).alias("tags")
     return (
-        lines.where(~F.col("value").startswith("@"))
-        .select(*columns, tags)
+        parts.select(*columns, tags)
         .withColumn("quals", decode_quality(F.col("qual")))
         .withColumn("end_pos", alignment_end(F.col("pos"), F.col("cigar")))
     )

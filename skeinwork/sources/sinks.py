@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skeinwork.functions.coords import bed_end, bed_start, region_string
+from skeinwork.sources.text_records import RETWEET_LOG_HEADER, retweet_log_lines
 from skeinwork.sources.vcf import VCF_HEADER
 
 
@@ -27,6 +28,13 @@ def tuple_lines(df: DataFrame) -> DataFrame:
     return df.select(F.concat(F.lit("("), F.concat_ws(",", *parts), F.lit(")")).alias("value"))
 
 
+def write_retweet_log(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Report rows of the stream as log text: `<path>/header`, and part files below `<path>/lines`."""
+    header = rows.sparkSession.range(1).select(F.lit(RETWEET_LOG_HEADER).alias("value"))
+    header.write.mode(mode).text(f"{path}/header")
+    retweet_log_lines(rows).write.mode(mode).text(f"{path}/lines")
+
+
 def write_chunks(records: DataFrame, path: str, n: int, rec: str = "rec", record: str = "record", mode: str = "errorifexists") -> None:
     """n gzip text chunks holding contiguous ranges of the record number, in order."""
     (

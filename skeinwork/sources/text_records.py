@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skeinwork.functions.text import before_first, head_and_rest
+from skeinwork.functions.text import before_first, head_and_rest, one_line
 from skeinwork.functions.titles import is_series, title_key, title_year
 
 # Header line and field positions of the retweet log.
@@ -36,11 +36,12 @@ def parse_pagecounts(lines: DataFrame, on_error: str = "fail") -> DataFrame:
 
     The code is the project name before its first dot.
     """
-    parts = F.split("value", " ")
-    out = lines.select(
-        before_first(F.get(parts, F.lit(0)), ".").alias("code"),
-        _required(F.get(parts, F.lit(1)), "title", on_error).alias("title"),
-        _required(typed(F.get(parts, F.lit(2)), "bigint", on_error), "views", on_error).alias("views"),
+    parts = lines.select(F.split("value", " ").alias("_parts"))
+    field = lambda i: F.get("_parts", F.lit(i))
+    out = parts.select(
+        before_first(field(0), ".").alias("code"),
+        _required(field(1), "title", on_error).alias("title"),
+        _required(typed(field(2), "bigint", on_error), "views", on_error).alias("views"),
     )
     return _drop_bad(out, ["title", "views"], on_error)
 
@@ -57,11 +58,11 @@ def parse_retweet_log(
     The text is the rest of the line and may hold commas; truncate_text=True
     cuts it at its first comma.
     """
-    parts = F.split("value", ",", RETWEET_LOG_FIELDS)
-    field = lambda i: F.get(parts, F.lit(i))
+    parts = lines.where(F.col("value") != header).select(F.split("value", ",", RETWEET_LOG_FIELDS).alias("_parts"))
+    field = lambda i: F.get("_parts", F.lit(i))
     number = lambda i, what: _required(typed(field(i), "bigint", on_error), what, on_error)
     text = field(8)
-    out = lines.where(F.col("value") != header).select(
+    out = parts.select(
         F.regexp_extract(field(0), r"\((\d+)\)", 1).try_cast("bigint").alias("seconds"),
         field(1).alias("language"),
         field(2).alias("code"),
@@ -79,6 +80,16 @@ def read_retweet_log(spark: SparkSession, path: str, **options) -> DataFrame:
     return parse_retweet_log(spark.read.text(path), **options)
 
 
+def retweet_log_lines(rows: DataFrame) -> DataFrame:
+    """Log lines of report rows, in the layout that `parse_retweet_log` reads (without the header)."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    numbers = ["total_retweets", "tweet_id", "max_count", "min_count", "retweets"]
+    seconds = F.concat(F.lit("("), text("seconds"), F.lit(")"))
+    return rows.select(
+        F.concat_ws(",", seconds, text("language"), text("code"), *map(text, numbers), one_line(text("text"))).alias("value")
+    )
+
+
 def parse_membership(records: DataFrame, group: str) -> DataFrame:
     """`name TAB title TAB title ...` records to (group, person, raw) rows, one per title.
 

@@ -17,20 +17,18 @@ def parse_vcf(lines: DataFrame, on_error: str = "null") -> DataFrame:
     A name without a number (chrM) gives a NULL chrom_no, or an error, or is
     dropped, by `on_error`.
     """
-    parts = F.split("value", "\t")
-    field = lambda i: F.get(parts, F.lit(i))
-    number = chrom_number(field(0))
+    # one projection splits, the next ones use its columns: the line is split once
+    parts = lines.where(F.col("value").startswith("chr")).select("value", F.split("value", "\t").alias("_parts"))
+    field = lambda i: F.get("_parts", F.lit(i))
+    rows = parts.select(
+        field(0).alias("chrom"), field(1).alias("_pos"), field(2).alias("id"),
+        field(3).alias("ref"), field(4).alias("alt"), F.col("value").alias("line"),
+    ).withColumn("_number", chrom_number(F.col("chrom")))
+    number, pos = F.col("_number"), F.col("_pos").try_cast("bigint")
     if on_error == "fail":
-        number = F.when(number.isNull(), F.raise_error(F.concat(F.lit("no chromosome number: "), field(0))).cast("int")).otherwise(number)
-    out = lines.where(F.col("value").startswith("chr")).select(
-        field(0).alias("chrom"),
-        number.alias("chrom_no"),
-        (field(1).cast("bigint") if on_error == "fail" else field(1).try_cast("bigint")).alias("pos"),
-        field(2).alias("id"),
-        field(3).alias("ref"),
-        field(4).alias("alt"),
-        F.col("value").alias("line"),
-    )
+        unknown = F.raise_error(F.concat(F.lit("no chromosome number: "), "chrom")).cast("int")
+        number, pos = F.when(number.isNull(), unknown).otherwise(number), F.col("_pos").cast("bigint")
+    out = rows.select("chrom", number.alias("chrom_no"), pos.alias("pos"), "id", "ref", "alt", "line")
     return out.dropna(subset=["chrom_no", "pos"]) if on_error == "drop" else out
 
 
@@ -40,11 +38,10 @@ def read_vcf(spark: SparkSession, path: str, on_error: str = "null") -> DataFram
 
 def parse_vcf_keys(lines: DataFrame) -> DataFrame:
     """Comparison keys: blank-separated fields 0, 1, 3, 4 of lines whose first field contains `chr`."""
-    parts = F.split(F.trim(F.col("value")), r"\s+")
-    field = lambda i: F.get(parts, F.lit(i))
-    return lines.where(field(0).contains("chr")).select(
-        field(0).alias("chrom"), field(1).alias("pos"), field(3).alias("ref"), field(4).alias("alt")
-    )
+    parts = lines.select(F.split(F.trim("value"), r"\s+").alias("_parts"))
+    field = lambda i: F.get("_parts", F.lit(i))
+    rows = parts.select(field(0).alias("chrom"), field(1).alias("pos"), field(3).alias("ref"), field(4).alias("alt"))
+    return rows.where(F.col("chrom").contains("chr"))
 
 
 def read_vcf_keys(spark: SparkSession, path: str) -> DataFrame:

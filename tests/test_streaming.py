@@ -5,6 +5,8 @@ import os
 from pyspark.sql import functions as F
 
 from skeinwork.operators.langid import build_profiles, stream_detector
+from skeinwork.plans.retweets import log_report
+from skeinwork.sources.sinks import write_retweet_log
 from skeinwork.sources.stream import read_stream, retweets_only
 from skeinwork.streaming import retweets as rt
 
@@ -51,6 +53,11 @@ def test_stream_equals_batch_over_restart(spark, tmp_path, rows):
     assert got.where("retweets = 999 or max_count = 999").count() == 0
     assert got.agg(F.min("seconds")).first()[0] == 60
     first = got.where("seconds = 60").orderBy("tweet_id").collect()
+    write_retweet_log(got, str(tmp_path / "log"))
+    report = log_report(spark, f"{tmp_path}/log/*")
+    assert [(r["tweet_id"], r["retweets"], r["text"]) for r in report.where("code = 'en'").collect()] == [
+        ("1", 11, "again"), ("2", 6, "z")
+    ]
     assert [(r["tweet_id"], r["retweets"], r["total_retweets"], r["text"]) for r in first] == [(1, 5, 6, "later"), (2, 1, 6, "x")]
 
 
