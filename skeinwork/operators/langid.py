@@ -68,14 +68,15 @@ def detect_lang(df: DataFrame, id: str, text: str, profiles: DataFrame) -> DataF
         *[F.sum(F.when(F.col("lang") == lang, F.col("weight")).otherwise(0.0)).alias(f"_w{i}") for i, lang in enumerate(langs)]
     )
     wide = materialize(wide, "profile")
-    grams = spread(df.select(id, text)).select(F.col(id), F.explode(trigrams(F.col(text))).alias("gram"))
-    if wide.limit(PROFILE_BROADCAST_ROWS + 1).count() <= PROFILE_BROADCAST_ROWS:
-        weighted = grams.withColumn("_n", F.lit(1)).join(F.broadcast(wide), "gram")
+    grams = spread(df.select(id, text)).select(F.col(id), F.explode_outer(trigrams(F.col(text))).alias("gram"))
+    small = wide.limit(PROFILE_BROADCAST_ROWS + 1).count() <= PROFILE_BROADCAST_ROWS
+    if small:
+        weighted = grams.withColumn("_n", F.lit(1)).join(F.broadcast(wide), "gram", "left")
     else:
-        counted = materialize(grams.groupBy(id, "gram").agg(F.count(F.lit(1)).alias("_n")), "grams")
+        counted = materialize(grams.where("gram is not null").groupBy(id, "gram").agg(F.count(F.lit(1)).alias("_n")), "grams")
         weighted = salted_join(counted, wide, ["gram"], [id], hot_keys(counted, ["gram"]))
-    sums = [F.sum(F.col("_n") * F.col(f"_w{i}")).alias(f"_s{i}") for i in range(len(langs))]
-    scored = weighted.groupBy(id).agg(F.sum("_n").alias("_grams"), *sums)
+    sums = [F.sum(F.col("_n") * F.coalesce(F.col(f"_w{i}"), F.lit(0.0))).alias(f"_s{i}") for i in range(len(langs))]
+    scored = weighted.groupBy(id).agg(F.sum(F.when(F.col("_w0").isNotNull(), F.col("_n"))).alias("_grams"), *sums)
     options = F.array(*[F.struct(F.col(f"_s{i}").alias("s"), F.lit(lang).alias("lang")) for i, lang in enumerate(langs)])
     best = F.array_max(options)
     known = best["s"] > 0
@@ -84,7 +85,8 @@ def detect_lang(df: DataFrame, id: str, text: str, profiles: DataFrame) -> DataF
         F.when(known, best["lang"]).alias("detected"),
         F.when(known, best["s"] / F.col("_grams")).alias("score"),
     )
-    return df.select(id).join(found, id, "left")
+    # the inner join of the second way drops texts without a known trigram
+    return found if small else df.select(id).join(found, id, "left")
 
 
 def stream_detector(profiles: DataFrame):
