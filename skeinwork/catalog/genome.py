@@ -399,7 +399,7 @@ select count(*) as total, count(b.chrom) as matches, count(*) - count(b.chrom) a
 from a left join b using (chrom, pos, ref, alt)
 """)
 def vcf_concordance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _vcf_lines(spark, sf_dir)
+    lines = materialize(_vcf_lines(spark, sf_dir), "vcf")
     return concordance(
         parse_vcf_keys(lines.where("l_discount <= 0.05")), parse_vcf_keys(lines.where("l_discount >= 0.05"))
     )

@@ -38,7 +38,7 @@ def _graph(spark: SparkSession, sf_dir: str) -> g.CoMembership:
     items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_shipdate")
     served = orders.join(items, F.col("o_orderkey") == F.col("l_orderkey")).select(
         F.col("o_custkey").alias("person"),
-        F.concat_ws("@", F.col("l_suppkey").cast("string"), F.date_format("l_shipdate", "yyyy-MM-dd")).alias("item"),
+        F.concat_ws("@", F.col("l_suppkey").cast("string"), F.col("l_shipdate").cast("date").cast("string")).alias("item"),
     )
     return g.co_membership(served, "person", "item")
 

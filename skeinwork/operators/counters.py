@@ -10,19 +10,21 @@ from skeinwork.session import materialize
 
 
 def delta_aggregates(count_max: str, count_min: str, carry: list[str], order: list[str]) -> list[Column]:
-    """Max, min and the carried columns of the latest row, for batch and stream alike."""
-    latest = F.max_by(F.struct(*carry), F.struct(*order))
+    """Max, min and the carried columns of the latest row, for batch and stream alike.
+
+    Rows with one order value are ordered by the carried columns.
+    """
     return [
         F.max(count_max).alias("max_count"),
         F.min(count_min).alias("min_count"),
-        latest.alias("_carry"),
+        F.max(F.struct(F.struct(*order).alias("order"), F.struct(*carry).alias("carry"))).alias("_latest"),
     ]
 
 
 def with_delta(df: DataFrame, carry: list[str]) -> DataFrame:
     """Unpack the carried columns and add `retweets` = max - min + 1."""
     out = df.withColumn("retweets", F.col("max_count") - F.col("min_count") + F.lit(1))
-    return out.withColumns({c: F.col("_carry")[c] for c in carry}).drop("_carry")
+    return out.withColumns({c: F.col("_latest.carry")[c] for c in carry}).drop("_latest")
 
 
 def retweet_delta(
@@ -45,5 +47,5 @@ def retweet_report(delta: DataFrame, code: str = "code", more_than: int = 1) ->
     because the totals and the detail both read it.
     """
     detail = materialize(delta, "retweet_delta")
-    totals = with_group_totals(detail, [code], "retweets", "total_retweets", spread=["tweet_id"])
+    totals = with_group_totals(detail, [code], "retweets", "total_retweets", spread_by=["tweet_id"])
     return totals.where(F.col("retweets") > more_than)

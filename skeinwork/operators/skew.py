@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skeinwork.session import materialize
+
 SHARE = 64          # a key is hot when it holds more than 1/SHARE of all rows
 SALTS = 16          # pieces a hot key is cut into
 
@@ -95,20 +97,19 @@ def with_group_totals(
     keys: list[str],
     value: str,
     out: str,
-    spread: list[str],
-    salts: int = SALTS,
+    spread_by: list[str],
+    share: int = SHARE,
 ) -> DataFrame:
     """Sum of `value` per key put next to every detail row.
 
-    The total is a map-side-combined aggregation; each total is repeated per
-    salt, so a key with a third of the rows is spread over `salts` tasks, where
-    a window over the key would hold it in one. `detail` is read twice: pass a
-    materialised table when it is costly.
+    The totals are a map-side-combined aggregation that also counts the rows,
+    so the hot keys are known from it. The join back cuts those keys into
+    pieces, where a window over the key would hold all their rows in one task.
+    `detail` is read twice: pass a materialised table when it is costly.
     """
-    totals = (
-        detail.groupBy(*keys)
-        .agg(F.sum(value).alias(out))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    totals = materialize(
+        detail.groupBy(*keys).agg(F.sum(value).alias(out), F.count(F.lit(1)).alias("_n")), "totals"
     )
-    salted = detail.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    return salted.join(totals, [*keys, "_salt"]).drop("_salt")
+    rows = totals.agg(F.sum("_n")).first()[0] or 0
+    hot = totals.where(F.col("_n") * share > F.lit(rows)).select(*keys)     # fewer than `share` rows
+    return salted_join(detail, totals.drop("_n"), keys, spread_by, None if hot.isEmpty() else hot)

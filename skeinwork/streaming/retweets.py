@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from skeinwork.functions.langname import lang_name
+from skeinwork.functions.langname import with_language_name
 from skeinwork.functions.text import clean_tweet, one_line, script_override
 from skeinwork.operators.counters import delta_aggregates, with_delta
 from skeinwork.operators.skew import with_group_totals
@@ -49,7 +49,7 @@ def retweet_windows(
         grouped = df.groupBy(window, id_col)
         return with_delta(grouped.agg(*delta_aggregates(count, count, carry, order)), carry)
     panes = df.groupBy(F.window(ts, f"{slide} seconds").alias("_pane"), id_col).agg(
-        *delta_aggregates(count, count, carry, order), F.max(F.struct(*order)).alias("_order")
+        *delta_aggregates(count, count, carry, order)
     )
     pane = F.col("_pane.start")
     starts = F.sequence(pane - F.expr(f"interval {size - slide} seconds"), pane, F.expr(f"interval {slide} seconds"))
@@ -60,7 +60,7 @@ def retweet_windows(
         .agg(
             F.max("max_count").alias("max_count"),
             F.min("min_count").alias("min_count"),
-            F.max_by("_carry", "_order").alias("_carry"),
+            F.max("_latest").alias("_latest"),
         ),
         carry,
     )
@@ -68,7 +68,7 @@ def retweet_windows(
 
 def with_window_totals(windows: DataFrame, lang: str = "lang") -> DataFrame:
     """Total of the language in the same window next to each tweet (batch frames)."""
-    return with_group_totals(windows, ["window", lang], "retweets", "total_retweets", spread=["tweet_id"])
+    return with_group_totals(windows, ["window", lang], "retweets", "total_retweets", spread_by=["tweet_id"])
 
 
 def totals_stream(windows: DataFrame, lang: str = "lang") -> DataFrame:
@@ -95,9 +95,9 @@ def report_rows(windows: DataFrame, started: Column, lang: str = "lang", text: s
     """
     kept = with_window_totals(windows.where(F.col("window.start") >= started), lang)
     seconds = F.timestamp_diff("SECOND", started, F.col("window.end"))
-    return kept.select(
+    return with_language_name(kept, lang, "language").select(
         seconds.alias("seconds"),
-        lang_name(F.col(lang)).alias("language"),
+        "language",
         F.col(lang).alias("code"),
         "total_retweets",
         "tweet_id",
