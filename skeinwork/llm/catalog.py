@@ -3,14 +3,33 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skeinwork.catalog.registry import query, table
+from skeinwork.llm.bpe import bpe_digests
 from skeinwork.llm.exact_dedup import exact_dedup
+from skeinwork.llm.language_id import fit_dictionaries, is_held_out, predict_language
+from skeinwork.llm.language_model import score_texts
 from skeinwork.llm.sharding import shard_by_bytes
+from skeinwork.llm.token_files import read_token_files, write_token_files
 
 SHARDS = 24
 
 
+def vocabulary(name: str) -> str:
+    """The path of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def pattern() -> str:
+    """The pattern that splits a text before the merges of the rank files."""
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
 @query("""
     with d as (select doc_id, coalesce(text, '') as body from documents)
     select doc_id,
@@ -28,3 +47,29 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(table(spark, sf_dir, "documents"), SHARDS)
+
+
+@query()
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = is_held_out(F.col("doc_id"))
+    found = predict_language(docs, fit_dictionaries(docs.where(~held_out)), carry=["doc_id"])
+    return found.select("row.doc_id", "language.*").withColumn("held_out", held_out)
+
+
+@query()
+def op5_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = write_token_files(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=2)
+    return read_token_files(files)
+
+
+@query()
+def op7_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = is_held_out(F.col("doc_id"), rest=1)
+    scored = score_texts(table(spark, sf_dir, "documents"), ~held_out)
+    return scored.withColumn("held_out", ~F.col("trained")).drop("trained")
+
+
+@query()
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"), pattern())
