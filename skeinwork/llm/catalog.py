@@ -7,11 +7,15 @@ from pyspark.sql import functions as F
 
 from skeinwork.catalog.registry import query, table
 from skeinwork.llm.bpe import bpe_digests
+from skeinwork.llm.decontaminate import benchmark_hits
 from skeinwork.llm.exact_dedup import exact_dedup
 from skeinwork.llm.language_id import fit_dictionaries, is_held_out, predict_language
 from skeinwork.llm.language_model import score_texts
+from skeinwork.llm.ngram_join import jaccard_components
+from skeinwork.llm.secrets import scan_secrets
 from skeinwork.llm.sharding import shard_by_bytes
 from skeinwork.llm.token_files import read_token_files, write_token_files
+from skeinwork.llm.url_filter import judge_urls
 
 SHARDS = 24
 
@@ -73,3 +77,97 @@ def op7_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"), pattern())
+
+
+_LINKS_SQL = """
+    with recursive words as (
+        select doc_id, [x for x in regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+') if x <> ''] as w
+        from documents
+    ),
+    grams as (
+        select distinct doc_id, array_to_string(w[i : i + 4], ' ') as gram
+        from (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from words where len(w) > 0)
+    ),
+    sizes as (select doc_id, count(*) as n from grams group by doc_id),
+    common as (select a.doc_id as x, b.doc_id as y, count(*) as c from grams a join grams b using (gram) where a.doc_id <> b.doc_id group by all),
+    links as (
+        select x, y from common join sizes s on s.doc_id = x join sizes t on t.doc_id = y where 100 * c >= 75 * (s.n + t.n - c)
+    ),
+    reach as (
+        select doc_id, doc_id as other from words
+        union
+        select r.doc_id, l.y from reach r join links l on l.x = r.other
+    )
+    select w.doc_id, coalesce(s.n, 0) as n_shingles, (select min(other) from reach r where r.doc_id = w.doc_id) as component_id,
+           (select count(*) from links l where l.x = w.doc_id) as n_links
+    from words w left join sizes s on s.doc_id = w.doc_id
+"""
+
+
+@query(_LINKS_SQL)
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No table holds labelled findings: labels are the weak ones, of four documents in five."""
+    found = scan_secrets(table(spark, sf_dir, "documents"), learn=~is_held_out(F.col("doc_id")))
+    value = F.col("value")
+    return found.select(
+        "doc_id", "word_no", "nth", F.length(value).alias("n_chars"), F.sha2(value.cast("binary"), 256).alias("value_sha256"),
+        F.round("score", 9).alias("score"), "secret",
+    )
+
+
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+@query()
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+_HITS_SQL = """
+    with d as (
+        select doc_id, [x for x in regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+') if x <> ''] as w
+        from documents
+    ),
+    b as (
+        select item_id, [x for x in regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+') if x <> ''] as w
+        from benchmark
+    ),
+    -- the items of the tables have five words or more
+    item_grams as (select item_id, len(w) as size, i, array_to_string(w[i + 1 : i + 5], ' ') as gram from (select item_id, w, unnest(range(0, len(w) - 4)) as i from b)),
+    held as (select doc_id, len(w) as n, i, array_to_string(w[i + 1 : i + 5], ' ') as gram from (select doc_id, w, unnest(range(0, len(w) - 4)) as i from d)),
+    starts as (
+        select distinct doc_id, item_id, size, greatest(0, least(held.i - item_grams.i, n - size)) as start from held join item_grams using (gram)
+    ),
+    cut as (select doc_id, item_id, start, least(size, n) as n_words from starts join (select doc_id, len(w) as n from d) using (doc_id)),
+    window_counts as (
+        select c.doc_id, c.item_id, c.start, c.n_words, h.gram, count(*) as times
+        from cut c join held h on h.doc_id = c.doc_id and h.i between c.start and c.start + c.n_words - 5 group by all
+    ),
+    item_counts as (select item_id, gram, count(*) as times from item_grams group by all),
+    common as (
+        select doc_id, item_id, start, n_words, sum(least(x.times, y.times)) as common
+        from window_counts x join item_counts y using (item_id, gram) group by all
+    ),
+    judged as (
+        select doc_id, item_id, start, n_words, common, n_words - 4 + len(b.w) - 4 - common as total from common join b using (item_id)
+    ),
+    hits as (
+        select *, row_number() over (partition by doc_id, item_id order by common / total desc, start) as r from judged where 100 * common >= 75 * total
+    )
+    select doc_id, item_id, cast(start as int) as start, cast(n_words as int) as n_words, cast(common as bigint) as common, cast(total as bigint) as total,
+           common / total as similarity
+    from hits where r = 1
+"""
+
+
+@query(_HITS_SQL)
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
