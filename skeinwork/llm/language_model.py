@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from skeinwork.llm.worker import kept
 from skeinwork.session import materialize
 
-BLOCK_BYTES = 12_000_000        # text of a block
+BLOCK_BYTES = 5_000_000         # text of a block
 BUCKET_TOKENS = 6_000_000       # tokens that one bucket of n-grams stands for
 PRIOR = 30.0                    # K
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -52,7 +52,7 @@ class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 2_000_000:
+        if len(self) > 400_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word) | 4      # apart from the marks
         return value
