@@ -24,10 +24,16 @@ def split(text: str) -> list[str]:
 
 
 class PartCache:
-    """Encoded parts by text. `encode` takes a list of strings and gives the little-endian 32-bit ids of each."""
+    """Encoded parts by text.
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], size: int = CACHE_PARTS):
-        self.encode, self.size = encode, size
+    `encode` takes a list of strings and gives the little-endian 32-bit ids of
+    each; `encode_run` does so for strings that each begin with a blank.
+    """
+
+    def __init__(
+        self, encode: Callable[[list[str]], Iterable[bytes]], encode_run: Callable[[list[str]], Iterable[bytes]] | None = None, size: int = CACHE_PARTS
+    ):
+        self.encode, self.encode_run, self.size = encode, encode_run or encode, size
         self.inner: dict[str, bytes] = {}       # parts that follow a blank
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
@@ -41,7 +47,7 @@ class PartCache:
                 self.inner.clear()
                 missing = set().union(*(p[1:] for p in parts))
             ordered = list(missing)
-            for part, ids in zip(ordered, self.encode([" " + m for m in ordered])):
+            for part, ids in zip(ordered, self.encode_run([" " + m for m in ordered])):
                 (self.inner if len(part) <= LONGEST_KEPT else once)[part] = ids
         for first, p in zip(firsts, parts):
             del p[0]
