@@ -39,7 +39,7 @@ from skeinwork.llm.worker import kept
 from skeinwork.session import materialize
 
 BLOCK_BYTES = 5_000_000         # text of a block
-BUCKET_TOKENS = 6_000_000       # tokens that one bucket of n-grams stands for
+BUCKET_TOKENS = 2_000_000       # tokens that one bucket of n-grams stands for
 PRIOR = 30.0                    # K
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _MIX, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(29)
