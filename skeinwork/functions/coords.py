@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 
 def chrom_number(chrom: Column) -> Column:
-    """chr1..chr22 to 1..22, chrX to 23, chrY to 24; NULL for anything else."""
-    name = F.substring(chrom, 4, 10)
+    """chrX to 23, chrY to 24, `chr` and a whole number to that number; NULL for anything else.
+
+    Numbers outside 1 to 24 are kept: `is_main_mapped` and the callers decide on them.
+    """
+    name = F.substr(chrom, F.lit(4))
     number = name.try_cast("int")
     strict = F.when(number.cast("string") == name, number)      # no blanks, signs or fractions
     named = F.when(name == "X", F.lit(23)).when(name == "Y", F.lit(24)).otherwise(strict)

@@ -2,19 +2,12 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skeinwork.operators.skew import hot_keys, salted_join, spread
+from skeinwork.operators.skew import spread
 from skeinwork.session import materialize
 
-PROFILE_BROADCAST_ROWS = 1_000_000      # a profile table up to this many trigrams is broadcast
-MAX_LANGUAGES = 256
-
 
 def normalized(text: Column) -> Column:
     """Lower case, every run of non-letters one blank, blanks at both ends."""
@@ -34,9 +27,10 @@ def build_profiles(df: DataFrame, text: str, lang: str) -> DataFrame:
     """Profile table (gram, lang, weight): trigram counts of labelled text, scaled to length 1.
 
     Counting combines on the map side; the table is a model and is written once.
+    Rows without a label teach nothing.
     """
     counts = materialize(
-        spread(df.select(lang, text))
+        spread(df.select(lang, text).where(F.col(lang).isNotNull()))
         .select(F.col(lang).alias("lang"), F.explode(trigrams(F.col(text))).alias("gram"))
         .groupBy("lang", "gram")
         .agg(F.count(F.lit(1)).alias("n")),
@@ -47,71 +41,25 @@ def build_profiles(df: DataFrame, text: str, lang: str) -> DataFrame:
     return counts.join(norms, "lang").select("gram", "lang", (F.col("n") / F.col("_norm")).alias("weight"))
 
 
-def _languages(profiles: DataFrame) -> list[str]:
-    rows = profiles.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()
-    if len(rows) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages in the profile table")
-    return sorted(r["lang"] for r in rows)
-
-
-def detect_lang(df: DataFrame, id: str, text: str, profiles: DataFrame) -> DataFrame:
+def detect_lang(df: DataFrame, id: str | list[str], text: str, profiles: DataFrame) -> DataFrame:
     """(id, detected, score): the language whose profile has the largest mean weight
-    over the trigrams of the text that any profile knows.
+    over the trigrams of the text that any profile knows; NULL when none is known.
 
-    `id` must be unique. The profile table becomes one row per trigram with a
-    column per language. While it is small it is broadcast, and a text shrinks
-    to one row of sums before the only shuffle. Past the bound, the trigrams of
-    a text are counted first and joined by trigram with hot trigrams split.
+    `id` (one column or several) must be unique. The profile table becomes one
+    row per trigram with a weight per language, however many there are. It is
+    written, so Spark knows its bytes: below the broadcast threshold a text
+    shrinks to one row per language before the only shuffle, beyond it the
+    trigrams are joined in a shuffle whose hot ones Spark splits.
     """
-    langs = _languages(profiles)
-    wide = profiles.groupBy("gram").agg(
-        *[F.sum(F.when(F.col("lang") == lang, F.col("weight")).otherwise(0.0)).alias(f"_w{i}") for i, lang in enumerate(langs)]
+    keys = [id] if isinstance(id, str) else list(id)
+    model = materialize(profiles.groupBy("gram").agg(F.collect_list(F.struct("lang", "weight")).alias("_of")), "profile")
+    grams = spread(df.select(*keys, text)).select(*keys, F.explode_outer(trigrams(F.col(text))).alias("gram"))
+    weighted = grams.join(model, "gram", "left").select(*keys, F.posexplode_outer("_of").alias("_nth", "_of"))
+    sums = weighted.groupBy(*keys, F.col("_of.lang").alias("_lang")).agg(
+        F.sum("_of.weight").alias("_sum"), F.count_if(F.col("_nth") == 0).alias("_known")
     )
-    wide = materialize(wide, "profile")
-    grams = spread(df.select(id, text)).select(F.col(id), F.explode_outer(trigrams(F.col(text))).alias("gram"))
-    small = wide.limit(PROFILE_BROADCAST_ROWS + 1).count() <= PROFILE_BROADCAST_ROWS
-    if small:
-        weighted = grams.withColumn("_n", F.lit(1)).join(F.broadcast(wide), "gram", "left")
-    else:
-        counted = materialize(grams.where("gram is not null").groupBy(id, "gram").agg(F.count(F.lit(1)).alias("_n")), "grams")
-        weighted = salted_join(counted, wide, ["gram"], [id], hot_keys(counted, ["gram"]))
-    sums = [F.sum(F.col("_n") * F.coalesce(F.col(f"_w{i}"), F.lit(0.0))).alias(f"_s{i}") for i in range(len(langs))]
-    scored = weighted.groupBy(id).agg(F.sum(F.when(F.col("_w0").isNotNull(), F.col("_n"))).alias("_grams"), *sums)
-    options = F.array(*[F.struct(F.col(f"_s{i}").alias("s"), F.lit(lang).alias("lang")) for i, lang in enumerate(langs)])
-    best = F.array_max(options)
-    known = best["s"] > 0
-    found = scored.select(
-        id,
-        F.when(known, best["lang"]).alias("detected"),
-        F.when(known, best["s"] / F.col("_grams")).alias("score"),
+    scored = sums.groupBy(*keys).agg(F.max(F.struct(F.col("_sum").alias("s"), F.col("_lang").alias("lang"))).alias("_best"), F.sum("_known").alias("_grams"))
+    known = F.col("_best.s") > 0
+    return scored.select(
+        *keys, F.when(known, F.col("_best.lang")).alias("detected"), F.when(known, F.col("_best.s") / F.col("_grams")).alias("score")
     )
-    # the inner join of the second way drops texts without a known trigram
-    return found if small else df.select(id).join(found, id, "left")
-
-
-def stream_detector(profiles: DataFrame):
-    """The same decision as a vectorised function of a text column, for streams of short messages.
-
-    The profile table is checked against its bound before the driver reads it.
-    """
-    rows = profiles.limit(PROFILE_BROADCAST_ROWS + 1).toPandas()
-    if len(rows) > PROFILE_BROADCAST_ROWS:
-        raise ValueError("profile table too large for a stream; build it from less varied text")
-    langs = sorted(rows["lang"].unique())
-    weights: dict[str, list[float]] = {}
-    for gram, lang, weight in rows[["gram", "lang", "weight"]].itertuples(index=False):
-        weights.setdefault(gram, [0.0] * len(langs))[langs.index(lang)] = weight
-
-    def best(grams) -> str | None:
-        if grams is None:
-            return None
-        hits = [weights[g] for g in grams if g in weights]
-        sums = [math.fsum(column) for column in zip(*hits)]
-        return max(zip(sums, langs))[1] if hits else None
-
-    @F.pandas_udf("string")
-    def detect(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for grams in batches:
-            yield grams.map(best)
-
-    return lambda text: detect(trigrams(text))

@@ -2,51 +2,73 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skeinwork.session import materialize
 
-SHARE = 64          # a key is hot when it holds more than 1/SHARE of all rows
-SALTS = 16          # pieces a hot key is cut into
+LEAST_ROWS = 20_000             # a key with fewer rows is never cut
+SPREAD_BYTES = 2 << 30          # an input with at most so many bytes may be dealt out anew
 
 
 def spread(df: DataFrame) -> DataFrame:
     """Rows over all cores when the scan has fewer splits than that; else `df` as it is.
 
-    For work that is heavy per row on an input of few splits. A large input has
-    more splits than cores and is left alone, so nothing large is shuffled.
+    For work that is heavy per row on a small input of few splits, such as a
+    file with one row group. Splits have a size bound, so their number bounds
+    the bytes; a larger input is left alone.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    spark = df.sparkSession
+    cores, splits = spark.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
+    largest = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    return df.repartition(cores) if splits < cores and splits * largest <= SPREAD_BYTES else df
+
+
+def task_rows(spark: SparkSession, rows: int) -> int:
+    """Rows that a task of a shuffle gets when they are dealt out evenly, `LEAST_ROWS` at least."""
+    return max(LEAST_ROWS, -(-rows // int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
-def hot_keys(df: DataFrame, keys: list[str], share: int = SHARE) -> DataFrame | None:
-    """Keys with more than 1/share of the rows of `df`; None when there are none.
+def _cut(counts: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """Keys with more rows (`_n`) than a task should get, and the pieces to cut them into."""
+    share = task_rows(counts.sparkSession, rows)
+    return counts.where(F.col("_n") > share).select(*keys, F.ceil(F.col("_n") / share).cast("int").alias("_pieces"))
 
-    There can be fewer than `share` such keys whatever the size of `df`, so the
-    result is bounded and may be broadcast. The count is combined on the map
-    side; only the hot keys reach the driver.
+
+def hot_keys(df: DataFrame, keys: list[str], rows: int | None = None) -> DataFrame | None:
+    """(keys, `_pieces`) of the keys with more rows than a task's share; None when there are none.
+
+    There are fewer of them than shuffle partitions, so the result may be
+    broadcast. The count is combined on the map side.
     """
-    total = df.count()
-    rows = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") * share > F.lit(total))
-        .select(*keys)
-        .collect()
-    )
-    if not rows:
-        return None
-    schema = df.select(*keys).schema
-    return df.sparkSession.createDataFrame([tuple(r) for r in rows], schema)
-
-
-def _marked(df: DataFrame, keys: list[str], hot: DataFrame | None, flag: str) -> DataFrame:
+    counts = materialize(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > LEAST_ROWS), "key_counts")
+    hot = _cut(counts, keys, df.count() if rows is None else rows)
+    return None if hot.isEmpty() else hot
+
+
+def hot_among(counts: DataFrame, keys: list[str]) -> DataFrame | None:
+    """`hot_keys` from a table that has the rows per key as `_n`."""
+    hot = _cut(counts, keys, counts.agg(F.sum("_n")).first()[0] or 0)
+    return None if hot.isEmpty() else hot
+
+
+def same_keys(keys: list[str], other: str) -> Column:
+    """Null-safe equality of each key with the column of that name behind a prefix."""
+    return reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"{other}{k}")) for k in keys])
+
+
+def _prefixed(df: DataFrame, keys: list[str], prefix: str) -> DataFrame:
+    return df.withColumnsRenamed({k: f"{prefix}{k}" for k in keys})
+
+
+def _pieces(df: DataFrame, keys: list[str], hot: DataFrame | None, out: str) -> DataFrame:
     if hot is None:
-        return df.withColumn(flag, F.lit(False))
-    marks = F.broadcast(hot.withColumn(flag, F.lit(True)))
-    return df.join(marks, keys, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+        return df.withColumn(out, F.lit(1))
+    marks = F.broadcast(_prefixed(hot, keys, "_hot_"))
+    joined = df.join(marks, same_keys(keys, "_hot_"), "left").withColumn(out, F.coalesce("_pieces", F.lit(1)))
+    return joined.drop("_pieces", *(f"_hot_{k}" for k in keys))
 
 
 def salted_join(
@@ -57,59 +79,49 @@ def salted_join(
     hot_left: DataFrame | None = None,
     spread_right: list[str] | None = None,
     hot_right: DataFrame | None = None,
-    salts: int = SALTS,
 ) -> DataFrame:
-    """Inner equi-join in which hot keys are cut into `salts` pieces.
+    """Inner equi-join in which hot keys are cut into pieces; NULL keys match each other.
 
-    Rows of one side with a key that is hot there get a salt from a hash of
+    Rows of one side with a key that is hot there get a piece from a hash of
     their spread columns; the rows of the other side with that key are repeated
-    once per salt. All other rows keep salt 0. The hot keys come from
-    `hot_keys`. Every pair of matching rows meets exactly once.
+    once per piece. The hot keys come from `hot_keys`. Every pair of matching
+    rows meets exactly once.
     """
+    def own(pieces: str, spread_by: list[str] | None) -> Column:
+        return F.pmod(F.xxhash64(*spread_by), F.col(pieces)).cast("int") if spread_by else F.lit(0)
+
+    def repeated(pieces: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(pieces) - 1))
+
+    other = _prefixed(right, keys, "_right_")
     if hot_left is None and hot_right is None:
-        return left.join(right, keys)
+        return left.join(other, same_keys(keys, "_right_")).drop(*(f"_right_{k}" for k in keys))
+    a = _pieces(_pieces(left, keys, hot_left, "_l"), keys, hot_right, "_r")
+    a = a.withColumn("_salt_left", own("_l", spread_left)).withColumn("_salt_right", repeated("_r")).drop("_l", "_r")
+    b = _pieces(_pieces(right, keys, hot_left, "_l"), keys, hot_right, "_r")
+    b = b.withColumn("_salt_right", own("_r", spread_right)).withColumn("_salt_left", repeated("_l")).drop("_l", "_r")
+    every = [*keys, "_salt_left", "_salt_right"]
+    joined = a.join(_prefixed(b, every, "_right_"), same_keys(every, "_right_"))
+    return joined.drop("_salt_left", "_salt_right", *(f"_right_{k}" for k in every))
+
 
-    def own(flag: str, spread: list[str] | None):
-        if not spread:
-            return F.lit(0)
-        piece = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
-        return F.when(F.col(flag), piece).otherwise(F.lit(0))
+def group_totals(detail: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
+    """Sum of `value` per key as `out`, and the rows of the key as `_n`; combined on the map side."""
+    return detail.groupBy(*keys).agg(F.sum(value).alias(out), F.count(F.lit(1)).alias("_n"))
 
-    def repeated(flag: str):
-        all_pieces = F.sequence(F.lit(0), F.lit(salts - 1))
-        return F.explode(F.when(F.col(flag), all_pieces).otherwise(F.array(F.lit(0))))
 
-    def prepared(df: DataFrame, own_salt: str, own_flag: str, spread, other_salt: str, other_flag: str):
-        df = _marked(_marked(df, keys, hot_left, "_hot_left"), keys, hot_right, "_hot_right")
-        return (
-            df.withColumn(own_salt, own(own_flag, spread))
-            .withColumn(other_salt, repeated(other_flag))
-            .drop("_hot_left", "_hot_right")
-        )
+def join_totals(detail: DataFrame, totals: DataFrame, keys: list[str], spread_by: list[str]) -> DataFrame:
+    """The totals of `group_totals` next to every detail row, NULL keys included.
 
-    a = prepared(left, "_salt_left", "_hot_left", spread_left, "_salt_right", "_hot_right")
-    b = prepared(right, "_salt_right", "_hot_right", spread_right, "_salt_left", "_hot_left")
-    return a.join(b, [*keys, "_salt_left", "_salt_right"]).drop("_salt_left", "_salt_right")
+    The hot keys are known from the totals. The join cuts those keys into
+    pieces, where a window over the key would hold all their rows in one task.
+    """
+    return salted_join(detail, totals.drop("_n"), keys, spread_by, hot_among(totals, keys))
 
 
-def with_group_totals(
-    detail: DataFrame,
-    keys: list[str],
-    value: str,
-    out: str,
-    spread_by: list[str],
-    share: int = SHARE,
-) -> DataFrame:
+def with_group_totals(detail: DataFrame, keys: list[str], value: str, out: str, spread_by: list[str]) -> DataFrame:
     """Sum of `value` per key put next to every detail row.
 
-    The totals are a map-side-combined aggregation that also counts the rows,
-    so the hot keys are known from it. The join back cuts those keys into
-    pieces, where a window over the key would hold all their rows in one task.
     `detail` is read twice: pass a materialised table when it is costly.
     """
-    totals = materialize(
-        detail.groupBy(*keys).agg(F.sum(value).alias(out), F.count(F.lit(1)).alias("_n")), "totals"
-    )
-    rows = totals.agg(F.sum("_n")).first()[0] or 0
-    hot = totals.where(F.col("_n") * share > F.lit(rows)).select(*keys)     # fewer than `share` rows
-    return salted_join(detail, totals.drop("_n"), keys, spread_by, None if hot.isEmpty() else hot)
+    return join_totals(detail, materialize(group_totals(detail, keys, value, out), "totals"), keys, spread_by)

@@ -17,13 +17,13 @@ def lang_totals(
 ) -> DataFrame:
     """Sum of views, most viewed title and its views per code.
 
-    Rows whose title equals the code are left out before the aggregation; a tie
-    is won by the larger title. One shuffle, combined on the map side, so a
+    Rows whose title equals the code are left out before the aggregation; a row
+    without a title is not one of them. A tie is won by the larger title. One shuffle, combined on the map side, so a
     code with any share of the rows sends one row per task. Returned unsorted:
     see `by_total`.
     """
     if exclude_self:
-        df = df.where(F.col(title) != F.col(code))
+        df = df.where(F.coalesce(F.col(title) != F.col(code), F.lit(True)))
     totals = df.groupBy(F.col(code).alias("code")).agg(
         F.sum(views).alias("total_views"),
         F.max_by(title, F.struct(F.col(views), F.col(title))).alias("top_title"),

@@ -13,7 +13,7 @@ SAM_COLUMNS = [
     ("cigar", "string"), ("rnext", "string"), ("pnext", "bigint"), ("tlen", "bigint"),
     ("seq", "string"), ("qual", "string"),
 ]
-MAX_REFERENCES = 100_000    # a dictionary up to this many sequences is broadcast
+BROADCAST_BYTES = 64 << 20  # a dictionary up to this size is broadcast
 
 
 def parse_sam(lines: DataFrame) -> DataFrame:
@@ -34,9 +34,11 @@ def parse_sam(lines: DataFrame) -> DataFrame:
 def with_reference_index(reads: DataFrame, dictionary: DataFrame, name: str = "rname", out: str = "ref_index") -> DataFrame:
     """Add the index of the reference; -1 when it is not in the dictionary.
 
-    The dictionary is broadcast while it is below its bound.
+    A dictionary is the header of a file: it is broadcast after a check of its
+    bytes. Beyond the bound Spark joins by name and splits the large names.
     """
-    small = dictionary.limit(MAX_REFERENCES + 1).count() <= MAX_REFERENCES
+    size = dictionary.agg(F.sum(F.octet_length("name") + 16)).first()[0] or 0
+    small = size <= BROADCAST_BYTES
     dim = dictionary.select(F.col("name").alias("_name"), F.col("ref_index").alias("_index"))
     joined = reads.join(F.broadcast(dim) if small else dim, F.col(name) == F.col("_name"), "left")
     return joined.withColumn(out, F.coalesce("_index", F.lit(-1))).drop("_name", "_index")

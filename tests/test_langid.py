@@ -22,22 +22,26 @@ def test_profiles_have_length_one(model):
         assert abs(r["n"] - 1) < 1e-9
 
 
-def test_same_answer_on_both_paths(spark, rows, model, monkeypatch):
+def test_same_answer_on_both_paths(spark, rows, model):
     docs, profiles = model
-    more = docs.select("id", "text").unionByName(spark.createDataFrame([(7, "12 !!"), (8, ""), (9, "zq")], "id int, text string"))
+    more = docs.select("id", "text").unionByName(spark.createDataFrame([(7, "12 !!"), (8, ""), (9, "zq"), (10, None)], "id int, text string"))
     broadcast = langid.detect_lang(more, "id", "text", profiles)
     found = {r["id"]: r["detected"] for r in broadcast.collect()}
-    assert found == {**{i: lang for i, _, lang in TEXTS}, 7: None, 8: None, 9: None}
+    assert found == {**{i: lang for i, _, lang in TEXTS}, 7: None, 8: None, 9: None, 10: None}
     rounded = lambda df: rows(df.withColumn("score", F.round("score", 9)))
     want = rounded(broadcast)
-    monkeypatch.setattr(langid, "PROFILE_BROADCAST_ROWS", 3)
-    assert rounded(langid.detect_lang(more, "id", "text", profiles)) == want
-    with pytest.raises(ValueError):
-        langid.stream_detector(profiles)
-
-
-def test_stream_detector(model):
-    docs, profiles = model
-    detect = langid.stream_detector(profiles)
-    got = docs.withColumn("got", detect(F.col("text")))
-    assert got.where("got = lang").count() == len(TEXTS)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert rounded(langid.detect_lang(more, "id", "text", profiles)) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_any_number_of_languages(spark):
+    """A word of its own for each of 300 languages; rows without a label teach nothing."""
+    word = lambda i: "".join(chr(97 + i // 26**k % 26) * 3 for k in range(3))
+    docs = spark.createDataFrame([(i, word(i), f"l{i:03}") for i in range(300)] + [(999, word(5), None)], "id int, text string, lang string")
+    found = langid.detect_lang(docs, "id", "text", langid.build_profiles(docs, "text", "lang"))
+    got = {r["id"]: r["detected"] for r in found.collect()}
+    assert sum(got[i] == f"l{i:03}" for i in range(300)) == 300 and got[999] == "l005"

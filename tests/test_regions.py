@@ -1,6 +1,7 @@
 import random
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from skeinwork.operators import regions as rg
@@ -76,12 +77,13 @@ def test_chunks_and_ranges(spark):
     assert len(ends) == 4 and all(x["b"] < y["a"] for x, y in zip(ends, ends[1:]))
 
 
-def test_salted_join_equals_plain_join(spark, rows):
+def test_salted_join_equals_plain_join(spark, rows, monkeypatch):
+    monkeypatch.setattr(skew, "LEAST_ROWS", 50)
     rnd = random.Random(2)
     left = spark.createDataFrame([(1 if i % 3 == 0 else rnd.randrange(300), i) for i in range(900)], "k int, a int")
     right = spark.createDataFrame([(2 if i % 2 == 0 else rnd.randrange(300), i) for i in range(500)], "k int, b int")
     hot_l, hot_r = skew.hot_keys(left, ["k"]), skew.hot_keys(right, ["k"])
-    assert [r[0] for r in hot_l.collect()] == [1] and [r[0] for r in hot_r.collect()] == [2]
+    assert rows(hot_l) == [(1, 2)] and [r[0] for r in hot_r.collect()] == [2]
     got = skew.salted_join(left, right, ["k"], ["a"], hot_l, ["b"], hot_r)
     assert rows(got) == rows(left.join(right, "k"))
     assert skew.hot_keys(spark.range(1000), ["id"]) is None
@@ -90,8 +92,41 @@ def test_salted_join_equals_plain_join(spark, rows):
     assert totals.count() == 900 and all(r["t"] == want[r["k"]] for r in totals.collect())
 
 
+@pytest.mark.parametrize("least", [1, 1000])
+def test_null_keys_are_kept(spark, rows, monkeypatch, least):
+    monkeypatch.setattr(skew, "LEAST_ROWS", least)
+    df = spark.createDataFrame([("a", None, 1), ("a", None, 2), (None, "x", 3), (None, None, 4), ("b", "y", 5)], "k string, w string, v int")
+    got = skew.with_group_totals(df, ["k", "w"], "v", "t", ["v"])
+    assert rows(got) == [("a", None, 1, 3), ("a", None, 2, 3), ("b", "y", 5, 5), (None, "x", 3, 3), (None, None, 4, 4)]
+    hot = skew.hot_keys(df, ["k"])
+    assert rows(skew.salted_join(df.select("k", "v"), df.select("k", "w"), ["k"], ["v"], hot, ["w"], hot)) == rows(
+        df.alias("a").join(df.alias("b"), F.col("a.k").eqNullSafe(F.col("b.k"))).select("a.k", "a.v", "b.w")
+    )
+
+
+def test_no_task_gets_a_hot_key_whole(spark, monkeypatch):
+    """A key with 60 % of the rows and one with 1 %, over 40 partitions of 1,000 rows each."""
+    monkeypatch.setattr(skew, "LEAST_ROWS", 100)
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        key = F.when(F.col("id") < 24_000, F.lit(-1)).when(F.col("id") < 24_400, F.lit(-2)).otherwise(F.col("id"))
+        df = spark.range(40_000).select(key.alias("k"), "id")
+        assert {r["k"]: r["_pieces"] for r in skew.hot_keys(df, ["k"]).collect()} == {-1: 24}
+        joined = skew.with_group_totals(df, ["k"], "id", "t", ["id"])
+        most = joined.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        assert joined.count() == 40_000 and most <= 6_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_duplicates(spark, rows):
     df = spark.createDataFrame([(1, "a", 5), (2, "a", 7), (3, "a", 7), (4, "b", 1)], "id int, k string, s int")
     marked = mark_duplicates(df, ["k"], "s", "id")
     assert rows(marked.select("id", "is_duplicate")) == [(1, True), (2, False), (3, True), (4, False)]
+    unscored = spark.createDataFrame([(1, "a", None), (2, "a", 1), (3, "b", None)], "id int, k string, s int")
+    assert rows(mark_duplicates(unscored, ["k"], "s", "id").select("id", "is_duplicate")) == [(1, True), (2, False), (3, False)]
     assert rows(duplicate_metrics(marked)) == [(4, 2, 50.0)]
