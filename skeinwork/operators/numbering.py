@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from skeinwork.session import materialize
 
+ROWS_PER_PARTITION = 2_000_000      # of the range partitions when the caller names no number
 _PART_BITS = 33     # monotonically_increasing_id: partition number above, row number below
 
 
@@ -31,7 +32,7 @@ def global_index(
     With `total`, the row count is added under that name.
     """
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + df.count() // ROWS_PER_PARTITION)
     cols = [_column(c) for c in order]
     numbered = materialize(
         df.repartitionByRange(n, *cols)
@@ -62,16 +63,16 @@ def number_lines(lines: DataFrame, name: str = "line_no") -> DataFrame:
     """0-based line number in a `spark.read.text` frame with file and block columns.
 
     Expects `file`, `block` (start of the file split) and `_mid`
-    (monotonically_increasing_id taken at the scan). Only one row per split
-    takes part in the prefix sum; the text itself is joined on (file, block),
-    whose groups are no larger than a split.
+    (monotonically_increasing_id taken at the scan). One row per split takes
+    part in the prefix sum and is written, so Spark broadcasts those rows while
+    their bytes are below its threshold; the text is not shuffled then.
     """
     blocks = lines.groupBy("file", "block").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first")
     )
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.select(
-        "file", "block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
+    offsets = materialize(
+        blocks.select("file", "block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")), "line_offsets"
     )
     return (
         lines.join(offsets, ["file", "block"])

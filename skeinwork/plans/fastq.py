@@ -1,18 +1,38 @@
-"""Interleave two mate files and write them in gzip chunks."""
+"""Interleave two mates, each one file or a folder of files, and write them in gzip chunks."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from skeinwork.operators.records import interleave
-from skeinwork.sources.fastq import read_fastq_lines
+from skeinwork.session import materialize
+from skeinwork.sources.fastq import LINES_PER_READ, read_fastq_lines
 from skeinwork.sources.sinks import write_chunks
 
 
+def paired_lines(lines: DataFrame) -> DataFrame:
+    """The file column replaced by `pair`: the rank of the file's path among the files of its mate, from 0."""
+    # one row per file
+    files = lines.select("file").distinct().withColumn("pair", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("file")) - 1)
+    return lines.join(materialize(files, "mate_files"), "file").drop("file")
+
+
+def check_mates(mate1: DataFrame, mate2: DataFrame) -> None:
+    """Fail unless every pair has as many lines in either mate, and whole records."""
+    counted = [m.groupBy("pair").agg(F.count(F.lit(1)).alias(f"n{i}")) for i, m in enumerate((mate1, mate2))]
+    both = counted[0].join(counted[1], "pair", "full")
+    bad = both.where(~F.col("n0").eqNullSafe(F.col("n1")) | (F.col("n0") % LINES_PER_READ != 0)).orderBy("pair").first()
+    if bad is not None:
+        raise ValueError(f"file pair {bad['pair']} has {bad['n0']} and {bad['n1']} lines")
+
+
 def interleaved(spark: SparkSession, mate1: str, mate2: str) -> DataFrame:
-    """(rec, record): one file per mate, records numbered by their position in the file."""
-    return interleave(read_fastq_lines(spark, mate1).drop("file"), read_fastq_lines(spark, mate2).drop("file"))
+    """(pair, rec, record): files of the two mates pair up by the order of their paths, reads by their position in the file."""
+    mates = [paired_lines(read_fastq_lines(spark, path)) for path in (mate1, mate2)]
+    check_mates(*mates)
+    return interleave(*mates, "pair", "rec")
 
 
 def run(spark: SparkSession, mate1: str, mate2: str, out: str, chunks: int) -> None:
-    write_chunks(interleaved(spark, mate1, mate2), out, chunks)
+    write_chunks(interleaved(spark, mate1, mate2), out, chunks, ["pair", "rec"])

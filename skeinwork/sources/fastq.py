@@ -11,10 +11,10 @@ LINES_PER_READ = 4      # fixed value of the format
 
 
 def read_fastq_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, rec, line_no, line): records are numbered per file, from 0."""
+    """(file, rec, line_no, line): records are numbered per file, from 0. `file` is the whole path."""
     lines = spark.read.text(path).select(
         F.col("value").alias("line"),
-        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("_mid"),
     )

@@ -35,11 +35,14 @@ def write_retweet_log(rows: DataFrame, path: str, mode: str = "errorifexists") -
     retweet_log_lines(rows).write.mode(mode).text(f"{path}/lines")
 
 
-def write_chunks(records: DataFrame, path: str, n: int, rec: str = "rec", record: str = "record", mode: str = "errorifexists") -> None:
-    """n gzip text chunks holding contiguous ranges of the record number, in order."""
+def write_chunks(
+    records: DataFrame, path: str, n: int, order: list[str] | None = None, record: str = "record", mode: str = "errorifexists"
+) -> None:
+    """n gzip text chunks holding contiguous ranges of the record number (`rec`, or the columns of `order`), in order."""
+    order = order or ["rec"]
     (
-        records.repartitionByRange(n, rec)
-        .sortWithinPartitions(rec)
+        records.repartitionByRange(n, *order)
+        .sortWithinPartitions(*order)
         .select(record)
         .write.mode(mode)
         .option("compression", "gzip")
@@ -47,15 +50,18 @@ def write_chunks(records: DataFrame, path: str, n: int, rec: str = "rec", record
     )
 
 
-def write_vcf(variants: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Variant lines by chromosome and position; `<path>/header` holds the column line.
+def write_vcf(variants: DataFrame, path: str, sample: str = "ls", mode: str = "errorifexists") -> None:
+    """The column line, then variant lines by chromosome and position.
 
-    The part files below `<path>/lines` follow the global order.
+    The part files follow the global order and the first one begins with the
+    column line, so the files one after another are a VCF table.
     """
     spark = variants.sparkSession
-    header = spark.range(1).select(F.lit(VCF_HEADER).alias("value"))
-    header.write.mode(mode).text(f"{path}/header")
-    variants.orderBy("chrom_no", "pos", "line").select("line").write.mode(mode).text(f"{path}/lines")
+    header = spark.range(1).select(
+        F.lit(-1).alias("chrom_no"), F.lit(-1).cast("bigint").alias("pos"), F.lit(f"{VCF_HEADER}\t{sample}").alias("line")
+    )
+    rows = variants.select("chrom_no", "pos", "line").withColumn("chrom_no", F.coalesce("chrom_no", F.lit(0)))
+    header.unionByName(rows).orderBy("chrom_no", "pos", "line").select("line").write.mode(mode).text(path)
 
 
 def bed_lines(intervals: DataFrame, half_open: bool = True) -> DataFrame:

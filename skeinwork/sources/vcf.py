@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from skeinwork.functions.coords import chrom_number
 
-# The header line of the written table.
-VCF_HEADER = "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tls"
+# The column line of the written table, without the name of the sample.
+VCF_HEADER = "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT"
 
 
 def parse_vcf(lines: DataFrame, on_error: str = "null") -> DataFrame:

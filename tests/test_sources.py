@@ -106,10 +106,27 @@ def test_interleaved_chunks(spark, tmp_path):
             want += [f"@r{i}/{mate}", f"AC{i}", "+", f"@II{i}"]
     assert lines_of(tmp_path / "chunks") == want
     folder = read_folder(spark, str(tmp_path / "chunks"), "*.gz")
-    assert folder.select("file_name").distinct().count() == 3 and folder.count() == len(want)
+    assert folder.select("file_path").distinct().count() == 3 and folder.count() == len(want)
     assert list_inputs(spark, str(tmp_path / "chunks"), "*.gz").count() == 3
 
 
+def test_mates_of_several_files(spark, tmp_path):
+    """Files pair up by the order of their paths, also when their names are equal."""
+    want = []
+    for lane, n in (("lane1", 7), ("lane2", 4)):
+        for mate in (1, 2):
+            (tmp_path / f"mate{mate}" / lane).mkdir(parents=True)
+            put(tmp_path / f"mate{mate}" / lane / "r.fq", fastq_text(n, mate).replace("@r", f"@{lane}-"))
+        for i in range(n):
+            for mate in (1, 2):
+                want += [f"@{lane}-{i}/{mate}", f"AC{i}", "+", f"@II{i}"]
+    fastq_job.run(spark, f"{tmp_path}/mate1/*", f"{tmp_path}/mate2/*", str(tmp_path / "chunks"), 2)
+    assert lines_of(tmp_path / "chunks") == want
+    put(tmp_path / "mate2" / "lane2" / "r.fq", fastq_text(3, 2))
+    with pytest.raises(ValueError):
+        fastq_job.run(spark, f"{tmp_path}/mate1/*", f"{tmp_path}/mate2/*", str(tmp_path / "other"), 2)
+
+
 DICT = "@HD\tVN:1.0\n@SQ\tSN:chrM\tLN:16571\n@SQ\tSN:chr1\tLN:x\n@SQ\tSN:chr2\tLN:300\n"
 
 
@@ -130,6 +147,8 @@ def test_sam_and_dictionary(spark, tmp_path, rows):
     assert rows(reads.select("qname", "ref_index", "end_pos").where("qname in ('a', 'e', 'f')")) == [
         ("a", 1, 132), ("e", -1, 10), ("f", 2, None)
     ]
+    bare = read_sam(spark, put(tmp_path / "b.sam", sam_line("g", 0, "chr2", 7, "*", "*")), d).first()
+    assert bare["quals"] is None and bare["end_pos"] is None
     first = reads.where("qname = 'a'").first()
     assert first["tags"] == ["NM:i:0", "X:Z:1"] and first["quals"] == [40, 40, 20]
     assert [r[0] for r in rows(read_sam(spark, path, d, main_only=True).select("qname"))] == ["a", "d", "f"]
@@ -148,8 +167,9 @@ def test_vcf(spark, tmp_path, rows):
     with pytest.raises(PySparkException):
         read_vcf(spark, path, "fail").collect()
     sinks.write_vcf(read_vcf(spark, path, "drop"), str(tmp_path / "out"))
-    assert lines_of(tmp_path / "out/header") == [VCF_HEADER]
-    assert [x.split("\t")[:2] for x in lines_of(tmp_path / "out/lines")] == [
+    written = lines_of(tmp_path / "out")
+    assert written[0] == f"{VCF_HEADER}\tls"
+    assert [x.split("\t")[:2] for x in written[1:]] == [
         ["chr2", "3"], ["chr2", "9"], ["chr10", "1"], ["chrX", "5"], ["chrY", "2"]
     ]
     assert read_vcf_keys(spark, path).count() == 7      # the header line names chr1 in its first field
