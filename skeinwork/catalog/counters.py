@@ -12,29 +12,36 @@ from pyspark.sql import functions as F
 from skeinwork.catalog.registry import epoch, query, table
 from skeinwork.operators.counters import retweet_delta, retweet_report as report_of
 from skeinwork.session import materialize, scratch_path
-from skeinwork.sources.stream import read_stream
-from skeinwork.sources.text_records import parse_retweet_log
+from skeinwork.sources.sinks import write_retweet_log
+from skeinwork.sources.stream import read_stream, retweets_only as only_retweets
+from skeinwork.sources.text_records import parse_retweet_log, read_retweet_log
+from skeinwork.streaming import retweets as rt
 from skeinwork.streaming.retweets import retweet_windows as windows_of
 from skeinwork.streaming.retweets import start_retweet_stream, with_window_totals
 
 SIZE, SLIDE, DELAY = 3600, 300, 600     # seconds: events are minutes apart
 
 
+# users with this remainder write in a language that is not known
+UNKNOWN = 7
+LANG = f"case when user_id % 10 = {UNKNOWN} then null else event_type end"
+
+
 def _sightings(events: DataFrame) -> DataFrame:
     return events.select(
         "ts",
         "event_id",
         F.col("user_id").alias("tweet_id"),
         F.floor("value").cast("bigint").alias("retweet_count"),
-        F.col("event_type").alias("lang"),
+        F.when(F.col("user_id") % 10 != UNKNOWN, F.col("event_type")).alias("lang"),
         F.col("props").alias("text"),
     )
 
 
-@query("""
+@query(f"""
 with delta as (
   select user_id as tweet_id, max(floor(value))::bigint as max_count, min(floor(value))::bigint as min_count,
-         arg_max(event_type, event_id) as code, arg_max(props, event_id) as text
+         case when user_id % 10 <> {UNKNOWN} then arg_max(event_type, event_id) end as code, arg_max(props, event_id) as text
   from events group by user_id),
 counted as (select *, max_count - min_count + 1 as retweets from delta),
 totals as (select *, sum(retweets) over (partition by code)::bigint as total_retweets from counted)
@@ -76,14 +83,14 @@ def retweet_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 WINDOWS = f"""
 with panes as (
-  select event_id, user_id as tweet_id, floor(value)::bigint as n, event_type as lang, props as text,
+  select event_id, user_id as tweet_id, floor(value)::bigint as n, {LANG} as lang, props as text,
          (epoch_us(ts) // {SLIDE * 1_000_000}) * {SLIDE} as pane
   from events),
 placed as (
   select panes.*, pane - k * {SLIDE} as window_start from panes, generate_series(0, {SIZE // SLIDE - 1}) as s(k)),
 counted as (
   select window_start, tweet_id, max(n) as max_count, min(n) as min_count, max(n) - min(n) + 1 as retweets,
-         arg_max(lang, event_id) as lang, arg_max(text, event_id) as text
+         case when tweet_id % 10 <> {UNKNOWN} then arg_max(lang, event_id) end as lang, arg_max(text, event_id) as text
   from placed group by window_start, tweet_id),
 totals as (
   select *, sum(retweets) over (partition by window_start, lang)::bigint as total_retweets from counted)
@@ -99,23 +106,96 @@ def retweet_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("window_start", epoch("SECOND", F.col("window.start"))).select(*COLUMNS.split(", "))
 
 
-@query(f"""
-{WINDOWS}
-select {COLUMNS} from totals
-where window_start + {SIZE} <= (select (epoch_us(max(ts)) - {DELAY * 1_000_000}) // 1000000 from events)
-  and window_start >= (select (epoch_us(min(ts)) // {SLIDE * 1_000_000}) * {SLIDE} from events)
-""")
-def retweet_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same windows as a stream: those closed by the watermark, after the warm-up."""
+CLOSED = f"""
+{WINDOWS},
+limits as (
+  select (epoch_us(max(ts)) - {DELAY * 1_000_000}) // 1000000 as last, (epoch_us(min(ts)) // {SLIDE * 1_000_000}) * {SLIDE} as first from events),
+closed as (select totals.*, first from totals, limits where window_start + {SIZE} <= last and window_start >= first)
+"""
+
+
+def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a stream; the table may be a file or a folder of files.
+
+    A file source takes a single file only by a pattern, so the path is written as one.
+    """
     schema = table(spark, sf_dir, "events").schema.simpleString().removeprefix("struct<").removesuffix(">")
-    stream = read_stream(spark, sf_dir, "parquet", schema.replace(":", " "), pathGlobFilter="events.parquet")
-    rows = _sightings(stream.withColumn("ts", F.col("ts").cast("timestamp")))
+    stream = read_stream(spark, f"{sf_dir}/events.parque[t]", "parquet", schema.replace(":", " "))
+    return _sightings(stream.withColumn("ts", F.col("ts").cast("timestamp")))
+
+
+def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "stream")
     job = start_retweet_stream(
-        rows, f"{out}/out", f"{out}/state", f"{DELAY} seconds", SIZE, SLIDE,
+        _stream(spark, sf_dir), f"{out}/out", f"{out}/state", f"{DELAY} seconds", SIZE, SLIDE,
         available_now=True, order=["ts", "event_id"],
     )
     job.awaitTermination()
-    done = spark.read.parquet(f"{out}/out/windows")
+    return rt.read_report(spark, f"{out}/out")
+
+
+@query(f"""
+{CLOSED}
+select {COLUMNS}, window_start + {SIZE} - first as seconds, lower(lang) as language from closed
+""")
+def retweet_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same windows as a stream: those closed by the watermark, after the warm-up."""
     start = epoch("SECOND", F.col("window_start").cast("timestamp_ntz"))
-    return done.withColumns({"window_start": start, "lang": F.col("code")}).select(*COLUMNS.split(", "))
+    done = _report(spark, sf_dir).withColumns({"window_start": start, "lang": F.col("code")})
+    return done.select(*COLUMNS.split(", "), "seconds", "language")
+
+
+@query(f"""
+{CLOSED}
+select window_start + {SIZE} - first as seconds, coalesce(lower(lang), '') as language, coalesce(lang, '') as code, total_retweets,
+       tweet_id::varchar as tweet_id, max_count, min_count, retweets, text
+from closed
+""")
+def retweet_log_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of the stream written as a log with a header line, and read back without it."""
+    path = scratch_path(spark, "log")
+    write_retweet_log(_report(spark, sf_dir), path)
+    return read_retweet_log(spark, f"{path}/*")
+
+
+@query("""
+select event_id, user_id as retweeted_id, floor(value)::bigint as retweet_count
+from events where value > 20 and user_id % 3 <> 0
+""")
+def retweets_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "events").select(
+        "event_id", (F.col("value") > 20).alias("is_retweet"), F.when(F.col("user_id") % 3 != 0, F.col("user_id")).alias("retweeted_id"),
+        F.floor("value").cast("bigint").alias("retweet_count"),
+    )
+    return only_retweets(rows).drop("is_retweet")
+
+
+@query(f"""
+{WINDOWS}
+select window_start, tweet_id, retweets, total_retweets from totals
+where window_start + {SIZE} <= (select (epoch_us(max(ts)) - {DELAY * 1_000_000}) // 1000000 from events)
+""")
+def joined_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language totals as a second aggregation of the stream, joined back to the windows by a stream-stream join.
+
+    The totals reach the join one batch after the windows they sum. So the stream
+    runs on, each time with one event more that is months later and only moves the
+    watermark; what those events close is left out. NULL languages join, too.
+    """
+    path, out = scratch_path(spark, "events"), scratch_path(spark, "joined")
+    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    last = events.agg(F.max("ts").alias("ts")).first()["ts"]
+
+    def windows() -> DataFrame:
+        stream = spark.readStream.schema(events.schema).parquet(f"{path}/*")
+        return windows_of(_sightings(stream).withWatermark("ts", f"{DELAY} seconds"), SIZE, SLIDE, order=["ts", "event_id"])
+
+    for turn in range(4):
+        mark = events.limit(1).withColumn("ts", F.lit(last) + F.expr(f"interval {90 * turn} days"))
+        (mark if turn else events).write.parquet(f"{path}/{turn}")
+        job = rt.joined_stream(windows(), rt.totals_stream(windows())).writeStream.outputMode("append").format("parquet")
+        job = job.option("checkpointLocation", f"{out}/state").option("path", f"{out}/rows").trigger(availableNow=True)
+        job.start().awaitTermination()
+    found = spark.read.parquet(f"{out}/rows").where(F.col("window.end") <= F.lit(last) - F.expr(f"interval {DELAY} seconds"))
+    start = epoch("SECOND", F.col("window.start").cast("timestamp_ntz"))
+    return found.select(start.alias("window_start"), "tweet_id", "retweets", "total_retweets")

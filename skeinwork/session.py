@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -10,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
-_local_dirs: dict[str, str] = {}    # application id -> folder of a local session without the setting
+_local_dirs: dict[str, str] = {}    # application id -> folder of a one-process session without the setting
 
 
 def build_session(app: str = "skeinwork", master: str | None = None, conf: dict | None = None) -> SparkSession:
@@ -35,12 +36,13 @@ def build_session(app: str = "skeinwork", master: str | None = None, conf: dict
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named in `spark.checkpoint.dir`.
 
-    Only a local session may fall back to a temporary folder; it is removed
-    when the process ends.
+    The setting is required wherever executors are processes of their own. A
+    session that is one process (`local[n]`) and lacks it, as in tests, gets a
+    temporary folder that goes when the process ends.
     """
     path = spark.conf.get(CHECKPOINT_CONF, None)
     if not path:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder that every executor can reach")
         app = spark.sparkContext.applicationId
         if app not in _local_dirs:
@@ -50,9 +52,35 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def _home(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/skeinwork/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/skeinwork/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    return f"{_home(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on any file system that Spark reaches."""
+    fs, where = _file_system(spark, path)
+    return fs.exists(where)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of our own making; nothing happens when it is not there."""
+    fs, where = _file_system(spark, path)
+    fs.delete(where, True)
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application, once its results are written."""
+    remove_path(spark, _home(spark))
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:

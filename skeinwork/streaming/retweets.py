@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -12,18 +9,23 @@ from pyspark.sql.streaming import StreamingQuery
 from skeinwork.functions.langname import with_language_name
 from skeinwork.functions.text import clean_tweet, one_line, script_override
 from skeinwork.operators.counters import delta_aggregates, with_delta
-from skeinwork.operators.skew import with_group_totals
+from skeinwork.operators.langid import detect_lang
+from skeinwork.operators.skew import group_totals, join_totals, same_keys, with_group_totals
+from skeinwork.session import path_exists, remove_path
 
 # Window, slide and trigger of the job.
 WINDOW, SLIDE, TRIGGER = 60, 5, 5       # seconds
 
 
-def with_language(df: DataFrame, detector: Callable[[Column], Column], text: str = "text", out: str = "lang") -> DataFrame:
-    """Language code of each message: detector on the cleaned text, then the script rule."""
-    cleaned = clean_tweet(F.col(text))
-    return df.withColumn("_cleaned", cleaned).withColumn(
-        out, script_override(detector(F.col("_cleaned")), F.col("_cleaned"))
-    ).drop("_cleaned")
+def with_language(df: DataFrame, profiles: DataFrame, keys: list[str], text: str = "text", out: str = "lang") -> DataFrame:
+    """Language code of each message: trigram detection on the cleaned text, then the script rule.
+
+    A batch frame with unique `keys`; on a stream it runs inside the batch function.
+    """
+    cleaned = df.withColumn("_cleaned", clean_tweet(F.col(text)))
+    found = detect_lang(cleaned, keys, "_cleaned", profiles).drop("score").withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    joined = cleaned.join(found, same_keys(keys, "_of_"), "left")
+    return joined.withColumn(out, script_override(F.col("detected"), F.col("_cleaned"))).drop("_cleaned", "detected", *(f"_of_{k}" for k in keys))
 
 
 def retweet_windows(
@@ -84,18 +86,13 @@ def joined_stream(windows: DataFrame, totals: DataFrame, lang: str = "lang") ->
     Totals reach the join one batch after the windows they sum.
     """
     right = totals.select(F.col("window").alias("_window"), F.col(lang).alias("_lang"), "total_retweets")
-    same = (F.col("window") == F.col("_window")) & (F.col(lang) == F.col("_lang"))
+    same = (F.col("window") == F.col("_window")) & F.col(lang).eqNullSafe(F.col("_lang"))
     return windows.join(right, same).drop("_window", "_lang")
 
 
-def report_rows(windows: DataFrame, started: Column, lang: str = "lang", text: str = "text") -> DataFrame:
-    """Log rows of complete windows: seconds since start, names, totals, one-line text.
-
-    Windows that start before the first event are left out (warm-up).
-    """
-    kept = with_window_totals(windows.where(F.col("window.start") >= started), lang)
+def _log_columns(rows: DataFrame, started: Column, lang: str, text: str) -> DataFrame:
     seconds = F.timestamp_diff("SECOND", started, F.col("window.end"))
-    return with_language_name(kept, lang, "language").select(
+    return with_language_name(rows, lang, "language").select(
         seconds.alias("seconds"),
         "language",
         F.col(lang).alias("code"),
@@ -109,40 +106,73 @@ def report_rows(windows: DataFrame, started: Column, lang: str = "lang", text: s
     )
 
 
+def report_rows(windows: DataFrame, started: Column, lang: str = "lang", text: str = "text") -> DataFrame:
+    """Log rows of complete windows: seconds since start, names, totals, one-line text.
+
+    Windows that start before the first event are left out (warm-up).
+    """
+    return _log_columns(with_window_totals(windows.where(F.col("window.start") >= started), lang), started, lang, text)
+
+
 def _first_event(windows: DataFrame, path: str, size: int, slide: int) -> Column:
     """Time of the first event's slide, remembered below `path` across restarts."""
     spark, saved = windows.sparkSession, f"{path}/started"
-    try:
-        first = spark.read.parquet(saved).first()["started"]
-    except AnalysisException:
+    if not path_exists(spark, f"{saved}/_SUCCESS"):
         earliest = windows.agg(F.min("window.start").alias("started"))
         shift = F.expr(f"interval {size - slide} seconds")
         earliest.select((F.col("started") + shift).alias("started")).write.mode("overwrite").parquet(saved)
-        first = spark.read.parquet(saved).first()["started"]
-    return F.lit(first)
+    return F.lit(spark.read.parquet(saved).first()["started"])
 
 
-def report_sink(path: str, size: int = WINDOW, slide: int = SLIDE, lang: str = "lang", text: str = "text"):
-    """foreachBatch function: one folder per batch, overwritten when a batch is repeated.
+def report_sink(
+    path: str, size: int = WINDOW, slide: int = SLIDE, lang: str = "lang", text: str = "text", profiles: DataFrame | None = None
+):
+    """foreachBatch function: the report rows of a batch in a folder of its own below `windows`.
 
-    The closed windows are kept below `closed`, the report rows below `windows`.
-    A closed window leaves the aggregation whole, in one batch, so its totals
-    are complete here. The rows are in descending order of the total.
+    A repeated batch overwrites its folder. A closed window leaves the
+    aggregation whole, in one batch, so its totals are complete here. The batch
+    is written below `closed` so that the state is read once, and goes when its
+    report is there. With `profiles`, the language is detected here, once per closed
+    window and tweet. The rows are in descending order of the total.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        closed = f"{path}/closed/batch_id={batch_id}"
-        batch.write.mode("overwrite").parquet(closed)       # the state is read once
-        windows = batch.sparkSession.read.schema(batch.schema).parquet(closed)
-        if windows.isEmpty():
-            return
-        rows = report_rows(windows, _first_event(windows, path, size, slide), lang, text)
-        ordered = rows.orderBy("window_start", F.desc("total_retweets"), F.desc("retweets"), "tweet_id")
-        ordered.write.mode("overwrite").parquet(f"{path}/windows/batch_id={batch_id}")
+        spark, closed, totals = batch.sparkSession, f"{path}/closed/batch_id={batch_id}", None
+        batch.write.mode("overwrite").parquet(closed)
+        kept = spark.read.schema(batch.schema).parquet(closed)
+        try:
+            if kept.isEmpty():
+                return
+            started = _first_event(kept, path, size, slide)
+            rows = kept.where(F.col("window.start") >= started)
+            if profiles is not None:
+                rows = with_language(rows, profiles, ["window", "tweet_id"], text, lang)
+            totals = group_totals(rows, ["window", lang], "retweets", "total_retweets").persist()
+            found = _log_columns(join_totals(rows, totals, ["window", lang], ["tweet_id"]), started, lang, text)
+            ordered = found.orderBy("window_start", F.desc("total_retweets"), F.desc("retweets"), "tweet_id")
+            ordered.write.mode("overwrite").parquet(f"{path}/windows/batch_id={batch_id}")
+        finally:
+            if totals is not None:
+                totals.unpersist()
+            remove_path(spark, f"{path}/closed")
 
     return write
 
 
+REPORT_SCHEMA = (
+    "seconds bigint, language string, code string, total_retweets bigint, tweet_id {id}, max_count bigint, min_count bigint, "
+    "retweets bigint, text string, window_start timestamp"
+)
+
+
+def read_report(spark, path: str, id_type: str = "bigint") -> DataFrame:
+    """What the stream has reported so far; no rows before the first window has closed."""
+    schema = REPORT_SCHEMA.format(id=id_type)
+    if not path_exists(spark, f"{path}/windows"):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/windows").drop("batch_id")
+
+
 def start_retweet_stream(
     df: DataFrame,
     path: str,
@@ -152,15 +182,20 @@ def start_retweet_stream(
     slide: int = SLIDE,
     ts: str = "ts",
     available_now: bool = False,
+    profiles: DataFrame | None = None,
     **columns,
 ) -> StreamingQuery:
-    """Run the windowed counts to a table below `path`; restart with the same checkpoint."""
-    windows = retweet_windows(df.withWatermark(ts, watermark), size, slide, ts, **columns)
-    carry = columns.get("carry") or ["lang", "text"]
+    """Run the windowed counts to a table below `path`; restart with the same checkpoint.
+
+    `df` has a language column, or gets one from the trigram `profiles`.
+    """
+    carry = columns.pop("carry", None) or (["lang", "text"] if profiles is None else ["text"])
+    windows = retweet_windows(df.withWatermark(ts, watermark), size, slide, ts, carry=carry, **columns)
+    lang, text = carry[:2] if profiles is None else ("lang", carry[0])
     writer = (
         windows.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(report_sink(path, size, slide, carry[0], carry[1]))
+        .foreachBatch(report_sink(path, size, slide, lang, text, profiles))
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=f"{TRIGGER} seconds")
     return writer.start()

@@ -1,10 +1,11 @@
 import datetime as dt
 import json
 import os
+import pathlib
 
 from pyspark.sql import functions as F
 
-from skeinwork.operators.langid import build_profiles, stream_detector
+from skeinwork.operators.langid import build_profiles
 from skeinwork.plans.retweets import log_report
 from skeinwork.sources.sinks import write_retweet_log
 from skeinwork.sources.stream import read_stream, retweets_only
@@ -97,11 +98,36 @@ def test_stream_stream_join(spark, rows, tmp_path):
     assert set(rows(closed)) <= set(got) <= set(rows(batch)) and len(got) == len(set(got))
 
 
-def test_language_on_a_stream(spark, tmp_path):
+def test_language_on_a_stream(spark, tmp_path, rows):
+    """Detected once per closed window and tweet; an unknown language is reported, too."""
     docs = spark.createDataFrame([("the cat and the dog", "en"), ("le chat et le chien", "fr")], "text string, lang string")
-    detect = stream_detector(build_profiles(docs, "text", "lang"))
-    put(tmp_path / "in", "1.json", [(0, True, 1, 1, "RT @le_chat: the dog"), (1, True, 2, 1, "le chien http://the.dog/the")])
-    stream = rt.with_language(read_stream(spark, str(tmp_path / "in")), detect)
-    job = stream.writeStream.format("memory").queryName("tagged").trigger(availableNow=True).start()
-    job.awaitTermination()
-    assert {r["retweeted_id"]: r["lang"] for r in spark.table("tagged").collect()} == {1: "en", 2: "fr"}
+    profiles = build_profiles(docs, "text", "lang")
+    put(tmp_path / "in", "1.json", [
+        (0, True, 1, 1, "RT @le_chat: the dog"), (1, True, 2, 1, "le chien http://the.dog/the"), (2, True, 3, 1, "12"), (500, True, 1, 1, "the")])
+    stream = retweets_only(read_stream(spark, str(tmp_path / "in"))).select("ts", F.col("retweeted_id").alias("tweet_id"), "retweet_count", "text")
+    out = str(tmp_path / "out")
+    rt.start_retweet_stream(stream, out, str(tmp_path / "state"), available_now=True, profiles=profiles).awaitTermination()
+    got = rt.read_report(spark, out).where("seconds = 60").select("tweet_id", "code", "language", "total_retweets")
+    assert rows(got) == [(1, "en", "English", 1), (2, "fr", "French", 1), (3, None, None, 1)]
+
+
+def test_stream_leaves_nothing_but_its_report(spark, tmp_path):
+    from skeinwork.session import shared_dir
+
+    def scratch():
+        return sorted(str(p) for p in pathlib.Path(shared_dir(spark)).rglob("*") if p.is_dir())
+
+    src, out, state = tmp_path / "in", tmp_path / "out", str(tmp_path / "state")
+    before = scratch()
+    for i, data in enumerate((FIRST, SECOND)):
+        put(src, f"{i}.json", data)
+        rt.start_retweet_stream(tagged(read_stream(spark, str(src))), str(out), state, "10 seconds", available_now=True).awaitTermination()
+    assert scratch() == before
+    assert sorted(p.name for p in out.iterdir()) == ["started", "windows"]
+
+
+def test_report_before_any_window_has_closed(spark, tmp_path):
+    put(tmp_path / "in", "1.json", FIRST[:2])
+    rt.start_retweet_stream(tagged(read_stream(spark, str(tmp_path / "in"))), str(tmp_path / "out"), str(tmp_path / "state"), "10 seconds", available_now=True).awaitTermination()
+    report = rt.read_report(spark, str(tmp_path / "out"))
+    assert report.count() == 0 and "total_retweets" in report.columns
