@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 
 from skeinwork.catalog.registry import epoch, query, table
 from skeinwork.functions.coords import bed_end, bed_start, region_string
+from skeinwork.plans import fastq as mates
+from skeinwork.plans import variants as calling
+from skeinwork.sources.bed import read_bed
+from skeinwork.sources.files import list_inputs, read_folder
+from skeinwork.sources.sinks import write_bed, write_regions, write_vcf
 from skeinwork.functions.reads import decode_quality, fix_quality, guess_quality, is_main_mapped, with_read_group
 from skeinwork.operators import intervals as iv
 from skeinwork.operators.numbering import global_index
@@ -27,7 +32,7 @@ from skeinwork.sources.fastq import read_fastq
 from skeinwork.sources.sam import parse_sam, with_reference_index
 from skeinwork.sources.vcf import parse_vcf, parse_vcf_keys
 
-REGIONS = 8
+REGIONS, ROWS_PER_REGION = 8, 5_000
 
 
 # ---- regions and coordinate order -------------------------------------------------
@@ -72,15 +77,27 @@ def _summary_of_region(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
     )
 
 
+def even_regions(rows: str, order: str, per_region: int) -> str:
+    """SQL that numbers the rows of a table in order and cuts them into even regions of bounded size."""
+    return f"""
+numbered_rows as (select *, row_number() over (order by {order}) as rn, count(*) over () as total from {rows}),
+sized as (select *, ceil(total / {per_region})::bigint as n from numbered_rows),
+parts as (select *, total // n as small, total % n as extra from sized),
+in_regions as (
+  select *, (case when rn <= extra * (small + 1) then (rn - 1) // (small + 1)
+             else extra + (rn - 1 - extra * (small + 1)) // small end)::int as region from parts)
+"""
+
+
 @query(f"""
-with p as ({PLACED}),
-r as (select *, (ntile({REGIONS}) over (order by {ORDER}) - 1)::int as region, row_number() over (order by {ORDER}) as rn from p)
+with p as ({PLACED}), {even_regions("p", ORDER, ROWS_PER_REGION)},
+r as (select * from in_regions)
 select region, count(*) as n, arg_min(pos, rn) as first_pos, arg_max(pos, rn) as last_pos, count(*) - 1 as in_order
 from r group by region
 """)
 def region_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = coordinate_order("ref_index", "pos", *TIES)
-    regions = balanced(_placed(spark, sf_dir), order, REGIONS)
+    regions = balanced(_placed(spark, sf_dir), order, rows_per_region=ROWS_PER_REGION)
     schema = "region int, n bigint, first_pos bigint, last_pos bigint, in_order bigint"
     return apply_to_regions(regions, "region", order, _summary_of_region, schema)
 
@@ -207,13 +224,17 @@ def read_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUALS = """
 texts as (
-  select p_partkey, p_size, case when p_size > 25 then upper(p_name) else replace(p_name, ' ', '~') end as qual from part),
-decoded as (select *, [(ascii(c) - 33)::bigint for c in string_split(qual, '')] as quals from texts)
+  select p_partkey, p_size, case when p_partkey % 13 = 0 then null when p_partkey % 17 = 0 then '*' when p_partkey % 19 = 0 then '!~'
+                                 when p_size > 25 then upper(p_name) else replace(p_name, ' ', '~') end as qual from part),
+decoded as (select *, case when qual <> '*' then [(ascii(c) - 33)::bigint for c in string_split(qual, '')] end as quals from texts),
+guessed as (select *, case when list_max(quals) <= 60 then 'SANGER' when list_max(quals) > 60 then 'ILLUMINA' end as encoding from decoded)
 """
 
 
 def _qualities(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.when(F.col("p_size") > 25, F.upper("p_name")).otherwise(F.replace(F.col("p_name"), F.lit(" "), F.lit("~")))
+    odd = lambda n: F.col("p_partkey") % n == 0
+    text = F.when(odd(13), F.lit(None)).when(odd(17), F.lit("*")).when(odd(19), F.lit("!~")).otherwise(text)
     return table(spark, sf_dir, "part").select("p_partkey", "p_size", decode_quality(text).alias("quals"))
 
 
@@ -223,10 +244,9 @@ def _total(quals):
 
 @query(f"""
 with {QUALS}
-select p_partkey, case when list_max(quals) <= 60 then 'SANGER' else 'ILLUMINA' end as encoding,
-       list_sum(quals)::bigint as total,
+select p_partkey, encoding, list_sum(quals)::bigint as total,
        case when list_min(quals) >= 31 then list_sum(quals)::bigint - 31 * len(quals) end as fixed_total
-from decoded
+from guessed
 """)
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = _qualities(spark, sf_dir)
@@ -240,16 +260,15 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 with {QUALS},
-first as (
-  select p_size, arg_min(case when list_max(quals) <= 60 then 'SANGER' else 'ILLUMINA' end, p_partkey) as encoding
-  from decoded group by p_size)
-select p_partkey, p_size as region, encoding,
-       case when encoding = 'ILLUMINA' then list_sum(quals)::bigint - 31 * len(quals) else list_sum(quals)::bigint end as total
+first as (select p_size, arg_min(encoding, p_partkey) as encoding from guessed where encoding is not null group by p_size)
+select p_partkey, p_size as region, first.encoding,
+       case when first.encoding = 'SANGER' then list_sum(quals)::bigint
+            when list_min(quals) >= 31 then list_sum(quals)::bigint - 31 * len(quals) end as total
 from decoded join first using (p_size)
 """)
 def region_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     reads = _qualities(spark, sf_dir).withColumnRenamed("p_size", "region")
-    fixed = with_fixed_quality(reads, "region", ["p_partkey"])
+    fixed = with_fixed_quality(reads, "region", ["p_partkey"], on_error="null")
     return fixed.select("p_partkey", "region", "encoding", _total(F.col("quals")).alias("total"))
 
 
@@ -260,8 +279,8 @@ def _sam_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws(
             "\t", s("l_orderkey"), s("l_linenumber"), F.concat(F.lit("chr"), (F.col("l_suppkey") % 26).cast("string")),
             s("l_partkey"), F.lit("60"),
-            F.concat(s("l_linenumber"), F.lit("S"), whole("l_quantity"), F.lit("M2I3D4M")),
-            F.lit("="), F.lit("0"), F.lit("0"), F.lit("ACGT"), F.lit("IIII"), F.lit("NM:i:0"), F.lit("RG:Z:GROUP1"),
+            F.when(F.col("l_linenumber") == 2, F.lit("*")).otherwise(F.concat(s("l_linenumber"), F.lit("S"), whole("l_quantity"), F.lit("M2I3D4M"))),
+            F.lit("="), F.lit("0"), F.lit("0"), F.lit("ACGT"), F.when(F.col("l_linenumber") == 3, F.lit("*")).otherwise(F.lit("IIII")), F.lit("NM:i:0"), F.lit("RG:Z:GROUP1"),
         ).alias("value")
     )
 
@@ -284,7 +303,8 @@ def dict_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 select l_orderkey::varchar as qname, l_linenumber as flag, 'chr' || (l_suppkey % 26) as rname, l_partkey as pos,
-       l_partkey + l_quantity::bigint + 7 - 1 as end_pos, 2::int as n_tags, 160::bigint as quality_sum,
+       case when l_linenumber <> 2 then l_partkey + l_quantity::bigint + 7 - 1 end as end_pos, 2::int as n_tags,
+       case when l_linenumber <> 3 then 160::bigint end as quality_sum,
        case when l_suppkey % 26 < 25 then l_suppkey % 26 else -1 end::int as ref_index
 from lineitem
 """)
@@ -299,10 +319,11 @@ def sam_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 with r as (
-  select event_id, event_type, value > 20 as reverse, epoch_us(ts) // 86400000000 as pos,
-         epoch_us(ts) // 86400000000 + floor(value)::bigint as end_pos, floor(value)::bigint as score from events)
-select event_id, row_number() over (
-         partition by event_type, reverse, case when reverse then end_pos else pos end order by score desc, event_id) > 1 as is_duplicate
+  select event_id, event_type, value > 20 as reverse, user_id % 10 = 3 as unmapped, epoch_us(ts) // 86400000000 as pos,
+         epoch_us(ts) // 86400000000 + floor(value)::bigint as end_pos,
+         case when event_id % 11 <> 0 then floor(value)::bigint end as score from events)
+select event_id, not unmapped and row_number() over (
+         partition by unmapped, event_type, reverse, case when reverse then end_pos else pos end order by score desc nulls last, event_id) > 1 as is_duplicate
 from r
 """)
 def duplicate_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -310,10 +331,10 @@ def duplicate_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     reads = table(spark, sf_dir, "events").select(
         "event_id",
         F.col("event_type").alias("ref_index"),
-        F.when(F.col("value") > 20, F.lit(16)).otherwise(F.lit(0)).alias("flag"),
+        F.when(F.col("user_id") % 10 == 3, F.lit(4)).when(F.col("value") > 20, F.lit(16)).otherwise(F.lit(0)).alias("flag"),
         day.alias("pos"),
         (day + whole).alias("end_pos"),
-        F.array(whole).alias("quals"),
+        F.when(F.col("event_id") % 11 != 0, F.array(whole)).alias("quals"),
     )
     return mark_duplicate_reads(reads, "event_id").select("event_id", "is_duplicate")
 
@@ -354,8 +375,10 @@ def fastq_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 VCF = """
 vcf as (
-  select case l_suppkey % 26 when 0 then 'chrM' when 23 then 'chrX' when 24 then 'chrY' when 25 then 'HLA' else 'chr' || (l_suppkey % 26) end as chrom,
-         case l_suppkey % 26 when 0 then null when 25 then null else l_suppkey % 26 end::int as chrom_no,
+  select case l_suppkey % 30 when 0 then 'chrM' when 23 then 'chrX' when 24 then 'chrY' when 25 then 'HLA' when 26 then 'chr1234567890abc'
+                             when 27 then 'chr99' when 28 then 'chr99999999999' when 29 then 'chr0' else 'chr' || (l_suppkey % 30) end as chrom,
+         case l_suppkey % 30 when 0 then null when 25 then null when 26 then null when 27 then 99 when 28 then null when 29 then 0
+                             else l_suppkey % 30 end::int as chrom_no,
          l_partkey as pos, l_orderkey || ':' || l_linenumber as id, l_returnflag as ref, l_linestatus as alt,
          l_discount
   from lineitem),
@@ -365,9 +388,10 @@ lines as (
 
 
 def _vcf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = F.col("l_suppkey") % 26
+    n = F.col("l_suppkey") % 30
     chrom = (
         F.when(n == 0, F.lit("chrM")).when(n == 23, F.lit("chrX")).when(n == 24, F.lit("chrY")).when(n == 25, F.lit("HLA"))
+        .when(n == 26, F.lit("chr1234567890abc")).when(n == 27, F.lit("chr99")).when(n == 28, F.lit("chr99999999999")).when(n == 29, F.lit("chr0"))
         .otherwise(F.concat(F.lit("chr"), n.cast("string")))
     )
     line = F.concat_ws(
@@ -387,7 +411,7 @@ with {VCF}
 select row_number() over (order by chrom_no, pos, line) as rn, line from lines where chrom_no is not null
 """)
 def variant_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    variants = parse_vcf(materialize(_vcf_lines(spark, sf_dir), "vcf"), on_error="drop")
+    variants = parse_vcf(_vcf_lines(spark, sf_dir), on_error="drop")      # global_index keeps the rows
     return global_index(variants, ["chrom_no", "pos", "line"]).select((F.col("idx") + 1).alias("rn"), "line")
 
 
@@ -403,3 +427,133 @@ def vcf_concordance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return concordance(
         parse_vcf_keys(lines.where("l_discount <= 0.05")), parse_vcf_keys(lines.where("l_discount >= 0.05"))
     )
+
+
+# ---- files written and read back -----------------------------------------------------
+
+@query("""
+select '@' || o_orderkey || '/1|' || o_orderpriority || '|+|@' || o_custkey || '|@' || o_orderkey || '/2|ACGT|+|IIII' as record from orders
+""")
+def interleave_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two mates, each two folders of FASTQ files, interleaved into gzip chunks that are read back."""
+    path = scratch_path(spark, "mates")
+    orders = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey").cast("string")
+    mate = {
+        1: F.concat(F.lit("@"), key, F.lit("/1\n"), "o_orderpriority", F.lit("\n+\n@"), F.col("o_custkey").cast("string")),
+        2: F.concat(F.lit("@"), key, F.lit("/2\nACGT\n+\nIIII")),
+    }
+    for lane in (0, 1):
+        for k, text in mate.items():
+            orders.where(F.col("o_orderkey") % 2 == lane).select(text.alias("value")).write.text(f"{path}/mate{k}/lane{lane}")
+    mates.run(spark, f"{path}/mate1/*", f"{path}/mate2/*", f"{path}/chunks", 5)
+    # mates are neighbours in a chunk
+    reads = read_fastq(spark, f"{path}/chunks").withColumn("pair", F.floor(F.col("rec") / 2))
+    both = F.transform(F.sort_array(F.collect_list(F.struct("rec", "lines"))), lambda x: F.array_join(x["lines"], "|"))
+    return reads.groupBy("file", "pair").agg(F.array_join(both, "|").alias("record")).select("record")
+
+
+@query(f"""
+with {ISLANDS} select chrom, "start" - 1 as "start", "end", chrom || ':' || "start" || '-' || "end" as region from islands
+""")
+def bed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Islands as a BED file and as region strings, both read back."""
+    path = scratch_path(spark, "bed")
+    islands = materialize(iv.coverage_islands(_intervals(spark, sf_dir)), "islands")
+    write_bed(islands, f"{path}/bed")
+    write_regions(islands, f"{path}/regions")
+    bed = read_bed(spark, f"{path}/bed").drop("rest")
+    named = F.concat("chrom", F.lit(":"), (F.col("start") + 1).cast("string"), F.lit("-"), F.col("end").cast("string"))
+    regions = spark.read.text(f"{path}/regions").withColumnRenamed("value", "region")
+    return bed.withColumn("region", named).join(regions, "region").select("chrom", "start", "end", "region")
+
+
+@query("""
+select n_regionkey::varchar as folder, n_name as value, (select count(*) from region)::bigint as folders,
+       sum(length(n_name) + 1) over ()::bigint as bytes from nation
+""")
+def folder_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text files in one folder per region, read as one data set; the size of all files."""
+    path = scratch_path(spark, "folder")
+    table(spark, sf_dir, "nation").select(F.col("n_name").alias("value"), "n_regionkey").write.partitionBy("n_regionkey").text(path)
+    found = read_folder(spark, f"{path}/*", "*.txt").select(
+        F.regexp_extract("file_path", r"n_regionkey=(\d+)", 1).alias("folder"), "value"
+    )
+    sizes = list_inputs(spark, f"{path}/*", "*.txt").agg(F.sum("length").alias("bytes")).first()["bytes"]
+    folders = found.select("folder").distinct().count()
+    return found.withColumns({"folders": F.lit(folders).cast("bigint"), "bytes": F.lit(sizes).cast("bigint")})
+
+
+@query(f"""
+with {VCF}
+select line from lines where chrom like 'chr%' and l_discount < 0.02
+union all select concat_ws(chr(9), '#CHROM', 'POS', 'ID', 'REF', 'ALT', 'QUAL', 'FILTER', 'INFO', 'FORMAT', 'sample')
+""")
+def vcf_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A VCF table written with its column line, and all its lines."""
+    path = scratch_path(spark, "vcf_file")
+    write_vcf(parse_vcf(_vcf_lines(spark, sf_dir).where("l_discount < 0.02")), path, sample="sample")
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+# ---- the whole job ---------------------------------------------------------------------
+
+def _call(reads: pd.DataFrame, targets: pd.DataFrame) -> pd.DataFrame:
+    """A line per target of the region that reads begin in; duplicates do not count."""
+    lines, kept = [], reads[~reads["is_duplicate"]]
+    for chrom, own in targets.groupby("chrom"):
+        pos = kept.loc[kept["rname"] == chrom, "pos"].sort_values()
+        counts = pos.searchsorted(own["end"], "right") - pos.searchsorted(own["start"], "right")
+        for start, end, n in zip(own["start"], own["end"], counts):
+            if n:
+                lines.append(f"{chrom}\t{start + 1}\t{n}\tA\tC\t{reads['rgsm'].iloc[0]}\t.\tEND={end}")
+    return pd.DataFrame({"value": lines}, dtype=object)
+
+
+@query(f"""
+with raw as (
+  select (((l_orderkey * 8 + l_linenumber) * 100000 + l_partkey) * 1000 + l_suppkey) * 100 + l_quantity::bigint as read_id, case when l_linenumber = 4 then 4 when l_tax > 0.04 then 16 else 0 end as flag,
+         l_suppkey % 28 as ref_index, 'chr' || (l_suppkey % 28) as rname,
+         epoch_us(l_shipdate) // 86400000000 * 4 + l_partkey % 4 as pos, l_quantity::bigint as quantity
+  from lineitem),
+reads as (select *, pos + quantity as end_pos from raw where flag & 4 = 0 and ref_index between 1 and 24),
+marked as (
+  select *, row_number() over (partition by ref_index, flag, case when flag = 16 then end_pos else pos end
+                               order by quantity desc, read_id) > 1 as is_duplicate from reads),
+{even_regions("marked", "ref_index, pos, read_id", ROWS_PER_REGION)},
+flagged as (
+  select region, rname, pos, end_pos, pos > max(end_pos) over (partition by region, rname order by pos, end_pos
+                                      rows between unbounded preceding and 1 preceding) + {iv.READ_GAP} as gap from in_regions),
+islands as (
+  select region, rname, min(pos) as "start", max(end_pos) as "end" from (
+    select *, sum(case when gap then 1 else 0 end) over (partition by region, rname order by pos, end_pos) as island from flagged)
+  group by region, rname, island),
+targets as (select 'chr' || (p_partkey % 22 + 1) as chrom, 34000 + p_partkey * 7 % 9000 as "start", 34000 + p_partkey * 7 % 9000 + 25 as "end" from part),
+own as (
+  select region, chrom, greatest(i."start" - 1, t."start") as "start", least(i."end", t."end") as "end"
+  from islands i join targets t on t.chrom = i.rname and i."start" - 1 < t."end" and t."start" < i."end"),
+called as (
+  select own.chrom, own."start", own."end", own.region, count(*) as n
+  from own join in_regions r on r.region = own.region and r.rname = own.chrom and not r.is_duplicate and r.pos > own."start" and r.pos <= own."end"
+  group by all),
+-- equal targets give equal lines, once each
+times as (select region, chrom, "start", "end", count(*) as k from own group by all)
+select chrom, substr(chrom, 4)::int as chrom_no, "start" + 1 as pos, n::varchar as id, 'A' as ref, 'C' as alt,
+       chrom || chr(9) || ("start" + 1) || chr(9) || n || chr(9) || 'A' || chr(9) || 'C' || chr(9) || 'SAMPLE1' || chr(9) || '.' || chr(9) || 'END=' || "end" as line
+from (select chrom, "start", "end", region, n // k as n, unnest(range(k)) from called join times using (region, chrom, "start", "end"))
+""")
+def call_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filter, duplicates, regions, covered and target intervals, caller, one ordered table."""
+    day, index = epoch("DAY", F.col("l_shipdate")), F.col("l_suppkey") % 28
+    quantity = F.col("l_quantity").cast("bigint")
+    flag = F.when(F.col("l_linenumber") == 4, F.lit(4)).when(F.col("l_tax") > 0.04, F.lit(16)).otherwise(F.lit(0))
+    reads = table(spark, sf_dir, "lineitem").select(
+        ((((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 100000 + F.col("l_partkey")) * 1000 + F.col("l_suppkey")) * 100 + quantity).alias("read_id"), flag.alias("flag"), index.alias("ref_index"),
+        F.concat(F.lit("chr"), index.cast("string")).alias("rname"), (day * 4 + F.col("l_partkey") % 4).alias("pos"),
+        (day * 4 + F.col("l_partkey") % 4 + quantity).alias("end_pos"), F.array(quantity).alias("quals"),
+    )
+    start = 34000 + F.col("p_partkey") * 7 % 9000
+    targets = table(spark, sf_dir, "part").select(
+        F.concat(F.lit("chr"), (F.col("p_partkey") % 22 + 1).cast("string")).alias("chrom"), start.alias("start"), (start + 25).alias("end")
+    )
+    return calling.call_variants(reads, targets, _call, rows_per_region=ROWS_PER_REGION)

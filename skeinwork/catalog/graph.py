@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from skeinwork.catalog.registry import query, table
 from skeinwork.operators import graph as g
+from skeinwork.plans.costar import costar_report
 from skeinwork.session import materialize, scratch_path
 from skeinwork.sources.text_records import read_membership
 
@@ -160,3 +161,66 @@ def membership_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "membership")
     table(spark, sf_dir, "part").select(record.alias("value")).write.option("lineSep", "\n\n").text(path)
     return read_membership(spark, path, "M")
+
+
+FIRST_YEAR, NAMES = 1994, 900
+
+
+@query(f"""
+with recursive served as (
+  select case when c_mktsegment in ('BUILDING', 'MACHINERY', 'HOUSEHOLD') then 'M' else 'F' end as "group", 'P' || (c_custkey % {NAMES}) as name,
+         l_suppkey % 40 || '@' || l_shipdate::date as item, year(l_shipdate) as y
+  from orders join lineitem on o_orderkey = l_orderkey join customer on c_custkey = o_custkey),
+m as (select distinct "group" || ':' || name as person, item from served where y >= {FIRST_YEAR}),
+e as (select distinct a.person as src, b.person as dst from m a join m b using (item) where a.person <> b.person),
+r(person, level) as (select 'M:P0', 0 union select e.dst, r.level + 1 from r join e on r.person = e.src where r.level < {LEVELS}),
+people as (select distinct src as person, src[1] as "group", substr(src, 3) as name from e),
+t as (select count(*) as n, count(*) filter ("group" = 'M') as m, count(*) filter ("group" = 'F') as f from people),
+c as (
+  select i.level::int as level, count(people.person) as people, count(*) filter ("group" = 'M') as m, count(*) filter ("group" = 'F') as f
+  from generate_series(1, {LEVELS}) i(level) left join r on r.level = i.level left join people on people.person = r.person group by i.level),
+d as (
+  select level, people, m - coalesce(lag(m) over (order by level), 0) as males, f - coalesce(lag(f) over (order by level), 0) as females from c),
+listed as (
+  select "group", name, row_number() over (partition by "group" order by person) as number from people
+  where person in (select person from r where level = {LEVELS}) and person not in (select person from r where level = {LEVELS - 1}))
+select 'level' as kind, level, people, males, females, round(males * 100.0 / m, 6)::double as pct_males,
+       round(females * 100.0 / f, 6)::double as pct_females, round(people / n, 6)::double as ratio,
+       null::varchar as "group", null::varchar as name, null::bigint as number
+from d, t
+union all select 'total', null, n, m, f, null, null, null, null, null, null from t
+union all select 'films', null, count(distinct item), null, null, null, null, null, null, null, null from m
+union all select 'member', null, null, null, null, null, null, null, "group", name, number from listed
+""")
+def walk_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report in walk mode: lists written as text and read back from a first year on; one name may be in both lists."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_shipdate")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    served = orders.join(items, F.col("o_orderkey") == F.col("l_orderkey")).join(customers, F.col("c_custkey") == F.col("o_custkey"))
+    male = F.col("c_mktsegment").isin("BUILDING", "MACHINERY", "HOUSEHOLD")
+    title = F.concat(
+        (F.col("l_suppkey") % 40).cast("string"), F.lit("@"), F.col("l_shipdate").cast("date").cast("string"),
+        F.lit(" ("), F.year("l_shipdate").cast("string"), F.lit(") [role]"),
+    )
+    record = F.concat(F.lit("P"), (F.col("c_custkey") % NAMES).cast("string"), F.lit("\t"), title, F.lit("\n\t\t\t"), F.lit('"A series" (2013)'))
+    path = scratch_path(spark, "lists")
+    for folder, rows in (("male", served.where(male)), ("female", served.where(~male))):
+        rows.select(record.alias("value")).write.option("lineSep", "\n\n").text(f"{path}/{folder}")
+    report = costar_report(spark, f"{path}/male", f"{path}/female", "P0", min_year=FIRST_YEAR, max_level=LEVELS, walks=True)
+    parts = {
+        "level": report["levels"],
+        "total": report["totals"],
+        "films": report["films"].withColumnRenamed("items", "people"),
+        "member": report["members"].withColumnRenamed("person", "name"),
+    }
+    columns = {
+        "level": "int", "people": "bigint", "males": "bigint", "females": "bigint", "pct_males": "double", "pct_females": "double", "ratio": "double",
+        "group": "string", "name": "string", "number": "bigint",
+    }
+    found = None
+    for kind, df in parts.items():
+        has = lambda c: F.col(c) if c in df.columns else F.lit(None)
+        one = df.select(F.lit(kind).alias("kind"), *[has(c).cast(t).alias(c) for c, t in columns.items()])
+        found = one if found is None else found.unionByName(one)
+    return found

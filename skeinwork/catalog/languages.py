@@ -19,21 +19,22 @@ NAMES = "(values ('en', 'English'), ('es', 'Spanish'), ('fr', 'French'), ('de',
 
 # the documents of src0 stand for the front pages, titled like their language
 PAGES = """
-select lang as code, case when source = 'src0' then lang else source || '/' || doc_id end as title, n_chars as views
+select lang as code, case when source = 'src0' then lang when source <> 'src1' then source || '/' || doc_id end as title, n_chars as views
 from documents
 """
 
 
 def _front_title():
-    return F.when(F.col("source") == "src0", F.col("lang")).otherwise(F.concat_ws("/", "source", "doc_id"))
+    """src0: titled like its language; src1: without a title."""
+    return F.when(F.col("source") == "src0", F.col("lang")).when(F.col("source") != "src1", F.concat_ws("/", "source", "doc_id"))
 
 
 @query(f"""
 with pages as ({PAGES}),
 totals as (
   select code, sum(views)::bigint as total_views, max(views) as top_views,
-         (array_agg(title order by views desc, title desc))[1] as top_title
-  from pages where title <> code group by code)
+         (array_agg(title order by views desc, title desc nulls last))[1] as top_title
+  from pages where title is distinct from code group by code)
 select coalesce(name, lower(code)) as language, code, total_views, top_title, top_views
 from totals left join {NAMES} using (code)
 """)
@@ -46,10 +47,10 @@ def lang_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 with pages as ({PAGES})
-select code, title, views from pages
+select code, title, views from pages where title is not null
 """)
 def pagecount_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "documents").select(
+    lines = table(spark, sf_dir, "documents").where(_front_title().isNotNull()).select(
         F.concat_ws(" ", F.concat_ws(".", "lang", "source"), _front_title(), "n_chars", F.lit("0")).alias("value")
     )
     return parse_pagecounts(lines)
@@ -58,14 +59,20 @@ def pagecount_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 select d.code, coalesce(name, lower(d.code)) as language, rows_seen
 from (select code, count(*) as rows_seen from (
-        select lang as code from documents union all select event_type from events) group by code) d
-left join (values ('en', 'English'), ('es', 'Spanish'), ('fr', 'French'), ('de', 'German')) as n(code, name)
-  on n.code = d.code
+        select lang as code from documents union all select event_type from events
+        union all select case source when 'src2' then 'ceb' when 'src3' then 'WAR' when 'src4' then 'nds' when 'src5' then 'haw' else 'qqq' end
+        from documents) group by code) d
+left join (values ('en', 'English'), ('es', 'Spanish'), ('fr', 'French'), ('de', 'German'), ('ceb', 'Cebuano'), ('war', 'Waray'),
+                  ('nds', 'Low German'), ('haw', 'Hawaiian')) as n(code, name)
+  on n.code = lower(d.code)
 """)
 def language_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes = table(spark, sf_dir, "documents").select(F.col("lang").alias("code")).unionByName(
         table(spark, sf_dir, "events").select(F.col("event_type").alias("code"))
     )
+    longer = {"src2": "ceb", "src3": "WAR", "src4": "nds", "src5": "haw"}
+    project = F.coalesce(*[F.when(F.col("source") == s, F.lit(c)) for s, c in longer.items()], F.lit("qqq"))
+    codes = codes.unionByName(table(spark, sf_dir, "documents").select(project.alias("code")))
     seen = codes.groupBy("code").agg(F.count(F.lit(1)).alias("rows_seen"))
     return with_language_name(seen, "code", "language")
 

@@ -1,8 +1,10 @@
-"""Language names for two-letter codes."""
+"""Language names for two- and three-letter codes."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import cache
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # ISO 639-1 codes (with the withdrawn ones still in use) and
@@ -34,14 +36,31 @@ yo Yoruba; za Zhuang; zh Chinese; zu Zulu
 """
 
 
+# Three-letter codes that page-count projects use. Their names come from the JDK.
+THREE_LETTERS = """
+ace als ang arc arz ast avk awa azb ban bar bcl bjn blk bpy bug bxr cbk cdo ceb cho chr chy ckb crh csb dag din diq dsb
+dty eml ext fat frp frr fur gag gan gcr glk gom gor got gpe gsw guc gur guw hak haw hif hsb hyw ilo inh jam jbo kaa kab
+kbd kbp kcg koi krc ksh lad lbe lez lfn lij lld lmo lrc ltg mad mai mdf mhr min mni mnw mrj mus mwl myv mzn nah nap nds
+new nia nov nqo nrm nso olo pag pam pap pcd pcm pdc pfl pih pms pnb pnt pwn rmy rue sah sat scn sco shi shn skr smn srn
+stq szl szy tay tcy tet tly tpi trv tum tyv udm vec vep vls war wuu xal xmf yue zea zgh
+"""
+
+
 def language_pairs() -> list[tuple[str, str]]:
     entries = (e.strip() for e in ISO_639_1.split(";"))
     return [tuple(e.split(" ", 1)) for e in entries if e]
 
 
+@cache
+def _named_by_jdk(jvm) -> list[tuple[str, str]]:
+    locale = jvm.java.util.Locale
+    names = [(code, locale.forLanguageTag(code).getDisplayLanguage(locale.ENGLISH)) for code in THREE_LETTERS.split()]
+    return [(code, name) for code, name in names if name != code]
+
+
 def language_table(spark: SparkSession) -> DataFrame:
-    """Dimension table (code, name): a fixed table of fewer than 200 rows."""
-    return spark.createDataFrame(language_pairs(), "code string, name string")
+    """Dimension table (code, name): a fixed table of some 300 rows."""
+    return spark.createDataFrame(language_pairs() + _named_by_jdk(spark._jvm), "code string, name string")
 
 
 def with_language_name(df: DataFrame, code: str, out: str = "lang_name") -> DataFrame:
@@ -52,10 +71,3 @@ def with_language_name(df: DataFrame, code: str, out: str = "lang_name") -> Data
         .withColumn(out, F.coalesce("_name", F.lower(F.col(code))))
         .drop("_code", "_name")
     )
-
-
-def lang_name(code: Column) -> Column:
-    """The same look-up as one expression, for streams and small projections."""
-    entries = [F.lit(v) for pair in language_pairs() for v in pair]
-    key = F.lower(code)
-    return F.coalesce(F.try_element_at(F.create_map(*entries), key), key)

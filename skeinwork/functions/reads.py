@@ -25,13 +25,14 @@ def with_read_group(df: DataFrame, **values: str) -> DataFrame:
 
 
 def decode_quality(qual: Column) -> Column:
-    """Quality text to numbers: character code minus 33."""
-    return F.transform(F.split(qual, ""), lambda c: F.ascii(c) - F.lit(33))
+    """Quality text to numbers: character code minus 33; NULL for `*` (no qualities) and NULL."""
+    return F.when(qual != "*", F.transform(F.split(qual, ""), lambda c: F.ascii(c) - F.lit(33)))
 
 
 def guess_quality(quals: Column) -> Column:
-    """SANGER when no quality is above 60, else ILLUMINA."""
-    return F.when(F.array_max(quals) <= SANGER_MAX_QUALITY, F.lit("SANGER")).otherwise(F.lit("ILLUMINA"))
+    """SANGER when no quality is above 60, else ILLUMINA; NULL without qualities."""
+    top = F.array_max(quals)
+    return F.when(top <= SANGER_MAX_QUALITY, F.lit("SANGER")).when(top > SANGER_MAX_QUALITY, F.lit("ILLUMINA"))
 
 
 def fix_quality(quals: Column, on_error: str = "fail") -> Column:
@@ -51,5 +52,5 @@ def reference_length(cigar: Column) -> Column:
 
 
 def alignment_end(pos: Column, cigar: Column) -> Column:
-    """1-based inclusive end of an alignment."""
-    return pos + reference_length(cigar) - F.lit(1)
+    """1-based inclusive end of an alignment; NULL without a CIGAR (`*`)."""
+    return F.when(cigar != "*", pos + reference_length(cigar) - F.lit(1))

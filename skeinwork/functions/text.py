@@ -5,6 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The patterns of the cleaning and of the script rule.
+FIRST_RETWEET_MARK = r"(?s)^(.*?)RT"
+USER_NAME = r"@\p{L}+"
+URL_AND_BLANK = r"https?://\S+\s?"
+KANA, HANGUL = r"\p{InHiragana}", r"\p{IsHangul}"
+
 
 def before_first(s: Column, sep: str) -> Column:
     """Text before the first `sep`; the whole text when it is absent."""
@@ -19,9 +25,9 @@ def after_first(s: Column, sep: str) -> Column:
 
 def clean_tweet(s: Column) -> Column:
     """Drop the first `RT`, every `@name` and every URL with one blank after it."""
-    s = F.regexp_replace(s, r"(?s)^(.*?)RT", "$1")
-    s = F.regexp_replace(s, r"@\p{L}+", "")
-    return F.regexp_replace(s, r"https?://\S+\s?", "")
+    s = F.regexp_replace(s, FIRST_RETWEET_MARK, "$1")
+    s = F.regexp_replace(s, USER_NAME, "")
+    return F.regexp_replace(s, URL_AND_BLANK, "")
 
 
 def one_line(s: Column) -> Column:
@@ -34,8 +40,8 @@ def script_override(lang: Column, text: Column) -> Column:
 
     Hangul is tested on the corrected code, so a text with both scripts is ja.
     """
-    ja = F.when((lang == "lt") & text.rlike(r"\p{InHiragana}"), F.lit("ja")).otherwise(lang)
-    return F.when((ja == "lt") & text.rlike(r"\p{IsHangul}"), F.lit("ko")).otherwise(ja)
+    ja = F.when((lang == "lt") & text.rlike(KANA), F.lit("ja")).otherwise(lang)
+    return F.when((ja == "lt") & text.rlike(HANGUL), F.lit("ko")).otherwise(ja)
 
 
 def head_and_rest(s: Column, sep: str) -> tuple[Column, Column]:

@@ -9,47 +9,52 @@ frontier.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skeinwork.functions.text import percent
 from skeinwork.operators.numbering import global_index
-from skeinwork.operators.skew import hot_keys, salted_join
+from skeinwork.operators.skew import hot_among, hot_keys, salted_join
 from skeinwork.session import materialize
 
-BROADCAST_ROWS = 200_000    # a frontier up to this many ids is broadcast
+BROADCAST_ROWS = 200_000    # a frontier up to this many ids (numbers or names, some MB) is broadcast
 
 
-@dataclass(frozen=True)
+@dataclass
 class CoMembership:
-    """Distinct (person, item) rows, with the people and items that are hot."""
+    """Distinct (person, item) rows, and (item, people) counts."""
 
     members: DataFrame
-    hot_items: DataFrame | None
-    hot_people: DataFrame | None
+    per_item: DataFrame
 
+    @cached_property
+    def hot_items(self) -> DataFrame | None:
+        return hot_among(self.per_item.withColumnRenamed("people", "_n"), ["item"])
 
-def co_membership(members: DataFrame, person: str, item: str) -> CoMembership:
-    """Write the distinct memberships once and find the hot keys of both sides."""
-    pairs = members.select(F.col(person).alias("person"), F.col(item).alias("item"))
-    table = materialize(pairs.where("person is not null and item is not null").distinct(), "members")
-    return CoMembership(table, hot_keys(table, ["item"]), hot_keys(table, ["person"]))
-
+    @cached_property
+    def shared(self) -> DataFrame:
+        """The memberships in items of two or more people: the others lead nowhere."""
+        two = self.per_item.where("people > 1").select("item")
+        return materialize(salted_join(self.members, two, ["item"], ["person"], self.hot_items), "shared")
 
-def _people_per_item(graph: CoMembership) -> DataFrame:
-    return graph.members.groupBy("item").agg(F.count(F.lit(1)).alias("people"))
+    @cached_property
+    def hot_people(self) -> DataFrame | None:
+        return hot_keys(self.shared, ["person"])
 
 
-def _members_with(graph: CoMembership, per_item: DataFrame) -> DataFrame:
-    return salted_join(graph.members, per_item, ["item"], ["person"], graph.hot_items)
+def co_membership(members: DataFrame, person: str, item: str) -> CoMembership:
+    """Write the distinct memberships and the people per item once; what else is needed is found on first use."""
+    pairs = members.select(F.col(person).alias("person"), F.col(item).alias("item"))
+    table = materialize(pairs.where("person is not null and item is not null").distinct(), "members")
+    return CoMembership(table, materialize(table.groupBy("item").agg(F.count(F.lit(1)).alias("people")), "per_item"))
 
 
 def costar_counts(graph: CoMembership) -> DataFrame:
     """Per person: items, and (co-star, item) meetings = rows of the ordered pair list."""
     return (
-        _members_with(graph, _people_per_item(graph))
+        salted_join(graph.members, graph.per_item, ["item"], ["person"], graph.hot_items)
         .groupBy("person")
         .agg(F.count(F.lit(1)).alias("items"), F.sum(F.col("people") - 1).alias("meetings"))
     )
@@ -63,8 +68,7 @@ def count_items(members: DataFrame, item: str, approximate: bool = False) -> Dat
 
 def vertices(graph: CoMembership) -> DataFrame:
     """People with at least one co-star."""
-    shared = _people_per_item(graph).where("people > 1")
-    return _members_with(graph, shared).select("person").distinct()
+    return graph.shared.select("person").distinct()
 
 
 def neighbours(graph: CoMembership, frontier: DataFrame, size: int | None = None) -> DataFrame:
@@ -77,13 +81,13 @@ def neighbours(graph: CoMembership, frontier: DataFrame, size: int | None = None
     if size is None:
         size = frontier.count()
     if size <= BROADCAST_ROWS:
-        touched = graph.members.join(F.broadcast(frontier), "person")
+        touched = graph.shared.join(F.broadcast(frontier), "person")
     else:
-        touched = salted_join(graph.members, frontier, ["person"], ["item"], graph.hot_people)
+        touched = salted_join(graph.shared, frontier, ["person"], ["item"], graph.hot_people)
     per_item = touched.groupBy("item").agg(
         F.count(F.lit(1)).alias("_inside"), F.min("person").alias("_only")
     )
-    reached = _members_with(graph, per_item).where((F.col("_inside") > 1) | (F.col("person") != F.col("_only")))
+    reached = salted_join(graph.shared, per_item, ["item"], ["person"], graph.hot_items).where((F.col("_inside") > 1) | (F.col("person") != F.col("_only")))
     return reached.select("person").distinct()
 
 
@@ -168,6 +172,30 @@ def level_summary(levels: DataFrame, people: DataFrame, group: str, max_level: i
     )
 
 
+def walk_shares(levels: DataFrame, people: DataFrame, group: str, max_level: int = 6) -> DataFrame:
+    """Per walk length: people, by how many more than one step before by group, and those as shares of the group.
+
+    A row for every length, with or without people.
+    """
+    male, female = F.col(group) == "M", F.col(group) == "F"
+    totals = people.agg(F.count(F.lit(1)).alias("_all"), F.count_if(male).alias("_all_m"), F.count_if(female).alias("_all_f"))
+    counted = levels.where(F.col("level").between(1, max_level)).join(people, "person").groupBy("level").agg(
+        F.count(F.lit(1)).alias("people"), F.count_if(male).alias("_m"), F.count_if(female).alias("_f")
+    )
+    frame = people.sparkSession.range(1, max_level + 1).select(F.col("id").cast("int").alias("level"), F.lit(1).alias("_one"))
+    rows = frame.join(F.broadcast(counted), "level", "left").na.fill(0, ["people", "_m", "_f"])
+    # one row of totals next to max_level rows
+    rows = rows.join(F.broadcast(totals.withColumn("_one", F.lit(1))), "_one")
+    in_order = Window.partitionBy(F.lit(0)).orderBy("level")
+    more = lambda c: F.col(c) - F.coalesce(F.lag(c).over(in_order), F.lit(0))
+    return rows.withColumns({"males": more("_m"), "females": more("_f")}).select(
+        "level", "people", "males", "females",
+        F.round(percent(F.col("males"), F.col("_all_m")), 6).alias("pct_males"),
+        F.round(percent(F.col("females"), F.col("_all_f")), 6).alias("pct_females"),
+        F.round(F.try_divide(F.col("people"), F.col("_all")), 6).alias("ratio"),
+    )
+
+
 def walk_summary(levels: DataFrame, max_level: int = 6) -> DataFrame:
     """People per walk length and the difference to the length before."""
     in_order = Window.partitionBy(F.lit(0)).orderBy("level")     # max_level rows

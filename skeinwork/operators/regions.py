@@ -91,3 +91,24 @@ def region_apply(
     # real types, not the strings that the module-level annotations have become
     run.__annotations__ = {"batches": Iterator[pd.DataFrame], "return": Iterator[pd.DataFrame]}
     return sorted_within(df, region, order).groupBy(region).applyInPandas(run, schema)
+
+
+def region_apply_with(
+    left: DataFrame,
+    right: DataFrame,
+    region: str,
+    left_order: list[str],
+    right_order: list[str],
+    fn: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
+    schema: str,
+) -> DataFrame:
+    """User function over two tables' rows of one region, each in order, as pandas frames.
+
+    For regions of bounded size (`balance_regions` with `rows_per_region`);
+    a region without rows on one side gets an empty frame there.
+    """
+
+    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        return fn(a.sort_values(left_order, ignore_index=True), b.sort_values(right_order, ignore_index=True))
+
+    return left.groupBy(region).cogroup(right.groupBy(region)).applyInPandas(run, schema)

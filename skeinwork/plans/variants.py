@@ -7,35 +7,41 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skeinwork.functions.reads import fix_quality, guess_quality, with_read_group
+from skeinwork.functions.reads import UNMAPPED_FLAG, fix_quality, guess_quality, is_main_mapped, with_read_group
 from skeinwork.operators.duplicates import mark_duplicates
 from skeinwork.operators.intervals import coverage_islands, interval_intersect
-from skeinwork.operators.regions import balance_regions, coordinate_order, region_apply
+from skeinwork.operators.regions import balance_regions, region_apply_with
 from skeinwork.operators.variants import sorted_variants, vcf_concordance
+from skeinwork.session import materialize
 from skeinwork.sources.sinks import write_vcf
 from skeinwork.sources.vcf import parse_vcf, read_vcf_keys
 
 
-def with_fixed_quality(reads: DataFrame, region: str, order: list) -> DataFrame:
-    """Encoding of a region is guessed from its first read and applied to all its reads.
+def with_fixed_quality(reads: DataFrame, region: str, order: list, on_error: str = "fail") -> DataFrame:
+    """Encoding of a region is guessed from its first read with qualities and applied to all its reads.
 
-    One row per region is computed by a combined minimum and joined back.
+    One short row per region is computed by a combined minimum and broadcast.
+    `on_error="null"` drops qualities below the range instead of failing.
     """
-    first = reads.groupBy(region).agg(F.min_by(guess_quality(F.col("quals")), F.struct(*order)).alias("encoding"))
-    quals = F.when(F.col("encoding") == "ILLUMINA", fix_quality(F.col("quals"))).otherwise(F.col("quals"))
-    return reads.join(first, region).withColumn("quals", quals)
+    guessed = guess_quality(F.col("quals"))
+    first = reads.where(guessed.isNotNull()).groupBy(region).agg(F.min_by(guessed, F.struct(*order)).alias("encoding"))
+    quals = F.when(F.col("encoding") == "ILLUMINA", fix_quality(F.col("quals"), on_error)).otherwise(F.col("quals"))
+    return reads.join(F.broadcast(first), region, "left").withColumn("quals", quals)
 
 
 def mark_duplicate_reads(reads: DataFrame, id: str) -> DataFrame:
-    """Reads with the same reference, 5' position and strand; the best sum of qualities stays."""
+    """Reads with the same reference, 5' position and strand; the best sum of qualities stays.
+
+    Unmapped reads have no position: none of them is a duplicate.
+    """
+    unmapped = F.col("flag").bitwiseAND(F.lit(UNMAPPED_FLAG)) != 0
     reverse = F.col("flag").bitwiseAND(F.lit(16)) != 0
     quality = F.aggregate("quals", F.lit(0).cast("bigint"), lambda total, q: total + q)
-    keyed = reads.withColumns(
+    keyed = reads.where(~unmapped).withColumns(
         {"_reverse": reverse, "_five_prime": F.when(reverse, F.col("end_pos")).otherwise(F.col("pos")), "_score": quality}
     )
-    return mark_duplicates(keyed, ["ref_index", "_five_prime", "_reverse"], "_score", id).drop(
-        "_reverse", "_five_prime", "_score"
-    )
+    marked = mark_duplicates(keyed, ["ref_index", "_five_prime", "_reverse"], "_score", id).drop("_reverse", "_five_prime", "_score")
+    return marked.unionByName(reads.where(unmapped).withColumn("is_duplicate", F.lit(False)))
 
 
 def covered_regions(reads: DataFrame) -> DataFrame:
@@ -52,31 +58,42 @@ def covered_regions(reads: DataFrame) -> DataFrame:
 
 
 def target_regions(targets: DataFrame, covered: DataFrame) -> DataFrame:
-    """Target intervals (BED) clipped to the covered intervals."""
-    half_open = covered.select("chrom", (F.col("start") - 1).alias("start"), "end")
-    return interval_intersect(targets, half_open)
+    """Per region, its target intervals (BED: chrom, start, end) clipped to its covered intervals."""
+    half_open = covered.select("region", "chrom", (F.col("start") - 1).alias("start"), "end")
+    return interval_intersect(half_open, targets.select("chrom", "start", "end"))
 
 
 def call_variants(
     reads: DataFrame,
+    targets: DataFrame,
     caller: Callable,
-    regions: int,
-    read_id: str = "qname",
+    regions: int | None = None,
+    rows_per_region: int | None = None,
+    read_id: str = "read_id",
+    read_group: dict[str, str] | None = None,
+    on_error: str = "fail",
 ) -> DataFrame:
-    """Reads of the main chromosomes to an ordered variant table.
-
-    `caller` gets the sorted reads of one region as pandas chunks and yields
-    frames with one column `value` of VCF lines.
+    """Reads to an ordered variant table.
+
+    Mapped reads of the main chromosomes; duplicates marked; read group;
+    regions of even size; qualities in one encoding; the covered intervals of a
+    region and its targets in them; `caller` per region; the lines of all
+    regions in one order. `caller` gets the reads of one region in coordinate
+    order and the region's targets, as pandas frames, and returns a frame with
+    one column `value` of VCF lines. `read_id` must be unique.
     """
-    order = coordinate_order("ref_index", "pos", read_id, "flag")
-    balanced = balance_regions(with_read_group(reads), order, regions)
-    fixed = with_fixed_quality(balanced, "region", order)
-    lines = region_apply(fixed, "region", order, caller, "value string")
+    main = reads.where(is_main_mapped(F.col("flag"), F.col("ref_index")))
+    grouped = with_read_group(mark_duplicate_reads(main, read_id), **(read_group or {}))
+    order = ["ref_index", "pos", read_id]
+    balanced = balance_regions(grouped, order, regions, rows_per_region)
+    fixed = materialize(with_fixed_quality(balanced, "region", order, on_error), "region_reads")
+    own = materialize(target_regions(targets, covered_regions(fixed)), "region_targets")
+    lines = region_apply_with(fixed, own, "region", order, ["chrom", "start", "end"], caller, "value string")
     return sorted_variants(parse_vcf(lines))
 
 
-def run(reads: DataFrame, caller: Callable, regions: int, out: str) -> None:
-    write_vcf(call_variants(reads, caller, regions), out)
+def run(reads: DataFrame, targets: DataFrame, caller: Callable, rows_per_region: int, out: str, **how) -> None:
+    write_vcf(call_variants(reads, targets, caller, rows_per_region=rows_per_region, **how), out)
 
 
 def compare(spark: SparkSession, reference: str, found: str) -> DataFrame:

@@ -25,7 +25,12 @@ def normal(columns, rows):
 
 
 @pytest.mark.skipif(not pathlib.Path(SF_DIR).exists(), reason="test tables are not here")
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+def own(name):
+    """The queries of optional parts have tests of their own."""
+    return entry.queries()[name].__module__.startswith("skeinwork.catalog.")
+
+
+@pytest.mark.parametrize("name", sorted(filter(own, entry.queries())))
 def test_query(spark, duck, name):
     df = entry.queries()[name](spark, SF_DIR)
     result = duck.execute(entry.oracle_sql()[name])

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skeinwork.operators import graph as g
+from skeinwork.operators import skew
 from skeinwork.plans.costar import costar_report, run
 
 
@@ -36,6 +37,8 @@ def random_pairs(seed):
 @pytest.mark.parametrize("limit", [g.BROADCAST_ROWS, 0])
 def test_against_brute_force(spark, rows, monkeypatch, limit):
     monkeypatch.setattr(g, "BROADCAST_ROWS", limit)
+    monkeypatch.setattr(skew, "LEAST_ROWS", 5)
+    monkeypatch.setattr(skew, "task_rows", lambda spark, rows: 5)
     pairs = random_pairs(7)
     near, level, walks = brute(pairs, "p0", 5)
     df = spark.createDataFrame(pairs + pairs[:9], "person string, film string")
@@ -87,5 +90,10 @@ def test_report_from_files(spark, tmp_path):
     assert tuple(report["totals"].first()) == (3, 2, 1)
     assert [tuple(r)[:4] for r in report["levels"].orderBy("level").collect()] == [(1, 1, 1, 0), (2, 1, 0, 1)]
     assert [(r["group"], r["person"], r["number"]) for r in report["members"].collect()] == [("F", "A", 1)]
+    walks = costar_report(*args, max_level=3, walks=True)
+    # A - B - a: everyone has a walk of length 3, those next to A have none of length 2
+    assert [(r["level"], r["people"], r["males"], r["females"], r["pct_males"]) for r in walks["levels"].orderBy("level").collect()] == [
+        (1, 1, 1, 0, 50.0), (2, 2, 0, 1, 0.0), (3, 1, 0, -1, 0.0)]
+    assert [(r["group"], r["person"], r["number"]) for r in walks["members"].collect()] == [("M", "B", 1)]
     run(*args, str(tmp_path / "out"))
     assert (tmp_path / "out/levels").exists()

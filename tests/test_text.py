@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from skeinwork.functions import text, titles
-from skeinwork.functions.langname import lang_name, with_language_name
+from skeinwork.functions.langname import with_language_name
 from skeinwork.operators.totals import lang_totals
 
 
@@ -43,10 +43,9 @@ def test_titles(spark):
 
 
 def test_language_names(spark, rows):
-    df = spark.createDataFrame([("fr",), ("ZZ",), ("iw",), ("English",)], "code string")
-    want = [("English", "english"), ("ZZ", "zz"), ("fr", "French"), ("iw", "Hebrew")]
+    df = spark.createDataFrame([("fr",), ("ZZ",), ("iw",), ("English",), ("WAR",), ("ceb",), (None,)], "code string")
+    want = [("English", "english"), ("WAR", "Waray"), ("ZZ", "zz"), ("ceb", "Cebuano"), ("fr", "French"), ("iw", "Hebrew"), (None, None)]
     assert rows(with_language_name(df, "code", "name")) == want
-    assert rows(df.select("code", lang_name(F.col("code")).alias("name"))) == want
 
 
 def test_percent_of_nothing_is_null(spark):
@@ -61,3 +60,5 @@ def test_totals_do_not_depend_on_partitions(spark, rows):
     assert rows(lang_totals(df.repartition(1))) == want
     assert rows(lang_totals(df.repartition(8))) == want
     assert len(rows(lang_totals(df, exclude_self=False))) == 3
+    untitled = df.unionByName(spark.createDataFrame([("zz", None, 9)], df.schema))
+    assert rows(lang_totals(untitled)) == [("French", "fr", 240, "Tour", 120), ("zz", "zz", 14, None, 9)]

@@ -52,25 +52,42 @@ def make_reads(spark):
 
 
 def first_base_caller():
-    def call(chunks):
-        for chunk in chunks:
-            lines = [f"{r.rname}\t{r.pos}\t{r.qname}\tA\tC\t{max(r.quals)}" for r in chunk.itertuples()]
-            yield pd.DataFrame({"value": ["#comment", *lines]})
+    """A line per read that begins in a target of its region."""
+
+    def call(reads, targets):
+        lines = ["#comment"]
+        for r in reads.itertuples():
+            own = targets[(targets["chrom"] == r.rname) & (targets["start"] < r.pos) & (r.pos <= targets["end"])]
+            if len(own) and not r.is_duplicate:
+                lines.append(f"{r.rname}\t{r.pos}\t{r.qname}\tA\tC\t{max(r.quals)}")
+        return pd.DataFrame({"value": lines})
 
     return call
 
 
 def test_reads_to_ordered_variants(spark, tmp_path):
     reads, call_first_base = make_reads(spark), first_base_caller()
-    got = job.call_variants(reads, call_first_base, 4).collect()
+    everywhere = spark.createDataFrame([("chr1", 0, 1000), ("chr2", 0, 250)], "chrom string, start bigint, end bigint")
+    call = lambda n: job.call_variants(reads, everywhere, call_first_base, n, read_id="qname")
+    got = call(4).collect()
     places = [(r["chrom_no"], r["pos"]) for r in got]
-    assert len(places) == 60 and places == sorted(places)
+    want = sorted((1 if i % 2 else 2, 1 + (i * 37) % 500) for i in range(60))
+    assert places == [p for p in want if p[0] == 1 or p[1] <= 250]
     assert max(int(r["line"].split("\t")[5]) for r in got) == 126 - 33 - 31      # shifted encoding was fixed
-    job.run(reads, call_first_base, 4, str(tmp_path / "final"))
-    compared = job.compare(spark, str(tmp_path / "final/lines"), str(tmp_path / "final/lines"))
-    assert compared.first()["diff"] == 0 and compared.first()["total"] == 60
-    twice = sorted_variants(job.call_variants(reads, call_first_base, 4).unionByName(job.call_variants(reads, call_first_base, 2)), dedup=True)
-    assert twice.count() == 60
+    job.run(reads, everywhere, call_first_base, 15, str(tmp_path / "final"), read_id="qname")
+    compared = job.compare(spark, str(tmp_path / "final"), str(tmp_path / "final"))
+    assert compared.first()["diff"] == 0 and compared.first()["total"] == len(want) - sum(p[0] == 2 and p[1] > 250 for p in want)
+    twice = sorted_variants(call(4).unionByName(call(2)), dedup=True)
+    assert twice.count() == len(got)
+
+
+def test_unmapped_reads_and_bad_qualities(spark, rows):
+    schema = "id int, region int, ref_index int, pos bigint, end_pos bigint, flag int, quals array<int>"
+    data = [(1, 0, 1, 10, 20, 4, [70]), (2, 0, 1, 10, 20, 4, [70]), (3, 0, 1, 10, 20, 0, [70]), (4, 0, 1, 10, 20, 0, [5]), (5, 0, 1, 10, 20, 0, None)]
+    df = spark.createDataFrame(data, schema)
+    assert rows(job.mark_duplicate_reads(df, "id").select("id", "is_duplicate")) == [(1, False), (2, False), (3, False), (4, True), (5, True)]
+    fixed = job.with_fixed_quality(df, "region", ["id"], on_error="null")
+    assert {r["id"]: r["quals"] for r in fixed.collect()} == {1: [39], 2: [39], 3: [39], 4: None, 5: None}
 
 
 def test_covered_and_target_regions(spark, rows):
@@ -86,7 +103,7 @@ def test_covered_and_target_regions(spark, rows):
     assert rows(covered.where("region = 0").select("start", "end")) == sorted(map(tuple, merged), key=repr)
     targets = spark.createDataFrame([("chr1", 0, 100), ("chr3", 0, 9)], "chrom string, start bigint, end bigint")
     clipped = job.target_regions(targets, covered)
-    assert all(r["start"] >= 0 and r["end"] <= 100 and r["chrom"] == "chr1" for r in clipped.collect())
+    assert all(r["start"] >= 0 and r["end"] <= 100 and r["chrom"] == "chr1" and r["region"] == 0 for r in clipped.collect())
 
 
 def test_duplicate_reads(spark, rows):
