@@ -86,6 +86,7 @@ def featured(found: DataFrame, dictionary: DataFrame) -> DataFrame:
     known = grams.join(dictionary.withColumn("known", F.lit(1)), "gram", "left").groupBy("value").agg(
         (F.coalesce(F.sum("known"), F.lit(0)) / F.count(F.lit(1))).alias("coverage")
     )
+    known = materialize(known, "coverage")      # the join back can then be split at a value that occurs often
     before = F.expr("substring_index(word, value, 1)")
     marks = found.join(known, "value", "left").na.fill(0.0, ["coverage"])
     flag = lambda c: c.cast("double")
