@@ -2,18 +2,20 @@
 
 A document's set holds the 64-bit hashes of its distinct word n-grams. Equal
 sets form a class, so copies are compared once. Two classes can only link when
-they share an element among the first `n - ceil(t n) + 1` of their sets in a
-common order; the order puts elements that many documents share last. A shared
-element puts sets into a tile.
+they share one of the first `n - ceil(t n) + 1` elements of their sets in a
+common order. The order: low hashes (a fixed share of all) that one class has
+alone, low hashes that several share, those of the fewest classes first, then
+the high hashes. So a set whose low elements are mostly its own has nothing in
+common with another in its first ones, and is done after one shuffle of the low
+elements. Which are shared is counted over all documents.
 
-Sets meet in tiles, never in a cross join:
+The others meet in tiles of a shared element, never in a cross join:
 
-1. An element with one class is dropped while its sorted run streams by.
-2. In each tile the others are compared with one pivot, twice with different
+1. In each tile the classes are compared with one pivot, twice with different
    pivots. A tile whose classes are connected by then needs nothing more: a
    large group of near copies costs one comparison per class and pivot.
-3. What is left are pairs across components; all of them are compared.
-4. Inside a component, classes are cut into size-banded tiles of bounded width
+2. What is left are pairs across components; all of them are compared.
+3. Inside a component, classes are cut into size-banded tiles of bounded width
    to count the links of every class.
 
 Before arrays are compared, bit counts of hashed bitmap signatures bound the
@@ -36,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
@@ -46,9 +48,8 @@ from skeinwork.session import materialize
 
 WORDS = 5
 PERCENT = 75
-COMMON_LOCAL = 6            # an element in so many texts of a run of texts is reported as common
-COMMON_ELEMENTS = 100_000   # the most common ones that the order puts last; a bound on what is broadcast, not on results
-RUN_ELEMENTS = 3_000_000
+LOW_SHARE = 0.4             # share of the hashes that is low
+KEY_BITS = 48               # bits of a hash that stand for an element until arrays are compared
 TILE = 128                  # classes on one side of a tile
 SIGNATURE = 8               # 64-bit words of a bitmap signature
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -100,76 +101,36 @@ def prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def _sets(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray, np.ndarray]:
-    """(id, n, set, half) per row, and the common elements in ascending order with their counts."""
-    kind = docs.schema["id"].dataType.simpleString()
+def first_keys(elements: np.ndarray, percent: int) -> np.ndarray:
+    """Keys of the low elements, and of more in ascending order where the first `prefix_size` elements reach beyond.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held, size = kept("shingle words", _Hashes), [], 0
+    Two elements with one key count as one; that leaves the bound on shared
+    first elements as it is.
+    """
+    keys = elements >> np.uint64(64 - KEY_BITS)
+    keys = keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) else keys
+    low = int(np.searchsorted(keys, np.uint64(int(LOW_SHARE * (1 << KEY_BITS)))))
+    return keys[: max(low, prefix_size(len(elements), percent))].astype(np.int64)
 
-        def common() -> pa.RecordBatch:
-            found, counts = np.unique(np.concatenate(held), return_counts=True)
-            often = counts >= COMMON_LOCAL
-            n = int(often.sum())
-            return pa.RecordBatch.from_arrays(
-                [pa.nulls(n, id_type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), pa.array(found[often].view(np.int64)), pa.array(counts[often])], names
-            )
 
-        names, id_type = ["id", "n", "set", "half", "element", "texts"], pa.int64()
-        for batch in batches:
-            id_type, sizes, digests = batch.schema.field(0).type, [], []
-            for text in batch.column(1):
-                own = shingle_set(text.as_py(), hashes, width)
-                sizes.append(len(own))
-                digests.append(set_digest(own))
-                held.append(own)
-                size += len(own)
-                if size >= RUN_ELEMENTS:
-                    yield common()
-                    held, size = [], 0
-            n = len(sizes)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array([half_of(d) for d in digests], pa.int64()),
-                 pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names
-            )
-        if size:
-            yield common()
-
-    both = materialize(docs.mapInArrow(run, f"id {kind}, n long, set binary, half long, element long, texts long"), "sets")
-    often = both.where("element is not null").groupBy("element").agg(F.sum("texts").alias("texts"))
-    rows = often.orderBy(F.desc("texts"), "element").limit(COMMON_ELEMENTS).toArrow()
-    elements, texts = rows.column("element").to_numpy().view(np.uint64), rows.column("texts").to_numpy()
-    order = np.argsort(elements)
-    return both.where("element is null").select("id", "n", "set", "half"), elements[order], texts[order]
-
-
-def _prefixes(docs: DataFrame, width: int, percent: int, elements: np.ndarray, texts: np.ndarray) -> DataFrame:
-    """(element, set): the prefix of every row's set; `set` is the first half of its digest."""
-    shared = docs.sparkSession.sparkContext.broadcast((elements, texts))
+def _sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(id, n, set, half, keys) per row; `half` is the first half of the digest `set`."""
+    kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, (often, weight) = kept("shingle words", _Hashes), shared.value
+        hashes = kept("shingle words", _Hashes)
         for batch in batches:
-            out, sets, held = [], [], 0
-            for text in batch.column(1):
-                own = shingle_set(text.as_py(), hashes, width)
-                if not len(own):
-                    continue
-                level = np.zeros(len(own), np.int64)
-                if len(often):
-                    at = np.minimum(np.searchsorted(often, own), len(often) - 1)
-                    level = np.where(often[at] == own, weight[at], 0)
-                first = own[np.argsort(level, kind="stable")[: prefix_size(len(own), percent)]] if level.any() else own[: prefix_size(len(own), percent)]
-                out.append(first)
-                sets.append(np.full(len(first), half_of(set_digest(own)), np.int64))
-                held += len(first)
-                if held > 200_000:
-                    yield pa.RecordBatch.from_arrays([np.concatenate(out).view(np.int64), np.concatenate(sets)], ["element", "half"])
-                    out, sets, held = [], [], 0
-            if out:
-                yield pa.RecordBatch.from_arrays([np.concatenate(out).view(np.int64), np.concatenate(sets)], ["element", "half"])
-
-    return docs.mapInArrow(run, "element long, half long")
+            for start in range(0, batch.num_rows, 512):
+                sets = [shingle_set(t.as_py(), hashes, width) for t in batch.column(1).slice(start, 512)]
+                digests, keys = [set_digest(x) for x in sets], [first_keys(x, percent) for x in sets]
+                lists = pa.ListArray.from_arrays(np.cumsum([0, *map(len, keys)]).astype(np.int32), np.concatenate(keys))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(start, 512), pa.array([len(x) for x in sets], pa.int64()), pa.array(digests, pa.binary()),
+                     pa.array([half_of(d) for d in digests], pa.int64()), lists],
+                    ["id", "n", "set", "half", "keys"],
+                )
+
+    return materialize(docs.mapInArrow(run, f"id {kind}, n long, set binary, half long, keys array<bigint>"), "sets")
 
 
 def shared_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,6 +161,25 @@ def shared_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([last[0]]), pa.array([last[1]])], ["element", "half"])
 
 
+def _tiles(sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(element, set, n): the classes that may link, by the shared elements among their first ones."""
+    # one shuffle of the keys; the run of a key streams through its task
+    keys = sets.select(F.explode("keys").alias("element"), "half").repartition("element").sortWithinPartitions("element", "half")
+    shared = materialize(keys.mapInArrow(shared_runs, "element long, half long"), "shared_keys")
+    first = F.col("n") - F.ceil(percent * F.col("n") / 100) + 1
+    counted = shared.groupBy("half").agg(F.count(F.lit(1)).alias("common"))
+    # of the first elements, those that no other class has come before; the rest are shared ones
+    open_ = counted.join(classes.select("half", "set", "n", "keys"), "half").withColumn("rank", (first - F.col("keys") + F.col("common")).cast("int"))
+    open_ = materialize(open_.where("rank > 0").select("half", "set", "n", "rank"), "open_classes")
+    often = shared.groupBy("element").agg(F.count(F.lit(1)).alias("often"))
+    # a class has no more rows here than its text has n-grams
+    order = Window.partitionBy("set").orderBy("often", "element")
+    chosen = shared.join(open_, "half").join(often, "element").withColumn("place", F.row_number().over(order)).where("place <= rank")
+    chosen = materialize(chosen.select("element", "set", "n"), "first_elements")
+    several = chosen.groupBy("element").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("element")
+    return materialize(chosen.join(several, "element"), "tiles")
+
+
 def _arrays(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
     """(set, n, s0.., elements) of the wanted classes, from the text of one of their rows."""
 
@@ -358,14 +338,15 @@ def _link_counts(classes: DataFrame, arrays: DataFrame, percent: int) -> DataFra
 def jaccard_components(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Per row: id, `n_shingles`, `component_id` (smallest id reachable by links), `n_links` (documents it links with)."""
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    sets, elements, texts = _sets(rows, width)
+    sets = _sets(rows, width, percent)
     classes = materialize(
-        sets.where("n > 0").groupBy("set").agg(F.min("id").alias("first_id"), F.first("n").alias("n"), F.first("half").alias("half"), F.count(F.lit(1)).alias("copies")), "classes"
+        sets.where("n > 0").groupBy("set").agg(
+            F.min("id").alias("first_id"), F.first("n").alias("n"), F.first("half").alias("half"), F.first(F.size("keys")).alias("keys"), F.count(F.lit(1)).alias("copies")
+        ),
+        "classes",
     )
-    # one shuffle of the prefixes; a run of one element streams through its task
-    prefixes = _prefixes(rows, width, percent, elements, texts).repartition("element").sortWithinPartitions("element", "half")
-    runs = materialize(prefixes.mapInArrow(shared_runs, "element long, half long"), "runs")
-    tiles = materialize(runs.join(classes.select("half", "set", "n"), "half").select("element", "set", "n"), "tiles")
+    tiles = _tiles(sets, classes, percent)
+    sets = sets.drop("keys", "half")
     met = materialize(tiles.select("set").distinct().join(classes, "set"), "met")
     arrays = _arrays(rows, met, width)
     labels = _components(tiles, arrays, percent)

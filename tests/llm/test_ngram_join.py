@@ -65,7 +65,8 @@ def corpus(seed):
 @pytest.mark.parametrize("seed", range(3))
 def test_against_brute_force(spark, rows, seed, monkeypatch):
     monkeypatch.setattr(ngram_join, "TILE", 4)
-    monkeypatch.setattr(ngram_join, "COMMON_LOCAL", 3)
+    monkeypatch.setattr(ngram_join, "LOW_SHARE", (0.4, 0.05, 1.0)[seed])
+    monkeypatch.setattr(ngram_join, "KEY_BITS", (48, 48, 10)[seed])     # with few bits, elements share keys
     data = corpus(seed)
     data += [(1000, None, None, None), (1001, "", None, None), (1002, " \t\n", None, 1), (None, "lonely text of null id here", None, None)]
     data += [(None, data[3][1], None, None), (5, data[5][1], None, None), (5, data[5][1], None, None), (1003, "é " * 30_000, "x", None)]
