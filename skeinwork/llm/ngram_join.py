@@ -2,8 +2,8 @@
 
 A document's set holds the 64-bit hashes of its distinct word n-grams. Equal
 sets form a class, so copies are compared once. Two classes can only link when
-they share one of the first `n - ceil(t n) + 1` elements of their sets in a
-common order. The order: low hashes (a fixed share of all) that one class has
+they share elements among the first `n - ceil(t n) + k` of their sets in a
+common order: k of them at least, more when their sizes are close. The order: low hashes (a fixed share of all) that one class has
 alone, low hashes that several share, those of the fewest classes first, then
 the high hashes. So a set whose low elements are mostly its own has nothing in
 common with another in its first ones, and is done after one shuffle of the low
@@ -14,7 +14,11 @@ The others meet in tiles of a shared element, never in a cross join:
 1. In each tile the classes are compared with one pivot, twice with different
    pivots. A tile whose classes are connected by then needs nothing more: a
    large group of near copies costs one comparison per class and pivot.
-2. What is left are pairs across components; all of them are compared.
+2. What is left are pairs across components that share enough first elements.
+   Small tiles give them by a join on the element. A large tile, cut into blocks
+   of bounded width, tests its pairs in place: sizes, bit counts, the number of
+   shared first elements, and whether it is the pair's first large tile, so a
+   pair is passed on once however much it shares.
 3. Inside a component, classes are cut into size-banded tiles of bounded width
    to count the links of every class.
 
@@ -48,6 +52,9 @@ from skeinwork.session import materialize
 
 WORDS = 5
 PERCENT = 75
+SHARED_FIRST = 4            # k: shared first elements that a pair has at least
+LARGE_TILE = 48             # classes above which a tile tests its pairs in place
+BLOCK = 1024                # classes on one side of a block of a large tile
 LOW_SHARE = 0.4             # share of the hashes that is low
 KEY_BITS = 48               # bits of a hash that stand for an element until arrays are compared
 TILE = 128                  # classes on one side of a tile
@@ -97,24 +104,36 @@ def signature(elements: np.ndarray, words: int = SIGNATURE) -> np.ndarray:
     return np.packbits(bits).view("<u8")
 
 
-def prefix_size(n: int, percent: int) -> int:
-    return n - -(-percent * n // 100) + 1
+def first_size(n: int, percent: int) -> int:
+    """How many first elements of a set of n count."""
+    return min(n, n - -(-percent * n // 100) + SHARED_FIRST)
 
 
-def first_keys(elements: np.ndarray, percent: int) -> np.ndarray:
-    """Keys of the low elements, and of more in ascending order where the first `prefix_size` elements reach beyond.
+def least_shared(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """First elements that linked sets of these sizes share at least.
 
-    Two elements with one key count as one; that leaves the bound on shared
-    first elements as it is.
+    With an overlap of o, the i-th shared element is among the first i + n - o
+    of a set of n.
+    """
+    most = -(-percent * (a + b) // (100 + percent))
+    first = lambda n: np.minimum(n, n - -(-percent * n // 100) + SHARED_FIRST)
+    return np.minimum(first(a) - (a - most), first(b) - (b - most))
+
+
+def first_keys(elements: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+    """Keys of the low elements, and of more in ascending order where the first elements that count reach beyond.
+
+    Two elements with one key count as one; their number is returned, too, as
+    linked sets may share so many keys fewer than elements.
     """
     keys = elements >> np.uint64(64 - KEY_BITS)
     keys = keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) else keys
     low = int(np.searchsorted(keys, np.uint64(int(LOW_SHARE * (1 << KEY_BITS)))))
-    return keys[: max(low, prefix_size(len(elements), percent))].astype(np.int64)
+    return keys[: max(low, first_size(len(elements), percent))].astype(np.int64), len(elements) - len(keys)
 
 
 def _sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """(id, n, set, half, keys) per row; `half` is the first half of the digest `set`."""
+    """(id, n, set, half, keys, lost) per row; `half` is the first half of the digest `set`."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,15 +141,15 @@ def _sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 sets = [shingle_set(t.as_py(), hashes, width) for t in batch.column(1).slice(start, 512)]
-                digests, keys = [set_digest(x) for x in sets], [first_keys(x, percent) for x in sets]
+                digests, (keys, lost) = [set_digest(x) for x in sets], zip(*(first_keys(x, percent) for x in sets))
                 lists = pa.ListArray.from_arrays(np.cumsum([0, *map(len, keys)]).astype(np.int32), np.concatenate(keys))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(start, 512), pa.array([len(x) for x in sets], pa.int64()), pa.array(digests, pa.binary()),
-                     pa.array([half_of(d) for d in digests], pa.int64()), lists],
-                    ["id", "n", "set", "half", "keys"],
+                     pa.array([half_of(d) for d in digests], pa.int64()), lists, pa.array(lost, pa.int64())],
+                    ["id", "n", "set", "half", "keys", "lost"],
                 )
 
-    return materialize(docs.mapInArrow(run, f"id {kind}, n long, set binary, half long, keys array<bigint>"), "sets")
+    return materialize(docs.mapInArrow(run, f"id {kind}, n long, set binary, half long, keys array<bigint>, lost long"), "sets")
 
 
 def shared_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,22 +181,31 @@ def shared_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _tiles(sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(element, set, n): the classes that may link, by the shared elements among their first ones."""
+    """(element, set, n, lost): the classes that may link, by the shared elements among their first ones."""
     # one shuffle of the keys; the run of a key streams through its task
     keys = sets.select(F.explode("keys").alias("element"), "half").repartition("element").sortWithinPartitions("element", "half")
     shared = materialize(keys.mapInArrow(shared_runs, "element long, half long"), "shared_keys")
-    first = F.col("n") - F.ceil(percent * F.col("n") / 100) + 1
+    least = F.ceil(percent * F.col("n") / 100)
+    first = F.least(F.col("n"), F.col("n") - least + SHARED_FIRST)
+    needed = F.greatest(F.lit(1), F.least(F.lit(SHARED_FIRST), least) - F.col("lost"))
     counted = shared.groupBy("half").agg(F.count(F.lit(1)).alias("common"))
     # of the first elements, those that no other class has come before; the rest are shared ones
-    open_ = counted.join(classes.select("half", "set", "n", "keys"), "half").withColumn("rank", (first - F.col("keys") + F.col("common")).cast("int"))
-    open_ = materialize(open_.where("rank > 0").select("half", "set", "n", "rank"), "open_classes")
+    open_ = counted.join(classes.select("half", "set", "n", "keys", "lost"), "half").withColumns(
+        {"rank": (first - F.col("keys") + F.col("common")).cast("int"), "needed": needed}
+    )
+    open_ = materialize(open_.where("rank >= needed").select("half", "set", "n", "lost", "rank", "needed"), "open_classes")
     often = shared.groupBy("element").agg(F.count(F.lit(1)).alias("often"))
     # a class has no more rows here than its text has n-grams
     order = Window.partitionBy("set").orderBy("often", "element")
     chosen = shared.join(open_, "half").join(often, "element").withColumn("place", F.row_number().over(order)).where("place <= rank")
-    chosen = materialize(chosen.select("element", "set", "n"), "first_elements")
-    several = chosen.groupBy("element").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("element")
-    return materialize(chosen.join(several, "element"), "tiles")
+    chosen = materialize(chosen.select("element", "set", "n", "lost", "needed"), "first_elements")
+    for _ in range(2):
+        # an element with one class left counts no longer, nor does a class with too few elements left
+        several = chosen.groupBy("element").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("element")
+        chosen = materialize(chosen.join(several, "element"), "first_elements")
+        enough = chosen.groupBy("set").agg(F.count(F.lit(1)).alias("c"), F.first("needed").alias("k")).where("c >= k").select("set")
+        chosen = materialize(chosen.join(enough, "set"), "first_elements")
+    return chosen.drop("needed")
 
 
 def _arrays(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
@@ -240,7 +268,7 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _components(tiles: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
-    """(set, label) for the classes in the tiles."""
+    """(set, label) for the classes in the tiles. Input: (element, set, n, lost)."""
     labels = materialize(tiles.select("set").distinct().select("set", F.col("set").alias("label")), "labels")
     near = lambda a, b: 100 * F.least(a, b) >= percent * F.greatest(a, b)
     for turn in range(2):
@@ -253,17 +281,102 @@ def _components(tiles: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
         pairs = met.groupBy("label", F.col("p.label").alias("other")).agg(F.min(F.struct("set", F.col("p.set").alias("b"))).alias("x"))
         pairs = pairs.select(F.least("x.set", "x.b").alias("a"), F.greatest("x.set", "x.b").alias("b")).distinct()
         labels = _merged(labels, _linked(materialize(pairs, "pairs"), arrays, percent))
-    marked = tiles.join(labels, "set")
-    # every pair across components has a side outside the tile's first component
-    tops = marked.groupBy("element").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-    rest = materialize(marked.join(tops.select("element", "low"), "element"), "rest")
-    left = rest.where("label <> low").select("element", F.col("set").alias("x"), F.col("n").alias("xn"), F.col("label").alias("xl"))
-    right = rest.select("element", F.col("set").alias("y"), F.col("n").alias("yn"), F.col("label").alias("yl"))
-    cross = left.join(right, "element").where("xl <> yl").where(near(F.col("xn"), F.col("yn")))
-    pairs = cross.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    pairs = _open_pairs(materialize(tiles.join(labels, "set"), "marked"), arrays, percent)
     return _merged(labels, _linked(materialize(pairs, "pairs"), arrays, percent))
 
 
+def _open_pairs(marked: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) of classes across components that share enough first elements.
+
+    Input: (element, set, n, lost, label).
+    """
+    tops = marked.groupBy("element").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("width"))
+    open_ = materialize(marked.join(tops.where("low <> high").select("element", "low", "width"), "element"), "open_tiles")
+    small = open_.where(F.col("width") <= LARGE_TILE)
+    # every pair across components has a side outside the tile's first component
+    side = lambda x: [F.col(c).alias(f"{x}_{c}") for c in ("set", "n", "lost", "label")]
+    met = small.where("label <> low").select("element", *side("x")).join(small.select("element", *side("y")), "element")
+    met = met.where("x_label <> y_label").where(100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n"))
+    # a pair of two other components meets from either side
+    met = met.select("element", *[F.when(F.col("x_set") < F.col("y_set"), F.col(f"{i}_{c}")).otherwise(F.col(f"{j}_{c}")).alias(f"{o}_{c}")
+                                  for o, i, j in (("a", "x", "y"), ("b", "y", "x")) for c in ("set", "n", "lost")]).distinct()
+    most = F.ceil(percent * (F.col("a_n") + F.col("b_n")) / (100 + percent))
+    first = lambda n: F.least(n, n - F.ceil(percent * n / 100) + SHARED_FIRST)
+    needed = F.least(*[first(F.col(f"{x}_n")) - (F.col(f"{x}_n") - most) for x in "ab"]) - F.least("a_lost", "b_lost")
+    together = met.groupBy("a_set", "b_set", "a_n", "b_n", "a_lost", "b_lost").agg(F.count(F.lit(1)).alias("c"))
+    # pairs that share an element of a large tile, too, are found there
+    from_small = together.where(F.col("c") >= needed).select(F.col("a_set").alias("a"), F.col("b_set").alias("b"))
+
+    large = open_.where(F.col("width") > LARGE_TILE)
+    lists = open_.groupBy("set").agg(
+        F.sort_array(F.collect_list(F.when(F.col("width") > LARGE_TILE, F.col("element")))).alias("large"),
+        F.sort_array(F.collect_list(F.when(F.col("width") <= LARGE_TILE, F.col("element")))).alias("small"),
+    )
+    marks = [f"s{k}" for k in range(SIGNATURE)]
+    rows = large.join(materialize(lists.where(F.size("large") > 0), "element_lists"), "set").join(arrays.select("set", *marks), "set")
+    blocks = F.ceil(F.col("width") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int")
+    cells = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(
+        F.least(F.col("own"), j).alias("i"), F.greatest(F.col("own"), j).alias("j"), (F.col("own") > j).alias("second")))
+    rows = rows.withColumn("blocks", blocks).withColumn("own", own).withColumn("cell", F.explode(cells))
+    rows = rows.select("element", "cell.*", "set", "n", "lost", "label", "large", "small", *marks)
+
+    def tested(group: pd.DataFrame) -> pd.DataFrame:
+        same = group["i"].iloc[0] == group["j"].iloc[0]
+        second = group["second"].to_numpy()
+        one, two = (np.arange(len(group)),) * 2 if same else (np.flatnonzero(~second), np.flatnonzero(second))
+        found = block_pairs(group, one, two, percent)
+        names = group["set"].to_numpy()
+        ends = [(names[x], names[y]) if names[x] < names[y] else (names[y], names[x]) for x, y in found]
+        return pd.DataFrame(ends, columns=["a", "b"], dtype=object)
+
+    return from_small.union(rows.groupBy("element", "i", "j").applyInPandas(tested, "a binary, b binary")).distinct()
+
+
+def block_pairs(group: pd.DataFrame, one: np.ndarray, two: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Pairs of a large tile's rows that this tile passes on.
+
+    Labels differ, sizes and bit counts allow a link, no smaller large element
+    is shared, and enough first elements are.
+    """
+    element, n, lost = group["element"].iloc[0], group["n"].to_numpy(), group["lost"].to_numpy()
+    label = pd.factorize(group["label"])[0]
+    marks = group[[f"s{k}" for k in range(SIGNATURE)]].to_numpy().view(np.uint64)
+    lists = {c: [np.asarray(x, np.int64) for x in group[c]] for c in ("large", "small")}
+    out = []
+
+    def shared(c: str, x: int, others: np.ndarray):
+        """Per other row: how many of its elements x has, and the smallest of those."""
+        mine, sizes = lists[c][x], np.array([len(lists[c][y]) for y in others])
+        count, least = np.zeros(len(others), np.int64), np.full(len(others), np.iinfo(np.int64).max)
+        full = sizes > 0
+        if len(mine) and full.any():
+            joined = np.concatenate([lists[c][y] for y in others[full]])
+            at = np.minimum(np.searchsorted(mine, joined), len(mine) - 1)
+            hit = mine[at] == joined
+            starts = np.cumsum([0, *sizes[full][:-1]])
+            count[full] = np.add.reduceat(hit.astype(np.int64), starts)
+            least[full] = np.minimum.reduceat(np.where(hit, joined, np.iinfo(np.int64).max), starts)
+        return count, least
+
+    diagonal = one is two
+    for x in one:
+        ys = two[two > x] if diagonal else two
+        ys = ys[(label[ys] != label[x]) & (100 * np.minimum(n[ys], n[x]) >= percent * np.maximum(n[ys], n[x]))]
+        if len(ys):
+            mine = n[x] - np.bitwise_count(marks[x] & ~marks[ys]).sum(1, dtype=np.int64)
+            other = n[ys] - np.bitwise_count(marks[ys] & ~marks[x]).sum(1, dtype=np.int64)
+            ys = ys[(100 + percent) * np.minimum(mine, other) >= percent * (n[x] + n[ys])]
+        if len(ys):
+            count, least = shared("large", x, ys)
+            ys, count = ys[least == element], count[least == element]
+        if len(ys):
+            count = count + shared("small", x, ys)[0]
+            ys = ys[count >= least_shared(n[x], n[ys], percent) - np.minimum(lost[x], lost[ys])]
+            out += [(x, y) for y in ys.tolist()]
+    return out
+
+
 def tile_links(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> np.ndarray:
     """Which sets of two lists link: a boolean matrix.
 
@@ -341,12 +454,13 @@ def jaccard_components(docs: DataFrame, id: str = "doc_id", text: str = "text",
     sets = _sets(rows, width, percent)
     classes = materialize(
         sets.where("n > 0").groupBy("set").agg(
-            F.min("id").alias("first_id"), F.first("n").alias("n"), F.first("half").alias("half"), F.first(F.size("keys")).alias("keys"), F.count(F.lit(1)).alias("copies")
+            F.min("id").alias("first_id"), F.first("n").alias("n"), F.first("half").alias("half"), F.first(F.size("keys")).alias("keys"), F.first("lost").alias("lost"),
+            F.count(F.lit(1)).alias("copies"),
         ),
         "classes",
     )
     tiles = _tiles(sets, classes, percent)
-    sets = sets.drop("keys", "half")
+    sets = sets.drop("keys", "half", "lost")
     met = materialize(tiles.select("set").distinct().join(classes, "set"), "met")
     arrays = _arrays(rows, met, width)
     labels = _components(tiles, arrays, percent)

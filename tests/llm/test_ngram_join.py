@@ -66,6 +66,9 @@ def corpus(seed):
 def test_against_brute_force(spark, rows, seed, monkeypatch):
     monkeypatch.setattr(ngram_join, "TILE", 4)
     monkeypatch.setattr(ngram_join, "LOW_SHARE", (0.4, 0.05, 1.0)[seed])
+    monkeypatch.setattr(ngram_join, "LARGE_TILE", (48, 3, 6)[seed])
+    monkeypatch.setattr(ngram_join, "BLOCK", (1024, 4, 1024)[seed])
+    monkeypatch.setattr(ngram_join, "SHARED_FIRST", (4, 2, 4)[seed])
     monkeypatch.setattr(ngram_join, "KEY_BITS", (48, 48, 10)[seed])     # with few bits, elements share keys
     data = corpus(seed)
     data += [(1000, None, None, None), (1001, "", None, None), (1002, " \t\n", None, 1), (None, "lonely text of null id here", None, None)]
