@@ -59,6 +59,7 @@ LOW_SHARE = 0.4             # share of the hashes that is low
 KEY_BITS = 48               # bits of a hash that stand for an element until arrays are compared
 TILE = 128                  # classes on one side of a tile
 SIGNATURE = 8               # 64-bit words of a bitmap signature
+WIDE = 32                   # of the wide one, for pairs of a large tile that pass the first
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
@@ -209,7 +210,7 @@ def _tiles(sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 
 def _arrays(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
-    """(set, n, s0.., elements) of the wanted classes, from the text of one of their rows."""
+    """(set, n, s0.., wide, elements) of the wanted classes, from the text of one of their rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = kept("shingle words", _Hashes)
@@ -219,13 +220,14 @@ def _arrays(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
                 marks = np.array([signature(s) for s in sets]).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([set_digest(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([s.tobytes() for s in sets], pa.binary()), *(pa.array(marks[:, k]) for k in range(SIGNATURE))],
-                    ["set", "n", "elements", *(f"s{k}" for k in range(SIGNATURE))],
+                     pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([signature(s, WIDE).tobytes() for s in sets], pa.binary()),
+                     *(pa.array(marks[:, k]) for k in range(SIGNATURE))],
+                    ["set", "n", "elements", "wide", *(f"s{k}" for k in range(SIGNATURE))],
                 )
 
     wanted = classes.select(F.col("first_id").alias("wanted"))
     chosen = docs.join(wanted, F.col("id").eqNullSafe(F.col("wanted")), "left_semi")
-    schema = "set binary, n long, elements binary, " + ", ".join(f"s{k} long" for k in range(SIGNATURE))
+    schema = "set binary, n long, elements binary, wide binary, " + ", ".join(f"s{k} long" for k in range(SIGNATURE))
     return materialize(chosen.mapInArrow(run, schema).dropDuplicates(["set"]), "arrays")
 
 
@@ -313,13 +315,13 @@ def _open_pairs(marked: DataFrame, arrays: DataFrame, percent: int) -> DataFrame
         F.sort_array(F.collect_list(F.when(F.col("width") <= LARGE_TILE, F.col("element")))).alias("small"),
     )
     marks = [f"s{k}" for k in range(SIGNATURE)]
-    rows = large.join(materialize(lists.where(F.size("large") > 0), "element_lists"), "set").join(arrays.select("set", *marks), "set")
+    rows = large.join(materialize(lists.where(F.size("large") > 0), "element_lists"), "set").join(arrays.select("set", "wide", *marks), "set")
     blocks = F.ceil(F.col("width") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int")
     cells = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(
         F.least(F.col("own"), j).alias("i"), F.greatest(F.col("own"), j).alias("j"), (F.col("own") > j).alias("second")))
     rows = rows.withColumn("blocks", blocks).withColumn("own", own).withColumn("cell", F.explode(cells))
-    rows = rows.select("element", "cell.*", "set", "n", "lost", "label", "large", "small", *marks)
+    rows = rows.select("element", "cell.*", "set", "n", "lost", "label", "large", "small", "wide", *marks)
 
     def tested(group: pd.DataFrame) -> pd.DataFrame:
         same = group["i"].iloc[0] == group["j"].iloc[0]
@@ -342,6 +344,7 @@ def block_pairs(group: pd.DataFrame, one: np.ndarray, two: np.ndarray, percent:
     element, n, lost = group["element"].iloc[0], group["n"].to_numpy(), group["lost"].to_numpy()
     label = pd.factorize(group["label"])[0]
     marks = group[[f"s{k}" for k in range(SIGNATURE)]].to_numpy().view(np.uint64)
+    wide = np.frombuffer(b"".join(group["wide"]), np.uint64).reshape(len(group), -1)
     lists = {c: [np.asarray(x, np.int64) for x in group[c]] for c in ("large", "small")}
     out = []
 
@@ -363,10 +366,11 @@ def block_pairs(group: pd.DataFrame, one: np.ndarray, two: np.ndarray, percent:
     for x in one:
         ys = two[two > x] if diagonal else two
         ys = ys[(label[ys] != label[x]) & (100 * np.minimum(n[ys], n[x]) >= percent * np.maximum(n[ys], n[x]))]
-        if len(ys):
-            mine = n[x] - np.bitwise_count(marks[x] & ~marks[ys]).sum(1, dtype=np.int64)
-            other = n[ys] - np.bitwise_count(marks[ys] & ~marks[x]).sum(1, dtype=np.int64)
-            ys = ys[(100 + percent) * np.minimum(mine, other) >= percent * (n[x] + n[ys])]
+        for bits in (marks, wide):
+            if len(ys):
+                mine = n[x] - np.bitwise_count(bits[x] & ~bits[ys]).sum(1, dtype=np.int64)
+                other = n[ys] - np.bitwise_count(bits[ys] & ~bits[x]).sum(1, dtype=np.int64)
+                ys = ys[(100 + percent) * np.minimum(mine, other) >= percent * (n[x] + n[ys])]
         if len(ys):
             count, least = shared("large", x, ys)
             ys, count = ys[least == element], count[least == element]
