@@ -262,9 +262,9 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 with {QUALS},
 first as (select p_size, arg_min(encoding, p_partkey) as encoding from guessed where encoding is not null group by p_size)
 select p_partkey, p_size as region, first.encoding,
-       case when first.encoding = 'SANGER' then list_sum(quals)::bigint
-            when list_min(quals) >= 31 then list_sum(quals)::bigint - 31 * len(quals) end as total
-from decoded join first using (p_size)
+       case when first.encoding = 'ILLUMINA' then case when list_min(quals) >= 31 then list_sum(quals)::bigint - 31 * len(quals) end
+            else list_sum(quals)::bigint end as total
+from decoded left join first using (p_size)
 """)
 def region_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     reads = _qualities(spark, sf_dir).withColumnRenamed("p_size", "region")
