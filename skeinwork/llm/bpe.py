@@ -28,6 +28,7 @@ from skeinwork.llm.pieces import PartCache, groups
 from skeinwork.llm.worker import kept
 
 _NONE = 1 << 62
+PARTS = 800_000     # parts between blanks that a worker keeps encoded
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -96,7 +97,7 @@ class Codec:
         self.ranks = load_ranks(path)
         self.matches = regex.compile(pattern).findall
         self.tokens = {rank: token for token, rank in self.ranks.items()}
-        self.parts = PartCache(self._encode)
+        self.parts = PartCache(self._encode, size=PARTS)
 
     def _encode(self, parts: list[str]) -> Iterator[bytes]:
         ranks, matches = self.ranks, self.matches

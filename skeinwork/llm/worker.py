@@ -13,9 +13,12 @@ def kept(name: str, make: Callable):
     """The object of that name in this worker process, made on first use.
 
     The functions of this package travel by value, so their module globals end
-    with the task; this store lives as long as the process.
+    with the task; this store lives as long as the process. It holds one object:
+    when the worker turns to another operator, the last one's goes.
     """
     home = sys.modules.setdefault(_HOME, types.ModuleType(_HOME))
-    if not hasattr(home, name):
-        setattr(home, name, make())
-    return getattr(home, name)
+    if getattr(home, "name", None) != name:
+        home.name = home.held = None
+        home.held = make()
+        home.name = name
+    return home.held
