@@ -2,7 +2,9 @@
 
 Per language, labelled texts make up a raw-content zstandard dictionary. A text
 is compressed once with each dictionary; the smallest result names the
-language. When the runner-up is nearly as small, the text is rejected. Only the
+language. A long text is cut into pieces of near equal size that cover all of
+it, each is compressed with the dictionary, and the sizes are added: what a
+dictionary saves then grows with the text, as its size does. When the runner-up is nearly as small, the text is rejected. Only the
 words count: letters in lower case, one blank between them.
 
 The dictionaries are a classifier fitted on a bounded sample: `DOCS_PER_LANGUAGE`
@@ -31,6 +33,7 @@ LONGEST_SAMPLE = 20_000
 DICTIONARY_BYTES = 65_536
 SHORT = 2_000       # up to so many bytes a text is compressed at the first level, beyond at the second
 LEVELS = (12, 9)
+PIECE = 131_072     # bytes that are compressed at once, at most
 MARGIN = 0.003      # share of the runner-up's size that the winner must save
 UNKNOWN = "und"
 
@@ -84,7 +87,9 @@ class Classifier:
         raw = spelled(text or "")
         if not raw.strip() or not self.names:
             return UNKNOWN, 0.0
-        sizes = [len(c(raw)) for c in (self.short if len(raw) <= SHORT else self.long)]
+        step = -(-len(raw) // -(-len(raw) // PIECE))
+        pieces = [raw[at : at + step] for at in range(0, len(raw), step)]
+        sizes = [sum(len(c(piece)) for piece in pieces) for c in (self.short if len(raw) <= SHORT else self.long)]
         best = min(sizes)
         others = sorted(sizes)[1:2]
         return self.names[sizes.index(best)], 1 - best / others[0] if others else 1.0

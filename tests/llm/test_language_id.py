@@ -1,8 +1,9 @@
+import random
 import zlib
 
 from pyspark.sql import functions as F
 
-from skeinwork.llm.language_id import Classifier, drop_rejected, fit_dictionaries, is_held_out, predict_language, spelled
+from skeinwork.llm.language_id import MARGIN, PIECE, Classifier, drop_rejected, fit_dictionaries, is_held_out, predict_language, spelled
 
 SCHEMA = "doc_id long, text string, lang string, language string, score int"
 SF_DIR = "/root/testdata/sf0.01"
@@ -39,6 +40,24 @@ def test_same_as_one_by_one():
     assert classify("Kato! LEMI")[0] == "aa" and classify("dubo wexi")[0] == "bb" and classify("7")[0] == "und"
 
 
+def test_the_margin_does_not_depend_on_the_length(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    held_out = is_held_out(F.col("doc_id"))
+    classify = Classifier(fit_dictionaries(docs.where(~held_out)))
+    prose = [r["text"] for r in docs.where(held_out & (F.col("lang") == "en") & (F.length("text") > 200)).orderBy("doc_id").collect()]
+    # sentences of held-out prose in an order of their own each time, so that it varies
+    rng, parts, size = random.Random(5), [], 0
+    words = [w for t in prose for w in t.split()]
+    while size < 10_000_000:
+        at = rng.randrange(len(words) - 5)
+        parts.append(" ".join(words[at : at + rng.randrange(1, 6)]))
+        size += len(parts[-1]) + 1
+    text = " ".join(parts)
+    (lang, score), (_, short) = classify(text), classify(text[: PIECE // 2])
+    assert lang == "en" and score >= 3 * MARGIN and score >= short / 3
+    assert len(text) >= 10_000_000
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     held_out = is_held_out(F.col("doc_id"))
