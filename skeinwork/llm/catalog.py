@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from skeinwork.catalog.registry import query, table
 from skeinwork.llm.bpe import bpe_digests
+from skeinwork.llm.clustering import cluster_vectors
 from skeinwork.llm.decontaminate import benchmark_hits
 from skeinwork.llm.exact_dedup import exact_dedup
+from skeinwork.llm.fill_in_middle import fill_in_middle, restore_text
 from skeinwork.llm.language_id import fit_dictionaries, is_held_out, predict_language
 from skeinwork.llm.language_model import score_texts
+from skeinwork.llm.license_scan import license_summary, scan_licenses
 from skeinwork.llm.ngram_join import jaccard_components
 from skeinwork.llm.secrets import scan_secrets
 from skeinwork.llm.sharding import shard_by_bytes
@@ -171,3 +174,74 @@ _HITS_SQL = """
 @query(_HITS_SQL)
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
+
+
+@query()
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_summary(scan_licenses(table(spark, sf_dir, "documents")))
+
+
+CENTROIDS, ROUNDS = 16, 3
+
+
+def _clusters_sql() -> str:
+    """One assignment and one mean per round."""
+    kept = "len(embedding) = 64 and len([x for x in embedding if x is null or isnan(x) or isinf(x)]) = 0"
+    steps = [
+        f"v as (select vec_id, [floor(64 * x::double)::bigint for x in embedding] as q from embeddings where {kept})",
+        f"c0 as (select r - 1 as cluster, q from (select q, row_number() over (order by sha256('1:' || vec_id)) as r from v) where r <= {CENTROIDS})",
+    ]
+    for n in range(ROUNDS + 1):
+        square = "list_sum([(v.q[i] - c.q[i]) * (v.q[i] - c.q[i]) for i in range(1, 65)])::bigint"
+        steps += [
+            f"d{n} as (select v.vec_id, c.cluster, {square} as distance from v, c{n} as c)",
+            f"a{n} as (select vec_id, cluster, distance from d{n} qualify row_number() over (partition by vec_id order by distance, cluster) = 1)",
+        ]
+        if n < ROUNDS:
+            steps += [
+                f"""m{n} as (
+                    select cluster, i, (s - ((s % n) + n) % n) // n as mean from (
+                        select cluster, i, sum(q[i])::bigint as s, count(*) as n
+                        from a{n} join v using (vec_id), (select unnest(range(1, 65)) as i) group by cluster, i))""",
+                f"""c{n + 1} as (
+                    select c.cluster, coalesce(list(mean order by i) filter (where i is not null), any_value(q)) as q
+                    from c{n} as c left join m{n} using (cluster) group by c.cluster)""",
+            ]
+    return f"""
+        with {", ".join(steps)}
+        select vec_id, cluster::int as cluster, distance, sum(distance) over (partition by cluster)::bigint as cluster_inertia,
+               sum(distance) over ()::bigint as inertia, sha256(array_to_string(q, ',')) as centroid_sha256
+        from a{ROUNDS} join c{ROUNDS} using (cluster)
+    """
+
+
+@query(_clusters_sql())
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"), k=CENTROIDS, rounds=ROUNDS)
+
+
+@query("""
+    with h as (select doc_id, coalesce(text, '') as body, sha256('7:' || doc_id) as h from documents),
+    d as (
+        select doc_id, body, regexp_extract_all(body, '[^\n]*\n|[^\n]+') as u, ('0x' || h[1:8])::bigint as h1, ('0x' || h[9:16])::bigint as h2,
+               ('0x' || h[25:32])::bigint as h4
+        from h
+    ),
+    cuts as (select *, len(u) as n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) as a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) as b from d),
+    parts as (
+        select *, array_to_string(u[1:a], '') as prefix, array_to_string(u[a + 1:b], '') as middle, array_to_string(u[b + 1:], '') as suffix,
+               case when body = '' or contains(body, '<P>') or contains(body, '<S>') or contains(body, '<M>') then 'plain'
+                    when h4 % 100 < 50 then 'spm' else 'psm' end as form
+        from cuts
+    )
+    select doc_id, n::bigint as n, form, case when form <> 'plain' then length(prefix) end as prefix_chars,
+           case when form <> 'plain' then length(middle) end as middle_chars,
+           sha256(case form when 'plain' then body when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                  else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+           sha256(body) as restored_sha256
+    from parts
+""")
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = restore_text(fill_in_middle(table(spark, sf_dir, "documents")))
+    digest = lambda c: F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256")
+    return both.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest("output"), digest("restored"))

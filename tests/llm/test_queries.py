@@ -26,12 +26,12 @@ def words(text):
 
 def test_all_are_registered():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names and [name for name, _ in corpus_pipeline.STAGES] == ["language", "exact_dedup", "near_dedup", "decontamination", "bpe"]
 
 
-@pytest.mark.parametrize("name", ["op1_ngram_jaccard", "op6_exact_dedup", "op9_decontamination"])
+@pytest.mark.parametrize("name", ["op1_ngram_jaccard", "op6_exact_dedup", "op9_decontamination", "op12_centroid_clustering", "op13_fill_in_middle"])
 def test_against_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
