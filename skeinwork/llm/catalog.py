@@ -10,7 +10,7 @@ from skeinwork.llm.bpe import bpe_digests
 from skeinwork.llm.clustering import cluster_vectors
 from skeinwork.llm.decontaminate import benchmark_hits
 from skeinwork.llm.exact_dedup import exact_dedup
-from skeinwork.llm.fill_in_middle import fill_in_middle, restore_text
+from skeinwork.llm.fill_in_middle import fill_in_middle
 from skeinwork.llm.language_id import fit_dictionaries, is_held_out, predict_language
 from skeinwork.llm.language_model import score_texts
 from skeinwork.llm.license_scan import license_summary, scan_licenses
@@ -242,6 +242,6 @@ def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     from parts
 """)
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = restore_text(fill_in_middle(table(spark, sf_dir, "documents")))
+    both = fill_in_middle(table(spark, sf_dir, "documents"), restore=True)
     digest = lambda c: F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256")
     return both.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest("output"), digest("restored"))

@@ -33,8 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SENTINELS = ("<P>", "<S>", "<M>")       # before prefix, suffix and middle
-BATCH = 8_000_000       # bytes of neighbouring texts that share a buffer; a longer text has one of its own
-BLOCK = 1_000_000       # bytes whose places are held at once
+BATCH = 2_000_000       # bytes of neighbouring texts that share a buffer; a longer text has one of its own
+BLOCK = 500_000         # bytes whose places are held at once
 FORMS = ("plain", "psm", "spm")
 UNITS = ("line", "char")
 _COLUMNS = ["id", "n", "form", "prefix_chars", "middle_chars", "output"]
@@ -125,8 +125,8 @@ def cut(data: np.ndarray, bounds: np.ndarray, at: np.ndarray, unit: str = "line"
 
 def _characters(data: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Code points between the places."""
-    inner = np.flatnonzero((data & 0xC0) == 0x80)
-    return (b - a) - (np.searchsorted(inner, b) - np.searchsorted(inner, a))
+    begins = (data & 0xC0) != 0x80
+    return np.fromiter((np.count_nonzero(begins[x:y]) for x, y in zip(a.tolist(), b.tolist())), np.int64, len(a))
 
 
 def _check(sentinels: tuple[str, str, str]) -> list[bytes]:
@@ -172,13 +172,18 @@ def _transformed(texts: pa.Array, h: np.ndarray, marks: list[bytes], unit: str,
 
 def fill_in_middle(
     docs: DataFrame, id: str = "doc_id", text: str = "text", unit: str = "line", seed: int = 7,
-    rate: int = 100, spm_share: int = 50, sentinels: tuple[str, str, str] = SENTINELS,
+    rate: int = 100, spm_share: int = 50, sentinels: tuple[str, str, str] = SENTINELS, restore: bool = False,
 ) -> DataFrame:
-    """Per row: id, `n` (units), `form`, `prefix_chars`, `middle_chars` (code points; null if plain), `output`."""
+    """Per row: id, `n` (units), `form`, `prefix_chars`, `middle_chars` (code points; null if plain), `output`.
+
+    With `restore` also `restored`, the text that is rebuilt from output and form in the same task. Cuts
+    between code points (`unit="char"`) hold eight bytes for each code point of the texts that share a buffer.
+    """
     marks = _check(sentinels)
     if unit not in UNITS:
         raise ValueError(f"unit is one of {UNITS}")
     kind = docs.schema[id].dataType
+    columns = [*_COLUMNS, "restored"] if restore else _COLUMNS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,14 +191,16 @@ def fill_in_middle(
             for a, b in _runs(texts, BATCH):
                 h = np.array([batch.column(c).slice(a, b - a).to_numpy(zero_copy_only=False) for c in range(2, 6)])
                 done = _transformed(texts.slice(a, b - a).cast(pa.large_string()), h, marks, unit, rate, spm_share)
-                done[-1] = done[-1].cast(pa.string())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *done], _COLUMNS)
+                if restore:
+                    done.append(_rebuilt(done[-1], np.array(done[1].to_pylist(), object), marks).cast(pa.string()))
+                done[4] = done[4].cast(pa.string())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *done], columns)
 
     digits = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id).cast("string"), F.lit(""))).cast("binary"), 256)
     groups = [F.conv(F.substring(digits, 8 * k + 1, 8), 16, 10).cast("bigint").alias(f"h{k + 1}") for k in range(4)]
     rows = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), *groups)
     schema = f"id {kind.simpleString()}, n long, form string, prefix_chars long, middle_chars long, output string"
-    return rows.mapInArrow(run, schema).withColumnRenamed("id", id)
+    return rows.mapInArrow(run, schema + ", restored string" * restore).withColumnRenamed("id", id)
 
 
 def _places(column: pa.Array, mark: bytes) -> np.ndarray:

@@ -45,6 +45,8 @@ def test_against_brute_force(spark, rows, how):
     assert rows(moved) == sorted(want, key=repr)
     back = fim.restore_text(moved, sentinels=marks).select("doc_id", "restored")
     assert rows(back) == sorted(((i, t or "") for i, t in data), key=repr)
+    at_once = fim.fill_in_middle(docs, restore=True, **how).select("doc_id", "restored")
+    assert rows(at_once) == rows(back)
     forms = {r["form"] for r in moved.select("form").distinct().collect()}
     assert forms == set(fim.FORMS)
 
