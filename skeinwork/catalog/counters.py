@@ -6,11 +6,15 @@ language, the whole part of the value its count.
 
 from __future__ import annotations
 
+import heapq
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skeinwork.catalog.registry import epoch, query, table
 from skeinwork.operators.counters import retweet_delta, retweet_report as report_of
+from skeinwork.operators.user_aggregate import aggregate_by_key
 from skeinwork.session import materialize, scratch_path
 from skeinwork.sources.sinks import write_retweet_log
 from skeinwork.sources.stream import read_stream, retweets_only as only_retweets
@@ -81,6 +85,44 @@ def retweet_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_retweet_log(lines)
 
 
+TOP = 10
+
+
+def _take(state: dict, rows: pa.RecordBatch) -> dict:
+    """Count, sum of the whole values, and the largest (value, id) pairs."""
+    values, ids = rows.column("n").to_pylist(), rows.column("event_id").to_pylist()
+    largest = heapq.nlargest(TOP, [*state["largest"], *zip(values, ids)])
+    return {"rows": state["rows"] + len(ids), "total": state["total"] + sum(values), "largest": largest}
+
+
+def _merge(a: dict, b: dict) -> dict:
+    return {"rows": a["rows"] + b["rows"], "total": a["total"] + b["total"], "largest": heapq.nlargest(TOP, a["largest"] + b["largest"])}
+
+
+def _result(state: dict) -> dict:
+    return {"rows": state["rows"], "total": state["total"], "largest": " ".join(f"{n}:{i}" for n, i in state["largest"])}
+
+
+@query(f"""
+with e as (
+  select case when user_id % 3 = 0 then null else event_type end as kind, case when user_id % 2 = 0 then 0 else user_id end as tweet_id,
+         floor(value)::bigint as n, event_id from events),
+ranked as (select *, row_number() over (partition by kind, tweet_id order by n desc, event_id desc) as r from e)
+select kind, tweet_id, count(*) as rows, sum(n)::bigint as total,
+       string_agg(n || ':' || event_id, ' ' order by r) filter (r <= {TOP}) as largest
+from ranked group by kind, tweet_id
+""")
+def largest_sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A bounded list per key by the user's own zero, step and merge; half of the rows have one of three keys."""
+    user = F.col("user_id")
+    rows = table(spark, sf_dir, "events").select(
+        F.when(user % 3 != 0, F.col("event_type")).alias("kind"), F.when(user % 2 == 0, F.lit(0)).otherwise(user).cast("bigint").alias("tweet_id"),
+        F.floor("value").cast("bigint").alias("n"), "event_id",
+    )
+    zero = lambda: {"rows": 0, "total": 0, "largest": []}
+    return aggregate_by_key(rows, ["kind", "tweet_id"], zero, _take, _merge, _result, "rows bigint, total bigint, largest string")
+
+
 WINDOWS = f"""
 with panes as (
   select event_id, user_id as tweet_id, floor(value)::bigint as n, {LANG} as lang, props as text,
@@ -145,6 +187,31 @@ def retweet_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select(*COLUMNS.split(", "), "seconds", "language")
 
 
+@query(f"""
+{CLOSED}
+select {COLUMNS}, window_start + {SIZE} - first as seconds, lower(lang) as language from closed
+""")
+def stopped_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of a stream that runs on its trigger until it is stopped, and goes on from its checkpoint when more events are there."""
+    path, out = scratch_path(spark, "events"), scratch_path(spark, "stopped")
+    events = table(spark, sf_dir, "events")
+    half = events.agg(F.percentile_approx(F.col("ts").cast("timestamp"), 0.5).alias("ts")).first()["ts"]
+    early = F.col("ts").cast("timestamp") <= F.lit(half)
+    for turn, part in enumerate((events.where(early), events.where(~early))):
+        part.write.parquet(f"{path}/{turn}")
+        stream = spark.readStream.schema(events.schema).parquet(f"{path}/*")
+        job = start_retweet_stream(
+            _sightings(stream.withColumn("ts", F.col("ts").cast("timestamp"))), f"{out}/out", f"{out}/state", f"{DELAY} seconds", SIZE, SLIDE,
+            order=["ts", "event_id"],
+        )
+        job.processAllAvailable()
+        job.stop()
+        job.awaitTermination()
+    start = epoch("SECOND", F.col("window_start").cast("timestamp_ntz"))
+    done = rt.read_report(spark, f"{out}/out").withColumns({"window_start": start, "lang": F.col("code")})
+    return done.select(*COLUMNS.split(", "), "seconds", "language")
+
+
 @query(f"""
 {CLOSED}
 select window_start + {SIZE} - first as seconds, coalesce(lower(lang), '') as language, coalesce(lang, '') as code, total_retweets,
@@ -188,7 +255,7 @@ def joined_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def windows() -> DataFrame:
         stream = spark.readStream.schema(events.schema).parquet(f"{path}/*")
-        return windows_of(_sightings(stream).withWatermark("ts", f"{DELAY} seconds"), SIZE, SLIDE, order=["ts", "event_id"])
+        return windows_of(_sightings(stream).withWatermark("ts", f"{DELAY} seconds"), SIZE, SLIDE, carry=["lang"], order=["ts", "event_id"])
 
     for turn in range(4):
         mark = events.limit(1).withColumn("ts", F.lit(last) + F.expr(f"interval {90 * turn} days"))

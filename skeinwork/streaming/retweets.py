@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -28,6 +30,53 @@ def with_language(df: DataFrame, profiles: DataFrame, keys: list[str], text: str
     return joined.withColumn(out, script_override(F.col("detected"), F.col("_cleaned"))).drop("_cleaned", "detected", *(f"_of_{k}" for k in keys))
 
 
+def retweet_panes(
+    df: DataFrame,
+    size: int = WINDOW,
+    slide: int = SLIDE,
+    ts: str = "ts",
+    id: str = "tweet_id",
+    count: str = "retweet_count",
+    carry: list[str] | None = None,
+    order: list[str] | None = None,
+) -> DataFrame:
+    """Per pane and id: max, min and the carried columns of the last row, in batch and on a stream.
+
+    A pane is the longest piece of time that no window cuts: every row lies in
+    one pane, where it lies in size / slide windows.
+    """
+    carry, order = carry or ["lang", "text"], order or [ts]
+    pane = F.window(ts, f"{math.gcd(size, slide)} seconds").alias("pane")
+    grouped = df.groupBy(pane, F.col(id).alias("tweet_id"))
+    return grouped.agg(*delta_aggregates(count, count, carry, order))
+
+
+def windows_of_panes(panes: DataFrame, size: int, slide: int, carry: list[str], last_by_time: bool) -> DataFrame:
+    """Per window and id: max, min, max - min + 1, and the carried columns of the last row (batch frames).
+
+    A window belongs to the last of its panes with the id, so each (window, id)
+    is made once, from the panes before that one which share a window with it;
+    windows are not aggregated and only panes are shuffled. An id has at most
+    one row per pane. `last_by_time` says that rows are ordered by their time
+    first: then the last row of a window lies in its last pane.
+    """
+    by_time = Window.partitionBy("tweet_id").orderBy("_start")
+    held = ["max_count", "min_count"] + ([] if last_by_time else ["_latest"])
+    reach = by_time.rowsBetween(1 - size // math.gcd(size, slide), 0)
+    placed = (
+        panes.withColumn("_start", F.col("pane.start"))
+        .withColumns({"_next": F.lead("_start").over(by_time), "_held": F.collect_list(F.struct(F.col("_start").alias("start"), *held)).over(reach)})
+        .withColumn("window", F.window("_start", f"{size} seconds", f"{slide} seconds"))
+        .where(F.col("_next").isNull() | (F.col("window.end") <= F.col("_next")))
+    )
+    inside = F.filter("_held", lambda p: p["start"] >= F.col("window.start"))
+    over = lambda c: F.transform(inside, lambda p: p[c])
+    columns = {"max_count": F.array_max(over("max_count")), "min_count": F.array_min(over("min_count"))}
+    if not last_by_time:
+        columns["_latest"] = F.array_max(over("_latest"))
+    return with_delta(placed.withColumns(columns).select("window", "tweet_id", "max_count", "min_count", "_latest"), carry)
+
+
 def retweet_windows(
     df: DataFrame,
     size: int = WINDOW,
@@ -40,32 +89,16 @@ def retweet_windows(
 ) -> DataFrame:
     """Per window and id: max, min, max - min + 1, and the carried columns of the last row.
 
-    Sizes are in seconds. On a stream, set a watermark first. In batch the rows
-    are first combined per slide, so only one row per (slide, id) is repeated
-    into the size / slide windows that hold it.
+    Sizes are in seconds. In batch the windows are made from panes. On a stream
+    (set a watermark first) this is one aggregation over sliding windows, for
+    operators that go on with the stream; `start_retweet_stream` keeps panes in
+    the state instead.
     """
     carry, order = carry or ["lang", "text"], order or [ts]
-    id_col = F.col(id).alias("tweet_id")
-    if df.isStreaming or size % slide:
+    if df.isStreaming:
         window = F.window(ts, f"{size} seconds", f"{slide} seconds").alias("window")
-        grouped = df.groupBy(window, id_col)
-        return with_delta(grouped.agg(*delta_aggregates(count, count, carry, order)), carry)
-    panes = df.groupBy(F.window(ts, f"{slide} seconds").alias("_pane"), id_col).agg(
-        *delta_aggregates(count, count, carry, order)
-    )
-    pane = F.col("_pane.start")
-    starts = F.sequence(pane - F.expr(f"interval {size - slide} seconds"), pane, F.expr(f"interval {slide} seconds"))
-    window = F.struct(F.col("_start").alias("start"), (F.col("_start") + F.expr(f"interval {size} seconds")).alias("end"))
-    return with_delta(
-        panes.withColumn("_start", F.explode(starts))
-        .groupBy(window.alias("window"), "tweet_id")
-        .agg(
-            F.max("max_count").alias("max_count"),
-            F.min("min_count").alias("min_count"),
-            F.max("_latest").alias("_latest"),
-        ),
-        carry,
-    )
+        return with_delta(df.groupBy(window, F.col(id).alias("tweet_id")).agg(*delta_aggregates(count, count, carry, order)), carry)
+    return windows_of_panes(retweet_panes(df, size, slide, ts, id, count, carry, order), size, slide, carry, order[0] == ts)
 
 
 def with_window_totals(windows: DataFrame, lang: str = "lang") -> DataFrame:
@@ -114,39 +147,64 @@ def report_rows(windows: DataFrame, started: Column, lang: str = "lang", text: s
     return _log_columns(with_window_totals(windows.where(F.col("window.start") >= started), lang), started, lang, text)
 
 
-def _first_event(windows: DataFrame, path: str, size: int, slide: int) -> Column:
-    """Time of the first event's slide, remembered below `path` across restarts."""
-    spark, saved = windows.sparkSession, f"{path}/started"
+def _first_event(panes: DataFrame, path: str) -> Column:
+    """Start of the first pane with an event, remembered below `path` across restarts."""
+    spark, saved = panes.sparkSession, f"{path}/started"
     if not path_exists(spark, f"{saved}/_SUCCESS"):
-        earliest = windows.agg(F.min("window.start").alias("started"))
-        shift = F.expr(f"interval {size - slide} seconds")
-        earliest.select((F.col("started") + shift).alias("started")).write.mode("overwrite").parquet(saved)
+        panes.agg(F.min("pane.start").alias("started")).write.mode("overwrite").parquet(saved)
     return F.lit(spark.read.parquet(saved).first()["started"])
 
 
+def batch_watermark(spark, checkpoint: str, batch_id: int) -> Column:
+    """The watermark that a batch of the query runs with; the query notes it in its checkpoint before the batch."""
+    noted = f"{checkpoint}/offsets/{batch_id}"
+    millis = 0
+    if path_exists(spark, noted):
+        found = spark.read.text(noted).select(F.get_json_object("value", "$.batchWatermarkMs").alias("at")).where("at is not null").first()
+        millis = int(found["at"]) if found else 0
+    return F.timestamp_millis(F.lit(millis))
+
+
 def report_sink(
-    path: str, size: int = WINDOW, slide: int = SLIDE, lang: str = "lang", text: str = "text", profiles: DataFrame | None = None
+    path: str, checkpoint: str, size: int = WINDOW, slide: int = SLIDE, lang: str = "lang", text: str = "text",
+    profiles: DataFrame | None = None, carry: list[str] | None = None, last_by_time: bool = True,
 ):
-    """foreachBatch function: the report rows of a batch in a folder of its own below `windows`.
-
-    A repeated batch overwrites its folder. A closed window leaves the
-    aggregation whole, in one batch, so its totals are complete here. The batch
-    is written below `closed` so that the state is read once, and goes when its
-    report is there. With `profiles`, the language is detected here, once per closed
-    window and tweet. The rows are in descending order of the total.
+    """foreachBatch function for a stream of closed panes: the report of the windows that this batch closes.
+
+    Closed panes that open windows still need are kept below `checkpoint`, in a
+    folder per batch that holds those of the batch before and the new ones. A
+    window is closed when the watermark has passed its end; all its panes have
+    left the stream then, so its totals are complete here. A repeated batch
+    reads the same folder and overwrites its own results. With `profiles`, the
+    language is detected here, once per closed window and tweet. The rows are in
+    descending order of the total.
     """
+    carry = carry or [lang, text]
+    kept_panes = f"{checkpoint}/panes/batch_id={{}}"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark, closed, totals = batch.sparkSession, f"{path}/closed/batch_id={batch_id}", None
-        batch.write.mode("overwrite").parquet(closed)
-        kept = spark.read.schema(batch.schema).parquet(closed)
+        spark, totals = batch.sparkSession, None
+        own, before = kept_panes.format(batch_id), kept_panes.format(batch_id - 1)
+        passed, now = (batch_watermark(spark, checkpoint, b) for b in (batch_id - 1, batch_id))
+        panes = batch
+        if path_exists(spark, f"{before}/_SUCCESS"):
+            old = spark.read.schema(batch.schema).parquet(before)
+            panes = old.where(F.col("pane.start") + F.expr(f"interval {size} seconds") > passed).unionByName(batch)
+        panes.write.mode("overwrite").parquet(own)
+        remove_path(spark, kept_panes.format(batch_id - 2))
+        panes = spark.read.schema(batch.schema).parquet(own)
+        if panes.isEmpty():
+            return
+        started = _first_event(panes, path)
+        windows = windows_of_panes(panes, size, slide, carry, last_by_time)
+        rows = windows.where((F.col("window.end") > passed) & (F.col("window.end") <= now) & (F.col("window.start") >= started))
+        if profiles is not None:
+            rows = with_language(rows, profiles, ["window", "tweet_id"], text, lang)
+        # read for the totals, for the ranges of the order, and for the report
+        closed = f"{checkpoint}/closed/batch_id={batch_id}"
         try:
-            if kept.isEmpty():
-                return
-            started = _first_event(kept, path, size, slide)
-            rows = kept.where(F.col("window.start") >= started)
-            if profiles is not None:
-                rows = with_language(rows, profiles, ["window", "tweet_id"], text, lang)
+            rows.write.mode("overwrite").parquet(closed)
+            rows = spark.read.schema(rows.schema).parquet(closed)
             totals = group_totals(rows, ["window", lang], "retweets", "total_retweets").persist()
             found = _log_columns(join_totals(rows, totals, ["window", lang], ["tweet_id"]), started, lang, text)
             ordered = found.orderBy("window_start", F.desc("total_retweets"), F.desc("retweets"), "tweet_id")
@@ -154,7 +212,7 @@ def report_sink(
         finally:
             if totals is not None:
                 totals.unpersist()
-            remove_path(spark, f"{path}/closed")
+            remove_path(spark, closed)
 
     return write
 
@@ -187,15 +245,16 @@ def start_retweet_stream(
 ) -> StreamingQuery:
     """Run the windowed counts to a table below `path`; restart with the same checkpoint.
 
+    The state holds a row per id and open pane, and a row that comes after its
+    pane has closed is late. Runs every `TRIGGER` seconds until it is stopped,
+    or with `available_now` until all that is there has been read.
     `df` has a language column, or gets one from the trigram `profiles`.
     """
     carry = columns.pop("carry", None) or (["lang", "text"] if profiles is None else ["text"])
-    windows = retweet_windows(df.withWatermark(ts, watermark), size, slide, ts, carry=carry, **columns)
+    order = columns.pop("order", None) or [ts]
+    panes = retweet_panes(df.withWatermark(ts, watermark), size, slide, ts, carry=carry, order=order, **columns)
     lang, text = carry[:2] if profiles is None else ("lang", carry[0])
-    writer = (
-        windows.writeStream.outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(report_sink(path, size, slide, lang, text, profiles))
-    )
+    sink = report_sink(path, checkpoint, size, slide, lang, text, profiles, carry, order[0] == ts)
+    writer = panes.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(sink)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=f"{TRIGGER} seconds")
     return writer.start()

@@ -131,3 +131,41 @@ def test_report_before_any_window_has_closed(spark, tmp_path):
     rt.start_retweet_stream(tagged(read_stream(spark, str(tmp_path / "in"))), str(tmp_path / "out"), str(tmp_path / "state"), "10 seconds", available_now=True).awaitTermination()
     report = rt.read_report(spark, str(tmp_path / "out"))
     assert report.count() == 0 and "total_retweets" in report.columns
+
+
+def test_state_holds_panes_not_windows(spark, tmp_path, rows):
+    """On its trigger until stopped: a row per id and open pane in the state; panes of closed windows go."""
+    src, out, state = tmp_path / "in", str(tmp_path / "out"), tmp_path / "state"
+    put(src, "1.json", [(s, True, s % 3, s, "t") for s in range(0, 100)])
+    job = rt.start_retweet_stream(tagged(read_stream(spark, str(src))), out, str(state), "10 seconds")
+    job.processAllAvailable()
+    # 100 seconds have 20 panes with three ids each; the watermark, at 89 s, has closed 17 of them
+    assert job.lastProgress["stateOperators"][0]["numRowsTotal"] == 3 * 3
+    job.stop()
+    put(src, "2.json", [(200, True, 9, 1, "t")])
+    job = rt.start_retweet_stream(tagged(read_stream(spark, str(src))), out, str(state), "10 seconds", available_now=True)
+    job.awaitTermination()
+    got = rt.read_report(spark, out)
+    # windows end at 60, 65, ..., 190 and hold what lies in them
+    want = [(e, i, max(v) - min(v) + 1) for e in range(60, 191, 5) for i in range(3) if (v := [s for s in range(max(0, e - 60), min(e, 100)) if s % 3 == i])]
+    assert sorted(tuple(r) for r in got.select("seconds", "tweet_id", "retweets").collect()) == sorted(want)
+    left = sorted((state / "panes").iterdir())
+    assert len(left) <= 2 and spark.read.parquet(str(left[-1])).count() <= 3 * 20 + 1
+
+
+def test_last_row_not_by_time(spark, rows, tmp_path):
+    """An order that does not begin with the time: the last row of a window may lie in any of its panes."""
+    put(tmp_path / "in", "1.json", FIRST)
+    df = tagged(spark.read.schema(read_stream(spark, str(tmp_path / "in")).schema).json(str(tmp_path / "in")))
+    direct = df.groupBy(F.window("ts", "60 seconds", "5 seconds").alias("window"), "tweet_id").agg(F.max_by("text", F.struct("retweet_count", "lang", "text")).alias("text"))
+    got = rt.retweet_windows(df, order=["retweet_count"]).select("window", "tweet_id", "text")
+    assert rows(got) == rows(direct)
+
+
+def test_window_that_is_no_multiple_of_its_slide(spark, rows, tmp_path):
+    put(tmp_path / "in", "1.json", FIRST)
+    df = tagged(spark.read.schema(read_stream(spark, str(tmp_path / "in")).schema).json(str(tmp_path / "in")))
+    direct = df.groupBy(F.window("ts", "60 seconds", "7 seconds").alias("window"), "tweet_id").agg(
+        F.max("retweet_count").alias("max_count"), F.min("retweet_count").alias("min_count"), F.max_by("text", "ts").alias("text"))
+    got = rt.retweet_windows(df, size=60, slide=7).select("window", "tweet_id", "max_count", "min_count", "text")
+    assert rows(got) == rows(direct)
