@@ -208,6 +208,32 @@ def interval_intersect(spark: SparkSession, sf_dir: str) -> DataFrame:
     return iv.interval_intersect(a, islands, bin_width=240)
 
 
+@query("""
+with a as (
+  select event_type as chrom, event_id, epoch_us(ts) // 1000000 as "start",
+         epoch_us(ts) // 1000000 + case when event_id % 400 = 0 then 10000000 when event_id % 11 = 0 then 5000 else 1 end as "end" from events),
+b as (
+  select event_type as chrom, epoch_us(ts) // 1000000 + 777 as "start",
+         epoch_us(ts) // 1000000 + 777 + case when event_id % 300 = 0 then 10000000 when event_id % 7 = 0 then 0 else 60 end as "end" from events
+  where event_id % 5 = 0)
+select a.event_id, count(*) as overlaps, sum(least(a."end", b."end") - greatest(a."start", b."start"))::bigint as shared,
+       min(greatest(a."start", b."start")) as first_start
+from a join b on a.chrom = b.chrom and a."start" < b."end" and b."start" < a."end" group by a.event_id
+""")
+def mixed_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlaps of intervals whose lengths go from 0 and 1 to 10,000,000."""
+    second, n = epoch("SECOND", F.col("ts")), F.col("event_id")
+    events = table(spark, sf_dir, "events")
+    length = F.when(n % 400 == 0, F.lit(10_000_000)).when(n % 11 == 0, F.lit(5_000)).otherwise(F.lit(1))
+    a = events.select(F.col("event_type").alias("chrom"), "event_id", second.alias("start"), (second + length).alias("end"))
+    other = F.when(n % 300 == 0, F.lit(10_000_000)).when(n % 7 == 0, F.lit(0)).otherwise(F.lit(60))
+    b = events.where(n % 5 == 0).select(F.col("event_type").alias("chrom"), (second + 777).alias("start"), (second + 777 + other).alias("end"))
+    found = iv.interval_intersect(a, b, bin_width=64)
+    return found.groupBy("event_id").agg(
+        F.count(F.lit(1)).alias("overlaps"), F.sum(F.col("end") - F.col("start")).alias("shared"), F.min("start").alias("first_start")
+    )
+
+
 # ---- reads ------------------------------------------------------------------------
 
 @query("""
