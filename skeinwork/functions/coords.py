@@ -13,7 +13,7 @@ def chrom_number(chrom: Column) -> Column:
     """
     name = F.substr(chrom, F.lit(4))
     number = name.try_cast("int")
-    strict = F.when(number.cast("string") == name, number)      # no blanks, signs or fractions
+    strict = F.when((number >= 0) & (number.cast("string") == name), number)      # no blanks, signs or fractions
     named = F.when(name == "X", F.lit(23)).when(name == "Y", F.lit(24)).otherwise(strict)
     return F.when(chrom.startswith("chr"), named)
 

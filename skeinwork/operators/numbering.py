@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skeinwork.session import materialize
+from skeinwork.session import materialize, materialize_counted
 
 ROWS_PER_PARTITION = 2_000_000      # of the range partitions when the caller names no number
 _PART_BITS = 33     # monotonically_increasing_id: partition number above, row number below
@@ -30,9 +30,14 @@ def global_index(
     cannot change a number. End `order` with a unique column: that makes the
     result repeatable and lets the range partitioner split any hot value.
     With `total`, the row count is added under that name.
+
+    `df` itself runs once, also when it is costly to compute: its rows are
+    counted while they are written, and the range partitioner samples and reads
+    the written table.
     """
     spark = df.sparkSession
-    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + df.count() // ROWS_PER_PARTITION)
+    df, rows = materialize_counted(df, "unnumbered")
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + rows // ROWS_PER_PARTITION)
     cols = [_column(c) for c in order]
     numbered = materialize(
         df.repartitionByRange(n, *cols)

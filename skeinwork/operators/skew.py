@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from skeinwork.session import materialize
@@ -37,14 +37,16 @@ def _cut(counts: DataFrame, keys: list[str], rows: int) -> DataFrame:
     return counts.where(F.col("_n") > share).select(*keys, F.ceil(F.col("_n") / share).cast("int").alias("_pieces"))
 
 
-def hot_keys(df: DataFrame, keys: list[str], rows: int | None = None) -> DataFrame | None:
+def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame | None:
     """(keys, `_pieces`) of the keys with more rows than a task's share; None when there are none.
 
     There are fewer of them than shuffle partitions, so the result may be
-    broadcast. The count is combined on the map side.
+    broadcast. The count is combined on the map side; all rows are added up in
+    the same pass.
     """
-    counts = materialize(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > LEAST_ROWS), "key_counts")
-    hot = _cut(counts, keys, df.count() if rows is None else rows)
+    seen = Observation()
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).observe(seen, F.sum("_n").alias("rows"))
+    hot = _cut(materialize(counts.where(F.col("_n") > LEAST_ROWS), "key_counts"), keys, seen.get["rows"] or 0)
     return None if hot.isEmpty() else hot
 
 

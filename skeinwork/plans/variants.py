@@ -20,13 +20,16 @@ from skeinwork.sources.vcf import parse_vcf, read_vcf_keys
 def with_fixed_quality(reads: DataFrame, region: str, order: list, on_error: str = "fail") -> DataFrame:
     """Encoding of a region is guessed from its first read with qualities and applied to all its reads.
 
-    One short row per region is computed by a combined minimum and broadcast.
+    One short row per region is computed by a combined minimum and written, so
+    Spark broadcasts those rows while their bytes allow it.
     `on_error="null"` drops qualities below the range instead of failing.
     """
     guessed = guess_quality(F.col("quals"))
-    first = reads.where(guessed.isNotNull()).groupBy(region).agg(F.min_by(guessed, F.struct(*order)).alias("encoding"))
+    first = materialize(
+        reads.where(guessed.isNotNull()).groupBy(region).agg(F.min_by(guessed, F.struct(*order)).alias("encoding")), "encodings"
+    )
     quals = F.when(F.col("encoding") == "ILLUMINA", fix_quality(F.col("quals"), on_error)).otherwise(F.col("quals"))
-    return reads.join(F.broadcast(first), region, "left").withColumn("quals", quals)
+    return reads.join(first, region, "left").withColumn("quals", quals)
 
 
 def mark_duplicate_reads(reads: DataFrame, id: str) -> DataFrame:

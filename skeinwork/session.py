@@ -8,7 +8,8 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 _local_dirs: dict[str, str] = {}    # application id -> folder of a one-process session without the setting
@@ -92,3 +93,10 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize_counted(df: DataFrame, name: str = "table") -> tuple[DataFrame, int]:
+    """`materialize`, and the number of rows, counted while they are written."""
+    seen = Observation()
+    written = materialize(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
+    return written, seen.get["rows"]

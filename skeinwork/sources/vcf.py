@@ -17,8 +17,12 @@ def parse_vcf(lines: DataFrame, on_error: str = "null") -> DataFrame:
     A name without a number (chrM) gives a NULL chrom_no, or an error, or is
     dropped, by `on_error`.
     """
-    # one projection splits, the next ones use its columns: the line is split once
-    parts = lines.where(F.col("value").startswith("chr")).select("value", F.split("value", "\t").alias("_parts"))
+    # a line to drop is known from its first two fields: no filter stands on the split ones, which would split each line once per use
+    kept = F.col("value").startswith("chr")
+    head = lambda i: F.substring_index(F.substring_index("value", "\t", i), "\t", -1)
+    if on_error == "drop":
+        kept = kept & chrom_number(head(1)).isNotNull() & (F.substring_index("value", "\t", 1) != F.col("value")) & head(2).try_cast("bigint").isNotNull()
+    parts = lines.where(kept).select("value", F.split("value", "\t", 6).alias("_parts"))
     field = lambda i: F.get("_parts", F.lit(i))
     rows = parts.select(
         field(0).alias("chrom"), field(1).alias("_pos"), field(2).alias("id"),
@@ -28,8 +32,7 @@ def parse_vcf(lines: DataFrame, on_error: str = "null") -> DataFrame:
     if on_error == "fail":
         unknown = F.raise_error(F.concat(F.lit("no chromosome number: "), "chrom")).cast("int")
         number, pos = F.when(number.isNull(), unknown).otherwise(number), F.col("_pos").cast("bigint")
-    out = rows.select("chrom", number.alias("chrom_no"), pos.alias("pos"), "id", "ref", "alt", "line")
-    return out.dropna(subset=["chrom_no", "pos"]) if on_error == "drop" else out
+    return rows.select("chrom", number.alias("chrom_no"), pos.alias("pos"), "id", "ref", "alt", "line")
 
 
 def read_vcf(spark: SparkSession, path: str, on_error: str = "null") -> DataFrame:
