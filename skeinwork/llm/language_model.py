@@ -187,7 +187,7 @@ def _requests(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
                             out["n"].append(n)
                             out["block"].append(row["block"])
                             out["keys"].append(_gaps(keys[lo:hi]))
-                            out["counts"].append(_pack(counts[lo:hi].astype("<u4")))
+                            out["counts"].append(_pack(counts[lo:hi].astype("<u8")))
                 yield pa.RecordBatch.from_pydict(out, schema=sent)
 
     sent = pa.schema([("bucket", pa.int32()), ("n", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
@@ -201,8 +201,9 @@ def _totals(requests: DataFrame) -> DataFrame:
     def run(group: pd.DataFrame) -> pd.DataFrame:
         sent = [_keys(k) for k in group["keys"]]
         keys, at = np.unique(np.concatenate(sent), return_inverse=True)
-        counts = np.concatenate([_unpack(c, "<u4") for c in group["counts"]])
-        total = np.bincount(at, counts, len(keys)).astype("<u4")
+        counts = np.concatenate([_unpack(c, "<u8") for c in group["counts"]])
+        total = np.zeros(len(keys), "<u8")
+        np.add.at(total, at, counts)        # whole numbers: exact beyond 2^53 too
         edges = np.cumsum([len(s) for s in sent])[:-1]
         answers = [_pack(total[part]) for part in np.split(at, edges)]
         # the vocabulary of the bucket goes with its first answer
@@ -272,7 +273,7 @@ def score_texts(
         for n in range(1, order + 1):
             own = counts[counts["n"] == n].sort_values("bucket")["totals"]
             index = np.unique(block.keys[n - 1], return_inverse=True)[1]
-            seen.append(np.concatenate([_unpack(t, "<u4") for t in own]).astype(np.float64)[index])
+            seen.append(np.concatenate([_unpack(t, "<u8") for t in own]).astype(np.float64)[index])
         base = np.log10((seen[0] + 0.5) / (learned + 0.5 * (vocabulary + 1)))
         arcs, backoff, p = [base], [None], 10.0**base
         ends = np.cumsum(block.lengths)

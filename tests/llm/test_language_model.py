@@ -2,11 +2,12 @@ import math
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from skeinwork.llm.language_id import is_held_out
-from skeinwork.llm.language_model import score_texts, words
+from skeinwork.llm.language_model import _gaps, _pack, _totals, _unpack, score_texts, words
 
 SCHEMA = "doc_id long, text string, score string, block int"
 K = 30.0
@@ -63,3 +64,12 @@ def test_empty(spark):
     assert score_texts(df, F.lit(True)).count() == 0
     one = score_texts(spark.createDataFrame([(1, "a", None, 1)], SCHEMA), F.lit(False)).collect()
     assert one[0]["train_tokens"] == 0 and one[0]["n_known"] == 0
+
+
+def test_counts_beyond_32_bits(spark):
+    """Totals of a corpus in which a word is more common than four bytes can count."""
+    keys, large = np.array([5, 9, 1 << 63], np.uint64), [(1 << 33) + 1, 7, (1 << 60) + 3]
+    sent = [(0, 1, b, bytearray(_gaps(keys)), bytearray(_pack(np.array(large, "<u8")))) for b in range(3)]
+    requests = spark.createDataFrame(sent, "bucket int, n int, block long, keys binary, counts binary")
+    for row in _totals(requests).collect():
+        assert _unpack(row["totals"], "<u8").tolist() == [3 * c for c in large]
