@@ -41,9 +41,12 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per document: number of tokens, and digests of its ids and of the text decoded from them."""
-    return bpe_digests(docs, vocabulary("byte_bpe_multi_50k.tiktoken"), pattern())
+    return bpe_digests(docs, vocabulary("byte_bpe_multi_50k.tiktoken"), pattern(), parts=PARTS)
 
 
+# parts that a worker of the last stage keeps encoded: the workers of the stages before it are there, too
+PARTS = 800_000
+
 STAGES = [
     ("language", known_language),
     ("exact_dedup", without_copies),

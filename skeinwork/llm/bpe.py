@@ -28,7 +28,7 @@ from skeinwork.llm.pieces import PartCache, groups
 from skeinwork.llm.worker import kept
 
 _NONE = 1 << 62
-PARTS = 800_000     # parts between blanks that a worker keeps encoded
+PARTS = 1_500_000       # parts between blanks that a worker keeps encoded; a bound on memory, not on results
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -91,13 +91,13 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 class Codec:
     """Encoder and decoder of one rank file."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, parts: int = PARTS):
         import regex
 
         self.ranks = load_ranks(path)
         self.matches = regex.compile(pattern).findall
         self.tokens = {rank: token for token, rank in self.ranks.items()}
-        self.parts = PartCache(self._encode, size=PARTS)
+        self.parts = PartCache(self._encode, size=parts)
 
     def _encode(self, parts: list[str]) -> Iterator[bytes]:
         ranks, matches = self.ranks, self.matches
@@ -139,12 +139,12 @@ def decode_bpe(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", ou
     return encoded.withColumn(out, decoded(F.col(ids)))
 
 
-def bpe_digests(docs: DataFrame, path: str, pattern: str, id: str = "doc_id", text: str = "text") -> DataFrame:
+def bpe_digests(docs: DataFrame, path: str, pattern: str, id: str = "doc_id", text: str = "text", parts: int = PARTS) -> DataFrame:
     """Per row: id, `n_tokens`, and SHA-256 of ids and of the decoded text; ids and bytes do not leave the task."""
     kind = docs.schema[id].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = kept(f"bpe {path} {pattern}", lambda: Codec(path, pattern))
+        codec = kept(f"bpe {path} {pattern} {parts}", lambda: Codec(path, pattern, parts))
         for batch in batches:
             counts, digests, texts = [], [], []
             for ids in codec.encode([t or "" for t in batch.column(1).to_pylist()]):
