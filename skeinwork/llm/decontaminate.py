@@ -4,15 +4,16 @@ An index of the items' word n-grams finds what a document shares with each item.
 A similarity asks for a least number of common n-grams, so an item is left out
 where the document has fewer places that hold one of its n-grams: no hit is
 lost. For the others, a window of the item's length is cut wherever a shared
-n-gram lets the item begin (a window that shares none has similarity 0), and
-verified by the weighted Jaccard similarity of the word n-grams, a weight being
-the times an n-gram occurs. Windows with equal words are judged once.
+n-gram lets the item begin (a window that shares none has similarity 0).
+Windows with equal words are judged once.
 
-`radius` is off by default. With it, only windows whose 64-bit SimHash lies
-within so many bits of the item's are verified, which loses hits: an item that
-lacks its last words can be far off. The fingerprint is cut into radius + 1
-blocks: two fingerprints within the radius agree on a block, so an index per
-block finds every such pair.
+Windows and items get a 64-bit SimHash of their words. It is cut into radius + 1
+blocks: two fingerprints that differ in `radius` bits at most agree on a block,
+so an index on (item size, block, value) finds every such pair. These pairs are
+verified by the weighted Jaccard similarity of the word n-grams, a weight being
+the times an n-gram occurs. A window that reaches the similarity differs from
+the item in few words, and `RADIUS` is so wide that the exact check decides.
+`radius=None` verifies every window that was cut, without fingerprints.
 
 Everything is DataFrame functions. The n-grams of the items are a small table
 as a rule; it is written first, so Spark broadcasts it only when it is below
@@ -37,6 +38,7 @@ from skeinwork.session import materialize
 
 WORDS = 5
 PERCENT = 75
+RADIUS = 24     # bits; windows that reach the similarity lie within it, see the README for figures
 
 
 def word_list(text: Column) -> Column:
@@ -71,15 +73,18 @@ def _blocks(prints: DataFrame, key: str, radius: int) -> DataFrame:
     """A row per block of a fingerprint."""
     edges = [round(64 * i / (radius + 1)) for i in range(radius + 2)]
     cut = [
-        F.struct(F.lit(i).alias("block"), F.shiftrightunsigned("print", lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1 if hi - lo < 64 else -1)).alias("value"))
+        F.struct(F.lit(i).alias("block"), F.shiftrightunsigned(f"{key}_print", lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1 if hi - lo < 64 else -1)).alias("value"))
         for i, (lo, hi) in enumerate(zip(edges, edges[1:]))
     ]
-    return prints.select(key, F.col("print").alias(f"{key}_print"), F.explode(F.array(*cut)).alias("c")).select(key, f"{key}_print", "c.*")
+    return prints.withColumnRenamed("print", f"{key}_print").withColumn("c", F.explode(F.array(*cut))).select("*", "c.*").drop("c")
 
 
-def within_radius(windows: DataFrame, items: DataFrame, radius: int) -> DataFrame:
-    """(win, item): all pairs whose fingerprints differ in `radius` bits at most. Inputs: (win, print), (item, print)."""
-    met = _blocks(windows, "win", radius).join(_blocks(items, "item", radius), ["block", "value"])
+def within_radius(windows: DataFrame, items: DataFrame, radius: int, by: tuple[str, ...] = ()) -> DataFrame:
+    """(win, item): all pairs whose fingerprints differ in `radius` bits at most. Inputs: (win, print), (item, print).
+
+    Both may have columns `by`; then only pairs that agree in them meet.
+    """
+    met = _blocks(windows, "win", radius).join(_blocks(items, "item", radius), [*by, "block", "value"])
     return met.where(F.bit_count(F.col("win_print").bitwiseXOR(F.col("item_print"))) <= radius).select("win", "item").distinct()
 
 
@@ -93,7 +98,7 @@ def _counted(rows: DataFrame, key: str, words: str, width: Column) -> DataFrame:
 
 def benchmark_hits(
     docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
-    width: int = WORDS, percent: int = PERCENT, radius: int | None = None,
+    width: int = WORDS, percent: int = PERCENT, radius: int | None = RADIUS,
 ) -> DataFrame:
     """Per document and item found: id, item id, `start` (first word of the best window; of equal ones the first that lines
     up with the item), `n_words`, `common` and `total` (weights of the n-grams in both and in either), `similarity`, and
@@ -135,15 +140,18 @@ def benchmark_hits(
     wanted = wanted.withColumnsRenamed({"id": "wanted_id", "text_key": "wanted_key"})
     chosen = rows.join(wanted, F.col("id").eqNullSafe(F.col("wanted_id")) & (F.col("text_key") == F.col("wanted_key")))
     cut = chosen.select("id", "text_key", "words", F.explode("cuts").alias("c")).select(
-        "id", "text_key", "c.item", "c.width", "c.start", F.slice("words", F.col("c.start") + 1, F.col("c.size")).alias("words")
+        "id", "text_key", "c.item", "c.width", "c.size", "c.start", F.slice("words", F.col("c.start") + 1, F.col("c.size")).alias("words")
     )
     windows = materialize(cut.withColumn("win", F.unhex(F.md5(body))), "windows").distinct()
     contents = materialize(windows.groupBy("win").agg(F.first("words").alias("words")), "window_words")
-    pairs = windows.select("win", "item", "width").distinct()
+    pairs = materialize(windows.select("win", "item", "width", "size").distinct(), "cut_pairs")
     if radius is not None:
-        near = within_radius(simhash(contents, "win", "words"), simhash(items, "item", "words"), radius)
-        pairs = pairs.join(near, ["win", "item"])
-    pairs = materialize(pairs, "pairs")
+        # a window was cut to the size of an item: it meets items of that size
+        cut_to = simhash(contents, "win", "words").join(pairs.select("win", "size").distinct(), "win")
+        prints = simhash(items, "item", "words").join(items.select("item", "size"), "item")
+        near = within_radius(materialize(cut_to, "window_prints"), materialize(prints, "item_prints"), radius, ("size",))
+        pairs = materialize(pairs.join(near, ["win", "item"]), "pairs")
+    pairs = pairs.drop("size")
     needed = pairs.select("win", "width").distinct().join(contents, "win")
     left = _counted(needed, "win", "words", F.col("width"))
     right = _counted(items, "item", "words", F.col("width"))
