@@ -13,18 +13,26 @@ from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from skeinwork.functions.text import percent
 from skeinwork.operators.numbering import global_index
-from skeinwork.operators.skew import hot_among, hot_keys, salted_join
-from skeinwork.session import materialize
+from skeinwork.operators.skew import cut_hot, hot_among, hot_keys, repeat_hot, salted_join
+from skeinwork.session import materialize, materialize_bucketed, materialize_counted
 
 BROADCAST_ROWS = 200_000    # a frontier up to this many ids (numbers or names, some MB) is broadcast
+BUCKET_ROWS = 2_000_000     # memberships in a bucket
+SPARSE = 64                 # person numbers may span so many values per membership; wider ones are numbered anew
 
 
 @dataclass
 class CoMembership:
-    """Distinct (person, item) rows, and (item, people) counts."""
+    """Distinct (person, item) rows, and (item, people) counts.
+
+    For the steps of a search the memberships are written in buckets by item,
+    and by person when a frontier is large: a round shuffles what the frontier
+    touches, not the memberships.
+    """
 
     members: DataFrame
     per_item: DataFrame
@@ -34,15 +42,43 @@ class CoMembership:
         return hot_among(self.per_item.withColumnRenamed("people", "_n"), ["item"])
 
     @cached_property
-    def shared(self) -> DataFrame:
-        """The memberships in items of two or more people: the others lead nowhere."""
+    def buckets(self) -> int:
+        rows = self.per_item.agg(F.sum("people")).first()[0] or 0
+        return max(int(self.members.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 + rows // BUCKET_ROWS)
+
+    @cached_property
+    def by_item(self) -> DataFrame:
+        """The memberships in items of two or more people (the others lead nowhere), in buckets by item and piece of a hot item."""
         two = self.per_item.where("people > 1").select("item")
-        return materialize(salted_join(self.members, two, ["item"], ["person"], self.hot_items), "shared")
+        shared = salted_join(self.members, two, ["item"], ["person"], self.hot_items)
+        return materialize_bucketed(cut_hot(shared, ["item"], self.hot_items, ["person"]), self.buckets, "item", "_piece")
+
+    @property
+    def shared(self) -> DataFrame:
+        """(person, item) in items of two or more people."""
+        return self.by_item.select("person", "item")
 
     @cached_property
     def hot_people(self) -> DataFrame | None:
         return hot_keys(self.shared, ["person"])
 
+    @cached_property
+    def by_person(self) -> DataFrame:
+        """`shared` in buckets by person and piece of a hot person."""
+        return materialize_bucketed(cut_hot(self.shared, ["person"], self.hot_people, ["item"]), self.buckets, "person", "_piece")
+
+    @cached_property
+    def numbered(self) -> tuple[CoMembership, DataFrame | None]:
+        """The same graph with people as whole numbers close together, and (person, number), None if they are such numbers already."""
+        if isinstance(self.members.schema["person"].dataType, IntegralType):
+            low, high, rows = self.members.agg(F.min("person"), F.max("person"), F.count("person")).first()
+            if not rows or high - low <= SPARSE * rows:
+                return self, None
+        names = materialize(global_index(self.members.select("person").distinct(), ["person"], "number"), "people")
+        rows = salted_join(self.members, names, ["person"], ["item"], hot_keys(self.members, ["person"]))
+        members = materialize(rows.select(F.col("number").alias("person"), "item"), "numbered_members")
+        return CoMembership(members, self.per_item), names
+
 
 def co_membership(members: DataFrame, person: str, item: str) -> CoMembership:
     """Write the distinct memberships and the people per item once; what else is needed is found on first use."""
@@ -76,19 +112,19 @@ def neighbours(graph: CoMembership, frontier: DataFrame, size: int | None = None
 
     `frontier` has one column `person` without repeats. An item with one
     frontier member reaches all the others; with two or more it reaches
-    everyone in it.
+    everyone in it. The memberships are not shuffled: they lie in buckets.
     """
     if size is None:
         size = frontier.count()
     if size <= BROADCAST_ROWS:
-        touched = graph.shared.join(F.broadcast(frontier), "person")
+        touched = graph.by_item.join(F.broadcast(frontier), "person")
     else:
-        touched = salted_join(graph.shared, frontier, ["person"], ["item"], graph.hot_people)
+        touched = graph.by_person.join(repeat_hot(frontier, ["person"], graph.hot_people), ["person", "_piece"])
     per_item = touched.groupBy("item").agg(
         F.count(F.lit(1)).alias("_inside"), F.min("person").alias("_only")
     )
-    reached = salted_join(graph.shared, per_item, ["item"], ["person"], graph.hot_items).where((F.col("_inside") > 1) | (F.col("person") != F.col("_only")))
-    return reached.select("person").distinct()
+    reached = graph.by_item.join(repeat_hot(per_item, ["item"], graph.hot_items), ["item", "_piece"])
+    return reached.where((F.col("_inside") > 1) | (F.col("person") != F.col("_only"))).select("person").distinct()
 
 
 def _source_frame(graph: CoMembership, source) -> DataFrame:
@@ -96,25 +132,57 @@ def _source_frame(graph: CoMembership, source) -> DataFrame:
     return graph.members.sparkSession.range(1).select(F.lit(source).cast(kind).alias("person"))
 
 
+def _in_numbers(graph: CoMembership, source) -> tuple[CoMembership, DataFrame | None, DataFrame]:
+    """The numbered graph, the names of its people, and the source as its number (no row if it is not in the graph)."""
+    own, names = graph.numbered
+    start = _source_frame(graph, source)
+    return own, names, start if names is None else names.join(F.broadcast(start), "person").select(F.col("number").alias("person"))
+
+
+def _with_names(levels: DataFrame, names: DataFrame | None) -> DataFrame:
+    if names is None:
+        return levels
+    return levels.withColumnRenamed("person", "number").join(names, "number").select("person", "level")
+
+
+def bits_of(people: DataFrame) -> DataFrame:
+    """(range, bits): a bitmap of the numbers that occur, a row per range of 32,768 numbers."""
+    return people.groupBy(F.bitmap_bucket_number("person").alias("range")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("person")).alias("bits")
+    )
+
+
+def not_in_bits(people: DataFrame, bits: DataFrame) -> DataFrame:
+    """The people whose bit is not set; one join against a row per range."""
+    at = F.bitmap_bit_position("person")
+    byte = F.conv(F.hex(F.substr("bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.getbit(byte, (at % 8).cast("int")) == 1
+    found = people.withColumn("range", F.bitmap_bucket_number("person")).join(bits, "range", "left")
+    return found.where(F.col("bits").isNull() | ~is_set).select("person")
+
+
 def bfs_levels(graph: CoMembership, source, max_level: int = 6) -> DataFrame:
     """Shortest distance from `source`: (person, level), the source at level 0.
 
     Each round is written before the next one starts, so the plan stays the
-    same size; the driver sees one count per round.
+    same size; its rows are counted while they are written. Who was seen before
+    is a bitmap per range of numbers, one bit a person, to which a round adds its
+    own: a round reads that one table, whatever its number.
     """
-    levels = [materialize(_source_frame(graph, source), "level")]
-    size = 1
-    for _ in range(max_level):
-        seen = reduce(DataFrame.unionByName, levels)
-        fresh = neighbours(graph, levels[-1], size).join(seen, "person", "left_anti")
-        fresh = materialize(fresh, "level")
-        size = fresh.count()
+    own, names, start = _in_numbers(graph, source)
+    frontier, size, levels = materialize(start, "level"), 1, []
+    seen = materialize(bits_of(frontier), "seen")
+    for level in range(1, max_level + 1):
+        fresh, size = materialize_counted(not_in_bits(neighbours(own, frontier, size), seen), "level")
         if size == 0:
             break
-        levels.append(fresh)
-    return reduce(
-        DataFrame.unionByName, [df.withColumn("level", F.lit(i)) for i, df in enumerate(levels)]
-    )
+        levels.append(fresh.withColumn("level", F.lit(level)))
+        if level < max_level:
+            both = seen.unionByName(bits_of(fresh))
+            seen = materialize(both.groupBy("range").agg(F.bitmap_or_agg("bits").alias("bits")), "seen")
+        frontier = fresh
+    first = _source_frame(graph, source).withColumn("level", F.lit(0))
+    return first.unionByName(_with_names(reduce(DataFrame.unionByName, levels), names)) if levels else first
 
 
 def walk_levels(graph: CoMembership, source, max_level: int = 6) -> DataFrame:
@@ -122,14 +190,14 @@ def walk_levels(graph: CoMembership, source, max_level: int = 6) -> DataFrame:
 
     A person may be in several levels, and the source returns at level 2.
     """
-    frontier, size, levels = _source_frame(graph, source), 1, []
+    own, names, frontier = _in_numbers(graph, source)
+    size, levels = 1, []
     for level in range(1, max_level + 1):
-        frontier = materialize(neighbours(graph, frontier, size), "walk")
-        size = frontier.count()
+        frontier, size = materialize_counted(neighbours(own, frontier, size), "walk")
         levels.append(frontier.withColumn("level", F.lit(level)))
         if size == 0:
             break
-    return reduce(DataFrame.unionByName, levels)
+    return _with_names(reduce(DataFrame.unionByName, levels), names)
 
 
 def distances(people: DataFrame, levels: DataFrame) -> DataFrame:

@@ -73,6 +73,20 @@ def _pieces(df: DataFrame, keys: list[str], hot: DataFrame | None, out: str) ->
     return joined.drop("_pieces", *(f"_hot_{k}" for k in keys))
 
 
+def cut_hot(df: DataFrame, keys: list[str], hot: DataFrame | None, spread_by: list[str], out: str = "_piece") -> DataFrame:
+    """Adds the piece of each row: that of a hash of `spread_by` for the hot keys, 0 for others."""
+    if hot is None:
+        return df.withColumn(out, F.lit(0))
+    return _pieces(df, keys, hot, "_n").withColumn(out, F.pmod(F.xxhash64(*spread_by), F.col("_n")).cast("int")).drop("_n")
+
+
+def repeat_hot(df: DataFrame, keys: list[str], hot: DataFrame | None, out: str = "_piece") -> DataFrame:
+    """Rows once per piece of their key, to be joined with rows from `cut_hot` on the keys and the piece."""
+    if hot is None:
+        return df.withColumn(out, F.lit(0))
+    return _pieces(df, keys, hot, "_n").withColumn(out, F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).drop("_n")
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_bucketed: dict[str, list[str]] = {}    # application id -> names of its bucketed tables
 _local_dirs: dict[str, str] = {}    # application id -> folder of a one-process session without the setting
 
 
@@ -81,6 +82,8 @@ def remove_path(spark: SparkSession, path: str) -> None:
 
 def remove_scratch(spark: SparkSession) -> None:
     """Delete the intermediate tables of this application, once its results are written."""
+    for name in _bucketed.pop(spark.sparkContext.applicationId, ()):
+        spark.sql(f"drop table if exists {name}")
     remove_path(spark, _home(spark))
 
 
@@ -100,3 +103,19 @@ def materialize_counted(df: DataFrame, name: str = "table") -> tuple[DataFrame,
     seen = Observation()
     written = materialize(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
     return written, seen.get["rows"]
+
+
+def materialize_bucketed(df: DataFrame, buckets: int, *columns: str) -> DataFrame:
+    """Write `df` in the shared folder as a table of `buckets` buckets by the columns, one sorted file each.
+
+    A join or aggregation on these columns reads the buckets as they lie: only
+    the other side is shuffled. The table is registered in the session's catalog
+    under a name of its own until `remove_scratch`.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "bucketed")
+    name = "skeinwork_" + path.rsplit("-", 1)[-1]
+    dealt = df.repartition(buckets, *columns)
+    dealt.write.format("parquet").bucketBy(buckets, *columns).sortBy(*columns).option("path", path).saveAsTable(name)
+    _bucketed.setdefault(spark.sparkContext.applicationId, []).append(name)
+    return spark.table(name)

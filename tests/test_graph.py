@@ -97,3 +97,50 @@ def test_report_from_files(spark, tmp_path):
     assert [(r["group"], r["person"], r["number"]) for r in walks["members"].collect()] == [("M", "B", 1)]
     run(*args, str(tmp_path / "out"))
     assert (tmp_path / "out/levels").exists()
+
+
+def _above(plan, scan):
+    """Lines of a plan above the line `scan`, up to the nearest join."""
+    depth = lambda line: len(line) - len(line.lstrip(" :+-*()0123456789"))
+    lines, at, out = plan.splitlines(), scan, []
+    level = depth(lines[scan])
+    while at > 0 and "Join" not in (out[-1] if out else ""):
+        at -= 1
+        if depth(lines[at]) < level:
+            level = depth(lines[at])
+            out.append(lines[at])
+    return out
+
+
+def test_a_round_does_not_shuffle_the_memberships(spark, monkeypatch):
+    monkeypatch.setattr(skew, "LEAST_ROWS", 5)
+    monkeypatch.setattr(skew, "task_rows", lambda spark, rows: 5)
+    graph = g.co_membership(spark.createDataFrame(random_pairs(2), "person string, film string"), "person", "film")
+    frontier = spark.createDataFrame([("p0",), ("p1",)], "person string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = g.neighbours(graph, frontier, g.BROADCAST_ROWS + 1)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    scans = [i for i, line in enumerate(plan.splitlines()) if "Bucketed: true" in line]
+    assert len(scans) == 2
+    for scan in scans:
+        above = _above(plan, scan)
+        assert "SortMergeJoin" in above[-1] and not any("Exchange" in line for line in above), plan
+
+
+@pytest.mark.parametrize("ids", [[5, 6, 7, 40_000, 100_000], [-3, -2, -1, 0, 1], [0, 1 << 40, 3, 1 << 62, 9], [32767, 32768, 32769, 65536, 1]])
+def test_numbers_near_and_far(spark, rows, ids):
+    """People in a line; numbers that lie far apart are numbered anew."""
+    pairs = [(p, f"f{i + k}") for i, p in enumerate(ids) for k in (0, 1)]
+    graph = g.co_membership(spark.createDataFrame(pairs, "person long, film string"), "person", "film")
+    assert rows(g.bfs_levels(graph, ids[0], 6)) == sorted(((p, i) for i, p in enumerate(ids)), key=repr)
+
+
+def test_bits(spark, rows):
+    some = spark.createDataFrame([(i,) for i in (1, 8, 9, 32768, 32769, 0, -1, -40000)], "person long")
+    every = spark.createDataFrame([(i,) for i in range(-40010, 33000, 1)], "person long")
+    left = {r[0] for r in g.not_in_bits(every, g.bits_of(some)).collect()}
+    assert left == set(range(-40010, 33000)) - {1, 8, 9, 32768, 32769, 0, -1, -40000}
