@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skeinwork.catalog.registry import epoch, query, table
@@ -21,11 +21,11 @@ from skeinwork.operators.numbering import global_index
 from skeinwork.operators.records import interleave
 from skeinwork.operators.regions import balance_regions as balanced
 from skeinwork.operators.regions import chunk_apply as apply_to_chunks
-from skeinwork.operators.regions import coordinate_order
+from skeinwork.operators.regions import coordinate_order, range_partitioned
 from skeinwork.operators.regions import region_apply as apply_to_regions
 from skeinwork.operators.skew import spread
 from skeinwork.operators.variants import sorted_variants, vcf_concordance as concordance
-from skeinwork.plans.variants import mark_duplicate_reads, with_fixed_quality
+from skeinwork.plans.variants import mark_duplicate_pairs, mark_duplicate_reads, with_fixed_quality
 from skeinwork.session import materialize, scratch_path
 from skeinwork.sources.dictionary import parse_dict
 from skeinwork.sources.fastq import read_fastq
@@ -112,6 +112,29 @@ def chunk_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_to_chunks(parts, _reversed_names, "p_partkey bigint, name string")
 
 
+@query("""
+select count(*) as rows, sum(l_partkey)::bigint as total, 6::bigint as parts, true as in_order from lineitem
+""")
+def range_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sorted partitions that hold one range of the key each: none begins before the one before it has ended, rows inside are in order."""
+    lines = table(spark, sf_dir, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber")
+    ranged = range_partitioned(lines, 6, "l_partkey", "l_orderkey", "l_linenumber").withColumns(
+        {"part": F.spark_partition_id(), "at": F.monotonically_increasing_id()}
+    )
+    ranged = materialize(ranged, "ranges")
+    before = Window.partitionBy("part").orderBy("at")
+    key = F.struct("l_partkey", "l_orderkey", "l_linenumber")
+    steps = ranged.withColumn("ok", F.coalesce(F.lag(key).over(before) <= key, F.lit(True)))
+    parts = steps.groupBy("part").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("l_partkey").alias("s"), F.min(key).alias("low"), F.max(key).alias("high"), F.bool_and("ok").alias("ok")
+    )
+    # a row per partition
+    in_turn = F.coalesce(F.lag("high").over(Window.partitionBy(F.lit(0)).orderBy("part")) <= F.col("low"), F.lit(True))
+    return parts.withColumn("ok", F.col("ok") & in_turn).agg(
+        F.sum("n").alias("rows"), F.sum("s").alias("total"), F.count(F.lit(1)).alias("parts"), F.bool_and("ok").alias("in_order")
+    )
+
+
 # ---- intervals --------------------------------------------------------------------
 
 EVENTS = """
@@ -365,6 +388,47 @@ def duplicate_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_duplicate_reads(reads, "event_id").select("event_id", "is_duplicate")
 
 
+@query("""
+with raw as (
+  select (((l_orderkey * 8 + l_linenumber) * 100000 + l_partkey) * 1000 + l_suppkey) * 100 + l_quantity::bigint as read_id,
+         'q' || l_orderkey || '/' || (l_linenumber + 1) // 2 as qname, l_linenumber % 2 = 1 as first, l_tax > 0.04 as reverse,
+         l_quantity = 7 as unmapped, l_quantity = 9 as other, l_linenumber = 7 as alone, l_suppkey % 3 as ref, l_partkey % 40 + 100 as pos,
+         l_quantity::bigint % 4 as head, l_partkey % 3 as tail, l_quantity::bigint as score
+  from lineitem),
+ends as (
+  select *, case when reverse then pos + 30 + 5 - 1 + tail else pos - head end as five from raw where not unmapped and not other),
+named as (
+  select qname, count(*) as n, count(*) filter (first and not alone) as firsts, count(*) filter (not first and not alone) as seconds, sum(score) as score,
+         list_sort(list((ref, five, reverse))) as key from ends group by qname),
+pairs as (select * from named where n = 2 and firsts = 1 and seconds = 1),
+kept_pairs as (select qname, row_number() over (partition by key order by score desc, qname) > 1 as lost from pairs),
+taken as (select distinct unnest(key) as e from pairs),
+singles as (select * from ends where qname not in (select qname from pairs)),
+kept_singles as (
+  select read_id, row_number() over (partition by ref, five, reverse order by score desc, read_id) > 1
+                  or (ref, five, reverse) in (select e from taken) as lost from singles)
+select raw.read_id, coalesce(s.lost, p.lost and not raw.unmapped and not raw.other, false) as is_duplicate
+from raw left join kept_singles s using (read_id) left join kept_pairs p on p.qname = raw.qname
+""")
+def duplicate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Duplicates over mates: clipped ends, both strands, names with more reads than a pair has, single reads next to pairs."""
+    n, whole = F.col("l_linenumber"), F.col("l_quantity").cast("bigint")
+    bit = lambda condition, value: F.when(condition, F.lit(value)).otherwise(F.lit(0))
+    alone = n == 7
+    flag = (
+        bit(~alone, 1) + bit(~alone & (n % 2 == 1), 64) + bit(~alone & (n % 2 == 0), 128) + bit(F.col("l_tax") > 0.04, 16)
+        + bit(F.col("l_quantity") == 7, 4) + bit(F.col("l_quantity") == 9, 256)
+    )
+    part = lambda length, op: F.when(length > 0, F.concat(length.cast("string"), F.lit(op))).otherwise(F.lit(""))
+    reads = table(spark, sf_dir, "lineitem").select(
+        ((((F.col("l_orderkey") * 8 + n) * 100000 + F.col("l_partkey")) * 1000 + F.col("l_suppkey")) * 100 + whole).alias("read_id"),
+        F.concat(F.lit("q"), F.col("l_orderkey").cast("string"), F.lit("/"), F.floor((n + 1) / 2).cast("string")).alias("qname"),
+        flag.alias("flag"), (F.col("l_suppkey") % 3).alias("ref_index"), (F.col("l_partkey") % 40 + 100).alias("pos"),
+        F.concat(part(whole % 4, "S"), F.lit("30M2I5D"), part(F.col("l_partkey") % 3, "H")).alias("cigar"), F.array(whole).alias("quals"),
+    )
+    return mark_duplicate_pairs(reads, "read_id").select("read_id", "is_duplicate")
+
+
 # ---- FASTQ ------------------------------------------------------------------------
 
 @query("""
@@ -479,6 +543,30 @@ def interleave_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reads.groupBy("file", "pair").agg(F.array_join(both, "|").alias("record")).select("record")
 
 
+CHUNKS = 7
+
+
+@query(f"""
+with pairs as (
+  select '@' || p_partkey || '/1|' || p_name || '|+|' || p_brand || '|@' || p_partkey || '/2|ACGT|+|@III' as record, row_number() over (order by p_partkey) as i
+  from part),
+chunks as (select *, ntile({CHUNKS}) over (order by i) - 1 as c from pairs)
+select 'Chunks_' || c || '.fq.gz' as name, i - min(i) over (partition by c) as position, record from chunks
+""")
+def chunk_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The names of the chunks, their number, and the records of each in order."""
+    path, key = scratch_path(spark, "chunks"), F.col("p_partkey").cast("string")
+    parts = table(spark, sf_dir, "part").orderBy("p_partkey")
+    one = F.concat(F.lit("@"), key, F.lit("/1\n"), "p_name", F.lit("\n+\n"), "p_brand")
+    two = F.concat(F.lit("@"), key, F.lit("/2\nACGT\n+\n@III"))
+    for mate, text in (("one", one), ("two", two)):
+        parts.select(text.alias("value")).coalesce(1).write.text(f"{path}/{mate}")
+    mates.run(spark, f"{path}/one", f"{path}/two", f"{path}/out", CHUNKS)
+    reads = read_fastq(spark, f"{path}/out").withColumn("position", F.floor(F.col("rec") / 2))
+    both = F.transform(F.sort_array(F.collect_list(F.struct("rec", "lines"))), lambda x: F.array_join(x["lines"], "|"))
+    return reads.groupBy(F.element_at(F.split("file", "/"), -1).alias("name"), "position").agg(F.array_join(both, "|").alias("record"))
+
+
 @query(f"""
 with {ISLANDS} select chrom, "start" - 1 as "start", "end", chrom || ':' || "start" || '-' || "end" as region from islands
 """)

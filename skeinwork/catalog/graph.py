@@ -9,6 +9,7 @@ from skeinwork.catalog.registry import query, table
 from skeinwork.operators import graph as g
 from skeinwork.plans.costar import costar_report
 from skeinwork.session import materialize, scratch_path
+from skeinwork.sources.sinks import write_numbered
 from skeinwork.sources.text_records import read_membership
 
 SOURCE, LEVELS = 0, 6
@@ -118,6 +119,19 @@ def level_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.level_members(g.bfs_levels(graph, SOURCE, LEVELS), _people(spark, sf_dir, graph), 3)
 
 
+@query(f"""
+{WALKS}, {PEOPLE},
+d as (select person, min(level) as level from r group by person)
+select "group", row_number() over (partition by "group" order by person) || '. ' || person as line from d join people using (person) where level = 2
+""")
+def numbered_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The numbered list of each group as text files, read back."""
+    graph, path = _graph(spark, sf_dir), scratch_path(spark, "numbered")
+    listed = g.level_members(g.bfs_levels(graph, SOURCE, 2), _people(spark, sf_dir, graph), 2)
+    write_numbered(listed.withColumn("person", F.col("person").cast("string")), path)
+    return spark.read.text(path).select("group", F.col("value").alias("line"))
+
+
 @query(f"""
 {WALKS}
 select person from r where level = 4 and person not in (select person from r where level = 3)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skeinwork.catalog.registry import query, table
@@ -12,6 +12,8 @@ from skeinwork.operators.duplicates import duplicate_metrics, mark_duplicates
 from skeinwork.operators.skew import spread
 from skeinwork.operators.langid import build_profiles, detect_lang
 from skeinwork.operators.totals import by_total, lang_totals as totals_per_language
+from skeinwork.plans import pagecounts
+from skeinwork.session import scratch_path
 from skeinwork.sources.sinks import tuple_lines
 from skeinwork.sources.text_records import parse_pagecounts
 
@@ -45,6 +47,27 @@ def lang_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_total(totals_per_language(docs))
 
 
+@query(f"""
+with pages as ({PAGES}),
+totals as (
+  select code, sum(views)::bigint as total_views, max(views) as top_views, (array_agg(title order by views desc, title desc))[1] as top_title
+  from pages where title is not null and title <> code group by code)
+select row_number() over (order by total_views desc, code) as place, coalesce(name, lower(code)) as language, code, total_views, top_title, top_views
+from totals left join {NAMES} using (code)
+""")
+def report_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job on page counts from text to its report file, which is read back in the order of its lines."""
+    path = scratch_path(spark, "pagecounts")
+    docs = table(spark, sf_dir, "documents").where(_front_title().isNotNull())
+    docs.select(F.concat_ws(" ", F.concat_ws(".", "lang", "source"), _front_title(), "n_chars", F.lit("0")).alias("value")).write.text(f"{path}/in")
+    pagecounts.run(spark, f"{path}/in", f"{path}/out")
+    schema = "language string, code string, total_views bigint, top_title string, top_views bigint"
+    lines = spark.read.schema(schema).option("header", True).csv(f"{path}/out")
+    # a line per language
+    at = F.struct(F.col("_metadata.file_name"), F.monotonically_increasing_id())
+    return lines.withColumn("at", at).withColumn("place", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("at")).cast("bigint")).drop("at")
+
+
 @query(f"""
 with pages as ({PAGES})
 select code, title, views from pages where title is not null

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Flag bit, accepted reference numbers, quality rules, read group.
-UNMAPPED_FLAG = 4
+# Flag bits, accepted reference numbers, quality rules, read group.
+PAIRED_FLAG, UNMAPPED_FLAG, REVERSE_FLAG, FIRST_FLAG, SECOND_FLAG, OTHER_FLAGS = 1, 4, 16, 64, 128, 256 + 2048     # OTHER: secondary, supplementary
 FIRST_REFERENCE, LAST_REFERENCE = 1, 24
 SANGER_MAX_QUALITY = 60
 QUALITY_SHIFT = 31
@@ -54,3 +54,16 @@ def reference_length(cigar: Column) -> Column:
 def alignment_end(pos: Column, cigar: Column) -> Column:
     """1-based inclusive end of an alignment; NULL without a CIGAR (`*`)."""
     return F.when(cigar != "*", pos + reference_length(cigar) - F.lit(1))
+
+
+def clipped(cigar: Column, leading: bool) -> Column:
+    """Bases clipped (S and H) at the beginning or end of a CIGAR string."""
+    run = F.regexp_extract(cigar, r"^((?:\d+[SH])+)" if leading else r"((?:\d+[SH])+)$", 1)
+    lengths = F.regexp_extract_all(run, F.lit(r"(\d+)[SH]"), F.lit(1))
+    return F.aggregate(lengths, F.lit(0).cast("bigint"), lambda total, n: total + n.cast("bigint"))
+
+
+def five_prime(flag: Column, pos: Column, cigar: Column) -> Column:
+    """Where the 5' end of a read would lie if nothing of it were clipped; NULL without a CIGAR."""
+    reverse = flag.bitwiseAND(F.lit(REVERSE_FLAG)) != 0
+    return F.when(reverse, alignment_end(pos, cigar) + clipped(cigar, False)).otherwise(F.when(cigar != "*", pos - clipped(cigar, True)))

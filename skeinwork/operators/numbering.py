@@ -64,23 +64,30 @@ def global_index(
     return out.drop("_mid", "_part", "_offset", "_total")
 
 
-def number_lines(lines: DataFrame, name: str = "line_no") -> DataFrame:
-    """0-based line number in a `spark.read.text` frame with file and block columns.
+def line_offsets(lines: DataFrame) -> DataFrame:
+    """Per file and split of a `spark.read.text` frame: the lines in it (`_n`) and before it (`_offset`), and its first `_mid`.
 
-    Expects `file`, `block` (start of the file split) and `_mid`
-    (monotonically_increasing_id taken at the scan). One row per split takes
-    part in the prefix sum and is written, so Spark broadcasts those rows while
-    their bytes are below its threshold; the text is not shuffled then.
+    Expects the columns that `number_lines` names. One row per split takes part
+    in the prefix sum; the result is written.
     """
     blocks = lines.groupBy("file", "block").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first")
     )
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = materialize(
-        blocks.select("file", "block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")), "line_offsets"
-    )
+    return materialize(blocks.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))), "line_offsets")
+
+
+def number_lines(lines: DataFrame, name: str = "line_no", offsets: DataFrame | None = None) -> DataFrame:
+    """0-based line number in a `spark.read.text` frame with file and block columns.
+
+    Expects `file`, `block` (start of the file split) and `_mid`
+    (monotonically_increasing_id taken at the scan). The rows of `line_offsets`
+    are joined by split; Spark broadcasts them while their bytes are below its
+    threshold, and the text is not shuffled then.
+    """
+    offsets = line_offsets(lines) if offsets is None else offsets
     return (
-        lines.join(offsets, ["file", "block"])
+        lines.join(offsets.drop("_n"), ["file", "block"])
         .withColumn(name, F.col("_offset") + F.col("_mid") - F.col("_first"))
         .drop("_offset", "_first", "_mid", "block")
     )

@@ -7,10 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skeinwork.functions.reads import UNMAPPED_FLAG, fix_quality, guess_quality, is_main_mapped, with_read_group
+from skeinwork.functions.reads import (
+    FIRST_FLAG,
+    OTHER_FLAGS,
+    PAIRED_FLAG,
+    REVERSE_FLAG,
+    SECOND_FLAG,
+    UNMAPPED_FLAG,
+    fix_quality,
+    five_prime,
+    guess_quality,
+    is_main_mapped,
+    with_read_group,
+)
 from skeinwork.operators.duplicates import mark_duplicates
 from skeinwork.operators.intervals import coverage_islands, interval_intersect
 from skeinwork.operators.regions import balance_regions, region_apply_with
+from skeinwork.operators.skew import hot_keys, salted_join
 from skeinwork.operators.variants import sorted_variants, vcf_concordance
 from skeinwork.session import materialize
 from skeinwork.sources.sinks import write_vcf
@@ -47,6 +60,53 @@ def mark_duplicate_reads(reads: DataFrame, id: str) -> DataFrame:
     return marked.unionByName(reads.where(unmapped).withColumn("is_duplicate", F.lit(False)))
 
 
+def mark_duplicate_pairs(reads: DataFrame, id: str) -> DataFrame:
+    """Duplicates among pairs of mates, and among reads without a mapped mate.
+
+    Needs qname, flag, ref_index, pos, cigar and quals, and a unique `id`. Two
+    mapped primary reads of one name, the first and the second of a pair, are a
+    pair; its key are both 5' ends (reference, position before clipping, strand),
+    whatever their order. The pair with the best sum of qualities stays, of equal
+    ones that with the smallest name. Any other mapped primary read is single:
+    it is a duplicate where a pair has an end at its own, else all but the best
+    single one are. A name with more than two reads is no pair. Unmapped,
+    secondary and supplementary reads, and reads without a CIGAR, are never
+    duplicates.
+
+    Mates meet in an aggregation by name that keeps one end of either mate; the
+    winners of a key are combined minima, so no key's rows come together in one task.
+    """
+    has = lambda bits: F.col("flag").bitwiseAND(F.lit(bits)) != 0
+    end = F.struct(F.col("ref_index").alias("ref"), "_five_prime", has(REVERSE_FLAG).alias("reverse"))
+    quality = F.coalesce(F.aggregate("quals", F.lit(0).cast("bigint"), lambda total, q: total + q), F.lit(0).cast("bigint"))
+    placed = F.when(~has(UNMAPPED_FLAG) & ~has(OTHER_FLAGS), five_prime(F.col("flag"), F.col("pos"), F.col("cigar")))
+    ends = materialize(
+        reads.withColumn("_five_prime", placed).where("_five_prime is not null").select(
+            F.col(id).alias("_id"), F.col("qname").alias("_name"), end.alias("_end"), quality.alias("_score"),
+            F.when(has(PAIRED_FLAG), F.when(has(FIRST_FLAG) & ~has(SECOND_FLAG), 1).when(has(SECOND_FLAG) & ~has(FIRST_FLAG), 2)).alias("_mate"),
+        ),
+        "read_ends",
+    )
+    mate = lambda n, what: F.min(F.when(F.col("_mate") == n, F.col(what)))
+    named = ends.where("_name is not null").groupBy("_name").agg(
+        F.count(F.lit(1)).alias("_reads"), F.array_sort(F.array(mate(1, "_end"), mate(2, "_end"))).alias("_ends"),
+        F.count_if(F.col("_mate") == 1).alias("_firsts"), F.count_if(F.col("_mate") == 2).alias("_seconds"), F.sum("_score").alias("_score"),
+    )
+    pairs = materialize(named.where("_reads = 2 and _firsts = 1 and _seconds = 1").select("_name", "_ends", "_score"), "read_pairs")
+    best = lambda name: F.min(F.struct((-F.col("_score")).alias("s"), F.col(name).alias("n")))["n"]
+    winners = pairs.groupBy("_ends").agg(best("_name").alias("_name")).select("_name", F.lit(True).alias("_kept"))
+    marked = materialize(pairs.select("_name").join(winners, "_name", "left").select("_name", F.col("_kept").isNull().alias("_second_best")), "marked_pairs")
+    # a name may have any number of reads that are no pair
+    hot = hot_keys(ends, ["_name"])
+    paired = materialize(salted_join(ends.select("_id", "_name"), marked, ["_name"], ["_id"], hot).select("_id", "_second_best"), "paired_reads")
+    single = ends.join(paired.select("_id"), "_id", "left_anti")
+    taken = pairs.select(F.explode("_ends").alias("_end")).distinct().select("_end", F.lit(True).alias("_taken"))
+    left = single.groupBy("_end").agg(best("_id").alias("_id")).join(taken, "_end", "left_anti").select("_id")
+    lost = single.select("_id").join(left, "_id", "left_anti").unionByName(paired.where("_second_best").select("_id"))
+    flags = materialize(lost, "duplicate_ids").withColumn("_lost", F.lit(True))
+    return reads.join(flags, F.col(id) == F.col("_id"), "left").withColumn("is_duplicate", F.col("_lost").isNotNull()).drop("_id", "_lost")
+
+
 def covered_regions(reads: DataFrame) -> DataFrame:
     """Covered intervals of each region: (region, chrom, start, end), 1-based inclusive."""
     named = reads.select(

@@ -80,6 +80,29 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(where, True)
 
 
+def name_parts(spark: SparkSession, path: str, n: int, name: str, empty: bytes = b"") -> None:
+    """Give the part files of partitions 0 to n - 1 in a written folder the names `name.format(partition)`.
+
+    Renames only, on any file system that Spark reaches, after the write has
+    been committed. The writer makes no file for a partition without rows: it
+    gets one that holds `empty`.
+    """
+    fs, where = _file_system(spark, path)
+    parts = {}
+    for status in fs.listStatus(where):
+        found = re.match(r"part-(\d+)-", status.getPath().getName())
+        if found:
+            parts[int(found.group(1))] = status.getPath()
+    for number in range(n):
+        target = spark._jvm.org.apache.hadoop.fs.Path(where, name.format(number))
+        if number in parts:
+            fs.rename(parts[number], target)
+        else:
+            out = fs.create(target)
+            out.write(bytearray(empty))
+            out.close()
+
+
 def remove_scratch(spark: SparkSession) -> None:
     """Delete the intermediate tables of this application, once its results are written."""
     for name in _bucketed.pop(spark.sparkContext.applicationId, ()):

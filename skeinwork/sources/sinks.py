@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import gzip
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skeinwork.functions.coords import bed_end, bed_start, region_string
+from skeinwork.session import name_parts
 from skeinwork.sources.text_records import RETWEET_LOG_HEADER, retweet_log_lines
 from skeinwork.sources.vcf import VCF_HEADER
 
@@ -35,19 +38,27 @@ def write_retweet_log(rows: DataFrame, path: str, mode: str = "errorifexists") -
     retweet_log_lines(rows).write.mode(mode).text(f"{path}/lines")
 
 
+CHUNK_NAME = "Chunks_{}.fq.gz"     # fixed value: name of a chunk's file
+
+
 def write_chunks(
-    records: DataFrame, path: str, n: int, order: list[str] | None = None, record: str = "record", mode: str = "errorifexists"
+    records: DataFrame, path: str, n: int, order: list[str] | None = None, record: str = "record", mode: str = "errorifexists",
+    chunk: str | None = None,
 ) -> None:
-    """n gzip text chunks holding contiguous ranges of the record number (`rec`, or the columns of `order`), in order."""
+    """n gzip text chunks holding contiguous ranges of the record number (`rec`, or the columns of `order`), in order.
+
+    With `chunk`, a column of whole numbers from 0 to n - 1, a row goes to that
+    chunk and the files are named `Chunks_<n>.fq.gz`; a chunk without rows is an empty file.
+    Without it, ranges come from a sample and the files keep the writer's names.
+    """
     order = order or ["rec"]
-    (
-        records.repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
-        .select(record)
-        .write.mode(mode)
-        .option("compression", "gzip")
-        .text(path)
-    )
+    if chunk is None:
+        dealt = records.repartitionByRange(n, *order).sortWithinPartitions(*order).select(record)
+    else:
+        dealt = records.repartitionById(n, F.col(chunk).cast("int")).sortWithinPartitions(*order).select(record)
+    dealt.write.mode(mode).option("compression", "gzip").text(path)
+    if chunk is not None:
+        name_parts(records.sparkSession, path, n, CHUNK_NAME, gzip.compress(b""))
 
 
 def write_vcf(variants: DataFrame, path: str, sample: str = "ls", mode: str = "errorifexists") -> None:

@@ -27,7 +27,7 @@ def put(path: pathlib.Path, text: str) -> str:
 
 def lines_of(folder) -> list[str]:
     out = []
-    for part in sorted(pathlib.Path(folder).glob("part-*")):
+    for part in sorted([*pathlib.Path(folder).glob("part-*"), *pathlib.Path(folder).glob("Chunks_*")]):
         opened = gzip.open(part, "rt") if part.suffix == ".gz" else part.open()
         with opened as f:
             out += f.read().splitlines()
@@ -99,7 +99,7 @@ def test_fastq_numbers_over_many_splits(spark, tmp_path, rows):
 def test_interleaved_chunks(spark, tmp_path):
     one, two = put(tmp_path / "fastq1.fq", fastq_text(50, 1)), put(tmp_path / "fastq2.fq", fastq_text(50, 2))
     fastq_job.run(spark, one, two, str(tmp_path / "chunks"), 3)
-    assert len(list((tmp_path / "chunks").glob("*.gz"))) == 3
+    assert sorted(p.name for p in (tmp_path / "chunks").glob("*.gz")) == [f"Chunks_{i}.fq.gz" for i in range(3)]
     want = []
     for i in range(50):
         for mate in (1, 2):
@@ -110,6 +110,17 @@ def test_interleaved_chunks(spark, tmp_path):
     assert list_inputs(spark, str(tmp_path / "chunks"), "*.gz").count() == 3
 
 
+def test_chunks_of_even_size_and_empty_ones(spark, tmp_path):
+    one, two = put(tmp_path / "fastq1.fq", fastq_text(5, 1)), put(tmp_path / "fastq2.fq", fastq_text(5, 2))
+    fastq_job.run(spark, one, two, str(tmp_path / "chunks"), 7)
+    lines = {}
+    for part in (tmp_path / "chunks").glob("*.gz"):
+        with gzip.open(part, "rt") as f:
+            lines[part.name] = len(f.read().splitlines())
+    assert lines == {f"Chunks_{i}.fq.gz": 8 if i < 5 else 0 for i in range(7)}
+    assert read_fastq(spark, str(tmp_path / "chunks")).count() == 10
+
+
 def test_mates_of_several_files(spark, tmp_path):
     """Files pair up by the order of their paths, also when their names are equal."""
     want = []

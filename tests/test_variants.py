@@ -8,7 +8,9 @@ from skeinwork.functions.reads import alignment_end, decode_quality, fix_quality
 from skeinwork.operators.variants import sorted_variants, vcf_concordance
 from skeinwork.plans import variants as job
 from skeinwork.sources.dictionary import parse_dict
+from skeinwork.plans.variants import mark_duplicate_pairs
 from skeinwork.sources.sam import parse_sam, with_reference_index
+from skeinwork.sources.vcf import parse_vcf
 
 
 def one(spark, column):
@@ -111,3 +113,54 @@ def test_duplicate_reads(spark, rows):
     data = [(1, 1, 10, 20, 0, [1, 2]), (2, 1, 10, 25, 0, [5]), (3, 1, 5, 20, 16, [9]), (4, 1, 9, 20, 16, [9]), (5, 2, 10, 20, 0, [1])]
     marked = job.mark_duplicate_reads(spark.createDataFrame(data, schema), "id")
     assert rows(marked.select("id", "is_duplicate")) == [(1, True), (2, False), (3, False), (4, True), (5, False)]
+
+
+def test_clipped_ends(spark):
+    from skeinwork.functions.reads import clipped, five_prime
+
+    data = [("5S10M", 0, 100), ("2H3S10M4S1H", 16, 100), ("10M", 16, 100), ("*", 0, 100), (None, 0, 100), ("3S4H", 0, 7), ("10M2I3D5S", 16, 1)]
+    df = spark.createDataFrame(data, "cigar string, flag int, pos long")
+    got = df.select(clipped(F.col("cigar"), True), clipped(F.col("cigar"), False), five_prime(F.col("flag"), F.col("pos"), F.col("cigar")))
+    assert [tuple(r) for r in got.collect()][:3] == [(5, 0, 95), (5, 5, 114), (0, 0, 109)]
+    assert [r[2] for r in got.collect()][3:] == [None, None, 0, 18]
+
+
+PAIRS = "read_id long, qname string, flag int, ref_index int, pos long, cigar string, quals array<int>"
+
+
+def test_duplicate_pairs(spark):
+    q = lambda n: [n]
+    rows = [
+        # two pairs with the same ends, mates the other way round; one is clipped
+        (1, "a", 1 | 64, 1, 100, "10M", q(5)), (2, "a", 1 | 128 | 16, 1, 200, "10M", q(5)),
+        (3, "b", 1 | 128, 1, 103, "3S7M", q(9)), (4, "b", 1 | 64 | 16, 1, 200, "8M2S", q(9)),
+        # the same ends on another strand or reference are another pair
+        (5, "c", 1 | 64, 1, 100, "10M", q(1)), (6, "c", 1 | 128, 1, 209, "10M", q(1)),
+        (7, "d", 1 | 64, 2, 100, "10M", q(1)), (8, "d", 1 | 128 | 16, 2, 200, "10M", q(1)),
+        # single reads: at an end of a pair, and among themselves
+        (9, "e", 0, 1, 100, "10M", q(99)), (10, "f", 0, 3, 50, "10M", q(1)), (11, "g", 0, 3, 50, "10M", q(2)), (12, None, 0, 3, 50, "10M", None),
+        # a name with three reads is no pair; unmapped, secondary and unplaced reads are nothing
+        (13, "h", 1 | 64, 4, 1, "10M", q(1)), (14, "h", 1 | 128, 4, 1, "10M", q(2)), (15, "h", 1 | 64, 4, 1, "10M", q(3)),
+        (16, "a", 4, 1, 100, "10M", q(1)), (17, "a", 256, 1, 100, "10M", q(1)), (18, "i", 0, 1, 100, "*", q(1)),
+        # a mate that is not mapped leaves a single read
+        (19, "j", 1 | 64, 5, 10, "10M", q(1)), (20, "j", 1 | 128 | 4, 5, 10, "10M", q(1)), (21, "k", 0, 5, 10, "10M", q(2)),
+    ]
+    df = spark.createDataFrame(rows, PAIRS).repartition(4)
+    got = {r["read_id"] for r in mark_duplicate_pairs(df, "read_id").where("is_duplicate").collect()}
+    assert got == {1, 2, 9, 10, 12, 13, 14, 19}
+    assert mark_duplicate_pairs(df.limit(0), "read_id").count() == 0
+
+
+def test_chromosome_names_with_signs(spark):
+    names = ["chr-5", "chr5", "chr+5", "chr 5", "chr05", "chrX", "chr0", "chr-0"]
+    df = spark.createDataFrame([(n,) for n in names], "chrom string")
+    assert [r[0] for r in df.select(chrom_number(F.col("chrom"))).collect()] == [None, 5, None, None, None, 23, 0, None]
+
+
+def test_a_dropped_line_is_not_split(spark):
+    """Lines to drop go before the projection that splits; what is kept is the same."""
+    lines = ["chr1\t5\tx\tA\tC\t.", "chrM\t5\tx\tA\tC\t.", "chr2\tq\tx\tA\tC\t.", "chr3", "chr4\t7", "#chr1\t5", "chrY\t9\ty\tA\tC"]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    dropped = [tuple(r) for r in parse_vcf(df, on_error="drop").collect()]
+    assert dropped == [tuple(r) for r in parse_vcf(df).collect() if r["chrom_no"] is not None and r["pos"] is not None]
+    assert [r[0] for r in dropped] == ["chr1", "chr4", "chrY"]
