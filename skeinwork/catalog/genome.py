@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +25,7 @@ from skeinwork.operators.regions import balance_regions as balanced
 from skeinwork.operators.regions import chunk_apply as apply_to_chunks
 from skeinwork.operators.regions import coordinate_order, range_partitioned
 from skeinwork.operators.regions import region_apply as apply_to_regions
+from skeinwork.operators.regions import region_apply_streams as apply_to_streams
 from skeinwork.operators.skew import spread
 from skeinwork.operators.variants import sorted_variants, vcf_concordance as concordance
 from skeinwork.plans.variants import mark_duplicate_pairs, mark_duplicate_reads, with_fixed_quality
@@ -102,6 +105,40 @@ def region_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_to_regions(regions, "region", order, _summary_of_region, schema)
 
 
+def _covered_reads(targets: Iterator[pa.RecordBatch], reads: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Reads of a region, and how many begin in one of its targets, which are held as two sorted arrays."""
+    held = [(b.column("low").to_numpy(), b.column("high").to_numpy()) for b in targets]
+    low, high = (np.sort(np.concatenate([h[i] for h in held])) if held else np.zeros(0, np.int64) for i in (0, 1))
+    rows = inside = price = 0
+    for batch in reads:
+        pos = batch.column("pos").to_numpy()
+        # more targets begin at or before a position than end before it
+        within = np.searchsorted(low, pos, "right") > np.searchsorted(high, pos, "left")
+        rows, inside = rows + len(pos), inside + int(within.sum())
+        price += int(np.floor(batch.column("l_extendedprice").to_numpy()[within]).sum())
+    yield pa.RecordBatch.from_pydict({"targets": [len(low)], "reads": [rows], "inside": [inside], "price": [price]})
+
+
+@query(f"""
+with p as ({PLACED}),
+r as (select *, (ntile({REGIONS}) over (order by {ORDER}) - 1)::int as region from p where l_linenumber < 6),
+t as (select (p_partkey % {REGIONS + 2})::int as region, 8000 + p_partkey * 13 % 3000 as low, 8000 + p_partkey * 13 % 3000 + 2 as high from part),
+marked as (select region, floor(l_extendedprice)::bigint as price, exists (select 1 from t where t.region = r.region and pos between low and high) as inside from r),
+counted as (select region, count(*) as reads, count(*) filter (inside) as inside, coalesce(sum(price) filter (inside), 0)::bigint as price from marked group by region)
+select coalesce(a.targets, 0) as targets, coalesce(reads, 0) as reads, coalesce(inside, 0) as inside, coalesce(price, 0) as price
+from (select region, count(*) as targets from t group by region) a full join counted using (region)
+""")
+def region_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables per region as sorted streams; two regions have targets only."""
+    placed = _placed(spark, sf_dir).where("l_linenumber < 6")
+    reads = balanced(placed, coordinate_order("ref_index", "pos", *TIES), REGIONS).select("region", "ref_index", "pos", "l_extendedprice")
+    key = F.col("p_partkey")
+    low = 8000 + key * 13 % 3000
+    targets = table(spark, sf_dir, "part").select((key % (REGIONS + 2)).cast("int").alias("region"), low.alias("low"), (low + 2).alias("high"))
+    schema = "targets bigint, reads bigint, inside bigint, price bigint"
+    return apply_to_streams(reads, targets, "region", ["ref_index", "pos"], ["low"], _covered_reads, schema)
+
+
 def _reversed_names(chunk: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"p_partkey": chunk["p_partkey"], "name": chunk["p_name"].str[::-1]})
 

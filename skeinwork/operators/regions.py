@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -112,3 +113,67 @@ def region_apply_with(
         return fn(a.sort_values(left_order, ignore_index=True), b.sort_values(right_order, ignore_index=True))
 
     return left.groupBy(region).cogroup(right.groupBy(region)).applyInPandas(run, schema)
+
+
+def region_apply_streams(
+    left: DataFrame,
+    right: DataFrame,
+    region: str,
+    left_order: list[str],
+    right_order: list[str],
+    fn: Callable[[Iterator[pa.RecordBatch], Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+    schema: str,
+) -> DataFrame:
+    """User function over two tables' rows of one region, each in order, as streams of Arrow batches.
+
+    `fn(right, left)` must read what it needs of `right` before `left`: the rows
+    of both lie in one sorted stream, those of `right` first, so neither table's
+    region has to fit in memory. What `fn` keeps of the right rows is up to it.
+    A region without rows on one side gets an empty stream there.
+    """
+    sides = [(right, "_r"), (left, "_l")]
+    kinds = {name: df.drop(region).schema.simpleString() for df, name in sides}
+
+    def packed(df: DataFrame, own: str, side: int) -> DataFrame:
+        rest = [F.lit(None).cast(kinds[name]).alias(name) if name != own else F.struct(*[df[c] for c in df.columns if c != region]).alias(name) for _, name in sides]
+        return df.select(df[region].alias(region), F.lit(side).alias("_side"), *rest)
+
+    both = packed(right, "_r", 0).unionByName(packed(left, "_l", 1))
+    order = ["_side", *(f"_r.{c}" for c in right_order), *(f"_l.{c}" for c in left_order)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(*_two_streams(batches))
+
+    run.__annotations__ = {"batches": Iterator[pa.RecordBatch], "return": Iterator[pa.RecordBatch]}
+    return sorted_within(both, region, order).groupBy(region).applyInArrow(run, schema)
+
+
+def _two_streams(batches: Iterator[pa.RecordBatch]) -> tuple[Iterator[pa.RecordBatch], Iterator[pa.RecordBatch]]:
+    """The rows of side 0 and of side 1 of a sorted stream, each as batches of its own columns."""
+    waiting: list[pa.RecordBatch] = []
+
+    def rows(batch: pa.RecordBatch, side: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_struct_array(batch.column("_r" if side == 0 else "_l"))
+
+    def right() -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = batch.column("_side")
+            n = sides.to_numpy().searchsorted(1)
+            if n < batch.num_rows:
+                waiting.append(batch.slice(n))
+            if n:
+                yield rows(batch.slice(0, n), 0)
+            if waiting:
+                break
+
+    first = right()
+
+    def left() -> Iterator[pa.RecordBatch]:
+        for _ in first:
+            raise RuntimeError("the rows of the right table come first: read them before the left ones")
+        while waiting:
+            yield rows(waiting.pop(), 1)
+        for batch in batches:
+            yield rows(batch, 1)
+
+    return first, left()

@@ -130,3 +130,33 @@ def test_duplicates(spark, rows):
     unscored = spark.createDataFrame([(1, "a", None), (2, "a", 1), (3, "b", None)], "id int, k string, s int")
     assert rows(mark_duplicates(unscored, ["k"], "s", "id").select("id", "is_duplicate")) == [(1, True), (2, False), (3, False)]
     assert rows(duplicate_metrics(marked)) == [(4, 2, 50.0)]
+
+
+def test_two_streams_of_a_region_larger_than_a_batch(spark, rows):
+    """What a function holds at once is a batch of either table, however many rows the region has."""
+    import pyarrow as pa
+
+    left = spark.range(120_000).selectExpr("cast(if(id < 110000, 1, 2) as int) as region", "119999 - id as pos", "'x' as region_name")
+    right = spark.range(30_000).selectExpr("cast(if(id < 25000, 1, 3) as int) as region", "29999 - id as at")
+
+    def fn(second, first):
+        def seen(batches, column):
+            n, largest, last, ordered = 0, 0, -1, True
+            for b in batches:
+                values = b.column(column).to_pylist()
+                ordered = ordered and all(x <= y for x, y in zip([last, *values], values))
+                n, largest, last = n + len(values), max(largest, len(values)), values[-1]
+            return n, largest, ordered
+
+        r, l = seen(second, "at"), seen(first, "pos")
+        yield pa.RecordBatch.from_pydict({"r": [r[0]], "l": [l[0]], "largest": [max(r[1], l[1])], "ok": [r[2] and l[2]]})
+
+    got = rg.region_apply_streams(left, right, "region", ["pos"], ["at"], fn, "r bigint, l bigint, largest bigint, ok boolean").collect()
+    assert sorted((x["r"], x["l"], x["ok"]) for x in got) == [(0, 10_000, True), (5_000, 0, True), (25_000, 110_000, True)]
+    assert max(x["largest"] for x in got) <= int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+
+    def wrong_order(second, first):
+        yield from first
+
+    with pytest.raises(Exception, match="right table come first"):
+        rg.region_apply_streams(left.limit(5), right.limit(5), "region", ["pos"], ["at"], wrong_order, "pos bigint, region_name string").collect()
