@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from skeinwork.operators.skew import spread
 from skeinwork.session import materialize
 
+WIDE = 32       # languages up to which each has a column of weights
+
 
 def normalized(text: Column) -> Column:
     """Lower case, every run of non-letters one blank, blanks at both ends."""
@@ -46,20 +48,42 @@ def detect_lang(df: DataFrame, id: str | list[str], text: str, profiles: DataFra
     over the trigrams of the text that any profile knows; NULL when none is known.
 
     `id` (one column or several) must be unique. The profile table becomes one
-    row per trigram with a weight per language, however many there are. It is
-    written, so Spark knows its bytes: below the broadcast threshold a text
-    shrinks to one row per language before the only shuffle, beyond it the
-    trigrams are joined in a shuffle whose hot ones Spark splits.
+    row per trigram. It is written, so Spark knows its bytes: below the broadcast
+    threshold a text shrinks to one row before the only shuffle, beyond it the
+    trigrams are joined in a shuffle whose hot ones Spark splits. Up to `WIDE`
+    languages have a column of weights each, summed side by side; more of them
+    are a list per trigram, and a row per trigram and language.
     """
     keys = [id] if isinstance(id, str) else list(id)
-    model = materialize(profiles.groupBy("gram").agg(F.collect_list(F.struct("lang", "weight")).alias("_of")), "profile")
-    grams = spread(df.select(*keys, text)).select(*keys, F.explode_outer(trigrams(F.col(text))).alias("gram"))
-    weighted = grams.join(model, "gram", "left").select(*keys, F.posexplode_outer("_of").alias("_nth", "_of"))
-    sums = weighted.groupBy(*keys, F.col("_of.lang").alias("_lang")).agg(
-        F.sum("_of.weight").alias("_sum"), F.count_if(F.col("_nth") == 0).alias("_known")
+    langs = sorted(r["lang"] for r in profiles.select("lang").distinct().limit(WIDE + 1).collect())
+    if len(langs) > WIDE:
+        return _detect_many(df, keys, text, profiles)
+    weights = [F.max(F.when(F.col("lang") == lang, F.col("weight"))).alias(f"_w{i}") for i, lang in enumerate(langs)]
+    model = materialize(profiles.groupBy("gram").agg(F.lit(1).alias("_in"), *weights), "profile")
+    sums = _grams(df, keys, text).join(model, "gram", "left").groupBy(*keys).agg(
+        F.count("_in").alias("_grams"), *[F.sum(f"_w{i}").alias(f"_s{i}") for i in range(len(langs))]
     )
-    scored = sums.groupBy(*keys).agg(F.max(F.struct(F.col("_sum").alias("s"), F.col("_lang").alias("lang"))).alias("_best"), F.sum("_known").alias("_grams"))
+    no_language = F.struct(F.lit(None).cast("double").alias("s"), F.lit(None).cast("string").alias("lang"))
+    of_each = [F.struct(F.col(f"_s{i}").alias("s"), F.lit(lang).alias("lang")) for i, lang in enumerate(langs)]
+    return _best(sums.withColumn("_best", F.array_max(F.array(no_language, *of_each))), keys)
+
+
+def _grams(df: DataFrame, keys: list[str], text: str) -> DataFrame:
+    return spread(df.select(*keys, text)).select(*keys, F.explode_outer(trigrams(F.col(text))).alias("gram"))
+
+
+def _best(scored: DataFrame, keys: list[str]) -> DataFrame:
     known = F.col("_best.s") > 0
     return scored.select(
         *keys, F.when(known, F.col("_best.lang")).alias("detected"), F.when(known, F.col("_best.s") / F.col("_grams")).alias("score")
     )
+
+
+def _detect_many(df: DataFrame, keys: list[str], text: str, profiles: DataFrame) -> DataFrame:
+    model = materialize(profiles.groupBy("gram").agg(F.collect_list(F.struct("lang", "weight")).alias("_of")), "profile")
+    weighted = _grams(df, keys, text).join(model, "gram", "left").select(*keys, F.posexplode_outer("_of").alias("_nth", "_of"))
+    sums = weighted.groupBy(*keys, F.col("_of.lang").alias("_lang")).agg(
+        F.sum("_of.weight").alias("_sum"), F.count_if(F.col("_nth") == 0).alias("_known")
+    )
+    scored = sums.groupBy(*keys).agg(F.max(F.struct(F.col("_sum").alias("s"), F.col("_lang").alias("lang"))).alias("_best"), F.sum("_known").alias("_grams"))
+    return _best(scored, keys)

@@ -38,6 +38,17 @@ def test_same_answer_on_both_paths(spark, rows, model):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_columns_and_lists_give_the_same(spark, rows, model, monkeypatch):
+    docs, profiles = model
+    more = docs.select("id", "text").unionByName(spark.createDataFrame([(7, "12 !!"), (9, "zq"), (10, None)], "id int, text string"))
+    rounded = lambda df: rows(df.withColumn("score", F.round("score", 9)))
+    wide = rounded(langid.detect_lang(more, "id", "text", profiles))
+    monkeypatch.setattr(langid, "WIDE", 2)
+    assert rounded(langid.detect_lang(more, "id", "text", profiles)) == wide
+    monkeypatch.setattr(langid, "WIDE", 32)
+    assert {r["detected"] for r in langid.detect_lang(more, "id", "text", profiles.limit(0)).collect()} == {None}
+
+
 def test_any_number_of_languages(spark):
     """A word of its own for each of 300 languages; rows without a label teach nothing."""
     word = lambda i: "".join(chr(97 + i // 26**k % 26) * 3 for k in range(3))
