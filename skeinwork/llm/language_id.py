@@ -9,8 +9,9 @@ words count: letters in lower case, one blank between them.
 
 The dictionaries are a classifier fitted on a bounded sample: `DOCS_PER_LANGUAGE`
 texts of at most `LONGEST_SAMPLE` characters per language, the first in the
-order of a hash of their id, and `DICTIONARY_BYTES` per language. Labels
-are not used for anything else; every text is scored whole.
+order of a hash of their id, and `DICTIONARY_BYTES` per language, for at most
+`LANGUAGES` languages. Labels are not used for anything else; every text is
+scored whole.
 
 Defined results: a null text, or one without a letter, is `und` with score 0
 and counts as rejected. Equal sizes go to the alphabetically first language,
@@ -31,8 +32,8 @@ from pyspark.sql import functions as F
 DOCS_PER_LANGUAGE = 96
 LONGEST_SAMPLE = 20_000
 DICTIONARY_BYTES = 65_536
-SHORT = 2_000       # up to so many bytes a text is compressed at the first level, beyond at the second
-LEVELS = (12, 9)
+LANGUAGES = 256     # languages learned at most: those with the most labelled texts
+LEVEL = 9           # of compression, for texts of any length
 PIECE = 131_072     # bytes that are compressed at once, at most
 MARGIN = 0.003      # share of the runner-up's size that the winner must save
 UNKNOWN = "und"
@@ -45,11 +46,16 @@ def is_held_out(id: Column, rest: int = 0, folds: int = 5) -> Column:
 
 def fit_dictionaries(
     labelled: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang",
-    docs: int = DOCS_PER_LANGUAGE, longest: int = LONGEST_SAMPLE, size: int = DICTIONARY_BYTES,
+    docs: int = DOCS_PER_LANGUAGE, longest: int = LONGEST_SAMPLE, size: int = DICTIONARY_BYTES, languages: int = LANGUAGES,
 ) -> dict[str, bytes]:
-    """Dictionary content per language; the driver receives at most `docs` texts of each language."""
+    """Dictionary content per language; the driver receives at most `docs` texts of each of at most `languages` languages.
+
+    A label column with more values than that is taken for dirty: the most frequent ones are learned (of equally frequent ones the first by name).
+    """
     rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(id), F.col(text)).alias("h"))
     rows = rows.where("lang is not null and length(trim(text)) > 0").where(F.length("text") <= longest)
+    often = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
+    rows = rows.join(F.broadcast(often.select("lang")), "lang", "left_semi")        # `languages` rows
     # the rank limit is applied before the shuffle too, so a language with most of the rows sends `docs` of them per task
     first = rows.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("r") <= docs)
     texts: dict[str, list[bytes]] = {}
@@ -59,11 +65,16 @@ def fit_dictionaries(
 
 
 _WORD = re.compile(r"[^\W\d_]+")
+# numbers that are no decimal digits (½ ² Ⅷ ①) count as word characters in the pattern, but are no letters
+_LETTERLESS = re.compile("[" + "".join(c for c in map(chr, range(0x110000)) if _WORD.match(c) and not c.isalpha()) + "]+")
 
 
 def spelled(text: str) -> bytes:
     """The words of a text, in lower case, with one blank before and after each."""
-    return f" {' '.join(_WORD.findall(text.lower()))} ".encode()
+    lowered = text.lower()
+    if not lowered.isascii():
+        lowered = _LETTERLESS.sub(" ", lowered)
+    return f" {' '.join(_WORD.findall(lowered))} ".encode()
 
 
 class Classifier:
@@ -71,16 +82,11 @@ class Classifier:
         import zstandard as z
 
         self.names = list(dictionaries)
-
-        def compressors(level: int):
-            out = []
-            for content in dictionaries.values():
-                content = z.ZstdCompressionDict(content, dict_type=z.DICT_TYPE_RAWCONTENT)
-                content.precompute_compress(level=level)
-                out.append(z.ZstdCompressor(level=level, dict_data=content, write_content_size=False, write_dict_id=False).compress)
-            return out
-
-        self.short, self.long = map(compressors, LEVELS)
+        self.compressors = []
+        for content in dictionaries.values():
+            content = z.ZstdCompressionDict(content, dict_type=z.DICT_TYPE_RAWCONTENT)
+            content.precompute_compress(level=LEVEL)
+            self.compressors.append(z.ZstdCompressor(level=LEVEL, dict_data=content, write_content_size=False, write_dict_id=False).compress)
 
     def __call__(self, text: str | None) -> tuple[str, float]:
         """Language and score: the share of the runner-up's size that the best dictionary saves."""
@@ -89,7 +95,7 @@ class Classifier:
             return UNKNOWN, 0.0
         step = -(-len(raw) // -(-len(raw) // PIECE))
         pieces = [raw[at : at + step] for at in range(0, len(raw), step)]
-        sizes = [sum(len(c(piece)) for piece in pieces) for c in (self.short if len(raw) <= SHORT else self.long)]
+        sizes = [sum(len(c(piece)) for piece in pieces) for c in self.compressors]
         best = min(sizes)
         others = sorted(sizes)[1:2]
         return self.names[sizes.index(best)], 1 - best / others[0] if others else 1.0

@@ -64,3 +64,30 @@ def test_held_out_accuracy(spark):
     found = predict_language(docs.where(held_out), fit_dictionaries(docs.where(~held_out)))
     right, n, rejected = found.agg(F.count_if(F.col("row.lang") == F.col("language.lang_pred")), F.count("*"), F.count_if("language.rejected")).first()
     assert right >= 0.97 * n and rejected <= 0.02 * n
+
+
+def test_no_step_in_the_score_with_the_length():
+    """A text that grows by a byte or two has about the same score, at 2,000 bytes as elsewhere."""
+    rng = random.Random(2)
+    words = {"aa": ["kato", "lemi", "suro", "pani", "mosa"], "bb": ["wexi", "dubo", "qyrt", "zolk", "kato"]}
+    sample = lambda x, n: " ".join(rng.choice(words[x]) for _ in range(n))
+    classify = Classifier({x: spelled(sample(x, 3000)) for x in words})
+    text = sample("aa", 1000)
+    scores = [classify(text[:n]) for n in range(1980, 2021)]
+    assert {s[0] for s in scores} == {"aa"}
+    assert max(abs(a[1] - b[1]) for a, b in zip(scores, scores[1:])) < 0.03
+
+
+def test_numerals_are_no_letters(spark):
+    classify = Classifier({"aa": spelled("kato lemi " * 20), "bb": spelled("wexi dubo " * 20)})
+    for text in ("½", "² ³", "Ⅷ ①", "٣", "½ 12 _"):
+        assert not any(c.isalpha() for c in text) and classify(text) == ("und", 0.0)
+    assert spelled("x²y ½kato") == b" x y kato " and spelled("日本 été ª") == " 日本 été ª ".encode()
+
+
+def test_a_dirty_label_column(spark):
+    """10,000 labels: the most frequent ones are learned, the driver holds no more."""
+    rows = [(i, f"word{i} of its own", f"junk{i:05}", None, None) for i in range(10_000)]
+    rows += [(20_000 + i, "kato lemi suro", "aa", None, None) for i in range(5)] + [(30_000 + i, "wexi dubo", "bb", None, None) for i in range(5)]
+    dictionaries = fit_dictionaries(spark.createDataFrame(rows, SCHEMA), languages=4)
+    assert list(dictionaries) == ["aa", "bb", "junk00000", "junk00001"]
