@@ -8,8 +8,9 @@ rows whose hash occurs twice carry their text on: a corpus without copies moves
 Defined results: a null text counts as the empty text. The row with the largest
 id of a text stays (null ids rank below all others). Rows that repeat both id
 and text are one document: `exact_dedup` marks all of them alike, and
-`drop_copies` returns one of them. An empty table gives an empty result. Extra
-columns may have any name.
+`drop_copies` returns one of them. A very long text moves as 16 bytes unless its
+hash occurs twice; then one copy per task does. An empty table gives an empty
+result. Extra columns may have any name.
 """
 
 from __future__ import annotations

@@ -16,13 +16,15 @@ The chunk index has a row per block: first id, number of ids, offset of the
 first plane, and the length of each plane; any range of ids can be read by
 seeking. The document index has id, null mark and number of ids per document.
 
-A task writes its file under a name of its own and renames it when complete, so
-a repeated task leaves the same file. The folder must be one that executors
+A task writes its file under a name of its own and renames it when complete; the
+list of files names the one of the attempt that counted. The folder must be one that executors
 reach (any file system that pyarrow opens).
 
 Defined results: a null text has the end id alone. Documents with a null id
-come first; repeated rows are stored as often as they occur. An empty table
-gives a folder without files. Extra columns are not read.
+come first; rows with equal ids are ordered by their text, so the files are the
+same in every run; repeated rows are stored as often as they occur. A very long
+text is encoded in parts between blanks, and its ids go through the blocks like
+any others. An empty table gives a folder without files. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -219,7 +221,8 @@ def write_token_files(
     """
     spark = docs.sparkSession
     folder = folder or scratch_path(spark, "token_files")
-    rows = docs.select(F.col(id).cast("bigint").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    body = F.coalesce(F.col(text), F.lit(""))
+    rows = docs.select(F.col(id).cast("bigint").alias("id"), body.alias("text"), F.xxhash64(body).alias("hash"))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + rows.count() // docs_per_file)
     end = np.array([end_id], "<u4").tobytes()
 
@@ -227,7 +230,7 @@ def write_token_files(
         task = TaskContext.get()
         part, encoder = task.partitionId(), kept(f"tokenizer {vocabulary}", lambda: _library(vocabulary))
         fs, where = file_system(folder)
-        name = f"ids-{part:07d}.bin"
+        name = f"ids-{part:07d}-{task.taskAttemptId()}.bin"       # a repeated task writes a file of its own; the list names one
         draft, out, writer = f"{where}/.draft-{part}-{task.taskAttemptId()}", None, None
         for batch in batches:
             if not batch.num_rows:
@@ -247,7 +250,8 @@ def write_token_files(
             fs.move(draft, f"{where}/{name}")
             yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "path": [f"{folder}/{name}"], "docs": [n_docs], "ids": [n_ids]})
 
-    ordered = rows.repartitionByRange(parts, "id").sortWithinPartitions("id")
+    # rows with one id are ordered by their text; the hash is what ranges are cut by
+    ordered = rows.repartitionByRange(parts, "id", "hash").sortWithinPartitions("id", "hash", F.length("text"), "text").drop("hash")
     files = ordered.mapInArrow(run, "part int, path string, docs long, ids long")
     return materialize(files, "token_file_list")
 

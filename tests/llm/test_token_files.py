@@ -64,3 +64,14 @@ def test_against_library(spark, docs_per_file):
 
 def test_empty(spark):
     assert read_token_files(write_token_files(spark.createDataFrame([], SCHEMA), PATH, 2)).count() == 0
+
+
+def test_repeated_ids_have_an_order(spark):
+    """Rows with one id and different texts: the same files whatever the order of the rows."""
+    data = [(i % 3 if i % 7 else None, f"text {i * 7919 % 50} " * (1 + i % 4), "p", 1) for i in range(60)]
+    found = set()
+    for n, rows in ((1, data), (5, data[::-1]), (3, data[30:] + data[:30])):
+        df = spark.createDataFrame(rows, SCHEMA).repartition(n)
+        got = read_token_files(write_token_files(df, PATH, 2, docs_per_file=10)).collect()
+        found.add(tuple(sorted((tuple(r) for r in got), key=lambda r: r[1])))
+    assert len(found) == 1 and len(next(iter(found))) == 60
