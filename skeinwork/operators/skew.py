@@ -26,33 +26,33 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if splits < cores and splits * largest <= SPREAD_BYTES else df
 
 
-def task_rows(spark: SparkSession, rows: int) -> int:
-    """Rows that a task of a shuffle gets when they are dealt out evenly, `LEAST_ROWS` at least."""
-    return max(LEAST_ROWS, -(-rows // int(spark.conf.get("spark.sql.shuffle.partitions"))))
+def task_rows(spark: SparkSession, rows: int, least: int | None = None) -> int:
+    """Rows that a task of a shuffle gets when they are dealt out evenly, `least` (`LEAST_ROWS`) at least."""
+    return max(LEAST_ROWS if least is None else least, -(-rows // int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
-def _cut(counts: DataFrame, keys: list[str], rows: int) -> DataFrame:
+def _cut(counts: DataFrame, keys: list[str], rows: int, least: int | None) -> DataFrame:
     """Keys with more rows (`_n`) than a task should get, and the pieces to cut them into."""
-    share = task_rows(counts.sparkSession, rows)
+    share = task_rows(counts.sparkSession, rows) if least is None else task_rows(counts.sparkSession, rows, least)
     return counts.where(F.col("_n") > share).select(*keys, F.ceil(F.col("_n") / share).cast("int").alias("_pieces"))
 
 
-def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame | None:
+def hot_keys(df: DataFrame, keys: list[str], least: int | None = None) -> DataFrame | None:
     """(keys, `_pieces`) of the keys with more rows than a task's share; None when there are none.
 
     There are fewer of them than shuffle partitions, so the result may be
     broadcast. The count is combined on the map side; all rows are added up in
-    the same pass.
+    the same pass. Give `least` where rows are dear: the number that is cut first.
     """
     seen = Observation()
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).observe(seen, F.sum("_n").alias("rows"))
-    hot = _cut(materialize(counts.where(F.col("_n") > LEAST_ROWS), "key_counts"), keys, seen.get["rows"] or 0)
+    hot = _cut(materialize(counts.where(F.col("_n") > (LEAST_ROWS if least is None else least)), "key_counts"), keys, seen.get["rows"] or 0, least)
     return None if hot.isEmpty() else hot
 
 
-def hot_among(counts: DataFrame, keys: list[str]) -> DataFrame | None:
+def hot_among(counts: DataFrame, keys: list[str], least: int | None = None) -> DataFrame | None:
     """`hot_keys` from a table that has the rows per key as `_n`."""
-    hot = _cut(counts, keys, counts.agg(F.sum("_n")).first()[0] or 0)
+    hot = _cut(counts, keys, counts.agg(F.sum("_n")).first()[0] or 0, least)
     return None if hot.isEmpty() else hot
 
 
