@@ -71,10 +71,10 @@ _LETTERLESS = re.compile("[" + "".join(c for c in map(chr, range(0x110000)) if _
 
 def spelled(text: str) -> bytes:
     """The words of a text, in lower case, with one blank before and after each."""
-    lowered = text.lower()
-    if not lowered.isascii():
-        lowered = _LETTERLESS.sub(" ", lowered)
-    return f" {' '.join(_WORD.findall(lowered))} ".encode()
+    found = _WORD.findall(text.lower())
+    if found and not "".join(found).isalpha():
+        found = _WORD.findall(_LETTERLESS.sub(" ", text.lower()))
+    return f" {' '.join(found)} ".encode()
 
 
 class Classifier:
