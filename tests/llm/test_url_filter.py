@@ -1,6 +1,6 @@
 import pytest
 
-from skeinwork.llm.url_filter import ALLOW, BLOCK, DAMPING, judge_urls
+from skeinwork.llm.url_filter import ALLOW, BLOCK, DAMPING, THRESHOLD, judge_urls, longest_rules, rule_table
 
 SCHEMA = "page_id long, url string, html string, host string, rule int"
 RULES = [(BLOCK, "net/"), (ALLOW, "example.net/en/"), (BLOCK, "example.com/de/"), (ALLOW, "org/fr/")]
@@ -26,7 +26,7 @@ def rule_of(host, path):
     return best or (None, None)
 
 
-def brute(rows, links, family, rounds=12, threshold=1.0):
+def brute(rows, links, family, rounds=12, threshold=THRESHOLD):
     hosts, edges = {}, {}
     for _, url, *_ in rows:
         h, p = parts(url)
@@ -95,3 +95,33 @@ def test_against_brute_force(spark, family):
 
 def test_empty(spark):
     assert judge_urls(spark.createDataFrame([], SCHEMA), RULES).count() == 0
+
+
+def test_links_between_hosts_decide(spark):
+    """Hosts that link to blocked ones are blocked, those that allowed ones link to are not; no family edges are needed."""
+    page = lambda host, *targets: (host, "".join(f'<a href="https://{t}/x">' for t in targets))
+    pages = [page("http://good.org/fr/1", "friend.test", "friend.test"), page("http://good.org/fr/2", "friend.test"), page("http://bad.net/1"), page("http://bad.net/2"),
+             page("http://farm.test/1", "bad.net"), page("http://farm.test/2", "bad.net"), page("http://friend.test/1", "good.org"), page("http://alone.test/1")]
+    df = spark.createDataFrame([(i, u, h, None, None) for i, (u, h) in enumerate(pages)], SCHEMA)
+    got = {r["host"]: r["verdict"] for r in judge_urls(df, RULES, family=False).collect()}
+    assert got == {"good.org": ALLOW, "bad.net": BLOCK, "farm.test": BLOCK, "friend.test": ALLOW, "alone.test": ALLOW}
+
+
+def test_a_hundred_thousand_rules(spark, rows):
+    rules = [(BLOCK if i % 3 else ALLOW, f"h{i % 40_000}.example/{'abc'[i % 3]}/{'x' * (i // 40_000)}") for i in range(100_000)] + RULES
+    urls = [(f"www.h{i}.example", f"/{'abc'[i % 3]}/xx") for i in range(300)] + [("a.example.net", "/en/q"), ("a.example.net", "/q"), ("nothing.test", "/")]
+    found = longest_rules(spark.createDataFrame(urls, "host string, path string"), rule_table(spark, rules))
+    want = []
+    for host, path in urls:
+        fits = [(len(r), r, n, v) for n, (v, r) in enumerate(rules) if (host == r.split("/")[0] or host.endswith("." + r.split("/")[0])) and path.startswith("/" + r.split("/", 1)[1])]
+        if fits:
+            want.append((host, path, max(fits)[1], max(fits)[3]))
+    assert rows(found) == sorted(want, key=repr) and len(want) > 250
+
+
+def test_public_suffixes_are_no_family(spark):
+    """Two firms below co.uk do not vouch for each other."""
+    pages = [("http://a.firm.co.uk/1", None), ("http://firm.co.uk/en/1", None), ("http://other.co.uk/1", None)]
+    df = spark.createDataFrame([(i, u, h, None, None) for i, (u, h) in enumerate(pages)], SCHEMA)
+    got = {r["host"]: (r["verdict"], r["distrust"] > 0) for r in judge_urls(df, [(BLOCK, "firm.co.uk/en/")]).collect()}
+    assert got["other.co.uk"] == (ALLOW, False) and got["a.firm.co.uk"][1]
