@@ -48,6 +48,7 @@ from pyspark.sql.types import LongType
 
 from skeinwork.llm.components import components
 from skeinwork.llm.worker import kept
+from skeinwork.operators.skew import cut_hot, hot_among, hot_keys, repeat_hot, salted_join
 from skeinwork.session import materialize
 
 WORDS = 5
@@ -59,6 +60,8 @@ LOW_SHARE = 0.4             # share of the hashes that is low
 KEY_BITS = 48               # bits of a hash that stand for an element until arrays are compared
 TILE = 128                  # classes on one side of a tile
 SIGNATURE = 8               # 64-bit words of a bitmap signature
+SEEN = 200_000              # sets that a task remembers
+HOT_ROWS = 400              # rows of one component above which it is cut into pieces
 WIDE = 32                   # of the wide one, for pairs of a large tile that pass the first
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -134,15 +137,31 @@ def first_keys(elements: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
 
 
 def _sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """(id, n, set, half, keys, lost) per row; `half` is the first half of the digest `set`."""
+    """(id, n, set, half, keys, lost) per row; `half` is the first half of the digest `set`.
+
+    A task gives the keys of a set once, with the first row that has it (again
+    when more than `SEEN` sets have gone by): copies send no keys of their own.
+    """
     kind = docs.schema["id"].dataType.simpleString()
+    nothing = np.empty(0, np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = kept("shingle words", _Hashes)
+        hashes, seen = kept("shingle words", _Hashes), set()
+
+        def once(elements: np.ndarray, digest: bytes) -> tuple[np.ndarray, int]:
+            keys, lost = first_keys(elements, percent)
+            if digest in seen:
+                return nothing, lost
+            if len(seen) >= SEEN:
+                seen.clear()
+            seen.add(digest)
+            return keys, lost
+
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 sets = [shingle_set(t.as_py(), hashes, width) for t in batch.column(1).slice(start, 512)]
-                digests, (keys, lost) = [set_digest(x) for x in sets], zip(*(first_keys(x, percent) for x in sets))
+                digests = [set_digest(x) for x in sets]
+                keys, lost = zip(*(once(x, d) for x, d in zip(sets, digests)))
                 lists = pa.ListArray.from_arrays(np.cumsum([0, *map(len, keys)]).astype(np.int32), np.concatenate(keys))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(start, 512), pa.array([len(x) for x in sets], pa.int64()), pa.array(digests, pa.binary()),
@@ -264,8 +283,9 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     """(set, label) after the classes' labels are joined by links."""
     ends = links.join(labels.select(F.col("set").alias("a"), F.col("label").alias("la")), "a")
     ends = ends.join(labels.select(F.col("set").alias("b"), F.col("label").alias("lb")), "b")
-    roots = components(ends.select("la", "lb"), "la", "lb")
-    moved = labels.join(roots.withColumnRenamed("node", "label"), "label", "left")
+    roots = components(ends.select("la", "lb"), "la", "lb").withColumnRenamed("node", "label")
+    hot = hot_keys(labels, ["label"], HOT_ROWS)
+    moved = cut_hot(labels, ["label"], hot, ["set"]).join(repeat_hot(roots, ["label"], hot), ["label", "_piece"], "left")
     return materialize(moved.select("set", F.coalesce("root", "label").alias("label")), "labels")
 
 
@@ -412,10 +432,12 @@ def _link_counts(classes: DataFrame, arrays: DataFrame, percent: int) -> DataFra
     # sizes that can link differ by one band at most
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
     members = members.select("label", "set", "copies", "elements", band.alias("band"))
-    sizes = members.groupBy("label", "band").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
-    for name, shift in (("here", 0), ("above", -1), ("below", 1)):
-        side = sizes.select("label", (F.col("band") + shift).alias("band"), F.col("tiles").alias(name))
-        members = members.join(side, ["label", "band"], "left")
+    sizes = materialize(members.groupBy("label", "band").agg(F.count(F.lit(1)).alias("_n"), F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("here")), "bands")
+    hot = hot_among(sizes, ["label", "band"], HOT_ROWS)
+    near = sizes.drop("_n")
+    for name, shift in (("above", -1), ("below", 1)):
+        near = near.join(sizes.select("label", (F.col("band") + shift).alias("band"), F.col("here").alias(name)), ["label", "band"], "left")
+    members = salted_join(members, near, ["label", "band"], ["set"], hot)
     members = members.withColumn("own", F.pmod(F.xxhash64("set"), F.col("here")).cast("int"))
 
     def cells(count: str, band: Column, step: int, low, high, second) -> Column:
@@ -458,7 +480,7 @@ def jaccard_components(docs: DataFrame, id: str = "doc_id", text: str = "text",
     sets = _sets(rows, width, percent)
     classes = materialize(
         sets.where("n > 0").groupBy("set").agg(
-            F.min("id").alias("first_id"), F.first("n").alias("n"), F.first("half").alias("half"), F.first(F.size("keys")).alias("keys"), F.first("lost").alias("lost"),
+            F.min("id").alias("first_id"), F.first("n").alias("n"), F.first("half").alias("half"), F.max(F.size("keys")).alias("keys"), F.first("lost").alias("lost"),
             F.count(F.lit(1)).alias("copies"),
         ),
         "classes",
@@ -470,7 +492,9 @@ def jaccard_components(docs: DataFrame, id: str = "doc_id", text: str = "text",
     labels = _components(tiles, arrays, percent)
     grouped = labels.join(classes, "set")
     joined = grouped.groupBy("label").agg(F.min("first_id").alias("component"), F.count(F.lit(1)).alias("classes"))
-    placed = materialize(grouped.join(joined.where("classes > 1"), "label"), "placed")
+    joined = materialize(joined.where("classes > 1"), "joined")
+    hot = hot_among(joined.withColumnRenamed("classes", "_n"), ["label"], HOT_ROWS)
+    placed = materialize(salted_join(grouped, joined, ["label"], ["set"], hot), "placed")
     counts = _link_counts(placed, arrays, percent)
     found = materialize(placed.join(counts, "set", "left").select("set", "component", "links"), "found")
     per_set = classes.join(found, "set", "left").select(
