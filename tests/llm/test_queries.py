@@ -2,6 +2,7 @@
 
 import hashlib
 import pathlib
+import random
 import sys
 from collections import Counter
 
@@ -114,3 +115,27 @@ def test_stages_keep_the_columns(spark):
             frame = stage(spark, frame, SF_DIR)
             assert frame.columns == docs.columns
         corpus_pipeline.STAGES[-1][1](spark, frame, SF_DIR).count()
+
+
+def test_extra_columns_and_odd_rows_pass_the_stages(spark):
+    """Columns with the names that the operators use inside, null and repeated rows, equal texts, a very long text."""
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").where("doc_id < 120")
+    long = docs.where("lang = 'en'").agg(F.max_by("text", F.length("text"))).first()[0]
+    mixed, rng = long.split(" "), random.Random(4)
+    very_long = " ".join(" ".join(rng.sample(mixed, len(mixed))) for _ in range(6))
+    odd = [(9001, None, None, None, None), (9002, "", "en", None, 0), (None, long + " with no id", "en", None, 1), (9003, long + " twice", "en", "s", 1),
+           (9003, long + " twice", "en", "s", 1), (9004, long + " twice", None, "s", 1), (9005, very_long, "en", "s", 1)]
+    names = ["row", "id", "key", "body", "set", "label", "words", "keep", "language", "n", "item", "start", "text_key", "wanted"]
+    frame = docs.unionByName(spark.createDataFrame(odd, docs.schema)).withColumns({n: F.lit(f"own {n}") for n in names})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, frame, SF_DIR)
+        assert after.columns == frame.columns
+        assert after.select(names).distinct().collect() == [tuple(f"own {n}" for n in names)]
+        frame = after
+    left = [r["doc_id"] for r in frame.where("doc_id is null or doc_id > 9000").collect()]
+    # the copies of the longest text go with it: the one with the smallest id stays
+    assert left == [9005]
+    tokens = {r["doc_id"]: r["n_tokens"] for r in corpus_pipeline.STAGES[-1][1](spark, frame, SF_DIR).collect()}
+    assert tokens[9005] > 1000 and len(tokens) == frame.select("doc_id").distinct().count()
