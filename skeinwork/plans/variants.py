@@ -135,6 +135,7 @@ def call_variants(
     read_id: str = "read_id",
     read_group: dict[str, str] | None = None,
     on_error: str = "fail",
+    duplicates: Callable[[DataFrame, str], DataFrame] = mark_duplicate_reads,
 ) -> DataFrame:
     """Reads to an ordered variant table.
 
@@ -143,10 +144,11 @@ def call_variants(
     region and its targets in them; `caller` per region; the lines of all
     regions in one order. `caller` gets the reads of one region in coordinate
     order and the region's targets, as pandas frames, and returns a frame with
-    one column `value` of VCF lines. `read_id` must be unique.
+    one column `value` of VCF lines. `read_id` must be unique. `duplicates` is
+    `mark_duplicate_reads`, or `mark_duplicate_pairs` for reads with mates.
     """
     main = reads.where(is_main_mapped(F.col("flag"), F.col("ref_index")))
-    grouped = with_read_group(mark_duplicate_reads(main, read_id), **(read_group or {}))
+    grouped = with_read_group(duplicates(main, read_id), **(read_group or {}))
     order = ["ref_index", "pos", read_id]
     balanced = balance_regions(grouped, order, regions, rows_per_region)
     fixed = materialize(with_fixed_quality(balanced, "region", order, on_error), "region_reads")

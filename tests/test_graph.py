@@ -144,3 +144,9 @@ def test_bits(spark, rows):
     every = spark.createDataFrame([(i,) for i in range(-40010, 33000, 1)], "person long")
     left = {r[0] for r in g.not_in_bits(every, g.bits_of(some)).collect()}
     assert left == set(range(-40010, 33000)) - {1, 8, 9, 32768, 32769, 0, -1, -40000}
+
+
+def test_count_items(spark):
+    df = spark.createDataFrame([(i % 700,) for i in range(3000)] + [(None,)], "item int")
+    assert g.count_items(df, "item").first()[0] == 700
+    assert abs(g.count_items(df, "item", approximate=True).first()[0] - 700) <= 70
