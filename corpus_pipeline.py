@@ -52,7 +52,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 # parts that a worker of the last stage keeps encoded: the workers of the stages before it are there, too
-PARTS = 800_000
+PARTS = 400_000
 
 STAGES = [
     ("language", known_language),

@@ -60,7 +60,8 @@ LOW_SHARE = 0.4             # share of the hashes that is low
 KEY_BITS = 48               # bits of a hash that stand for an element until arrays are compared
 TILE = 128                  # classes on one side of a tile
 SIGNATURE = 8               # 64-bit words of a bitmap signature
-SEEN = 200_000              # sets that a task remembers
+HELD_WORDS = 150_000        # words whose hash a worker keeps; a bound on memory, not on results
+SEEN = 20_000               # sets that a task remembers
 HOT_ROWS = 400              # rows of one component above which it is cut into pieces
 WIDE = 32                   # of the wide one, for pairs of a large tile that pass the first
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -70,7 +71,7 @@ class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 400_000:
+        if len(self) >= HELD_WORDS:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
