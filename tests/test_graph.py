@@ -150,3 +150,11 @@ def test_count_items(spark):
     df = spark.createDataFrame([(i % 700,) for i in range(3000)] + [(None,)], "item int")
     assert g.count_items(df, "item").first()[0] == 700
     assert abs(g.count_items(df, "item", approximate=True).first()[0] - 700) <= 70
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_empty_graph(spark, kind):
+    graph = g.co_membership(spark.createDataFrame([], f"person {kind}, film string"), "person", "film")
+    source = 5 if kind == "long" else "p"
+    assert [tuple(r) for r in g.bfs_levels(graph, source, 3).collect()] == [(source, 0)]
+    assert g.walk_levels(graph, source, 3).count() == 0 and g.vertices(graph).count() == 0
