@@ -28,6 +28,7 @@ from skeinwork.llm.pieces import PartCache, groups
 from skeinwork.llm.worker import kept
 
 _NONE = 1 << 62
+ROWS = 1000             # texts that a task turns into strings at once
 PARTS = 1_500_000       # parts between blanks that a worker keeps encoded; a bound on memory, not on results
 
 
@@ -145,7 +146,7 @@ def bpe_digests(docs: DataFrame, path: str, pattern: str, id: str = "doc_id", te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = kept(f"bpe {path} {pattern} {parts}", lambda: Codec(path, pattern, parts))
-        for batch in batches:
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             counts, digests, texts = [], [], []
             for ids in codec.encode([t or "" for t in batch.column(1).to_pylist()]):
                 counts.append(len(ids) // 4)

@@ -22,6 +22,7 @@ an empty result. Extra columns are not read, and `drop_rejected` returns them.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -29,6 +30,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skeinwork.llm.worker import kept
+
 DOCS_PER_LANGUAGE = 96
 LONGEST_SAMPLE = 20_000
 DICTIONARY_BYTES = 65_536
@@ -106,9 +109,11 @@ def predict_language(
 ) -> DataFrame:
     """Two structs: `row` with the columns `carry` (all by default), `language` with `lang_pred`, `score` (0 to 1), `rejected`."""
 
+    name = "languages " + hashlib.sha256(repr(dictionaries).encode()).hexdigest()
+
     @F.pandas_udf("lang_pred string, score double, rejected boolean")
     def language(column: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        classify = Classifier(dictionaries)
+        classify = kept(name, lambda: Classifier(dictionaries))
         for texts in column:
             found = [classify(t) for t in texts]
             yield pd.DataFrame({
@@ -116,8 +121,8 @@ def predict_language(
                 "rejected": [x[0] == UNKNOWN or x[1] < margin for x in found],
             })
 
-    kept = docs.columns if carry is None else carry
-    return docs.select(F.struct(*[docs[c] for c in kept]).alias("row"), language(docs[text]).alias("language"))
+    carried = docs.columns if carry is None else carry
+    return docs.select(F.struct(*[docs[c] for c in carried]).alias("row"), language(docs[text]).alias("language"))
 
 
 def drop_rejected(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text", margin: float = MARGIN) -> DataFrame:

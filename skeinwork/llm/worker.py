@@ -19,6 +19,18 @@ def kept(name: str, make: Callable):
     home = sys.modules.setdefault(_HOME, types.ModuleType(_HOME))
     if getattr(home, "name", None) != name:
         home.name = home.held = None
+        _give_back()
         home.held = make()
         home.name = name
     return home.held
+
+
+def _give_back() -> None:
+    """Freed memory goes back to the system, where the C library can do that."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
