@@ -7,6 +7,8 @@ language, the whole part of the value its count.
 from __future__ import annotations
 
 import heapq
+import itertools
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -237,6 +239,24 @@ def retweets_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return only_retweets(rows).drop("is_retweet")
 
 
+SLICE_ROWS = 500_000        # events of about one slice of the joined stream; a bound on its state, not on results
+
+
+def _slices(events: DataFrame) -> Iterator[DataFrame]:
+    """The events cut by their time into slices of about `SLICE_ROWS` rows, earliest first."""
+    n = -(-events.count() // SLICE_ROWS)
+    if n < 2:
+        yield events
+        return
+    cuts = sorted(set(events.agg(F.percentile_approx("ts", [k / n for k in range(1, n)]).alias("cuts")).first()["cuts"] or []))
+    placed = events.withColumn("_slice", F.size(F.filter(F.array(*map(F.lit, cuts)), lambda cut: cut < F.col("ts"))))
+    path = scratch_path(events.sparkSession, "slices")
+    placed.repartition("_slice").write.partitionBy("_slice").parquet(path)
+    staged = events.sparkSession.read.schema(placed.schema).parquet(path)
+    for k in range(len(cuts) + 1):
+        yield staged.where(F.col("_slice") == k).select(*events.columns)
+
+
 @query(f"""
 {WINDOWS}
 select window_start, tweet_id, retweets, total_retweets from totals
@@ -245,24 +265,42 @@ where window_start + {SIZE} <= (select (epoch_us(max(ts)) - {DELAY * 1_000_000})
 def joined_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language totals as a second aggregation of the stream, joined back to the windows by a stream-stream join.
 
-    The totals reach the join one batch after the windows they sum. So the stream
-    runs on, each time with one event more that is months later and only moves the
-    watermark; what those events close is left out. NULL languages join, too.
+    The events come slice by slice in the order of their time, so the state holds
+    what the open windows of one slice need and not all windows of the table. One
+    query makes the windows, once, as a table; a second one reads that table as a
+    stream for the totals and for the join. The totals reach the join one batch
+    after the windows they sum. So the stream runs on, each time with one event
+    more that is months later and only moves the watermark; what those events
+    close is left out. NULL languages join, too.
     """
     path, out = scratch_path(spark, "events"), scratch_path(spark, "joined")
     events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     last = events.agg(F.max("ts").alias("ts")).first()["ts"]
 
-    def windows() -> DataFrame:
-        stream = spark.readStream.schema(events.schema).parquet(f"{path}/*")
-        return windows_of(_sightings(stream).withWatermark("ts", f"{DELAY} seconds"), SIZE, SLIDE, carry=["lang"], order=["ts", "event_id"])
-
-    for turn in range(4):
-        mark = events.limit(1).withColumn("ts", F.lit(last) + F.expr(f"interval {90 * turn} days"))
-        (mark if turn else events).write.parquet(f"{path}/{turn}")
-        job = rt.joined_stream(windows(), rt.totals_stream(windows())).writeStream.outputMode("append").format("parquet")
-        job = job.option("checkpointLocation", f"{out}/state").option("path", f"{out}/rows").trigger(availableNow=True)
-        job.start().awaitTermination()
-    found = spark.read.parquet(f"{out}/rows").where(F.col("window.end") <= F.lit(last) - F.expr(f"interval {DELAY} seconds"))
-    start = epoch("SECOND", F.col("window.start").cast("timestamp_ntz"))
+    def marks() -> Iterator[DataFrame]:
+        for turn in (1, 2):
+            yield events.limit(1).withColumn("ts", F.lit(last) + F.expr(f"interval {90 * turn} days"))
+
+    events.limit(0).write.parquet(f"{path}/empty")
+    stream = spark.readStream.schema(events.schema).parquet(f"{path}/*")
+    windows = windows_of(_sightings(stream).withWatermark("ts", f"{DELAY} seconds"), SIZE, SLIDE, carry=["lang"], order=["ts", "event_id"])
+    made = windows.writeStream.outputMode("append").format("parquet").option("checkpointLocation", f"{out}/windows_state").start(f"{out}/windows")
+    joined = None
+    try:
+        for turn, part in enumerate(itertools.chain(_slices(events), marks())):
+            part.write.parquet(f"{path}/{turn}")
+            made.processAllAvailable()
+            if joined is None:
+                closed = lambda: rt.closed_windows_stream(spark, f"{out}/windows", windows.schema)
+                writer = rt.joined_stream(closed(), rt.totals_stream(closed())).writeStream.outputMode("append").format("parquet")
+                joined = writer.option("checkpointLocation", f"{out}/state").start(f"{out}/rows")
+            joined.processAllAvailable()
+    finally:
+        for job in (made, joined):
+            if job is not None:
+                job.stop()
+                job.awaitTermination()
+    found = spark.read.parquet(f"{out}/rows").withColumn("end", F.col("window") + F.expr(f"interval {SIZE} seconds"))
+    found = found.where(F.col("end") <= F.lit(last) - F.expr(f"interval {DELAY} seconds"))
+    start = epoch("SECOND", F.col("window").cast("timestamp_ntz"))
     return found.select(start.alias("window_start"), "tweet_id", "retweets", "total_retweets")

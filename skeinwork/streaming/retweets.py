@@ -111,6 +111,16 @@ def totals_stream(windows: DataFrame, lang: str = "lang") -> DataFrame:
     return windows.groupBy("window", lang).agg(F.sum("retweets").alias("total_retweets"))
 
 
+def closed_windows_stream(spark, path: str, schema) -> DataFrame:
+    """The table of windows that a stream in append mode writes below `path`, as a stream; `window` is the start of the window.
+
+    Windows reach the table in the order in which they close, so no row comes
+    after the watermark on their start.
+    """
+    rows = spark.readStream.schema(schema).parquet(path)
+    return rows.withColumn("window", F.col("window.start")).withWatermark("window", "0 seconds")
+
+
 def joined_stream(windows: DataFrame, totals: DataFrame, lang: str = "lang") -> DataFrame:
     """Tweets with their language total by a stream-stream join on (window, language), append mode.
 

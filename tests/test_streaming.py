@@ -169,3 +169,22 @@ def test_window_that_is_no_multiple_of_its_slide(spark, rows, tmp_path):
         F.max("retweet_count").alias("max_count"), F.min("retweet_count").alias("min_count"), F.max_by("text", "ts").alias("text"))
     got = rt.retweet_windows(df, size=60, slide=7).select("window", "tweet_id", "max_count", "min_count", "text")
     assert rows(got) == rows(direct)
+
+
+def test_joined_stream_in_slices(spark, rows, tmp_path, monkeypatch):
+    """Events in slices by time give the windows of the batch, and no slice's state holds all of them."""
+    from skeinwork.catalog import counters
+    from skeinwork.catalog.registry import QUERIES
+
+    start = dt.datetime(2024, 1, 1)
+    data = [(i, start + dt.timedelta(minutes=(i * 37) % 3000), i % 7, "view" if i % 3 else "buy", float(i % 11), f"p{i}") for i in range(240)]
+    data += [(240, None, 1, "view", 1.0, "p"), (241, start, 1, None, 2.0, None), (241, start, 1, None, 2.0, None)]
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    spark.createDataFrame(data, schema).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(counters, "SLICE_ROWS", 60)
+    cut = [s.count() for s in counters._slices(spark.read.parquet(str(tmp_path / "events.parquet")).withColumn("ts", F.col("ts").cast("timestamp")))]
+    assert len(cut) > 3 and max(cut) < 100 and sum(cut) >= 242
+    got = rows(QUERIES["joined_stream"](spark, str(tmp_path)))
+    limit = int((start + dt.timedelta(minutes=2999 - 10) - dt.datetime(1970, 1, 1)).total_seconds())
+    whole = QUERIES["retweet_windows"](spark, str(tmp_path)).where(F.col("window_start") + counters.SIZE <= limit)
+    assert got == rows(whole.select("window_start", "tweet_id", "retweets", "total_retweets"))
