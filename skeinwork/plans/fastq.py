@@ -12,6 +12,9 @@ from skeinwork.sources.fastq import LINES_PER_READ, read_fastq_counted
 from skeinwork.sources.sinks import write_chunks
 
 
+BLOCK_RECORDS = 1_000       # records of either mate in a block of text; bounds the list of its lines
+
+
 def _ranked(files: DataFrame) -> DataFrame:
     """`pair`, the rank of a file's path among the files of its mate, from 0; one row per file."""
     return materialize(files.withColumn("pair", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("file")) - 1), "mate_files")
@@ -51,11 +54,16 @@ def run(spark: SparkSession, mate1: str, mate2: str, out: str, chunks: int) -> N
     """`chunks` files `Chunks_<n>.fq.gz` with as many records each, one more in the first ones.
 
     The number of a record and of all records are known from the line counts, so
-    its chunk is arithmetic: the lines of both mates are shuffled once, to their
-    chunk, and sorted there. They are not made into records on the way.
+    its chunk is arithmetic, and so is its block of `BLOCK_RECORDS` records in the
+    chunk. The lines of both mates meet in their block, in as many tasks as Spark
+    has; a chunk's task sorts blocks of text, a row each, and not lines.
     """
     one, two, starts = paired_lines(spark, mate1, mate2)
     lines = one.withColumn("mate", F.lit(1)).unionByName(two.withColumn("mate", F.lit(2))).join(starts, "pair")
     index = F.col("before") + F.col("rec")
     dealt = lines.select(region_of(index, F.col("total"), chunks).alias("chunk"), index.alias("idx"), "mate", "line_no", "line")
-    write_chunks(dealt, out, chunks, ["idx", "mate", "line_no"], "line", chunk="chunk")
+    in_order = F.sort_array(F.collect_list(F.struct("idx", "mate", "line_no", "line")))
+    blocks = dealt.groupBy("chunk", F.floor(F.col("idx") / BLOCK_RECORDS).alias("block")).agg(
+        F.array_join(F.transform(in_order, lambda x: x["line"]), "\n").alias("lines")
+    )
+    write_chunks(blocks, out, chunks, ["block"], "lines", chunk="chunk")

@@ -207,3 +207,21 @@ def test_numbered_lists_and_reports(spark, tmp_path):
     sinks.write_report(df.orderBy("person"), str(tmp_path / "report"), single_file=True)
     assert lines_of(tmp_path / "report") == ["group,person", "M,a", "M,b", "M,c", "F,y", "F,z"]
     assert sinks.tuple_lines(df.limit(1).select(F.lit("a").alias("a"), F.lit(None).cast("int").alias("b"))).first()[0] == "(a,null)"
+
+
+def test_chunks_are_sorted_by_blocks_of_text(spark, tmp_path, monkeypatch):
+    """A chunk's task gets a row per block of records, and the lines of the chunk in order."""
+    import gzip
+
+    from skeinwork.plans import fastq as job
+
+    for mate in (1, 2):
+        (tmp_path / f"m{mate}").mkdir()
+        (tmp_path / f"m{mate}" / "a.fq").write_text("".join(f"@r{i}/{mate}\n{'A' * (i % 3)}\n+\n\n" for i in range(23)))
+    monkeypatch.setattr(job, "BLOCK_RECORDS", 4)
+    taken, write = [], job.write_chunks
+    monkeypatch.setattr(job, "write_chunks", lambda df, *rest, **named: (taken.append(df.count()), write(df, *rest, **named)))
+    job.run(spark, str(tmp_path / "m1"), str(tmp_path / "m2"), str(tmp_path / "out"), 3)
+    assert taken[0] <= 9
+    found = "".join(gzip.open(tmp_path / "out" / f"Chunks_{c}.fq.gz", "rt").read() for c in range(3))
+    assert found == "".join(f"@r{i}/{m}\n{'A' * (i % 3)}\n+\n\n" for i in range(23) for m in (1, 2))
