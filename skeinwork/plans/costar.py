@@ -40,7 +40,8 @@ def costar_report(
 
 def report_of(memberships: DataFrame, source: str, group: str = "M", max_level: int = MAX_LEVEL, walks: bool = False) -> dict[str, DataFrame]:
     """The report from (group, person, movie) rows; the same name in two groups is two people."""
-    rows = with_group_id(memberships)
+    # parsed once: read for the graph and for the films
+    rows = materialize(with_group_id(memberships).select("person_id", "movie"), "memberships")
     graph = co_membership(rows, "person_id", "movie")
     people = materialize(
         vertices(graph).withColumns({"group": F.substring("person", 1, 1), "name": F.substring("person", 3, 1 << 30)}),

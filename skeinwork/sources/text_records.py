@@ -104,7 +104,9 @@ def parse_membership(records: DataFrame, group: str) -> DataFrame:
 
 def with_title(rows: DataFrame) -> DataFrame:
     """Add `movie` (title up to its year) and `year` (NULL when unknown); rows without a year bracket go."""
-    out = rows.withColumn("movie", title_key(F.col("raw"))).where("movie != ''")
+    # a row per found title: a filter on the title or its year would look for it once more
+    found = F.filter(F.transform(F.array("raw"), title_key), lambda movie: movie != "")
+    out = rows.withColumn("movie", F.explode(found))
     return out.withColumn("year", title_year(F.col("movie")).try_cast("int")).drop("raw")
 
 

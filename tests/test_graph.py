@@ -158,3 +158,15 @@ def test_empty_graph(spark, kind):
     source = 5 if kind == "long" else "p"
     assert [tuple(r) for r in g.bfs_levels(graph, source, 3).collect()] == [(source, 0)]
     assert g.walk_levels(graph, source, 3).count() == 0 and g.vertices(graph).count() == 0
+
+
+def test_lists_are_parsed_once(spark, tmp_path):
+    """The films are counted from the rows that the graph is made of; a film of a person without a name counts."""
+    from skeinwork.plans.costar import report_of
+    from skeinwork.sources.text_records import with_title
+
+    raw = [("M", "a", "One (2012) [x]"), ("M", "b", "One (2012)"), ("F", None, "Two (2013)"), ("F", "c", "no year"), ("F", "c", "(2014) (sub) (2015/II)"), ("F", "c", None)]
+    found = with_title(spark.createDataFrame(raw, "group string, person string, raw string"))
+    assert sorted((r.movie, r.year) for r in found.collect()) == [("(2014)", 2014), ("One (2012)", 2012), ("One (2012)", 2012), ("Two (2013)", 2013)]
+    films = report_of(found, "a")["films"]
+    assert films.collect() == [(3,)] and "regexp_extract" not in films._jdf.queryExecution().optimizedPlan().toString()
