@@ -539,7 +539,7 @@ select row_number() over (order by chrom_no, pos, line) as rn, line from lines w
 """)
 def variant_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     variants = parse_vcf(_vcf_lines(spark, sf_dir), on_error="drop")      # global_index keeps the rows
-    return global_index(variants, ["chrom_no", "pos", "line"]).select((F.col("idx") + 1).alias("rn"), "line")
+    return global_index(variants.select("chrom_no", "pos", "line"), ["chrom_no", "pos", "line"]).select((F.col("idx") + 1).alias("rn"), "line")
 
 
 @query(f"""

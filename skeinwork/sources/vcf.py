@@ -17,11 +17,12 @@ def parse_vcf(lines: DataFrame, on_error: str = "null") -> DataFrame:
     A name without a number (chrM) gives a NULL chrom_no, or an error, or is
     dropped, by `on_error`.
     """
-    # a line to drop is known from its first two fields: no filter stands on the split ones, which would split each line once per use
+    # a line to drop is known from its first two fields, which one expression splits off and tests: a filter on
+    # columns of their own would make the line anew, and split it, once per use
     kept = F.col("value").startswith("chr")
-    head = lambda i: F.substring_index(F.substring_index("value", "\t", i), "\t", -1)
     if on_error == "drop":
-        kept = kept & chrom_number(head(1)).isNotNull() & (F.substring_index("value", "\t", 1) != F.col("value")) & head(2).try_cast("bigint").isNotNull()
+        numbered = lambda p: chrom_number(F.get(p, F.lit(0))).isNotNull() & F.get(p, F.lit(1)).try_cast("bigint").isNotNull()
+        kept = kept & F.exists(F.array(F.split("value", "\t", 3)), numbered)
     parts = lines.where(kept).select("value", F.split("value", "\t", 6).alias("_parts"))
     field = lambda i: F.get("_parts", F.lit(i))
     rows = parts.select(

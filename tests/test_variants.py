@@ -164,3 +164,17 @@ def test_a_dropped_line_is_not_split(spark):
     dropped = [tuple(r) for r in parse_vcf(df, on_error="drop").collect()]
     assert dropped == [tuple(r) for r in parse_vcf(df).collect() if r["chrom_no"] is not None and r["pos"] is not None]
     assert [r[0] for r in dropped] == ["chr1", "chr4", "chrY"]
+
+
+def test_lines_to_drop_are_split_once(spark, rows):
+    """The test of a line stands in one expression: the text of the line is made a few times, not once per use of a field."""
+    from skeinwork.sources.vcf import parse_vcf
+
+    kept = ["chr1\t5\tx\tA\tC", "chrX\t7", "chr0\t-3\tid"]
+    bad = ["chrM\t5\tx", "chr1", "chr2\t\tx", "chr3\tfive", "HLA\t5", "chr01\t4", "", None, "chr99999999999\t1"]
+    parts = spark.createDataFrame([(v,) for v in kept + bad], "half string").select(F.concat("half", F.lit("")).alias("value"))
+    found = parse_vcf(parts, on_error="drop")
+    assert rows(found.select("chrom_no", "pos", "line")) == rows(spark.createDataFrame(
+        [(1, 5, kept[0]), (23, 7, kept[1]), (0, -3, kept[2])], "chrom_no int, pos bigint, line string"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("concat(") <= 4
