@@ -160,3 +160,20 @@ def test_two_streams_of_a_region_larger_than_a_batch(spark, rows):
 
     with pytest.raises(Exception, match="right table come first"):
         rg.region_apply_streams(left.limit(5), right.limit(5), "region", ["pos"], ["at"], wrong_order, "pos bigint, region_name string").collect()
+
+
+def test_ranges_are_looked_at_in_blocks(spark, tmp_path, monkeypatch):
+    """Rows out of order are found inside a block and at its border; equal rows are in order."""
+    from skeinwork.catalog import genome
+    from skeinwork.catalog.registry import QUERIES
+
+    rows = [(i * 37 % 101, i % 5, 1) for i in range(200)] + [(7, 1, 1)] * 30 + [(None, 1, 1)] * 3
+    spark.createDataFrame(rows, "l_partkey bigint, l_orderkey bigint, l_linenumber int").write.parquet(str(tmp_path / "lineitem.parquet"))
+    total = sum(r[0] or 0 for r in rows)
+    monkeypatch.setattr(genome, "BLOCK_ROWS", 7)
+    assert QUERIES["range_partitions"](spark, str(tmp_path)).collect() == [(233, total, 6, True)]
+    cut = genome.range_partitioned
+    monkeypatch.setattr(genome, "range_partitioned", lambda df, n, *columns: cut(df, n, *columns).sortWithinPartitions("l_orderkey"))
+    assert QUERIES["range_partitions"](spark, str(tmp_path)).first()["in_order"] is False
+    monkeypatch.setattr(genome, "BLOCK_ROWS", 1)
+    assert QUERIES["range_partitions"](spark, str(tmp_path)).first()["in_order"] is False
