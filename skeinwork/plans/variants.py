@@ -148,9 +148,10 @@ def call_variants(
     `mark_duplicate_reads`, or `mark_duplicate_pairs` for reads with mates.
     """
     main = reads.where(is_main_mapped(F.col("flag"), F.col("ref_index")))
-    grouped = with_read_group(duplicates(main, read_id), **(read_group or {}))
     order = ["ref_index", "pos", read_id]
-    balanced = balance_regions(grouped, order, regions, rows_per_region)
+    # the read group is the same for all reads: it does not travel through the order
+    balanced = with_read_group(balance_regions(duplicates(main, read_id), order, regions, rows_per_region), **(read_group or {}))
+    balanced = balanced.select(*(c for c in balanced.columns if c != "region"), "region")
     fixed = materialize(with_fixed_quality(balanced, "region", order, on_error), "region_reads")
     own = materialize(target_regions(targets, covered_regions(fixed)), "region_targets")
     lines = region_apply_with(fixed, own, "region", order, ["chrom", "start", "end"], caller, "value string")

@@ -178,3 +178,17 @@ def test_lines_to_drop_are_split_once(spark, rows):
         [(1, 5, kept[0]), (23, 7, kept[1]), (0, -3, kept[2])], "chrom_no int, pos bigint, line string"))
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("concat(") <= 4
+
+
+def test_the_read_group_does_not_travel_through_the_order(spark, monkeypatch):
+    """Constant columns are put to the reads after they have got their regions; the caller gets the same columns."""
+    taken, given = [], job.balance_regions
+    monkeypatch.setattr(job, "balance_regions", lambda df, *rest, **named: (taken.append(df.columns), given(df, *rest, **named))[1])
+    reads = spark.createDataFrame([(i, 0, 1, "chr1", 10 * i, 10 * i + 5, [30]) for i in range(6)],
+                                  "read_id bigint, flag int, ref_index int, rname string, pos bigint, end_pos bigint, quals array<bigint>")
+    targets = spark.createDataFrame([("chr1", 0, 100)], "chrom string, start bigint, end bigint")
+    names = lambda own, _: pd.DataFrame({"value": ["chr1\t1\t" + ",".join(own.columns)] if len(own) else []}, dtype=object)
+    found = job.call_variants(reads, targets, names, regions=1).collect()
+    assert not [c for c in taken[0] if c.startswith("rg")]
+    seen = found[0]["id"].split(",")
+    assert {"rgid", "rglb", "rgpl", "rgpu", "rgsm", "is_duplicate", "quals", "region"} <= set(seen)
