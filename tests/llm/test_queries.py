@@ -139,3 +139,21 @@ def test_extra_columns_and_odd_rows_pass_the_stages(spark):
     assert left == [9005]
     tokens = {r["doc_id"]: r["n_tokens"] for r in corpus_pipeline.STAGES[-1][1](spark, frame, SF_DIR).collect()}
     assert tokens[9005] > 1000 and len(tokens) == frame.select("doc_id").distinct().count()
+
+
+def test_a_stage_gets_smaller_batches_and_gives_the_setting_back(spark):
+    import corpus_pipeline as p
+
+    own = spark.conf.get(p.BATCH_CONF)
+    try:
+        with p.batches_of(spark, p.TEXTS_AT_ONCE["bpe"]):
+            assert int(spark.conf.get(p.BATCH_CONF)) <= 1000
+        assert spark.conf.get(p.BATCH_CONF) == own
+        spark.conf.set(p.BATCH_CONF, "10")      # smaller than the stage asks for: stays
+        with p.batches_of(spark, 1000):
+            assert spark.conf.get(p.BATCH_CONF) == "10"
+        with pytest.raises(ZeroDivisionError), p.batches_of(spark, 5):
+            1 / 0
+        assert spark.conf.get(p.BATCH_CONF) == "10"
+    finally:
+        spark.conf.set(p.BATCH_CONF, own)
