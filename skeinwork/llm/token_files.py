@@ -48,6 +48,7 @@ from skeinwork.session import materialize, scratch_path
 MAGIC = b"IDPLANE1"
 BLOCK = 65_536
 DOCS_PER_FILE = 20_000
+CHARACTERS = 1_500_000      # of texts that are encoded together: a part that occurs in several is looked for once
 
 
 def file_system(path: str):
@@ -240,7 +241,7 @@ def write_token_files(
                 out = fs.open_output_stream(draft)
                 writer = TokenFileWriter(out, unit, block)
             keys, at = batch.column(0).to_pylist(), 0
-            for run_of_texts in groups(batch.column(1).to_pylist()):
+            for run_of_texts in groups(batch.column(1).to_pylist(), CHARACTERS):
                 for ids in encoder.ids(run_of_texts):
                     writer.add(keys[at], ids + end)
                     at += 1

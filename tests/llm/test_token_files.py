@@ -75,3 +75,17 @@ def test_repeated_ids_have_an_order(spark):
         got = read_token_files(write_token_files(df, PATH, 2, docs_per_file=10)).collect()
         found.add(tuple(sorted((tuple(r) for r in got), key=lambda r: r[1])))
     assert len(found) == 1 and len(next(iter(found))) == 60
+
+
+def test_texts_are_encoded_in_large_runs(spark, tmp_path, monkeypatch):
+    """A part of neighbouring texts is looked for once per run; the files do not depend on the size of a run."""
+    from skeinwork.llm import token_files as tf
+
+    assert tf.CHARACTERS > 1_000_000
+    docs = spark.createDataFrame([(i, "one two  three " * (i % 7) if i % 5 else None) for i in range(40)], "doc_id bigint, text string")
+    found = []
+    for size in (tf.CHARACTERS, 30):
+        monkeypatch.setattr(tf, "CHARACTERS", size)
+        files = tf.write_token_files(docs, public_tokenizers.path("byte_bpe_50k.json"), 2)
+        found.append(sorted(map(tuple, tf.read_token_files(files).collect())))
+    assert found[0] == found[1] and len(found[0]) == 40
