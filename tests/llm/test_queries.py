@@ -142,8 +142,7 @@ def test_extra_columns_and_odd_rows_pass_the_stages(spark):
 
 
 def test_a_stage_gets_smaller_batches_and_gives_the_setting_back(spark):
-    import corpus_pipeline as p
-
+    p = corpus_pipeline
     own = spark.conf.get(p.BATCH_CONF)
     try:
         with p.batches_of(spark, p.TEXTS_AT_ONCE["bpe"]):
