@@ -21,6 +21,12 @@ def delta_aggregates(count_max: str, count_min: str, carry: list[str], order: li
     ]
 
 
+def with_retweets(df: DataFrame, carry: list[str]) -> DataFrame:
+    """Add `retweets` = max - min + 1, before the carried columns."""
+    retweets = F.col("max_count") - F.col("min_count") + F.lit(1)
+    return df.select(*(c for c in df.columns if c not in carry), retweets.alias("retweets"), *carry)
+
+
 def with_delta(df: DataFrame, carry: list[str]) -> DataFrame:
     """Unpack the carried columns and add `retweets` = max - min + 1."""
     out = df.withColumn("retweets", F.col("max_count") - F.col("min_count") + F.lit(1))

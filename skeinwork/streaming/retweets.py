@@ -3,21 +3,26 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import TimestampNTZType
 
 from skeinwork.functions.langname import with_language_name
 from skeinwork.functions.text import clean_tweet, one_line, script_override
-from skeinwork.operators.counters import delta_aggregates, with_delta
+from skeinwork.operators.counters import delta_aggregates, with_delta, with_retweets
 from skeinwork.operators.langid import detect_lang
-from skeinwork.operators.skew import group_totals, join_totals, same_keys, with_group_totals
+from skeinwork.operators.skew import LEAST_ROWS, group_totals, join_totals, same_keys, with_group_totals
 from skeinwork.session import path_exists, remove_path
 
 # Window, slide and trigger of the job.
 WINDOW, SLIDE, TRIGGER = 60, 5, 5       # seconds
 
+# Bounds of a task of the report, in panes; they bound its memory, not results.
+TASK_PANES, MOST_PANES = 250_000, 1_000_000
+
 
 def with_language(df: DataFrame, profiles: DataFrame, keys: list[str], text: str = "text", out: str = "lang") -> DataFrame:
     """Language code of each message: trigram detection on the cleaned text, then the script rule.
@@ -51,7 +56,35 @@ def retweet_panes(
     return grouped.agg(*delta_aggregates(count, count, carry, order))
 
 
-def windows_of_panes(panes: DataFrame, size: int, slide: int, carry: list[str], last_by_time: bool) -> DataFrame:
+def _since_epoch(panes: DataFrame, ts: str) -> Column:
+    """Whole seconds since 1970 of a pane's time, with or without a time zone."""
+    without_zone = panes.schema["pane"].dataType["start"].dataType == TimestampNTZType()
+    return F.timestamp_diff("SECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), F.col(ts)) if without_zone else F.unix_seconds(ts)
+
+
+def _window_at(panes: DataFrame, seconds: Column, size: int) -> Column:
+    """The window that starts so many seconds after 1970, as `F.window` makes it."""
+    if panes.schema["pane"].dataType["start"].dataType == TimestampNTZType():
+        at = lambda s: F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.expr("interval '1' second") * s
+    else:
+        at = F.timestamp_seconds
+    return F.struct(at(seconds).alias("start"), at(seconds + size).alias("end"))
+
+
+def _window_numbers(seconds: Column, size: int, slide: int) -> tuple[Column, Column]:
+    """First and last of the windows with this time; window n starts at n * slide."""
+    return F.floor((seconds - size) / slide) + 1, F.floor(seconds / slide)
+
+
+def in_slices(panes: DataFrame, size: int, slide: int, length: int) -> DataFrame:
+    """Panes once per slice of `length` windows that holds one of their windows, with its number as `_slice`."""
+    first, last = _window_numbers(_since_epoch(panes, "pane.start"), size, slide)
+    return panes.withColumn("_slice", F.explode(F.sequence(F.floor(first / length), F.floor(last / length))))
+
+
+def windows_of_panes(
+    panes: DataFrame, size: int, slide: int, carry: list[str], last_by_time: bool, slice_length: int | None = None,
+) -> DataFrame:
     """Per window and id: max, min, max - min + 1, and the carried columns of the last row (batch frames).
 
     A window belongs to the last of its panes with the id, so each (window, id)
@@ -59,22 +92,39 @@ def windows_of_panes(panes: DataFrame, size: int, slide: int, carry: list[str],
     windows are not aggregated and only panes are shuffled. An id has at most
     one row per pane. `last_by_time` says that rows are ordered by their time
     first: then the last row of a window lies in its last pane.
+
+    With `slice_length`, panes come from `in_slices` of that length. Each window
+    is made in its own slice, and panes that lie by `_slice` are not shuffled.
     """
-    by_time = Window.partitionBy("tweet_id").orderBy("_start")
+    if slide > size:
+        raise ValueError(f"windows of {size} seconds every {slide} seconds leave gaps")
+    part = ["tweet_id"] if slice_length is None else ["tweet_id", "_slice"]
+    by_time = Window.partitionBy(*part).orderBy("_at")
+    last = [F.col("_latest.carry")[c].alias(c) for c in carry] if last_by_time else ["_latest"]
     held = ["max_count", "min_count"] + ([] if last_by_time else ["_latest"])
     reach = by_time.rowsBetween(1 - size // math.gcd(size, slide), 0)
+    from_no, to_no = _window_numbers(F.col("_at"), size, slide)
+    if slice_length is not None:
+        from_no = F.greatest(from_no, F.col("_slice") * slice_length)
+        to_no = F.least(to_no, (F.col("_slice") + 1) * slice_length - 1)
+    to_no = F.least(to_no, F.floor((F.col("_next") - size) / slide))     # without a next pane it does not count
     placed = (
-        panes.withColumn("_start", F.col("pane.start"))
-        .withColumns({"_next": F.lead("_start").over(by_time), "_held": F.collect_list(F.struct(F.col("_start").alias("start"), *held)).over(reach)})
-        .withColumn("window", F.window("_start", f"{size} seconds", f"{slide} seconds"))
-        .where(F.col("_next").isNull() | (F.col("window.end") <= F.col("_next")))
+        panes.select(_since_epoch(panes, "pane.start").alias("_at"), *part, "max_count", "min_count", *last)
+        .withColumns({
+            "_next": F.lead("_at").over(by_time), "_before": F.lag("_at").over(by_time),
+            "_held": F.collect_list(F.struct(F.col("_at").alias("at"), *held)).over(reach),
+        })
+        .withColumn("_no", F.explode(F.when(from_no <= to_no, F.sequence(from_no, to_no))))
+        .withColumn("_start", F.col("_no") * slide)
     )
-    inside = F.filter("_held", lambda p: p["start"] >= F.col("window.start"))
-    over = lambda c: F.transform(inside, lambda p: p[c])
-    columns = {"max_count": F.array_max(over("max_count")), "min_count": F.array_min(over("min_count"))}
-    if not last_by_time:
-        columns["_latest"] = F.array_max(over("_latest"))
-    return with_delta(placed.withColumns(columns).select("window", "tweet_id", "max_count", "min_count", "_latest"), carry)
+    # most windows hold one pane of an id: their figures are those of the pane
+    alone = F.col("_before").isNull() | (F.col("_before") < F.col("_start"))
+    placed = placed.withColumn("_inside", F.when(~alone, F.filter("_held", lambda p: p["at"] >= F.col("_start"))))
+    columns = {c: F.when(alone, F.col(c)).otherwise(of(F.col("_inside")[c])) for c, of in zip(held, (F.array_max, F.array_min, F.array_max))}
+    kept = carry if last_by_time else ["_latest"]
+    found = placed.select(
+        _window_at(panes, F.col("_start"), size).alias("window"), *part, *(columns[c].alias(c) if c in columns else c for c in ["max_count", "min_count", *kept]))
+    return with_retweets(found, carry) if last_by_time else with_delta(found, carry)
 
 
 def retweet_windows(
@@ -175,6 +225,46 @@ def batch_watermark(spark, checkpoint: str, batch_id: int) -> Column:
     return F.timestamp_millis(F.lit(millis))
 
 
+def slice_windows(panes: DataFrame, size: int, slide: int) -> tuple[int, int]:
+    """Windows of a slice of the report, 0 when too many panes share one time, and the panes in all.
+
+    A slice lies in one task. It gets 8, 4, 2 or 1 times the windows that share
+    a pane (a pane is repeated for each slice it reaches: the longer, the less
+    often), as long as the slices are small enough for all cores and for memory.
+    """
+    spark = panes.sparkSession
+    sizes = panes.groupBy(F.floor(_window_numbers(_since_epoch(panes, "pane.start"), size, slide)[1] / -(-size // slide)).alias("_size")).agg(F.count(F.lit(1)).alias("_n"))
+    times = F.explode(F.array(*map(F.lit, (8, 4, 2, 1)))).alias("_times")
+    largest = sizes.select("*", times).groupBy("_times", F.floor(F.col("_size") / F.col("_times"))).agg(F.sum("_n").alias("_n"))
+    found = {r["_times"]: r for r in largest.groupBy("_times").agg(F.max("_n").alias("most"), F.sum("_n").alias("total")).collect()}
+    if not found:
+        return 0, 0
+    total = found[1]["total"]
+    share = total // (2 * spark.sparkContext.defaultParallelism)
+    for times, bound in ((8, TASK_PANES), (4, TASK_PANES), (2, TASK_PANES), (1, MOST_PANES)):
+        if found[times]["most"] <= max(LEAST_ROWS, min(share, bound)):
+            return times * -(-size // slide), total
+    return 0, total
+
+
+def ordered_slices(panes: DataFrame, size: int, slide: int, carry: list[str], last_by_time: bool, length: int, tasks: int, closed: Callable[[DataFrame], DataFrame], lang: str) -> DataFrame:
+    """The `closed` windows with `total_retweets`, dealt out by time: only panes are shuffled, and partitions follow the time.
+
+    A window with all its tweets lies in one partition, so the totals and the
+    order of its rows are made there, without an exchange of windows.
+    """
+    dealt = in_slices(panes, size, slide, length).repartitionByRange(tasks, "_slice")
+    rows = closed(windows_of_panes(dealt, size, slide, carry, last_by_time, length)).withColumn("_start", F.col("window.start"))
+    # sorted for the totals; the order by the total then finds each language's rows in order
+    rows = rows.sortWithinPartitions("_start", lang, "_slice", F.desc("retweets"), "tweet_id")
+    total = F.sum("retweets").over(Window.partitionBy("_start", lang, "_slice"))
+    return rows.withColumn("total_retweets", total).drop("_slice", "_start")
+
+
+def report_order() -> list[Column]:
+    return [F.col("window_start"), F.desc("total_retweets"), F.desc("retweets"), F.col("tweet_id")]
+
+
 def report_sink(
     path: str, checkpoint: str, size: int = WINDOW, slide: int = SLIDE, lang: str = "lang", text: str = "text",
     profiles: DataFrame | None = None, carry: list[str] | None = None, last_by_time: bool = True,
@@ -188,6 +278,10 @@ def report_sink(
     reads the same folder and overwrites its own results. With `profiles`, the
     language is detected here, once per closed window and tweet. The rows are in
     descending order of the total.
+
+    Panes are dealt out by time, so that windows are not shuffled; where one time
+    has too many panes for a task, or a language is detected, windows are spread
+    by tweet, written, and ordered by a range exchange.
     """
     carry = carry or [lang, text]
     kept_panes = f"{checkpoint}/panes/batch_id={{}}"
@@ -203,26 +297,32 @@ def report_sink(
         panes.write.mode("overwrite").parquet(own)
         remove_path(spark, kept_panes.format(batch_id - 2))
         panes = spark.read.schema(batch.schema).parquet(own)
-        if panes.isEmpty():
+        length, n = slice_windows(panes, size, slide)
+        if n == 0:
             return
         started = _first_event(panes, path)
-        windows = windows_of_panes(panes, size, slide, carry, last_by_time)
-        rows = windows.where((F.col("window.end") > passed) & (F.col("window.end") <= now) & (F.col("window.start") >= started))
+        closed = lambda windows: windows.where((F.col("window.end") > passed) & (F.col("window.end") <= now) & (F.col("window.start") >= started))
+        report = f"{path}/windows/batch_id={batch_id}"
+        if length and profiles is None:
+            tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // TASK_PANES))
+            rows = ordered_slices(panes, size, slide, carry, last_by_time, length, tasks, closed, lang)
+            _log_columns(rows, started, lang, text).sortWithinPartitions(*report_order()).write.mode("overwrite").parquet(report)
+            return
+        rows = closed(windows_of_panes(panes, size, slide, carry, last_by_time))
         if profiles is not None:
             rows = with_language(rows, profiles, ["window", "tweet_id"], text, lang)
         # read for the totals, for the ranges of the order, and for the report
-        closed = f"{checkpoint}/closed/batch_id={batch_id}"
+        kept = f"{checkpoint}/closed/batch_id={batch_id}"
         try:
-            rows.write.mode("overwrite").parquet(closed)
-            rows = spark.read.schema(rows.schema).parquet(closed)
+            rows.write.mode("overwrite").parquet(kept)
+            rows = spark.read.schema(rows.schema).parquet(kept)
             totals = group_totals(rows, ["window", lang], "retweets", "total_retweets").persist()
             found = _log_columns(join_totals(rows, totals, ["window", lang], ["tweet_id"]), started, lang, text)
-            ordered = found.orderBy("window_start", F.desc("total_retweets"), F.desc("retweets"), "tweet_id")
-            ordered.write.mode("overwrite").parquet(f"{path}/windows/batch_id={batch_id}")
+            found.orderBy(*report_order()).write.mode("overwrite").parquet(report)
         finally:
             if totals is not None:
                 totals.unpersist()
-            remove_path(spark, closed)
+            remove_path(spark, kept)
 
     return write
 

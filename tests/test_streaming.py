@@ -3,6 +3,7 @@ import json
 import os
 import pathlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from skeinwork.operators.langid import build_profiles
@@ -188,3 +189,43 @@ def test_joined_stream_in_slices(spark, rows, tmp_path, monkeypatch):
     limit = int((start + dt.timedelta(minutes=2999 - 10) - dt.datetime(1970, 1, 1)).total_seconds())
     whole = QUERIES["retweet_windows"](spark, str(tmp_path)).where(F.col("window_start") + counters.SIZE <= limit)
     assert got == rows(whole.select("window_start", "tweet_id", "retweets", "total_retweets"))
+
+
+@pytest.mark.parametrize("options", [{}, {"size": 60, "slide": 7}, {"order": ["retweet_count"]}])
+def test_report_by_slices_of_time(spark, rows, tmp_path, monkeypatch, options):
+    """Windows dealt out by time, in several slices, and windows spread by tweet give the same report in the same order."""
+    data = [((s * 37) % 2900, True, None if s % 23 == 0 else s % 11, s % 17, f"t{s}\n") for s in range(700)]
+    put(tmp_path / "in", "1.json", data + [(9000, True, 1, 1, "end")])
+    lang = F.when(F.col("retweet_count") % 3 == 0, F.lit("fr")).when(F.col("retweet_count") % 3 == 1, F.lit("en"))
+    stream = read_stream(spark, str(tmp_path / "in")).withColumnRenamed("retweeted_id", "tweet_id").withColumn("lang", lang).drop("is_retweet")
+    reports, slice_windows = [], rt.slice_windows
+    for name, most in (("slices", 20_000), ("spread", 0)):
+        lengths = []
+        for bound in ("LEAST_ROWS", "TASK_PANES", "MOST_PANES"):
+            monkeypatch.setattr(rt, bound, most)
+        monkeypatch.setattr(rt, "slice_windows", lambda *a: (lengths.append(slice_windows(*a)), lengths[-1])[1])
+        rt.start_retweet_stream(stream, str(tmp_path / name), str(tmp_path / f"{name}_state"), "10 seconds", available_now=True, **options).awaitTermination()
+        assert {length > 0 for length, n in lengths if n} == {most > 0}
+        reports.append(spark.read.parquet(f"{tmp_path}/{name}/windows"))
+    assert rows(reports[0]) == rows(reports[1]) and reports[0].count() > 3000
+    for report in reports:
+        # the part files of a batch, one after another
+        parts = sorted({r[0] for r in report.select(F.input_file_name()).distinct().collect()})
+        assert len(parts) > 1
+        found = [r for part in parts for r in spark.read.parquet(part).coalesce(1).collect()]
+        key = [(r["window_start"], -r["total_retweets"], -r["retweets"], r["tweet_id"] is not None, r["tweet_id"] or 0) for r in found]
+        assert key == sorted(key)
+
+
+def test_windows_are_made_where_their_panes_lie(spark, tmp_path):
+    """The report shuffles panes, once, and no windows: the one exchange is that of the panes."""
+    put(tmp_path / "in", "1.json", FIRST)
+    df = tagged(spark.read.schema(read_stream(spark, str(tmp_path / "in")).schema).json(str(tmp_path / "in")))
+    panes = rt.retweet_panes(df).localCheckpoint()
+    assert rt.slice_windows(panes, 60, 5) == (8 * 12, panes.count())
+    report = rt.ordered_slices(panes, 60, 5, ["lang", "text"], True, 12, 3, lambda windows: windows, "lang")
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Exchange rangepartitioning(_slice" in plan
+    whole = rt.with_window_totals(rt.retweet_windows(df))
+    columns = ["window", "tweet_id", "retweets", "total_retweets", "text"]
+    assert sorted(map(tuple, report.select(*columns).collect())) == sorted(map(tuple, whole.select(*columns).collect()))
