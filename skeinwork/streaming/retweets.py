@@ -21,7 +21,7 @@ from skeinwork.session import path_exists, remove_path
 WINDOW, SLIDE, TRIGGER = 60, 5, 5       # seconds
 
 # Bounds of a task of the report, in panes; they bound its memory, not results.
-TASK_PANES, MOST_PANES = 250_000, 1_000_000
+TASK_PANES, MOST_PANES = 150_000, 400_000
 
 
 def with_language(df: DataFrame, profiles: DataFrame, keys: list[str], text: str = "text", out: str = "lang") -> DataFrame:
@@ -233,7 +233,8 @@ def slice_windows(panes: DataFrame, size: int, slide: int) -> tuple[int, int]:
     often), as long as the slices are small enough for all cores and for memory.
     """
     spark = panes.sparkSession
-    sizes = panes.groupBy(F.floor(_window_numbers(_since_epoch(panes, "pane.start"), size, slide)[1] / -(-size // slide)).alias("_size")).agg(F.count(F.lit(1)).alias("_n"))
+    _, last = _window_numbers(_since_epoch(panes, "pane.start"), size, slide)
+    sizes = panes.groupBy(F.floor(last / -(-size // slide)).alias("_size")).agg(F.count(F.lit(1)).alias("_n"))
     times = F.explode(F.array(*map(F.lit, (8, 4, 2, 1)))).alias("_times")
     largest = sizes.select("*", times).groupBy("_times", F.floor(F.col("_size") / F.col("_times"))).agg(F.sum("_n").alias("_n"))
     found = {r["_times"]: r for r in largest.groupBy("_times").agg(F.max("_n").alias("most"), F.sum("_n").alias("total")).collect()}
@@ -247,18 +248,22 @@ def slice_windows(panes: DataFrame, size: int, slide: int) -> tuple[int, int]:
     return 0, total
 
 
-def ordered_slices(panes: DataFrame, size: int, slide: int, carry: list[str], last_by_time: bool, length: int, tasks: int, closed: Callable[[DataFrame], DataFrame], lang: str) -> DataFrame:
+def ordered_slices(
+    panes: DataFrame, size: int, slide: int, carry: list[str], last_by_time: bool, length: int, tasks: int,
+    closed: Callable[[DataFrame], DataFrame], lang: str,
+) -> DataFrame:
     """The `closed` windows with `total_retweets`, dealt out by time: only panes are shuffled, and partitions follow the time.
 
     A window with all its tweets lies in one partition, so the totals and the
     order of its rows are made there, without an exchange of windows.
     """
     dealt = in_slices(panes, size, slide, length).repartitionByRange(tasks, "_slice")
-    rows = closed(windows_of_panes(dealt, size, slide, carry, last_by_time, length)).withColumn("_start", F.col("window.start"))
+    rows = closed(windows_of_panes(dealt, size, slide, carry, last_by_time, length))
     # sorted for the totals; the order by the total then finds each language's rows in order
+    rows = rows.withColumn("_start", _since_epoch(panes, "window.start")).drop("window")
     rows = rows.sortWithinPartitions("_start", lang, "_slice", F.desc("retweets"), "tweet_id")
-    total = F.sum("retweets").over(Window.partitionBy("_start", lang, "_slice"))
-    return rows.withColumn("total_retweets", total).drop("_slice", "_start")
+    rows = rows.withColumn("total_retweets", F.sum("retweets").over(Window.partitionBy("_start", lang, "_slice")))
+    return rows.withColumn("window", _window_at(panes, F.col("_start"), size)).drop("_slice", "_start")
 
 
 def report_order() -> list[Column]:
