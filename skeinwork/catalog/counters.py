@@ -7,7 +7,6 @@ language, the whole part of the value its count.
 from __future__ import annotations
 
 import heapq
-import itertools
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 from skeinwork.catalog.registry import epoch, query, table
 from skeinwork.operators.counters import retweet_delta, retweet_report as report_of
 from skeinwork.operators.user_aggregate import aggregate_by_key
-from skeinwork.session import materialize, scratch_path
+from skeinwork.session import materialize, scratch_path, setting
 from skeinwork.sources.sinks import write_retweet_log
 from skeinwork.sources.stream import read_stream, retweets_only as only_retweets
 from skeinwork.sources.text_records import parse_retweet_log, read_retweet_log
@@ -239,7 +238,7 @@ def retweets_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return only_retweets(rows).drop("is_retweet")
 
 
-SLICE_ROWS = 500_000        # events of about one slice of the joined stream; a bound on its state, not on results
+SLICE_ROWS = 2_000_000      # events of about one slice of the joined stream; a bound on its state, not on results
 
 
 def _slices(events: DataFrame) -> Iterator[DataFrame]:
@@ -251,7 +250,8 @@ def _slices(events: DataFrame) -> Iterator[DataFrame]:
     cuts = sorted(set(events.agg(F.percentile_approx("ts", [k / n for k in range(1, n)]).alias("cuts")).first()["cuts"] or []))
     placed = events.withColumn("_slice", F.size(F.filter(F.array(*map(F.lit, cuts)), lambda cut: cut < F.col("ts"))))
     path = scratch_path(events.sparkSession, "slices")
-    placed.repartition("_slice").write.partitionBy("_slice").parquet(path)
+    # a slice is written by several tasks
+    placed.repartition("_slice", F.pmod(F.xxhash64("event_id"), F.lit(8))).write.partitionBy("_slice").parquet(path)
     staged = events.sparkSession.read.schema(placed.schema).parquet(path)
     for k in range(len(cuts) + 1):
         yield staged.where(F.col("_slice") == k).select(*events.columns)
@@ -266,41 +266,40 @@ def joined_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language totals as a second aggregation of the stream, joined back to the windows by a stream-stream join.
 
     The events come slice by slice in the order of their time, so the state holds
-    what the open windows of one slice need and not all windows of the table. One
-    query makes the windows, once, as a table; a second one reads that table as a
-    stream for the totals and for the join. The totals reach the join one batch
-    after the windows they sum. So the stream runs on, each time with one event
-    more that is months later and only moves the watermark; what those events
-    close is left out. NULL languages join, too.
+    what the open panes of one slice need and not the table. One query keeps panes
+    and makes the windows, once, as a table of blocks of tweets; a second one reads
+    that table as a stream for the totals and for the join, whose state has a row
+    per block. The two take turns: each goes on from its checkpoint when the files
+    of the other are complete, as rows of a slice that come after others of it
+    would be late. The totals reach the join one batch after the windows they
+    sum, a batch without new files. With the last slice comes one event more that
+    is months later and only moves the watermark. NULL languages join, too.
+
+    A partition of the state costs files per batch, however few rows it has, so
+    there are no more of them than cores.
     """
     path, out = scratch_path(spark, "events"), scratch_path(spark, "joined")
     events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     last = events.agg(F.max("ts").alias("ts")).first()["ts"]
-
-    def marks() -> Iterator[DataFrame]:
-        for turn in (1, 2):
-            yield events.limit(1).withColumn("ts", F.lit(last) + F.expr(f"interval {90 * turn} days"))
-
-    events.limit(0).write.parquet(f"{path}/empty")
-    stream = spark.readStream.schema(events.schema).parquet(f"{path}/*")
-    windows = windows_of(_sightings(stream).withWatermark("ts", f"{DELAY} seconds"), SIZE, SLIDE, carry=["lang"], order=["ts", "event_id"])
-    made = windows.writeStream.outputMode("append").format("parquet").option("checkpointLocation", f"{out}/windows_state").start(f"{out}/windows")
-    joined = None
-    try:
-        for turn, part in enumerate(itertools.chain(_slices(events), marks())):
-            part.write.parquet(f"{path}/{turn}")
-            made.processAllAvailable()
-            if joined is None:
-                closed = lambda: rt.closed_windows_stream(spark, f"{out}/windows", windows.schema)
-                writer = rt.joined_stream(closed(), rt.totals_stream(closed())).writeStream.outputMode("append").format("parquet")
-                joined = writer.option("checkpointLocation", f"{out}/state").start(f"{out}/rows")
-            joined.processAllAvailable()
-    finally:
-        for job in (made, joined):
-            if job is not None:
-                job.stop()
-                job.awaitTermination()
-    found = spark.read.parquet(f"{out}/rows").withColumn("end", F.col("window") + F.expr(f"interval {SIZE} seconds"))
+    mark = events.limit(1).withColumn("ts", F.lit(last) + F.expr("interval 90 days"))
+    partitions = "spark.sql.shuffle.partitions"
+    fewest = min(int(spark.conf.get(partitions)), spark.sparkContext.defaultParallelism)
+    stream = lambda: _sightings(spark.readStream.schema(events.schema).parquet(f"{path}/*"))
+    parts = list(_slices(events))
+    for turn, part in enumerate(parts):
+        (part.unionByName(mark) if turn == len(parts) - 1 else part).write.parquet(f"{path}/{turn}")
+        with setting(spark, partitions, fewest):
+            made = rt.start_windows_stream(
+                stream(), f"{out}/windows", f"{out}/windows_state", f"{DELAY} seconds", SIZE, SLIDE, order=["ts", "event_id"])
+        made.awaitTermination()
+        schema = spark.read.parquet(f"{out}/windows/*").schema
+        closed = lambda: rt.closed_windows_stream(spark, f"{out}/windows/*", schema)
+        joined = rt.joined_stream(closed(), rt.totals_stream(closed()))
+        writer = joined.writeStream.outputMode("append").format("parquet").option("checkpointLocation", f"{out}/state")
+        with setting(spark, partitions, fewest):
+            job = writer.trigger(availableNow=True).start(f"{out}/rows")
+        job.awaitTermination()
+    found = spark.read.schema(joined.schema).parquet(f"{out}/rows").withColumn("end", F.col("window") + F.expr(f"interval {SIZE} seconds"))
     found = found.where(F.col("end") <= F.lit(last) - F.expr(f"interval {DELAY} seconds"))
     start = epoch("SECOND", F.col("window").cast("timestamp_ntz"))
-    return found.select(start.alias("window_start"), "tweet_id", "retweets", "total_retweets")
+    return found.select(start.alias("window_start"), "total_retweets", F.inline("tweets")).select("window_start", "tweet_id", "retweets", "total_retweets")

@@ -22,6 +22,7 @@ WINDOW, SLIDE, TRIGGER = 60, 5, 5       # seconds
 
 # Bounds of a task of the report, in panes; they bound its memory, not results.
 TASK_PANES, MOST_PANES = 150_000, 400_000
+BLOCK_TWEETS = 4_000    # tweets of a window that travel to the stream-stream join as one row, about
 
 
 def with_language(df: DataFrame, profiles: DataFrame, keys: list[str], text: str = "text", out: str = "lang") -> DataFrame:
@@ -56,15 +57,19 @@ def retweet_panes(
     return grouped.agg(*delta_aggregates(count, count, carry, order))
 
 
-def _since_epoch(panes: DataFrame, ts: str) -> Column:
+def _without_zone(panes: DataFrame, column: str) -> bool:
+    return panes.schema[column].dataType["start"].dataType == TimestampNTZType()
+
+
+def _since_epoch(panes: DataFrame, ts: str, column: str = "pane") -> Column:
     """Whole seconds since 1970 of a pane's time, with or without a time zone."""
-    without_zone = panes.schema["pane"].dataType["start"].dataType == TimestampNTZType()
+    without_zone = _without_zone(panes, column)
     return F.timestamp_diff("SECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), F.col(ts)) if without_zone else F.unix_seconds(ts)
 
 
-def _window_at(panes: DataFrame, seconds: Column, size: int) -> Column:
+def _window_at(panes: DataFrame, seconds: Column, size: int, column: str = "pane") -> Column:
     """The window that starts so many seconds after 1970, as `F.window` makes it."""
-    if panes.schema["pane"].dataType["start"].dataType == TimestampNTZType():
+    if _without_zone(panes, column):
         at = lambda s: F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.expr("interval '1' second") * s
     else:
         at = F.timestamp_seconds
@@ -162,7 +167,7 @@ def totals_stream(windows: DataFrame, lang: str = "lang") -> DataFrame:
 
 
 def closed_windows_stream(spark, path: str, schema) -> DataFrame:
-    """The table of windows that a stream in append mode writes below `path`, as a stream; `window` is the start of the window.
+    """The table of windows that a stream writes below `path`, as a stream; `window` is the start of the window.
 
     Windows reach the table in the order in which they close, so no row comes
     after the watermark on their start.
@@ -225,7 +230,16 @@ def batch_watermark(spark, checkpoint: str, batch_id: int) -> Column:
     return F.timestamp_millis(F.lit(millis))
 
 
-def slice_windows(panes: DataFrame, size: int, slide: int) -> tuple[int, int]:
+def slice_sizes(panes: DataFrame, size: int, slide: int) -> dict:
+    """Panes in all, and of the largest slice of 8, 4, 2 and 1 times the windows that share a pane, by that number; empty without panes."""
+    _, last = _window_numbers(_since_epoch(panes, "pane.start"), size, slide)
+    sizes = panes.groupBy(F.floor(last / -(-size // slide)).alias("_size")).agg(F.count(F.lit(1)).alias("_n"))
+    times = F.explode(F.array(*map(F.lit, (8, 4, 2, 1)))).alias("_times")
+    largest = sizes.select("*", times).groupBy("_times", F.floor(F.col("_size") / F.col("_times"))).agg(F.sum("_n").alias("_n"))
+    return {r["_times"]: r for r in largest.groupBy("_times").agg(F.max("_n").alias("most"), F.sum("_n").alias("total")).collect()}
+
+
+def slice_windows(panes: DataFrame, size: int, slide: int, found: dict | None = None) -> tuple[int, int]:
     """Windows of a slice of the report, 0 when too many panes share one time, and the panes in all.
 
     A slice lies in one task. It gets 8, 4, 2 or 1 times the windows that share
@@ -233,11 +247,7 @@ def slice_windows(panes: DataFrame, size: int, slide: int) -> tuple[int, int]:
     often), as long as the slices are small enough for all cores and for memory.
     """
     spark = panes.sparkSession
-    _, last = _window_numbers(_since_epoch(panes, "pane.start"), size, slide)
-    sizes = panes.groupBy(F.floor(last / -(-size // slide)).alias("_size")).agg(F.count(F.lit(1)).alias("_n"))
-    times = F.explode(F.array(*map(F.lit, (8, 4, 2, 1)))).alias("_times")
-    largest = sizes.select("*", times).groupBy("_times", F.floor(F.col("_size") / F.col("_times"))).agg(F.sum("_n").alias("_n"))
-    found = {r["_times"]: r for r in largest.groupBy("_times").agg(F.max("_n").alias("most"), F.sum("_n").alias("total")).collect()}
+    found = slice_sizes(panes, size, slide) if found is None else found
     if not found:
         return 0, 0
     total = found[1]["total"]
@@ -248,6 +258,11 @@ def slice_windows(panes: DataFrame, size: int, slide: int) -> tuple[int, int]:
     return 0, total
 
 
+def slice_tasks(spark, n: int) -> int:
+    """Tasks for so many panes."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // TASK_PANES))
+
+
 def ordered_slices(
     panes: DataFrame, size: int, slide: int, carry: list[str], last_by_time: bool, length: int, tasks: int,
     closed: Callable[[DataFrame], DataFrame], lang: str,
@@ -270,47 +285,54 @@ def report_order() -> list[Column]:
     return [F.col("window_start"), F.desc("total_retweets"), F.desc("retweets"), F.col("tweet_id")]
 
 
+def kept_panes(batch: DataFrame, batch_id: int, checkpoint: str, size: int) -> tuple[DataFrame, Column]:
+    """The panes that a batch of closed panes can make windows from, and which windows it closes.
+
+    Closed panes that open windows still need are kept below `checkpoint`, in a
+    folder per batch that holds those of the batch before and the new ones. A
+    repeated batch reads the same folder.
+    """
+    spark, folder = batch.sparkSession, f"{checkpoint}/panes/batch_id={{}}"
+    own, before = folder.format(batch_id), folder.format(batch_id - 1)
+    passed, now = (batch_watermark(spark, checkpoint, b) for b in (batch_id - 1, batch_id))
+    panes = batch
+    if path_exists(spark, f"{before}/_SUCCESS"):
+        old = spark.read.schema(batch.schema).parquet(before)
+        panes = old.where(F.col("pane.start") + F.expr(f"interval {size} seconds") > passed).unionByName(batch)
+    panes.write.mode("overwrite").parquet(own)
+    remove_path(spark, folder.format(batch_id - 2))
+    return spark.read.schema(batch.schema).parquet(own), (F.col("window.end") > passed) & (F.col("window.end") <= now)
+
+
 def report_sink(
     path: str, checkpoint: str, size: int = WINDOW, slide: int = SLIDE, lang: str = "lang", text: str = "text",
     profiles: DataFrame | None = None, carry: list[str] | None = None, last_by_time: bool = True,
 ):
     """foreachBatch function for a stream of closed panes: the report of the windows that this batch closes.
 
-    Closed panes that open windows still need are kept below `checkpoint`, in a
-    folder per batch that holds those of the batch before and the new ones. A
-    window is closed when the watermark has passed its end; all its panes have
-    left the stream then, so its totals are complete here. A repeated batch
-    reads the same folder and overwrites its own results. With `profiles`, the
-    language is detected here, once per closed window and tweet. The rows are in
-    descending order of the total.
+    A window is closed when the watermark has passed its end; all its panes have
+    left the stream then (see `kept_panes`), so its totals are complete here. A
+    repeated batch overwrites its own results. With `profiles`, the language is
+    detected here, once per closed window and tweet. The rows are in descending
+    order of the total.
 
     Panes are dealt out by time, so that windows are not shuffled; where one time
     has too many panes for a task, or a language is detected, windows are spread
     by tweet, written, and ordered by a range exchange.
     """
     carry = carry or [lang, text]
-    kept_panes = f"{checkpoint}/panes/batch_id={{}}"
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark, totals = batch.sparkSession, None
-        own, before = kept_panes.format(batch_id), kept_panes.format(batch_id - 1)
-        passed, now = (batch_watermark(spark, checkpoint, b) for b in (batch_id - 1, batch_id))
-        panes = batch
-        if path_exists(spark, f"{before}/_SUCCESS"):
-            old = spark.read.schema(batch.schema).parquet(before)
-            panes = old.where(F.col("pane.start") + F.expr(f"interval {size} seconds") > passed).unionByName(batch)
-        panes.write.mode("overwrite").parquet(own)
-        remove_path(spark, kept_panes.format(batch_id - 2))
-        panes = spark.read.schema(batch.schema).parquet(own)
+        panes, closes = kept_panes(batch, batch_id, checkpoint, size)
         length, n = slice_windows(panes, size, slide)
         if n == 0:
             return
         started = _first_event(panes, path)
-        closed = lambda windows: windows.where((F.col("window.end") > passed) & (F.col("window.end") <= now) & (F.col("window.start") >= started))
+        closed = lambda windows: windows.where(closes & (F.col("window.start") >= started))
         report = f"{path}/windows/batch_id={batch_id}"
         if length and profiles is None:
-            tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // TASK_PANES))
-            rows = ordered_slices(panes, size, slide, carry, last_by_time, length, tasks, closed, lang)
+            rows = ordered_slices(panes, size, slide, carry, last_by_time, length, slice_tasks(spark, n), closed, lang)
             _log_columns(rows, started, lang, text).sortWithinPartitions(*report_order()).write.mode("overwrite").parquet(report)
             return
         rows = closed(windows_of_panes(panes, size, slide, carry, last_by_time))
@@ -332,6 +354,44 @@ def report_sink(
     return write
 
 
+def tweet_blocks(windows: DataFrame, size: int, lang: str = "lang", blocks: int = 1, also: list[str] | None = None) -> DataFrame:
+    """Tweets of a window of `size` seconds and language in about `blocks` rows: `tweets` has the tweets of a block, `retweets` their sum.
+
+    For `totals_stream` and `joined_stream`, whose state then has a row per block
+    and not per tweet; `F.inline("tweets")` has the tweets again. Blocks are cut
+    by a hash of the tweet. Columns of `also` take part in the key and go.
+    """
+    start = _since_epoch(windows, "window.start", "window").alias("_start")     # a narrow key
+    block = F.pmod(F.xxhash64("tweet_id"), F.lit(blocks)).alias("_block")
+    tweets = F.collect_list(F.struct("tweet_id", "retweets")).alias("tweets")
+    held = windows.groupBy(start, F.col(lang), *(also or []), block).agg(F.sum("retweets").alias("retweets"), tweets)
+    return held.select(_window_at(windows, F.col("_start"), size, "window").alias("window"), lang, "retweets", "tweets")
+
+
+def windows_sink(path: str, checkpoint: str, size: int, slide: int, carry: list[str], last_by_time: bool, lang: str):
+    """foreachBatch function for a stream of closed panes: the windows that this batch closes, as `tweet_blocks`, in a folder of its own.
+
+    A repeated batch overwrites its folder. Panes are dealt out by time where
+    they can be, so that windows are not shuffled.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, also = batch.sparkSession, []
+        panes, closes = kept_panes(batch, batch_id, checkpoint, size)
+        found = slice_sizes(panes, size, slide)
+        length, n = slice_windows(panes, size, slide, found)
+        if length:
+            also = ["_slice"]
+            # tasks end at the same time when there are several for a core
+            tasks = max(slice_tasks(spark, n), 4 * spark.sparkContext.defaultParallelism)
+            panes = in_slices(panes, size, slide, length).repartitionByRange(tasks, "_slice")
+        rows = windows_of_panes(panes, size, slide, carry, last_by_time, length or None).where(closes)
+        # the panes of a window lie in two of these slices at most
+        blocks = -(-found[1]["most"] // BLOCK_TWEETS) if n else 1
+        tweet_blocks(rows, size, lang, blocks, also).write.mode("overwrite").parquet(f"{path}/{batch_id}")
+
+    return write
+
+
 REPORT_SCHEMA = (
     "seconds bigint, language string, code string, total_retweets bigint, tweet_id {id}, max_count bigint, min_count bigint, "
     "retweets bigint, text string, window_start timestamp"
@@ -373,3 +433,20 @@ def start_retweet_stream(
     writer = panes.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(sink)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=f"{TRIGGER} seconds")
     return writer.start()
+
+
+def start_windows_stream(
+    df: DataFrame, path: str, checkpoint: str, watermark: str = "10 seconds", size: int = WINDOW, slide: int = SLIDE, ts: str = "ts",
+    lang: str = "lang", order: list[str] | None = None, **columns,
+) -> StreamingQuery:
+    """The closed windows of what is there, to a table of `tweet_blocks` below `path`; goes on from its checkpoint.
+
+    As in `start_retweet_stream`, the state holds a row per id and open pane.
+    The table is complete up to the watermark when the query has ended: read it
+    (`closed_windows_stream` with `path/*`) between two runs, as the files of a
+    batch do not appear at once.
+    """
+    order = order or [ts]
+    panes = retweet_panes(df.withWatermark(ts, watermark), size, slide, ts, carry=[lang], order=order, **columns)
+    sink = windows_sink(path, checkpoint, size, slide, [lang], order[0] == ts, lang)
+    return panes.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(sink).trigger(availableNow=True).start()

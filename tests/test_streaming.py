@@ -191,6 +191,53 @@ def test_joined_stream_in_slices(spark, rows, tmp_path, monkeypatch):
     assert got == rows(whole.select("window_start", "tweet_id", "retweets", "total_retweets"))
 
 
+def test_joined_stream_has_few_files_of_state(spark, tmp_path, monkeypatch):
+    """As many partitions of the state as cores, also where shuffles have more; the session's setting stays."""
+    from skeinwork.catalog.registry import QUERIES
+    from skeinwork.session import shared_dir
+
+    start = dt.datetime(2024, 1, 1)
+    data = [(i, start + dt.timedelta(minutes=i * 9), i % 5, "view", float(i % 11), "p") for i in range(60)]
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    spark.createDataFrame(data, schema).write.parquet(str(tmp_path / "events.parquet"))
+    folders = lambda: set(pathlib.Path(shared_dir(spark)).rglob("joined-*/*state/state/*/[0-9]*"))
+    before, setting = folders(), spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    try:
+        assert QUERIES["joined_stream"](spark, str(tmp_path)).count() > 100
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "9"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", setting)
+    used = [int(f.name) for f in folders() - before]
+    assert used and max(used) < spark.sparkContext.defaultParallelism
+
+
+@pytest.mark.parametrize("most", [20_000, 0])
+def test_windows_stream_in_blocks(spark, rows, tmp_path, monkeypatch, most):
+    """Blocks of tweets hold the closed windows of the batch once, over restarts, whether they are dealt out by time or spread."""
+    monkeypatch.setattr(rt, "BLOCK_TWEETS", 4)
+    for bound in ("LEAST_ROWS", "TASK_PANES", "MOST_PANES"):
+        monkeypatch.setattr(rt, bound, most)
+    src, out, state = tmp_path / "in", str(tmp_path / "out"), tmp_path / "state"
+    lang = F.when(F.col("retweet_count") % 3 == 0, F.lit("fr")).when(F.col("retweet_count") % 3 == 1, F.lit("en"))
+    data = [((s * 37) % 900, True, None if s % 23 == 0 else s % 41, None if s % 41 == 7 else s % 17, "t") for s in range(700)]
+    for turn, (low, high) in enumerate(((0, 300), (300, 600), (600, 900))):
+        end = [(5000, True, 1, 1, "end")] if high == 900 else []
+        put(src, f"{turn}.json", [r for r in data if low <= r[0] < high] + end)
+        stream = read_stream(spark, str(src)).withColumnRenamed("retweeted_id", "tweet_id").withColumn("lang", lang).drop("is_retweet")
+        job = rt.start_windows_stream(stream, out, str(state), "10 seconds")
+        job.awaitTermination()
+        # a row per id and open pane
+        assert job.lastProgress["stateOperators"][0]["numRowsTotal"] <= 42 * 3
+    blocks = spark.read.parquet(f"{out}/*")
+    assert blocks.agg(F.max(F.size("tweets"))).first()[0] > 1
+    batch = spark.read.schema(read_stream(spark, str(src)).schema).json(str(src)).withColumnRenamed("retweeted_id", "tweet_id").withColumn("lang", lang)
+    whole = rt.retweet_windows(batch, carry=["lang"]).where(F.col("window.end") <= F.lit(T0 + dt.timedelta(seconds=4990)).cast("timestamp"))
+    assert rows(blocks.select("window", "lang", F.inline("tweets"))) == rows(whole.select("window", "lang", "tweet_id", "retweets"))
+    totals = lambda df: rows(df.groupBy("window", "lang").agg(F.sum("retweets").alias("total")))
+    assert totals(blocks) == totals(whole)
+
+
 @pytest.mark.parametrize("options", [{}, {"size": 60, "slide": 7}, {"order": ["retweet_count"]}])
 def test_report_by_slices_of_time(spark, rows, tmp_path, monkeypatch, options):
     """Windows dealt out by time, in several slices, and windows spread by tweet give the same report in the same order."""
