@@ -191,7 +191,7 @@ def test_joined_stream_in_slices(spark, rows, tmp_path, monkeypatch):
     assert got == rows(whole.select("window_start", "tweet_id", "retweets", "total_retweets"))
 
 
-def test_joined_stream_has_few_files_of_state(spark, tmp_path, monkeypatch):
+def test_joined_stream_has_few_files_of_state(spark, tmp_path):
     """As many partitions of the state as cores, also where shuffles have more; the session's setting stays."""
     from skeinwork.catalog.registry import QUERIES
     from skeinwork.session import shared_dir
@@ -200,7 +200,8 @@ def test_joined_stream_has_few_files_of_state(spark, tmp_path, monkeypatch):
     data = [(i, start + dt.timedelta(minutes=i * 9), i % 5, "view", float(i % 11), "p") for i in range(60)]
     schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
     spark.createDataFrame(data, schema).write.parquet(str(tmp_path / "events.parquet"))
-    folders = lambda: set(pathlib.Path(shared_dir(spark)).rglob("joined-*/*state/state/*/[0-9]*"))
+    home = pathlib.Path(shared_dir(spark), "skeinwork", spark.sparkContext.applicationId)
+    folders = lambda: set(home.glob("joined-*/*state/state/*/[0-9]*"))
     before, setting = folders(), spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "9")
     try:
